@@ -5,13 +5,34 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from nephos.llm import quality
+from nephos.llm import jaccard, mixing, packing, quality, secret_scan
 from nephos.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    mix = mixing.rake(mixing.cell_tokens(docs, mixing.TARGETS), mixing.TARGETS)
+    return mixing.mix_rows(docs, mix, mixing.TARGETS)
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.secret_spans(docs, secret_scan.fit_thresholds(docs))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_random")
+
+
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_classes(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = quality.fit_rules(docs, table(spark, sf_dir, "labels"))
@@ -20,6 +41,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_mix_sources": op1_mix_sources,
+        "op2_best_fit_packing": op2_best_fit_packing,
+        "op3_secret_scan": op3_secret_scan,
+        "op6_ngram_jaccard": op6_ngram_jaccard,
         "op8_quality_rules": op8_quality_rules,
     }
 
