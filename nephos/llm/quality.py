@@ -230,7 +230,9 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, most_rows: int) -> list[tu
     """Features and labels of at most ``most_rows`` labelled documents, chosen by a hash of the id.
 
     The labelled side is cut before the texts are read, so its size, and with it
-    the broadcast, is bounded by ``most_rows``.
+    the broadcast, is bounded by ``most_rows``.  Rows that the base rule fails
+    leave on the driver: a filter on their statistics would be pushed below the
+    join and measure every text.
     """
     chosen = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
@@ -240,8 +242,8 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, most_rows: int) -> list[tu
         .limit(most_rows)
     )
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = sorted(text_stats(texts, "doc_id", "quality").where(~base_failed()).collect())
-    return [(feature_values(r.asDict()), r["quality"] == 0) for r in rows]
+    rows = sorted(text_stats(texts, "doc_id", "quality").withColumn("failed", base_failed()).collect())
+    return [(feature_values(r.asDict()), r["quality"] == 0) for r in rows if not r["failed"]]
 
 
 def fit_rules(docs: DataFrame, labels: DataFrame, most_rows: int = 4_000, **options) -> list[Rule]:

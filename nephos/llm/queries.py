@@ -7,12 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nephos.llm import jaccard, mixing, packing, quality, secret_scan
+from nephos.llm import jaccard, mixing, packing, quality, secret_scan, token_counts, token_store
 from nephos.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the public vocabulary file ``name`` lies on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     mix = mixing.rake(mixing.cell_tokens(docs, mixing.TARGETS), mixing.TARGETS)
@@ -29,6 +36,15 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_random")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_store.read_segments(token_store.write_segments(docs, tokenizer_path("word_bpe_49k.json")))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_classes(table(spark, sf_dir, "documents"))
 
@@ -44,6 +60,8 @@ def queries() -> dict[str, Query]:
         "op1_mix_sources": op1_mix_sources,
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_secret_scan": op3_secret_scan,
+        "op4_token_counts": op4_token_counts,
+        "op5_token_store": op5_token_store,
         "op6_ngram_jaccard": op6_ngram_jaccard,
         "op8_quality_rules": op8_quality_rules,
     }
