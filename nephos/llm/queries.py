@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nephos.llm import jaccard, mixing, packing, quality, secret_scan, token_counts, token_store
+from nephos.llm import chat, flac, jaccard, mixing, packing, quality, secret_scan, token_counts, token_store, toxicity
 from nephos.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,12 +49,26 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_classes(table(spark, sf_dir, "documents"))
 
 
+def op7_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flac.media_digests(flac.encode_texts(table(spark, sf_dir, "documents")))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = quality.fit_rules(docs, table(spark, sf_dir, "labels"))
     return quality.quality_scores(docs, rules)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxicity_scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.with_probe(table(spark, sf_dir, "conversations"))
+    return chat.conversation_digests(chat.format_turns(turns))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -63,7 +77,10 @@ def queries() -> dict[str, Query]:
         "op4_token_counts": op4_token_counts,
         "op5_token_store": op5_token_store,
         "op6_ngram_jaccard": op6_ngram_jaccard,
+        "op7_flac_media": op7_flac_media,
         "op8_quality_rules": op8_quality_rules,
+        "op9_toxicity": op9_toxicity,
+        "op10_chat_format": op10_chat_format,
     }
 
 
