@@ -26,8 +26,12 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
+    import nephos.queries  # noqa: F401  its modules register themselves
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    import nephos.queries  # noqa: F401
+
     return dict(_ORACLES)
