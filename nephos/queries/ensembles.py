@@ -54,7 +54,7 @@ def perturbation_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "gaussian_smooth",
-    """WITH g AS (SELECT CAST(s_suppkey % 10 AS INT) AS line, CAST(row_number() OVER (PARTITION BY s_suppkey % 10 ORDER BY s_suppkey) - 1 AS INT) AS ix, s_acctbal AS value FROM supplier),
+    """WITH g AS (SELECT CAST(c_custkey % 10 AS INT) AS line, CAST(row_number() OVER (PARTITION BY c_custkey % 10 ORDER BY c_custkey) - 1 AS INT) AS ix, c_acctbal AS value FROM customer),
     n AS (SELECT line, count(*) AS n FROM g GROUP BY line), q AS (SELECT * FROM g WHERE ix < 10),
     w AS (SELECT k, exp(-0.5*k*k)/(SELECT sum(exp(-0.5*j*j)) FROM range(-4, 5) r(j)) AS w FROM range(-4, 5) r(k)),
     c AS (SELECT a.line, a.ix, w.w, ((a.ix + w.k) % 20 + 20) % 20 AS m FROM q a, w)
@@ -63,9 +63,9 @@ def perturbation_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gaussian_smooth(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
-    line = (F.col("s_suppkey") % 10).cast("int")
-    place = (F.row_number().over(Window.partitionBy("line").orderBy("s_suppkey")) - 1).cast("int")
-    grid = table(spark, sf_dir, "supplier").select(line.alias("line"), "s_suppkey", F.col("s_acctbal").alias("value")).withColumn("ix", place).where("ix < 10").select("line", "ix", "value")
+    line = (F.col("c_custkey") % 10).cast("int")
+    place = (F.row_number().over(Window.partitionBy("line").orderBy("c_custkey")) - 1).cast("int")
+    grid = table(spark, sf_dir, "customer").select(line.alias("line"), "c_custkey", F.col("c_acctbal").alias("value")).withColumn("ix", place).where("ix < 10").select("line", "ix", "value")
     return rounded(ensemble.smooth_axis(grid, "ix", 10, 1.0, ["line", "ix"]), 4)
 
 
