@@ -82,9 +82,10 @@ def harp2(cells: DataFrame, shape: tuple[int, int], filename: str, fine: bool =
     known = F.create_map(*[x for k, v in HARP_BANDS.items() for x in (F.lit(k), F.lit(v))])
     band = F.coalesce(known[F.col("band")], F.raise_error(F.concat(F.lit("unknown band "), F.col("band"))))
     used = cells.where(~F.col("band").isin(*disabled)) if disabled else cells
-    rows = F.array(*[F.struct(F.lit(p).alias("prefix"), F.col(m).cast("double").alias("value")) for m, p in modes.items()])
-    extra = [F.to_json(F.struct((F.col(mask) != 100).cast("int").alias("is_over_land"))).alias("metadata")] if mask else [F.lit(None).cast("string").alias("metadata")]
-    flat = used.select("y", "x", "latitude", "longitude", "unix_time", band.alias("_band"), *extra, F.inline(rows))
+    rows = F.array(*[F.named_struct(F.lit("prefix"), F.lit(p), F.lit("value"), F.col(m).cast("double")) for m, p in modes.items()])
+    over_land = F.named_struct(F.lit("is_over_land"), (F.col(mask) != 100).cast("int")) if mask else None
+    metadata = F.lit(None).cast("string") if over_land is None else F.to_json(over_land)
+    flat = used.select("y", "x", "latitude", "longitude", "unix_time", band.alias("_band"), metadata.alias("metadata"), F.inline(rows))
     kept = flat.where(_finite("value", "latitude", "longitude") & (F.col("value") >= 0))
     return observation(
         kept, instrument="GRASP_HARP2", quantity=F.concat("prefix", "_band"), time=F.timestamp_seconds("unix_time"), longitude=F.col("longitude"), latitude=F.col("latitude"),
