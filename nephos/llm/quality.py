@@ -13,6 +13,7 @@ the list is empty and only the base rule decides.
 
 from __future__ import annotations
 
+import random
 from dataclasses import dataclass
 from math import log2
 
@@ -173,13 +174,13 @@ def learn_decision_list(
 ) -> list[Rule]:
     """Sequential covering over ``(feature values, is bad)`` rows.
 
-    Every third row is held for pruning.  A rule grows by the test that raises
+    A third of the rows, drawn with a fixed seed, is held for pruning.  A rule grows by the test that raises
     FOIL's gain most, loses its last tests while that doesn't lower
     (bad - good) / (bad + good) on the held rows, and is kept if it is precise
     on both parts; its rows then go and the next rule is grown.
     """
-    grow = [r for i, r in enumerate(rows) if i % 3]
-    held = [r for i, r in enumerate(rows) if not i % 3]
+    rows = random.Random(17).sample(rows, len(rows))
+    grow, held = rows[len(rows) // 3 :], rows[: len(rows) // 3]
     rules: list[Rule] = []
 
     def counts(part: list, rule: tuple[Test, ...]) -> tuple[int, int]:

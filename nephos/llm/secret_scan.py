@@ -242,9 +242,12 @@ def redact(docs: DataFrame, cuts: dict[int, int], mark: str = "[SECRET]") -> Dat
             at = max(at, end)
         return "".join([*parts, text[at:]])
 
+    at = docs.columns.index("text")
+
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        at = batch.schema.get_field_index("text")
         texts = pa.array([clean(t) for t in batch.column(at).to_pylist()], pa.string())
-        yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
+        yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(batch.columns)], names=docs_names)
 
-    return map_arrow(docs, run, docs.schema)
+    docs_names = docs.columns
+    # Names with dots cannot be selected by mapInArrow, so columns go in by number.
+    return map_arrow(docs.toDF(*[f"c{i}" for i in range(len(docs_names))]), run, docs.schema)

@@ -6,12 +6,12 @@ segmentation is built.  Ties follow the tokenizers library's Unigram model: a
 later candidate must be strictly better and starts come in order, so the piece
 with the earliest start stays; an unknown character competes only where no
 one-character piece starts, at the least score less 10, and falls back to its
-UTF-8 bytes.
+UTF-8 bytes, or without byte pieces joins the unknown characters before it.
 
 No piece crosses from another character into a space mark, so a text's best path
 is the best paths of its words joined; scores are whole numbers, whose sums are
 exact in a double, which keeps ties the same either way.  Both are checked when
-a vocabulary is loaded; without them whole texts are run.
+a vocabulary is loaded; without them, or without byte pieces, whole texts are run.
 
 Defined cases: a null text counts as empty, with 0 tokens and score 0; a null
 doc_id passes through; repeated rows give repeated results.
@@ -57,13 +57,14 @@ class CountViterbi:
         crossing = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.scores)
         breaks = any("\n" in p for p in self.scores)
         word = f"{SPACE}*[^{SPACE}]+|{SPACE}+" if breaks else f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n"
-        self.word = re.compile(word) if whole and not crossing else None
+        self.word = re.compile(word) if whole and not crossing and self.all_bytes else None
         self.known: dict[str, tuple[int, float]] = {}
 
     def best(self, text: str) -> tuple[int, float]:
         """(pieces, score) of the best path through ``text``."""
         n = len(text)
         score, count, start = [0.0] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
+        unknown = [False] * (n + 1)
         known = [False] * n
         matches: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
         for last, (size, value) in self.automaton.iter(text):
@@ -76,8 +77,9 @@ class CountViterbi:
                     score[end], count[end], start[end] = score[at] + value, count[at] + 1, at
             at = end - 1
             if not known[at] and (start[end] < 0 or score[at] + self.unknown > score[end]):
-                pieces = len(text[at].encode("utf-8", "surrogatepass")) if self.all_bytes else 1
+                pieces = len(text[at].encode("utf-8", "surrogatepass")) if self.all_bytes else 1 - unknown[at]
                 score[end], count[end], start[end] = score[at] + self.unknown, count[at] + pieces, at
+                unknown[end] = True
         return count[n], score[n]
 
     def count(self, text: str | None) -> tuple[int, float]:
