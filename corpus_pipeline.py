@@ -31,7 +31,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """The documents with their secrets replaced, and n_chars to match."""
     clean = secret_scan.redact(docs, secret_scan.fit_thresholds(docs))
     length = F.length("text").cast(docs.schema["n_chars"].dataType)
-    return clean.withColumn("n_chars", F.coalesce(length, F.col("n_chars"))).select(docs.columns)
+    return clean.withColumn("n_chars", F.coalesce(length, F.col("n_chars")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
