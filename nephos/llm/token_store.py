@@ -44,7 +44,7 @@ INDEX = np.dtype([("offset", "<u8"), ("length", "<u4")])
 BLOCK_IDS, SEGMENT_IDS = 32_768, 262_144
 END_ID = 2
 #: Distinct words that a Python worker remembers before it starts anew.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
 
 
 def to_planes(ids: np.ndarray, bits: bool) -> list[bytes]:
@@ -110,8 +110,9 @@ class Segment:
 #: Texts of these characters only can be cut as the tokenizer cuts them: their
 #: normal form is themselves, and Python and the library agree on their classes.
 _PLAIN = re.compile("[\x00-\x1b\x20-\u012f\u0131-\u024f]*")
-#: The tokenizer's own pattern, for lower-cased plain texts.
-_CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:(?!\s)[\W_])+")
+#: The tokenizer's own pattern, for lower-cased plain texts, with the letters that those may hold.
+_LETTERS = "a-zªµºÀ-ÖØ-öø-ʯⱥⱦ"
+_CUT = re.compile(f"[{_LETTERS}]+|[0-9²³¹¼½¾]|'(?:s|t|re|ve|m|ll|d)|[^\\s0-9²³¹¼½¾{_LETTERS}]+")
 
 
 class WordEncoder:
@@ -142,12 +143,12 @@ class WordEncoder:
             part = words[at : at + 4096]
             if whole:
                 ids = self._ids([" ".join(part)])[0]
-                found = np.split(ids, np.flatnonzero(self.ends[ids]) + 1)[:-1]
-                if len(found) != len(part):
-                    found = self._ids(part)
-            else:
-                found = self._ids(part)
-            self.known.update(zip(part, (x.tobytes() for x in found), strict=True))
+                ends = [0, *(4 * np.flatnonzero(self.ends[ids]) + 4).tolist()]
+                if len(ends) == len(part) + 1:
+                    raw = ids.tobytes()
+                    self.known.update(zip(part, [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)], strict=True))
+                    continue
+            self.known.update(zip(part, [x.tobytes() for x in self._ids(part)], strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian u32."""
@@ -161,10 +162,10 @@ class WordEncoder:
             text = text or ""
             plain = "<|" not in text and _PLAIN.fullmatch(text) is not None
             ws = _CUT.findall(text.lower()) if plain else re.split("[ \n\t\r]+", text)
-            (single if plain else other).update(w for w in ws if w not in known)
+            (single if plain else other).update(ws)
             split.append(ws)
-        self._learn(list(single), True)
-        self._learn(list(other - single), False)
+        self._learn([w for w in single if w not in known], True)
+        self._learn([w for w in other if w not in known], False)
         return [b"".join(map(known.__getitem__, ws)) for ws in split]
 
 
@@ -204,8 +205,8 @@ def write_segments(docs: DataFrame, path: str, end_id: int = END_ID, bits: bool
             return out
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
                 for doc_id, found in zip(part.column(0).to_pylist(), encoder(path).encode(part.column(1).to_pylist()), strict=True):
                     ids.append(found + end)
                     doc_ids.append(doc_id)
