@@ -131,6 +131,12 @@ def json_number(metadata: Column, key: str) -> Column:
     return json_text(metadata, key).try_cast("double")
 
 
+def metadata_values(metadata: Column, keys: Sequence[str]) -> list[Column]:
+    """One text column for each declared key; a row that lacks one raises."""
+    lacks = lambda k: F.raise_error(F.concat(F.lit(f"metadata lacks {k}: "), F.coalesce(metadata, F.lit("null"))))
+    return [F.coalesce(json_text(metadata, k), lacks(k)).alias(k) for k in keys]
+
+
 def metadata_pairs(metadata: Column) -> Column:
     """``k=v`` pairs joined by a pipe; nested values are left out, bad JSON gives an empty string."""
     entries = F.from_json(metadata, "map<string,string>")

@@ -115,12 +115,13 @@ def corner(i: Column, w: Column) -> Column:
     return F.named_struct(F.lit("i"), i, F.lit("w"), w)
 
 
-def gather_corners(points: DataFrame, grid: DataFrame, x_axis: tuple[float, float, int], y_axis: tuple[float, float, int], field: str = "profile", key: str = "obs_id") -> DataFrame:
-    """(key, field): the field, an array over levels, interpolated to every point in x, y and t.
+def gather_corners(points: DataFrame, grid: DataFrame, x_axis: tuple[float, float, int], y_axis: tuple[float, float, int], field: str = "profile", key: str = "obs_id", by: Sequence[str] = ()) -> DataFrame:
+    """(key, by, field): the field, an array over levels, interpolated to every point in x, y and t.
 
     ``points`` holds key, x, y, left_idx, right_idx and t_weight.  Each point asks
     for up to eight corners, which meet the grid on (t_idx, ix, iy); corners of
-    weight 0 are asked for too, so a null corner gives a null level.
+    weight 0 are asked for too, so a null corner gives a null level.  ``by`` names
+    columns of the grid, such as the member, that each give a result of their own.
     """
     ix, wx = regular_axis(F.col("x"), *x_axis)
     iy, wy = regular_axis(F.col("y"), *y_axis)
@@ -137,11 +138,11 @@ def gather_corners(points: DataFrame, grid: DataFrame, x_axis: tuple[float, floa
         .select(key, F.col("_t.i").alias("t_idx"), F.col("_x.i").alias("ix"), F.col("_y.i").alias("iy"), (F.col("_t.w") * F.col("_x.w") * F.col("_y.w")).alias("_w"))
     )
     n_corners = 2 * min(x_axis[2], 2) * min(y_axis[2], 2)
-    weighted = corners.join(grid.select("t_idx", "ix", "iy", F.col(field).alias("_f")), ["t_idx", "ix", "iy"])
-    levels = weighted.select(key, F.posexplode("_f").alias("_k", "_v"), "_w").groupBy(key, "_k").agg(
+    weighted = corners.join(grid.select("t_idx", "ix", "iy", *by, F.col(field).alias("_f")), ["t_idx", "ix", "iy"])
+    levels = weighted.select(key, *by, F.posexplode("_f").alias("_k", "_v"), "_w").groupBy(key, *by, "_k").agg(
         F.when(F.count("_v") == n_corners, F.sum(F.col("_v") * F.col("_w"))).alias("_v")
     )
-    return levels.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_k", "_v"))), lambda p: p["_v"]).alias(field))
+    return levels.groupBy(key, *by).agg(F.transform(F.array_sort(F.collect_list(F.struct("_k", "_v"))), lambda p: p["_v"]).alias(field))
 
 
 def nearest_point(points: DataFrame, grid: DataFrame, key: str = "obs_id") -> DataFrame:

@@ -99,11 +99,10 @@ def time_superobs(
     """
     width, offset = minutes * 60_000_000, offset_minutes * 60_000_000
     day = 86_400_000_000
-    first = F.min("_us").over(Window.partitionBy(*KEYS))
-    origin = F.floor(first / day) * day + offset
+    timed = df.withColumn("_us", micros(F.col("time")))
+    origins = timed.groupBy(*KEYS).agg((F.floor(F.min("_us") / day) * day + offset).alias("_origin"))
     binned = (
-        df.withColumn("_us", micros(F.col("time")))
-        .withColumn("_origin", origin)
+        timed.join(origins, list(KEYS))
         .withColumn("_bin", F.col("_origin") + F.floor((F.col("_us") - F.col("_origin")) / width) * width)
     )
     keys = [*KEYS, "_bin"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,17 +13,18 @@ from nephos.operators.joins import bracket, gather_corners
 Axis = tuple[float, float, int]
 
 
-def interpolate_model(obs: DataFrame, grid: DataFrame, x_axis: Axis, y_axis: Axis, tolerance_us: int = 3_600_000_000) -> DataFrame:
-    """(obs_id, model): the field at each observation's place, time and height.
+def interpolate_model(obs: DataFrame, grid: DataFrame, x_axis: Axis, y_axis: Axis, tolerance_us: int = 3_600_000_000, by: Sequence[str] = ()) -> DataFrame:
+    """(obs_id, by, model): the field at each observation's place, time and height.
 
     ``grid`` holds (t_idx, t, ix, iy, profile, levels).  Rows more than the
-    tolerance outside the model's times are null.
+    tolerance outside the model's times are null.  With ``by`` ('member') every member
+    gives a row.
     """
     frames = grid.select("t_idx", "t").distinct()
     placed = bracket(obs.select("obs_id", "time", "x", "y", "z"), frames, "time", tolerance_us)
-    both = grid.select("t_idx", "ix", "iy", F.concat("profile", "levels").alias("_pair"), F.size("profile").alias("_n"))
-    at = gather_corners(placed, both, x_axis, y_axis, "_pair")
+    both = grid.select("t_idx", "ix", "iy", *by, F.concat("profile", "levels").alias("_pair"), F.size("profile").alias("_n"))
+    at = gather_corners(placed, both, x_axis, y_axis, "_pair", by=by)
     half = F.floor(F.size("_pair") / 2).cast("int")
-    profiles = at.select("obs_id", F.slice("_pair", 1, half).alias("_v"), F.slice("_pair", half + 1, half).alias("_l"))
+    profiles = at.select("obs_id", *by, F.slice("_pair", 1, half).alias("_v"), F.slice("_pair", half + 1, half).alias("_l"))
     out = placed.select("obs_id", "z", "valid").join(profiles, "obs_id", "left")
-    return out.select("obs_id", F.when(F.col("valid"), interpolate(F.col("_l"), F.col("_v"), F.col("z"))).alias("model"))
+    return out.select("obs_id", *by, F.when(F.col("valid"), interpolate(F.col("_l"), F.col("_v"), F.col("z"))).alias("model"))

@@ -57,7 +57,7 @@ def write_shared(df: DataFrame, label: str) -> DataFrame:
     Cuts lineage: a lost executor makes Spark reread files, not recompute.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/nephos/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/nephos/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -71,6 +71,12 @@ def drop_shared(df: DataFrame) -> None:
             path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def clear_shared(spark: SparkSession) -> None:
+    """Delete all tables that this application has left in the shared folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/nephos/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 _SHIPPED: set[str] = set()
 
 

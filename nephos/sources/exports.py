@@ -16,10 +16,11 @@ FILTER_TYPES = {
 }
 
 
-def filter_rows(df: DataFrame) -> DataFrame:
-    """Thirteen ordered columns, longitudes in [0, 360), without null values."""
+def filter_rows(df: DataFrame, *keep: str) -> DataFrame:
+    """Thirteen ordered columns, longitudes in [0, 360), without null values; ``keep`` comes first."""
     parts = {n: f("time") for n, f in (("year", F.year), ("month", F.month), ("day", F.dayofmonth), ("hour", F.hour), ("minute", F.minute), ("second", F.second))}
     return df.where("value IS NOT NULL").select(
+        *keep,
         mapped(F.col("quantity"), FILTER_TYPES).alias("obs_type"),
         wrap_360(F.col("longitude")).alias("longitude"),
         "latitude",
