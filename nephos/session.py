@@ -80,8 +80,18 @@ def clear_shared(spark: SparkSession) -> None:
 _SHIPPED: set[str] = set()
 
 
+#: Arrow bytes that go to a Python worker at a time, unless the session sets its own.
+BATCH_LIMIT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package's source to the Python workers, once per application."""
+    """Send this package's source to the Python workers, once per application.
+
+    A session that sets no limit for Arrow batches gets a small one: workers keep
+    what a batch has taken while they wait for the next stage, beside the JVM.
+    """
+    if spark.conf.get(BATCH_LIMIT, None) is None:
+        spark.conf.set(BATCH_LIMIT, BATCH_BYTES)
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
