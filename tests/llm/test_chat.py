@@ -4,7 +4,8 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from nephos.llm import chat
+from nephos.llm import chat, queries
+from tests.oracle import assert_same, connect
 
 SCHEMA = "conv_id long, turn long, role string, text string, extra string"
 ROWS = [
@@ -39,6 +40,10 @@ def test_probe_and_empty_table(spark):
     assert chat.conversation_digests(chat.format_turns(spark.createDataFrame([], SCHEMA))).count() == 0
 
 
+def test_query_matches_its_oracle(spark, sf_dir):
+    assert_same(queries.op10_chat_format(spark, sf_dir), connect(sf_dir), queries.CHAT_SQL)
+
+
 def test_joined_segments_parse_back(spark):
     rows = chat.format_turns(spark.createDataFrame(ROWS[:3], SCHEMA)).collect()
     assert chat.parse("".join(r["segment"] for r in rows)) == [(r, t) for _, _, r, t, _ in ROWS[:3]]
