@@ -138,11 +138,16 @@ def gather_corners(points: DataFrame, grid: DataFrame, x_axis: tuple[float, floa
         .select(key, F.col("_t.i").alias("t_idx"), F.col("_x.i").alias("ix"), F.col("_y.i").alias("iy"), (F.col("_t.w") * F.col("_x.w") * F.col("_y.w")).alias("_w"))
     )
     n_corners = 2 * min(x_axis[2], 2) * min(y_axis[2], 2)
+    number = F.col("t_idx") * 4 + F.col("ix") * 2 + F.col("iy")
     weighted = corners.join(grid.select("t_idx", "ix", "iy", *by, F.col(field).alias("_f")), ["t_idx", "ix", "iy"])
-    levels = weighted.select(key, *by, F.posexplode("_f").alias("_k", "_v"), "_w").groupBy(key, *by, "_k").agg(
-        F.when(F.count("_v") == n_corners, F.sum(F.col("_v") * F.col("_w"))).alias("_v")
-    )
-    return levels.groupBy(key, *by).agg(F.transform(F.array_sort(F.collect_list(F.struct("_k", "_v"))), lambda p: p["_v"]).alias(field))
+    # Eight arrays a point at most are gathered, in a fixed order, so sums do not depend on the shuffle.
+    found = weighted.groupBy(key, *by).agg(F.array_sort(F.collect_list(F.struct(number.alias("o"), F.col("_w").alias("w"), F.col("_f").alias("f")))).alias("_c"))
+
+    def level(k: Column) -> Column:
+        return F.aggregate("_c", F.lit(0.0), lambda total, c: total + c["w"] * F.get(c["f"], k))
+
+    levels = F.transform(F.sequence(F.lit(0), F.size(F.col("_c")[0]["f"]) - 1), level)
+    return found.select(key, *by, F.when(F.size("_c") == n_corners, levels).alias(field))
 
 
 def nearest_point(points: DataFrame, grid: DataFrame, key: str = "obs_id") -> DataFrame:
