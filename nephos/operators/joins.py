@@ -61,6 +61,14 @@ def frame_intervals(frames: DataFrame, t: str = "t") -> DataFrame:
     )
 
 
+def _in_spans(points: DataFrame, spans: DataFrame, slice_us: int = 21_600_000_000) -> DataFrame:
+    """Inner join of points (_us) to the half-open frame interval that holds them, by time slices."""
+    cut = lambda c: F.floor(F.col(c) / slice_us)
+    wide = spans.withColumn("_slice", F.explode(F.sequence(cut("left_us"), cut("right_us"))))
+    held = (F.col("_us") >= F.col("left_us")) & ((F.col("_us") < F.col("right_us")) | F.col("is_last"))
+    return points.withColumn("_slice", cut("_us")).join(small(wide), "_slice").where(held).drop("_slice")
+
+
 def bracket(points: DataFrame, frames: DataFrame, at: str = "time", tolerance_us: int = 3_600_000_000) -> DataFrame:
     """The frames on both sides of every point: left_idx, right_idx, the right one's weight, and valid.
 
@@ -71,8 +79,7 @@ def bracket(points: DataFrame, frames: DataFrame, at: str = "time", tolerance_us
     limits = spans.agg(F.min("left_us").alias("_low"), F.max("left_us").alias("_high"))
     us = micros(F.col(at))
     clipped = points.join(F.broadcast(limits)).withColumn("_us", F.least(F.greatest(us, F.col("_low")), F.col("_high")))
-    held = (F.col("_us") >= F.col("left_us")) & ((F.col("_us") < F.col("right_us")) | F.col("is_last"))
-    joined = clipped.join(small(spans), held)
+    joined = _in_spans(clipped, spans)
     span = F.col("right_us") - F.col("left_us")
     return joined.withColumns(
         {
@@ -86,13 +93,13 @@ def nearest_frame(points: DataFrame, frames: DataFrame, at: str = "time", tolera
     """The nearest frame's t_idx, the earlier one in a tie, and whether it is within the tolerance."""
     spans = frame_intervals(frames)
     us = micros(F.col(at))
-    first = spans.agg(F.min("left_us").alias("_low"))
-    clipped = points.join(F.broadcast(first)).withColumn("_us", F.greatest(us, F.col("_low")))
-    joined = clipped.join(small(spans), (F.col("_us") >= F.col("left_us")) & ((F.col("_us") < F.col("right_us")) | F.col("is_last")))
+    limits = spans.agg(F.min("left_us").alias("_low"), F.max("left_us").alias("_high"))
+    clipped = points.join(F.broadcast(limits)).withColumn("_us", F.greatest(us, F.col("_low")))
+    joined = _in_spans(clipped.withColumn("_us", F.least("_us", "_high")), spans)
     to_right = ~F.col("is_last") & (F.col("right_us") - us < us - F.col("left_us"))
     gap = F.abs(us - F.when(to_right, F.col("right_us")).otherwise(F.col("left_us")))
     return joined.withColumns({"t_idx": F.when(to_right, F.col("right_idx")).otherwise(F.col("left_idx")), "valid": gap <= tolerance_us}).drop(
-        "_low", "_us", "left_us", "right_us", "is_last", "left_idx", "right_idx"
+        "_low", "_high", "_us", "left_us", "right_us", "is_last", "left_idx", "right_idx"
     )
 
 
