@@ -30,7 +30,7 @@ from nephos.llm.common import map_arrow
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHED_WORDS = 200_000
+CACHED_WORDS = 500_000
 
 
 def load_vocabulary(path: str) -> list[tuple[str, float]]:
@@ -63,23 +63,35 @@ class CountViterbi:
     def best(self, text: str) -> tuple[int, float]:
         """(pieces, score) of the best path through ``text``."""
         n = len(text)
-        score, count, start = [0.0] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
-        unknown = [False] * (n + 1)
-        known = [False] * n
-        matches: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-        for last, (size, value) in self.automaton.iter(text):
-            matches[last + 1].append((last + 1 - size, value))
-            if size == 1:
-                known[last] = True
-        for end in range(1, n + 1):
-            for at, value in sorted(matches[end]):
-                if start[end] < 0 or score[at] + value > score[end]:
-                    score[end], count[end], start[end] = score[at] + value, count[at] + 1, at
+        score, count, joined = [0.0] * (n + 1), [0] * (n + 1), [False] * (n + 1)
+
+        def close(end: int, best: float | None, pieces: int, single: bool) -> None:
+            """Settle ``end``; an unknown last character competes if no piece is that character."""
             at = end - 1
-            if not known[at] and (start[end] < 0 or score[at] + self.unknown > score[end]):
-                pieces = len(text[at].encode("utf-8", "surrogatepass")) if self.all_bytes else 1 - unknown[at]
-                score[end], count[end], start[end] = score[at] + self.unknown, count[at] + pieces, at
-                unknown[end] = True
+            if not single and (best is None or score[at] + self.unknown > best):
+                best = score[at] + self.unknown
+                pieces = count[at] + (len(text[at].encode("utf-8", "surrogatepass")) if self.all_bytes else 1 - joined[at])
+                joined[end] = True
+            score[end], count[end] = best, pieces
+
+        end, best, pieces, single = 0, None, 0, True
+        for last, (size, value) in self.automaton.iter(text):  # by end, longest first
+            if last + 1 != end:
+                if end:
+                    close(end, best, pieces, single)
+                for gap in range(end + 1, last + 1):
+                    close(gap, None, 0, False)
+                end, best, single = last + 1, None, False
+            at = end - size
+            found = score[at] + value
+            if best is None or found > best:
+                best, pieces = found, count[at] + 1
+            if size == 1:
+                single = True
+        if end:
+            close(end, best, pieces, single)
+        for gap in range(end + 1, n + 1):
+            close(gap, None, 0, False)
         return count[n], score[n]
 
     def count(self, text: str | None) -> tuple[int, float]:
