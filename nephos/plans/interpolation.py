@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from nephos.functions.profiles import interpolate
 from nephos.operators.joins import bracket, gather_corners
+from nephos.session import write_shared
 
 Axis = tuple[float, float, int]
 
@@ -20,7 +21,8 @@ def interpolate_model(obs: DataFrame, grid: DataFrame, x_axis: Axis, y_axis: Axi
     tolerance outside the model's times are null.  With ``by`` ('member') every member
     gives a row.
     """
-    frames = grid.select("t_idx", "t").distinct()
+    # One row a model time, read from the grid once; the bracket asks for them several times.
+    frames = write_shared(grid.select("t_idx", "t").distinct(), "frames")
     placed = bracket(obs.select("obs_id", "time", "x", "y", "z"), frames, "time", tolerance_us)
     both = grid.select("t_idx", "ix", "iy", *by, F.concat("profile", "levels").alias("_pair"), F.size("profile").alias("_n"))
     at = gather_corners(placed, both, x_axis, y_axis, "_pair", by=by)
