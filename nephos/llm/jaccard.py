@@ -14,12 +14,14 @@ least the threshold.  The steps, every one a distributed join or aggregate:
     centre's component (the rest) is verified as a query set against all members
     of that bucket, block by block, so no bucket keeps an untested pair between
     two components;
-5.  components again.  A class is a component; its id is its least doc_id.
+5.  components again.  A class is a component; its id is its least doc_id;
+6.  the links of each member are counted: linked texts are in one class, so each
+    class meets itself block by block, as counts and never as pairs.
 
-A group of m near copies costs O(m) candidates, as its members meet in their
-centre's component.  ``n_links`` counts the verified links of a document's text
-that the join found on this way, and its copies; links inside a class that the
-class already implies are not enumerated.
+Finding the classes costs O(m) candidates for a group of m near copies, as its
+members meet in their centre's component; counting their links costs m * m
+comparisons in matrix products.  ``n_links`` is the number of different texts in
+the class that reach the threshold with a document's text, plus its copies.
 
 Defined cases: a null text counts as empty; texts with no word link to nothing
 but their equals; under five words the whole text is one shingle; repeated rows
@@ -31,6 +33,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -196,17 +199,24 @@ def similar(a: set, b: set, threshold: float) -> bool:
     return bool(both) and both >= threshold * (len(a) + len(b) - both)
 
 
-def rest_links(groups: DataFrame, texts: DataFrame, threshold: float, size: int) -> DataFrame:
-    """Links between the components of each group (main, node, label).
-
-    The rest, members outside the main component, is the query set; it meets the
-    group's members block by block.  Blocks hold about BLOCK_BYTES of text, so a
-    hot group becomes many block pairs that any executor may take, and a block
-    pair yields at most one link for each query and component.
-    """
+def block_degrees(left: list[dict], right: list[dict], threshold: float, size: int, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many of the right texts each left one is similar to, and the other way round; no text counts itself."""
+    sets = [[shingle_hashes(m["text"], places) for m in side] for side in (left, right)]
+    both = overlaps(*sets).astype(np.float64)
+    sizes = [np.array([len(x) for x in side], np.float64) for side in sets]
+    near = (both > 0) & (both >= threshold * (sizes[0][:, None] + sizes[1][None, :] - both))
+    at = {m["node"]: j for j, m in enumerate(right)}
+    for i, m in enumerate(left):
+        if m["node"] in at:
+            near[i, at[m["node"]]] = False
+    return near.sum(axis=1), near.sum(axis=0)
+
+
+def blocked(groups: DataFrame, texts: DataFrame) -> DataFrame:
+    """(main, block, members) of the groups (main, node, label), in blocks of about BLOCK_BYTES of text."""
     sizes = groups.join(texts.select("node", F.octet_length("text").alias("size")), "node")
     shares = write_shared(sizes.groupBy("main").agg(F.greatest(F.ceil(F.sum("size") / BLOCK_BYTES), F.lit(1)).alias("n_blocks")), "shares")
-    blocks = write_shared(
+    return write_shared(
         groups.join(shares, "main")
         .select("main", "node", "label", F.pmod(F.xxhash64("node"), "n_blocks").alias("block"))
         .join(texts, "node")
@@ -214,6 +224,44 @@ def rest_links(groups: DataFrame, texts: DataFrame, threshold: float, size: int)
         .agg(F.collect_list(F.struct("node", "label", "text")).alias("members")),
         "blocks",
     )
+
+
+def link_degrees(classes: DataFrame, texts: DataFrame, threshold: float, size: int) -> DataFrame:
+    """(node, degree) of the members of classes (node, label): how many texts of its class each is similar to.
+
+    Every block of a class meets itself and each later one; a block pair yields
+    one count for each of its members.
+    """
+    blocks = blocked(classes.select(F.col("label").alias("main"), "node", "label"), texts)
+    schema = pa.schema([("node", pa.binary()), ("n", pa.int64())])
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        places = Signer(1, 1, size).places
+        found: Counter = Counter()
+        for row in range(batch.num_rows):
+            left, right = batch.column(1)[row].as_py(), batch.column(2)[row].as_py()
+            ahead, back = block_degrees(left, right, threshold, size, places)
+            found.update({m["node"]: int(n) for m, n in zip(left, ahead, strict=True)})
+            if not batch.column(0)[row].as_py():
+                found.update({m["node"]: int(n) for m, n in zip(right, back, strict=True)})
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], schema=schema)
+
+    tasks = 4 * classes.sparkSession.sparkContext.defaultParallelism
+    left = blocks.select("main", F.col("block").alias("query"), F.col("members").alias("left"))
+    pairs = left.join(blocks, "main").where("query <= block").repartition(tasks, "main", "query", "block")
+    counted = map_arrow(pairs.select((F.col("query") == F.col("block")).alias("same"), "left", "members"), run, "node binary, n bigint")
+    return counted.groupBy("node").agg(F.sum("n").alias("degree"))
+
+
+def rest_links(groups: DataFrame, texts: DataFrame, threshold: float, size: int) -> DataFrame:
+    """Links between the components of each group (main, node, label).
+
+    The rest, members outside the main component, is the query set; it meets the
+    group's members block by block.  Blocks hold about BLOCK_BYTES of text, so a
+    hot group becomes many block pairs that any executor may take, and a block
+    pair yields at most one link for each query and component.
+    """
+    blocks = blocked(groups, texts)
     rest = F.filter("members", lambda m: m["label"] != F.col("main"))
     queries = blocks.select("main", F.col("block").alias("query"), rest.alias("rest")).where("size(rest) > 0")
 
@@ -259,12 +307,12 @@ def similarity_classes(
     recall: float = TARGET_RECALL,
 ) -> DataFrame:
     """doc_id, class_id, n_links and n_copies: one row for each row of ``docs``."""
-    signed, classes = _classes(docs, threshold, size, recall)
+    signed, classes = _classes(docs, threshold, size, recall, count_links=True)
     return signed.join(classes, "node").select("doc_id", "class_id", "n_links", "n_copies")
 
 
-def _classes(docs: DataFrame, threshold: float, size: int, recall: float) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, node) of every row, and the label, least doc_id, class and counts of every node."""
+def _classes(docs: DataFrame, threshold: float, size: int, recall: float, count_links: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, node) of every row, and the label, least doc_id, class and copies of every node; its links if asked."""
     bands, rows = band_plan(threshold, recall)
     signed = write_shared(signatures(docs, bands, rows, size), "signed")
     nodes = write_shared(
@@ -320,19 +368,21 @@ def _classes(docs: DataFrame, threshold: float, size: int, recall: float) -> tup
     late = write_shared(rest_links(groups, texts, threshold, size), "late")
     found = links.union(late).distinct()
     labels = components(found)
-    for used in (members, tested, texts, gathered, unfinished, groups):
+    for used in (members, tested, gathered, unfinished, groups):
         drop_shared(used)
 
-    degree = found.select(F.col("a").alias("node")).union(found.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
     classed = nodes.select("node", "least_id", "n_copies").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     # Written first, so that both sides of the join are dealt anew and a hot class can be split.
     ids = write_shared(classed.groupBy("label").agg(F.min("least_id").alias("class_id")), "class-ids")
-    per_node = write_shared(
-        classed.join(ids, "label")
-        .join(degree, "node", "left")
-        .select("node", "label", "least_id", "class_id", "n_copies", (F.coalesce("degree", F.lit(0)) + F.col("n_copies") - 1).alias("n_links")),
-        "classes",
-    )
+    per_node = classed.join(ids, "label")
+    if count_links:
+        # The two members of a pair are linked; larger classes are counted.
+        sized = write_shared(labels.join(write_shared(labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "class-sizes"), "label"), "sized")
+        counted = link_degrees(sized.where("n > 2").select("node", "label"), texts, threshold, size)
+        degree = write_shared(counted.union(sized.where("n = 2").select("node", F.lit(1).cast("long"))), "degrees")
+        per_node = per_node.join(degree, "node", "left").withColumn("n_links", F.coalesce("degree", F.lit(0)) + F.col("n_copies") - 1).drop("degree")
+    per_node = write_shared(per_node, "classes")
+    drop_shared(texts)
     return signed.select("doc_id", "node"), per_node
 
 

@@ -105,3 +105,24 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(b, a) for a, b in zip(nodes, nodes[1:], strict=False)], "a binary, b binary")
     got = jaccard.components(links).collect()
     assert len(got) == 40 and {bytes(r["label"]) for r in got} == {nodes[0]}
+
+
+def links(rows):
+    """n_links of every distinct text: the different texts that reach the threshold, and its copies."""
+    sets = {r[1] or "": jaccard.shingle_set(r[1]) for r in rows}
+    copies = [r[1] or "" for r in rows]
+    return {t: sum(u != t and jaccard.similar(s, v, 0.8) for u, v in sets.items()) + copies.count(t) - 1 for t, s in sets.items()}
+
+
+def test_n_links_matches_brute_force(spark, monkeypatch):
+    """Also in a group larger than all centres of its members' buckets, and cut into several blocks."""
+    base = prose(77, 300).split()
+    group = [" ".join([*base[:3 * i], f"edit{i}", *base[3 * i + 1 :]]) for i in range(95)]
+    rows = near_rows() + [(9000 + i, t, "en", "s", 1) for i, t in enumerate([*group, group[0], group[5]])] + [(r[0] and 20_000 + r[0], *r[1:]) for r in hard_rows()[:8]]
+    want = links(rows)
+    assert want[group[1]] == 94 and want[group[5]] == 95
+    for block in (jaccard.BLOCK_BYTES, 40_000):
+        monkeypatch.setattr(jaccard, "BLOCK_BYTES", block)
+        df = docs(spark, rows)
+        got = jaccard.similarity_classes(df).join(df.select("doc_id", "text"), "doc_id").where("doc_id IS NOT NULL").collect()
+        assert {(r["text"] or "", r["n_links"]) for r in got} == {(r[1] or "", want[r[1] or ""]) for r in rows if r[0] is not None}
