@@ -1,14 +1,18 @@
 """Secret scans: fixed patterns, and a randomness test battery with false-discovery control.
 
 Three patterns give the base spans.  Beside them every run of 20 or more token
-characters is a candidate.  Its encoding is inferred from its characters; then
+characters is a candidate.  Its encoding is inferred from
+its characters; then
 
 *   chi-squared uniformity over the encoding's alphabet, a runs test about the
     alphabet's middle and lag-1 serial correlation each give a p-value for
     "uniform random"; Fisher's method combines them, and a candidate below
     ``ALPHA`` isn't random;
-*   the runs of character classes give a p-value for "ordinary identifier",
-    whose classes change rarely.
+*   the likelihood of an ordinary identifier, by what the three tests look at (the
+    shares of its symbols, the runs of its character classes, and steps to the
+    same or the next symbol), over that of a uniform random string of the encoding
+    and length.  The inverse ratio's mean over ordinary identifiers is at most
+    1, so by Markov's inequality the ratio is a p-value for "ordinary identifier".
 
 Candidates that fail the battery count with p = 1.  Benjamini-Hochberg control
 at ``FDR`` runs over all candidates of the corpus, each length stratum (doubling
@@ -45,6 +49,12 @@ ALPHA = 0.001
 FDR = 0.01
 #: Chance that neighbouring characters of an ordinary identifier differ in class.
 CLASS_CHANGE = 0.12
+#: Chance of lower case after upper case where words are capitalised.
+CAPITALISED = 0.8
+#: Chance of the same symbol again, and of the alphabet's next one.
+STEP = 0.05
+#: Letters in a thousand of running text, about the mean of English, German, French and Spanish.
+LETTER_SHARES = [87, 14, 34, 47, 144, 14, 17, 30, 68, 4, 6, 45, 28, 76, 61, 19, 6, 66, 74, 68, 43, 12, 11, 2, 8, 5]
 LEVELS_PER_DECADE, MOST_LEVEL = 10, 3000
 DIGITS, UPPER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -52,6 +62,8 @@ LOWER = UPPER.lower()
 ENCODINGS = {
     "hex": DIGITS + LOWER[:6],
     "hex_upper": DIGITS + UPPER[:6],
+    "lower": LOWER,
+    "upper": UPPER,
     "base32": UPPER + DIGITS[2:8],
     "base36": DIGITS + LOWER,
     "base36_upper": DIGITS + UPPER,
@@ -64,10 +76,15 @@ Span = tuple[int, int, int]
 
 
 def infer_encoding(body: str) -> str | None:
-    """The smallest known alphabet of ``body``; None for numbers, plain words and anything else."""
+    """The smallest known alphabet of ``body``; None for anything else, and for numbers and listings of the alphabet.
+
+    Ordinary numbers are as uniform as random ones, so no test tells them apart.
+    """
     used = set(body)
-    if used <= set(DIGITS) or used <= set(LOWER) or used <= set(UPPER):
+    if used <= set(DIGITS) or all(ord(y) - ord(x) == 1 for x, y in zip(body, body[1:], strict=False)):
         return None
+    if used <= set(LOWER) or used <= set(UPPER):
+        return "lower" if used <= set(LOWER) else "upper"
     return next((n for n, at in _PLACES.items() if used <= at.keys()), None)
 
 
@@ -117,18 +134,43 @@ def fisher(ps: list[float]) -> float:
     return min(1.0, math.exp(-half) * total)
 
 
-def identifier_p(body: str) -> float:
-    """Chernoff's bound of at least so many class changes in an ordinary identifier."""
-    kind = [0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3 for c in body]
-    n = len(kind) - 1
-    t = sum(x != y for x, y in zip(kind, kind[1:], strict=False)) / n
-    if t <= CLASS_CHANGE:
-        return 1.0
-    kl = t * math.log(t / CLASS_CHANGE) + ((1 - t) * math.log((1 - t) / (1 - CLASS_CHANGE)) if t < 1 else 0)
-    return math.exp(-n * kl)
+def _class(c: str) -> int:
+    return 0 if c in DIGITS else 1 if c in LOWER else 2 if c in UPPER else 3
+
+
+def _share(c: str) -> float:
+    """Share of a symbol among those of its class."""
+    kind = _class(c)
+    return 0.1 if kind == 0 else 0.25 if kind == 3 else LETTER_SHARES[ord(c.lower()) - ord("a")] / sum(LETTER_SHARES)
+
+
+def _next_share(x: str, y: str) -> float:
+    """Share of ``y`` after ``x`` of its class."""
+    return (1 - 2 * STEP) * _share(y) + STEP * ((x == y) + (ord(y) - ord(x) == 1))
+
+
+def identifier_bits(body: str) -> float:
+    """-log2 of the likelihood of an ordinary identifier, with words capitalised or not."""
+    plain = capitalised = 2 - math.log2(_share(body[0]))
+    for x, y in zip(body, body[1:], strict=False):
+        a, b = _class(x), _class(y)
+        symbol = -math.log2(_next_share(x, y) if a == b else _share(y))
+        move = 1 - CLASS_CHANGE if a == b else CLASS_CHANGE / 3
+        plain += symbol - math.log2(move)
+        if a == 2:
+            move = CAPITALISED if b == 1 else (1 - CAPITALISED) / 3
+        capitalised += symbol - math.log2(move)
+    low, high = sorted((plain, capitalised))
+    return low + 1 - math.log2(1 + 2.0 ** (low - high))
+
+
+def identifier_p(body: str, encoding: str, ways: int = 1) -> float:
+    """Ordinary over random likelihood, for the best of all encodings and of so many ways to cut the run."""
+    uniform = len(body) * math.log2(len(ENCODINGS[encoding])) + math.log2(len(ENCODINGS) * ways)
+    return 2.0 ** min(0.0, max(uniform - identifier_bits(body), -1000.0))
 
 
-def candidate_level(body: str) -> int | None:
+def candidate_level(body: str, ways: int = 1) -> int | None:
     """The quantised -log10 p of a candidate, rounded down; None if it has no known encoding."""
     body = body.rstrip("=")
     name = infer_encoding(body) if len(body) >= 16 else None
@@ -137,8 +179,8 @@ def candidate_level(body: str) -> int | None:
     at, size = [_PLACES[name][c] for c in body], len(ENCODINGS[name])
     if fisher([uniformity_p(at, size), runs_p(at, size), serial_p(at)]) < ALPHA:
         return 0
-    p = identifier_p(body)
-    return min(MOST_LEVEL, int(-math.log10(max(p, 1e-300)) * LEVELS_PER_DECADE))
+    p = identifier_p(body, name, ways)
+    return min(MOST_LEVEL, int(-math.log10(p) * LEVELS_PER_DECADE))
 
 
 def base_spans(text: str) -> list[Span]:

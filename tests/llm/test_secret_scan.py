@@ -91,3 +91,23 @@ def test_empty_table(spark):
 def test_query_over_hard_rows(spark):
     got = S.secret_spans(docs(spark), {}).collect()
     assert len(got) == len(hard_rows())
+
+
+def test_random_strings_of_every_encoding_reach_the_rate():
+    rng = random.Random(11)
+    for name, n, least in (("base32", 32, 190), ("base32", 40, 190), ("base36_upper", 32, 190), ("base36", 32, 190), ("hex", 20, 190), ("lower", 32, 180), ("upper", 40, 180)):
+        found = sum((S.candidate_level(key(rng, S.ENCODINGS[name], n)) or 0) >= 20 for _ in range(200))
+        assert found >= least, (name, n, found)
+
+
+def test_ordinary_names_stay_under_the_rate():
+    names = ["getElementsByTagNameNS", "AbstractSingletonProxyFactoryBean", "MAX_CONNECTIONS_PER_HOST_2", "donaudampfschifffahrtsgesellschaft", "internationalisation_of_2_modules", "src/main/java/com/example", "2024-11-27-release-notes"]
+    assert [n for n in names if (S.candidate_level(n) or 0) >= 20] == []
+
+
+def test_likelihoods_of_ordinary_identifiers_sum_to_at_most_one():
+    assert sum(2.0 ** -S.identifier_bits(a + b) for a in S.ENCODINGS["base64"] + "-_" for b in S.ENCODINGS["base64"] + "-_") <= 1 + 1e-9
+
+
+def test_very_long_candidates():
+    assert S.identifier_p("e" * 20_000, "lower") == 1.0 and 0 < S.identifier_p("xQ7" * 20_000, "base62") < 1e-300
