@@ -1,7 +1,7 @@
 """Secret scans: fixed patterns, and a randomness test battery with false-discovery control.
 
 Three patterns give the base spans.  Beside them every run of 20 or more token
-characters is a candidate.  Its encoding is inferred from
+characters that no base span covers is a candidate.  Its encoding is inferred from
 its characters; then
 
 *   chi-squared uniformity over the encoding's alphabet, a runs test about the
@@ -44,7 +44,10 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
+SHORTEST = 20
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+PART = re.compile(r"[A-Za-z0-9+/_-]+")
+PIECES = (re.compile(r"[A-Za-z0-9+/]+"), re.compile(r"[A-Za-z0-9_-]+"))
 ALPHA = 0.001
 FDR = 0.01
 #: Chance that neighbouring characters of an ordinary identifier differ in class.
@@ -193,16 +196,40 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out)
 
 
+def parts(text: str, base: list[Span]) -> Iterator[tuple[int, int]]:
+    """(start, end) of what base spans and interior equals signs leave of the runs; padding stays at its end."""
+    for m in CANDIDATE.finditer(text):
+        at, stop = m.span()
+        for start, end in [(s, e) for s, _, e in base if s < stop and at < e] + [(stop, stop)]:
+            for part in PART.finditer(text, at, max(at, start)):
+                last = part.end()
+                yield part.start(), start if text.count("=", last, start) == start - last else last
+            at = max(at, end)
+
+
 def candidates(text: str, base: list[Span]) -> list[tuple[int, int, int, int]]:
-    """(start, end, stratum, level) of the runs that overlap no base span."""
+    """(start, end, stratum, level) of the runs and their parts, beside the base spans.
+
+    A part that no alphabet holds, as it has separators of both kinds, is cut at
+    the ones or at the others, whichever finds the less ordinary piece.
+    """
     out = []
-    for m in CANDIDATE.finditer(text):
-        start, end = m.span()
-        if any(s < end and start < e for s, _, e in base):
+    for start, end in parts(text, base):
+        if end - start < SHORTEST:
             continue
-        level = candidate_level(m.group())
-        if level is not None:
-            out.append((start, end, (end - start).bit_length(), level))
+        body = text[start:end].rstrip("=")
+        if set(body) & set("+/") and set(body) & set("-_"):
+            ways = []
+            for piece in PIECES:
+                # Padding belongs to the last piece.
+                spans = [(start + m.start(), end if m.end() == len(body) else start + m.end()) for m in piece.finditer(body)]
+                found = [(s, e, candidate_level(text[s:e], len(PIECES))) for s, e in spans if e - s >= SHORTEST]
+                ways.append([x for x in found if x[2] is not None])
+            found = max(ways, key=lambda w: max((x[2] for x in w), default=-1))
+        else:
+            level = candidate_level(body)
+            found = [] if level is None else [(start, end, level)]
+        out += [(s, e, (e - s).bit_length(), level) for s, e, level in found]
     return out
 
 

@@ -109,5 +109,33 @@ def test_likelihoods_of_ordinary_identifiers_sum_to_at_most_one():
     assert sum(2.0 ** -S.identifier_bits(a + b) for a in S.ENCODINGS["base64"] + "-_" for b in S.ENCODINGS["base64"] + "-_") <= 1 + 1e-9
 
 
+def test_parts_beside_equals_signs_separators_and_base_spans():
+    rng = random.Random(13)
+    k64, url, b32 = key(rng, S.ENCODINGS["base62"], 38) + "+/", "-".join(key(rng, S.ENCODINGS["base62"], 14) for _ in range(3)), key(rng, S.ENCODINGS["base32"], 32)
+    digest = "0123456789abcdef01234567"
+    cases = {
+        f"aws_secret_access_key={k64}": k64,
+        f"AUTH={url} x": url,
+        f"sig={b32}==&next": f"{b32}==",
+        f"a=b=private_key={k64}=": f"{k64}=",
+        f"my_key/{k64}": f"key/{k64}",
+        f"some+dir/{url}": url,
+        f"{digest}-{k64}x": f"{k64}x",
+    }
+    for text, want in cases.items():
+        found = [text[s:e] for s, e, _, level in S.candidates(text, S.base_spans(text)) if level >= 30]
+        assert found == [want], (text, found)
+
+
+def test_name_value_secrets_are_redacted(spark):
+    rng = random.Random(17)
+    secrets = [key(rng, S.ENCODINGS["base64"], 44) for _ in range(6)]
+    names = ["aws_secret_access_key", "AUTH", "private_key", "sig", "db/user-KEY", "x"]
+    rows = [(i, f"see {n}={k} there", "en", "s", 1) for i, (n, k) in enumerate(zip(names, secrets, strict=True))]
+    df = docs(spark, rows)
+    out = S.redact(df, S.fit_thresholds(df)).collect()
+    assert {r["text"] for r in out} == {f"see {n}=[SECRET] there" for n in names}
+
+
 def test_very_long_candidates():
     assert S.identifier_p("e" * 20_000, "lower") == 1.0 and 0 < S.identifier_p("xQ7" * 20_000, "base62") < 1e-300
