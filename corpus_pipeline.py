@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from nephos.llm import jaccard, mixing, packing, quality, secret_scan
 from nephos.llm.common import table
+from nephos.llm.queries import tokenizer_path
 from nephos.session import write_shared
 
 #: Targets of the mixture after near duplicates are gone.
@@ -36,7 +37,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn so that token shares meet the targets."""
-    return mixing.mix_documents(docs, mixing.TARGETS, MIX_SHARE)
+    return mixing.mix_documents(docs, mixing.TARGETS, MIX_SHARE, tokenizer=tokenizer_path("word_bpe_49k.json"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,9 @@ Rows carry (doc_id, n_tokens) only.  They are dealt by a hash of the id into
 shards of about SHARD_ROWS, and each shard is packed by itself in bounded memory,
 so no bin waits for another task and a hot source spreads over all shards.
 
+Lengths are those of the tokenizer whose file is given, else words, each with an
+end mark.
+
 Defined cases: a document longer than the longest length is cut into full pieces
 and a tail; null or empty texts are one token (the end mark); repeated rows are
 packed each by itself; an empty table gives no rows.
@@ -27,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nephos.llm.common import word_count
+from nephos.llm.token_store import with_lengths
 from nephos.session import ship_package
 
 LENGTHS = (256, 512, 1024, 2048, 4096)
@@ -98,8 +102,12 @@ def pack_documents(
     docs: DataFrame,
     permitted: tuple[int, ...] = LENGTHS,
     shard_rows: int = SHARD_ROWS,
+    tokenizer: str | None = None,
 ) -> DataFrame:
-    """One row for each piece of each document: its bin, offset there, the bin's contents and length."""
+    """One row for each piece of each document: its bin, offset there, the bin's contents and length.
+
+    Lengths are the ids of the file ``tokenizer``, or words where there is none.
+    """
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,6 +123,10 @@ def pack_documents(
             yield _packed(held, permitted, bins)[0]
 
     shards = max(1, -(-docs.select("doc_id").count() // shard_rows))
-    rows = docs.select("doc_id", (word_count(F.col("text")) + 1).alias("n_tokens"))
+    if tokenizer is None:
+        counted = docs.select("doc_id", word_count(F.col("text")).alias("n_tokens"))
+    else:
+        counted = with_lengths(docs.select("doc_id", "text"), tokenizer, "text", "n_tokens")
+    rows = counted.select("doc_id", (F.col("n_tokens") + 1).alias("n_tokens"))
     dealt = rows.repartition(shards, F.xxhash64("doc_id", "n_tokens")).sortWithinPartitions("doc_id", "n_tokens")
     return dealt.mapInArrow(run, ", ".join(f"{n} bigint" for n in OUT.names))

@@ -21,13 +21,11 @@ def tokenizer_path(name: str) -> str:
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    mix = mixing.rake(mixing.cell_tokens(docs, mixing.TARGETS), mixing.TARGETS)
-    return mixing.mix_rows(docs, mix, mixing.TARGETS)
+    return mixing.mix_tokens(table(spark, sf_dir, "documents"), mixing.TARGETS, tokenizer_path("word_bpe_49k.json"))
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"))
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer=tokenizer_path("word_bpe_49k.json"))
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

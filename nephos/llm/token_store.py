@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nephos.llm.common import map_arrow
+from nephos.llm.common import map_arrow, slices
 from nephos.session import ship_package, write_shared
 
 MAGIC, HEADER = b"NTS1", struct.Struct("<4sBIQQQIIB")
@@ -45,6 +45,8 @@ BLOCK_IDS, SEGMENT_IDS = 32_768, 262_144
 END_ID = 2
 #: Distinct words that a Python worker remembers before it starts anew.
 CACHED_WORDS = 1_000_000
+#: Text whose words are counted at once, about.
+SLICE_BYTES = 1_048_576
 
 
 def to_planes(ids: np.ndarray, bits: bool) -> list[bytes]:
@@ -150,8 +152,8 @@ class WordEncoder:
                     continue
             self.known.update(zip(part, [x.tobytes() for x in self._ids(part)], strict=True))
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian u32."""
+    def _cut(self, texts: list[str | None]) -> list[list[str]]:
+        """The words of each text, all of them known from now on."""
         known = self.known
         if len(known) > CACHED_WORDS:
             known.clear()
@@ -166,7 +168,15 @@ class WordEncoder:
             split.append(ws)
         self._learn([w for w in single if w not in known], True)
         self._learn([w for w in other if w not in known], False)
-        return [b"".join(map(known.__getitem__, ws)) for ws in split]
+        return split
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as little-endian u32."""
+        return [b"".join(map(self.known.__getitem__, ws)) for ws in self._cut(texts)]
+
+    def lengths(self, texts: list[str | None]) -> list[int]:
+        """The number of ids of each text, without an end id."""
+        return [sum(map(len, map(self.known.__getitem__, ws))) // 4 for ws in self._cut(texts)]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -178,6 +188,21 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
+def with_lengths(rows: DataFrame, path: str, text: str, name: str) -> DataFrame:
+    """``rows`` with column ``name``, the number of ids of ``text``, in that column's place."""
+    at, names = rows.columns.index(text), rows.columns
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for part in slices(batch, f"c{at}", SLICE_BYTES):
+            counts = pa.array(encoder(path).lengths(part.column(at).to_pylist()), pa.int64())
+            yield pa.RecordBatch.from_arrays([counts if i == at else c for i, c in enumerate(part.columns)], names=part.schema.names)
+
+    # Names with dots cannot be selected by mapInArrow, so columns go in by number.
+    numbered = rows.toDF(*[f"c{i}" for i in range(len(names))])
+    schema = ", ".join(f"c{i} {'bigint' if i == at else f.dataType.simpleString()}" for i, f in enumerate(numbered.schema.fields))
+    return map_arrow(numbered, run, schema).toDF(*[name if i == at else n for i, n in enumerate(names)])
+
+
 OUT = pa.schema(
     [("shard", pa.int32()), ("segment", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("before", pa.int64()), ("data", pa.binary())]
 )

@@ -82,3 +82,20 @@ def test_documents_and_hard_rows(spark):
 
 def test_empty_table(spark):
     assert P.pack_documents(docs(spark, [])).count() == 0
+
+
+def test_query_packs_tokens_and_cuts_a_long_text_without_spaces(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    from nephos.llm import queries
+
+    rows = hard_rows() + [(50, "x1y2" * 6000, "en", "s", 1)] + [(100 + i, prose(i, 40), "es", "s", 1) for i in range(20)]
+    docs(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    tokenizer = Tokenizer.from_file(queries.tokenizer_path("word_bpe_49k.json"))
+    want, got = {}, {}
+    for doc_id, text, *_ in rows:
+        want[doc_id] = want.get(doc_id, 0) + len(tokenizer.encode(text or "", add_special_tokens=False).ids) + 1
+    out = queries.op2_best_fit_packing(spark, str(tmp_path)).collect()
+    for r in out:
+        got[r["doc_id"]] = got.get(r["doc_id"], 0) + r["piece_tokens"]
+    assert got == want and sum(r["doc_id"] == 50 for r in out) > 1
