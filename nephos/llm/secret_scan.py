@@ -196,14 +196,34 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out)
 
 
+def disjoint(base: list[Span]) -> list[tuple[int, int]]:
+    """(start, end) of what the base spans cover together, in order."""
+    out: list[tuple[int, int]] = []
+    for start, _, end in base:
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
 def parts(text: str, base: list[Span]) -> Iterator[tuple[int, int]]:
-    """(start, end) of what base spans and interior equals signs leave of the runs; padding stays at its end."""
+    """(start, end) of what base spans and interior equals signs leave of the runs; padding stays at its end.
+
+    Runs and covered stretches both come in order, so one pass meets them all.
+    """
+    covered, k = disjoint(base), 0
     for m in CANDIDATE.finditer(text):
         at, stop = m.span()
-        for start, end in [(s, e) for s, _, e in base if s < stop and at < e] + [(stop, stop)]:
-            for part in PART.finditer(text, at, max(at, start)):
-                last = part.end()
-                yield part.start(), start if text.count("=", last, start) == start - last else last
+        while at < stop:
+            while k < len(covered) and covered[k][1] <= at:
+                k += 1
+            start, end = covered[k] if k < len(covered) and covered[k][0] < stop else (stop, stop)
+            last = max(at, start)
+            while last > at and text[last - 1] == "=":
+                last -= 1
+            for part in PART.finditer(text, at, last):
+                yield part.start(), start if part.end() == last else part.end()
             at = max(at, end)
 
 

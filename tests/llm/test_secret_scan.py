@@ -139,3 +139,51 @@ def test_name_value_secrets_are_redacted(spark):
 
 def test_very_long_candidates():
     assert S.identifier_p("e" * 20_000, "lower") == 1.0 and 0 < S.identifier_p("xQ7" * 20_000, "base62") < 1e-300
+
+
+def test_parts_equal_a_plain_reading_and_take_one_pass():
+    """A plain reading: runs, less covered places, cut at the equals signs that something follows."""
+    rng = random.Random(19)
+    for _ in range(300):
+        text = "".join(rng.choice("ab0=-/. ") for _ in range(120))
+        base = sorted((s, 0, min(120, s + rng.randint(1, 9))) for s in rng.sample(range(115), 4))
+        hidden = {i for s, _, e in base for i in range(s, e)}
+        want = []
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+            kept = "".join(c if i not in hidden else " " for i, c in enumerate(m[0], m.start()))
+            want += [(m.start() + x.start(), m.start() + x.end()) for x in re.finditer(r"[ab0/-]+(?:=+(?= |$))?", kept)]
+        assert sorted(S.parts(text, base)) == want
+    import time
+
+    text = "token=abcdef " * 20_000 + "x=" * 200_000 + " " + "k1/" * 20_000
+    began = time.perf_counter()
+    S.candidates(text, S.base_spans(text))
+    assert time.perf_counter() - began < 5
+
+
+PLACES = ["see {} there", "key={}", "AUTH_KEY={};", "--k={}", "https://host.example/a-b/{}", "conf/x/{}", "id={}&n=1", '"{}"']
+
+
+def test_planted_keys_are_found_at_the_stated_rate(spark):
+    """Keys of five encodings, 20 to 64 characters, in eight surroundings, among ordinary identifiers."""
+    rng = random.Random(23)
+    words = ["config", "module", "Release", "handler", "version", "Service", "request", "parameter", "cluster", "backend", "index", "Public"]
+    rows, secrets = [], {}
+    for i, name in enumerate(["hex", "base32", "base36", "base62", "base64"] * 80):
+        body = key(rng, S.ENCODINGS[name], rng.choice([20, 24, 32, 40, 64]))
+        text = PLACES[i % len(PLACES)].format(body)
+        secrets[i] = (text.index(body), text.index(body) + len(body), name)
+        rows.append((i, text, "en", "s", 1))
+    for i in range(1200):
+        body = rng.choice("_-/").join(rng.choice(words) for _ in range(rng.randint(3, 6))) + rng.choice(["", "_v2", "-2024"])
+        rows.append((10_000 + i, PLACES[i % len(PLACES)].format(body), "en", "s", 1))
+    df = docs(spark, rows)
+    got = {r["doc_id"]: r["spans"] for r in S.secret_spans(df, S.fit_thresholds(df)).collect()}
+    reported = {(d, tuple(map(int, x.split(":")[1:]))) for d, spans in got.items() for x in spans.split(",") if x}
+    hit = lambda i: any(d == i and s < secrets[i][1] and secrets[i][0] < e for d, (s, e) in reported if d == i)
+    for name in ("hex", "base32", "base36", "base62", "base64"):
+        mine = [i for i in secrets if secrets[i][2] == name]
+        assert sum(map(hit, mine)) / len(mine) >= 0.9, (name, sum(map(hit, mine)) / len(mine))
+    false = [d for d, _ in reported if d not in secrets]
+    assert len(false) <= S.FDR * len(reported)
+    assert sum(x.startswith("random") for spans in got.values() for x in spans.split(",")) > 200
