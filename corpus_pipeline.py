@@ -14,7 +14,7 @@ from nephos.llm.common import table
 from nephos.llm.queries import tokenizer_path
 from nephos.session import write_shared
 
-#: Targets of the mixture after near duplicates are gone.
+#: Share of the tokens that the mixture keeps after near duplicates are gone.
 MIX_SHARE = 0.6
 
 
