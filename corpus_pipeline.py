@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir); its result is written as Parquet and
 reread as the next stage's docs.
+
+Defined cases, as the operators state them: null and empty texts fail the quality
+rules; very long texts are read whole; of equal texts, repeated rows and rows with
+equal ids and texts one stays, that of the least doc_id, and rows with a null
+doc_id come last; extra columns pass through every stage but the last, whatever
+their names; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -41,8 +47,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their bins."""
-    return packing.pack_documents(docs)
+    """Pieces of the documents with their bins, in the ids of op5's tokenizer."""
+    return packing.pack_documents(docs, tokenizer=tokenizer_path("word_bpe_49k.json"))
 
 
 STAGES = [

@@ -5,10 +5,12 @@ low-quality texts, from the statistics of labelled documents.  Growing and
 pruning need only the few numbers of a bounded sample of labelled rows; the list
 comes back as one ``CASE``-like Column, so scoring has no Python in it.
 
-Defined cases: a null text counts as empty (no words, base_failed); a null
-doc_id passes through; repeated rows give repeated results; extra columns are
-ignored by ``quality_scores`` and kept by ``keep_good``; without labelled rows
-the list is empty and only the base rule decides.
+Defined cases: a null text counts as empty (no words, base_failed); a very long
+text is measured whole; a null doc_id passes through; repeated rows give repeated
+results; of several texts of a labelled id the least one is learnt from, and of
+several labels the least; extra columns, whatever their names, are ignored by
+``quality_scores`` and kept by ``keep_good``; an empty table gives no rows;
+without labelled rows the list is empty and only the base rule decides.
 """
 
 from __future__ import annotations
@@ -242,7 +244,9 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, most_rows: int) -> list[tu
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most_rows)
     )
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # One text of an id, so no more rows come back than were chosen.
+    first = F.min(F.struct(F.col("text").isNull().alias("late"), "text"))["text"].alias("text")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(first)
     rows = sorted(text_stats(texts, "doc_id", "quality").withColumn("failed", base_failed()).collect())
     return [(feature_values(r.asDict()), r["quality"] == 0) for r in rows if not r["failed"]]
 

@@ -55,8 +55,8 @@ def test_pieces_cover_a_long_document():
     assert P.pieces_of(10, 4) == [(0, 4), (4, 4), (8, 2)] and P.pieces_of(4, 4) == [(0, 4)]
 
 
-def check(rows, out):
-    """Every document's pieces cover it, and every bin's pieces lie side by side within its length."""
+def check(rows, out, count=lambda text: len(text.split())):
+    """Every document's pieces cover its ``count`` and an end mark, and every bin's pieces lie side by side within its length."""
     bins, covered = {}, {}
     for r in out:
         bins.setdefault(r["bin_id"], []).append(r)
@@ -70,7 +70,7 @@ def check(rows, out):
         assert {at} == {r["bin_tokens"] for r in pieces} and at <= pieces[0]["bin_length"]
     want = {}
     for doc_id, text, *_ in rows:
-        want[doc_id] = want.get(doc_id, 0) + len((text or "").split()) + 1
+        want[doc_id] = want.get(doc_id, 0) + count(text or "") + 1
     assert {d: sum(n for _, n in p) for d, p in covered.items()} == want
 
 

@@ -44,15 +44,40 @@ def test_stages_match_brute_force(spark, folder):
     drawn = {r["doc_id"] for r in fourth.collect()}
     assert drawn < {r["doc_id"] for r in third.collect()}
 
+    from tokenizers import Tokenizer
+
+    from nephos.llm.queries import tokenizer_path
     from tests.llm.test_packing import check
 
-    check([(r["doc_id"], r["text"]) for r in fourth.collect()], dict(corpus_pipeline.STAGES)["best_fit_packing"](spark, fourth, path).collect())
+    tokenizer = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    count = lambda t: len(tokenizer.encode(t, add_special_tokens=False).ids)
+    check([(r["doc_id"], r["text"]) for r in fourth.collect()], dict(corpus_pipeline.STAGES)["best_fit_packing"](spark, fourth, path).collect(), count)
 
 
-def test_run_covers_what_the_stages_keep(spark, folder):
+def test_run_equals_its_stages_one_after_another(spark, folder):
     path, _ = folder
     out = corpus_pipeline.run(spark, path)
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, path).collect(), docs.schema)
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, path)
+    key = lambda df: sorted((r["doc_id"] or -1, r["piece_start"], r["piece_tokens"]) for r in df.collect())
     assert out.count() > 20 and {"doc_id", "bin_id", "bin_length"} <= set(out.columns)
+    assert key(out) == key(last)
+
+
+def test_mixing_stage_draws_what_its_rates_say(spark, folder):
+    from nephos.llm import mixing
+    from nephos.llm.queries import tokenizer_path
+
+    path, _ = folder
+    df = spark.read.parquet(f"{path}/documents.parquet")
+    rows = mixing.mix_tokens(df, mixing.TARGETS, tokenizer_path("word_bpe_49k.json"), corpus_pipeline.MIX_SHARE).collect()
+    kept = dict(corpus_pipeline.STAGES)["mix_sources"](spark, df, path)
+    assert sorted(r["doc_id"] or -1 for r in kept.collect()) == sorted(r["doc_id"] or -1 for r in rows if r["drawn"])
+    share = sum(r["rate"] * r["n_tokens"] for r in rows) / sum(r["n_tokens"] for r in rows)
+    # One long document holds most tokens here, so the margins can't all be met; the gap is reported.
+    assert abs(share - corpus_pipeline.MIX_SHARE) < 0.05 and 0 < rows[0]["largest_gap"] < 0.2
 
 
 def test_clashing_columns_pass_through(spark, folder):
