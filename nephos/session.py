@@ -51,6 +51,13 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A folder ``name`` of this application in the shared folder, made if it isn't there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/nephos/{spark.sparkContext.applicationId}/{name}")
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(path)
+    return path.toString()
+
+
 def write_shared(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and return a reader of it.
 
