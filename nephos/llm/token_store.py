@@ -1,9 +1,10 @@
-"""Token ids in binary segments: byte or bit planes of fixed-size blocks, zstd, chunk index.
+"""Token ids in binary segment files: byte or bit planes of fixed-size blocks, zstd, chunk index.
 
-A segment is one self-contained binary value, little-endian:
+A segment is one self-contained file, little-endian:
 
-    header   magic "NTS1", plane kind, ids a block, documents, ids, ids of the
-             shard before it, length of the document table, blocks, planes a block
+    header   magic "NTS2", plane kind, ids a block, documents, ids, ids of the
+             shard before it, length of the document table, blocks, planes a
+             block, shard, number in the shard
     table    zstd of: null flags (u8), doc ids (i64), token counts (u32)
     index    (offset u64, length u32) of every plane of every block
     planes   zstd frames
@@ -15,31 +16,39 @@ index alone.  Documents never span segments; a segment is closed once it holds
 SEGMENT_IDS, so memory is bounded by that and one document.
 
 Documents are range-partitioned by doc_id; each task writes the segments of its
-range as rows of a Parquet table in the shared folder, which Spark commits per
-task.  Global positions follow from one total for each shard.
-
-Defined cases: a null text counts as empty (only the end id); null doc_ids come
-first; equal doc_ids are ordered by text; an empty table gives no segments.
+range below the shared folder, first under its attempt's name, then renamed.  A
+segment's name and bytes follow from shard, number and rows alone, so a task that
+runs again, after a lost executor or beside a slow one, replaces equal bytes.
+Everything is read back from the files; global positions follow from the
+headers, one total for each shard.
+
+Defined cases: a null text counts as empty (only the end id); a very long text is
+one document of one segment; null doc_ids come first; equal doc_ids are ordered
+by text, repeated rows stay; extra columns are ignored; an empty table gives no
+segments.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nephos.llm.common import map_arrow, slices
-from nephos.session import ship_package, write_shared
+from nephos.session import shared_path, ship_package
 
-MAGIC, HEADER = b"NTS1", struct.Struct("<4sBIQQQIIB")
+MAGIC, HEADER = b"NTS2", struct.Struct("<4sBIQQQIIBII")
 INDEX = np.dtype([("offset", "<u8"), ("length", "<u4")])
 BLOCK_IDS, SEGMENT_IDS = 32_768, 262_144
 END_ID = 2
@@ -67,7 +76,7 @@ def from_planes(planes: list[bytes], n: int, bits: bool) -> np.ndarray:
     return np.ascontiguousarray(octets.T).view("<u4").reshape(-1)
 
 
-def write_segment(doc_ids: list[int | None], counts: list[int], ids: np.ndarray, before: int, block: int = BLOCK_IDS, bits: bool = False) -> bytes:
+def write_segment(doc_ids: list[int | None], counts: list[int], ids: np.ndarray, before: int, block: int = BLOCK_IDS, bits: bool = False, shard: int = 0, number: int = 0) -> bytes:
     """One segment of whole documents."""
     press = zstandard.ZstdCompressor(level=3)
     known = np.array([d or 0 for d in doc_ids], "<i8")
@@ -79,18 +88,29 @@ def write_segment(doc_ids: list[int | None], counts: list[int], ids: np.ndarray,
     index = np.empty(len(planes), INDEX)
     index["length"] = sizes
     index["offset"] = HEADER.size + len(table) + index.nbytes + np.cumsum(sizes) - sizes
-    head = HEADER.pack(MAGIC, bits, block, len(doc_ids), len(ids), before, len(table), len(planes) // width, width)
+    head = HEADER.pack(MAGIC, bits, block, len(doc_ids), len(ids), before, len(table), len(planes) // width, width, shard, number)
     return b"".join([head, table, index.tobytes(), *planes])
 
 
+def _head(data: bytes) -> tuple[int, ...]:
+    """The header's fields behind the magic."""
+    if len(data) < HEADER.size or data[:4] != MAGIC:
+        raise ValueError("not a token segment")
+    return HEADER.unpack_from(data)[1:]
+
+
+def shard_and_ids(data: pa.BinaryScalar) -> tuple[int, int]:
+    """A segment's shard and number of ids, from its header alone."""
+    fields = _head(data.as_buffer()[: HEADER.size].to_pybytes())
+    return fields[-2], fields[3]
+
+
 class Segment:
     """A reader of one segment; ``block`` fetches any block through the index."""
 
     def __init__(self, data: bytes):
         self.data = data
-        magic, bits, self.block_ids, self.n_docs, self.n_ids, self.before, size, self.n_blocks, self.width = HEADER.unpack_from(data)
-        if magic != MAGIC:
-            raise ValueError("not a token segment")
+        bits, self.block_ids, self.n_docs, self.n_ids, self.before, size, self.n_blocks, self.width, self.shard, self.number = _head(data)
         self.bits, self._unpress = bool(bits), zstandard.ZstdDecompressor()
         table, n = self._unpress.decompress(data[HEADER.size : HEADER.size + size]), self.n_docs
         nulls = np.frombuffer(table, np.uint8, n)
@@ -117,13 +137,32 @@ _LETTERS = "a-zªµºÀ-ÖØ-öø-ʯⱥⱦ"
 _CUT = re.compile(f"[{_LETTERS}]+|[0-9²³¹¼½¾]|'(?:s|t|re|ve|m|ll|d)|[^\\s0-9²³¹¼½¾{_LETTERS}]+")
 
 
+#: The normalizer and word pattern (fixed values of the public file) that _PLAIN and _CUT stand for.
+_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def encodes_words(spec: dict) -> bool:
+    """Whether a tokenizers file encodes each word by itself, by the rules that _PLAIN and _CUT know."""
+    normalizer, cutter, model = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}, spec["model"]
+    split, *rest = cutter.get("pretokenizers") or [{}]
+    return (
+        normalizer.get("normalizers") == _NORMALIZER
+        and (split.get("type"), split.get("pattern"), split.get("behavior"), split.get("invert")) == ("Split", {"Regex": _SPLIT}, "Removed", True)
+        and [(x["type"], x.get("add_prefix_space"), x.get("use_regex")) for x in rest] == [("ByteLevel", False, False)]
+        and (model["type"], model.get("end_of_word_suffix"), model.get("dropout"), model.get("continuing_subword_prefix")) == ("BPE", "</w>", None, None)
+        and all(t["content"].startswith("<|") for t in spec.get("added_tokens") or [])
+    )
+
+
 class WordEncoder:
-    """Exact ids of a tokenizers file whose tokens never cross white space.
+    """Exact ids of a tokenizers file.
 
-    Such a tokenizer encodes each word by itself, so ids of known words come from
-    a bounded memory and the library sees new words only.  Plain texts are cut
-    into the tokenizer's own words; any other text is cut at white space, and the
-    library does the rest.
+    Where the file's tokens never cross white space and its rules are the known
+    ones, each word is encoded by itself: ids of known words come from a bounded
+    memory and the library sees new words only.  Plain texts are cut into the
+    tokenizer's own words; any other text is cut at white space, and the library
+    does the rest.  Any other file's texts go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -131,6 +170,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
+        self.by_word = encodes_words(json.loads(self.tokenizer.to_str()))
         self.known: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -172,10 +212,14 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian u32."""
+        if not self.by_word:
+            return [x.tobytes() for x in self._ids([t or "" for t in texts])]
         return [b"".join(map(self.known.__getitem__, ws)) for ws in self._cut(texts)]
 
     def lengths(self, texts: list[str | None]) -> list[int]:
         """The number of ids of each text, without an end id."""
+        if not self.by_word:
+            return [len(x) for x in self._ids([t or "" for t in texts])]
         return [sum(map(len, map(self.known.__getitem__, ws))) // 4 for ws in self._cut(texts)]
 
 
@@ -203,31 +247,41 @@ def with_lengths(rows: DataFrame, path: str, text: str, name: str) -> DataFrame:
     return map_arrow(numbered, run, schema).toDF(*[name if i == at else n for i, n in enumerate(names)])
 
 
-OUT = pa.schema(
-    [("shard", pa.int32()), ("segment", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("before", pa.int64()), ("data", pa.binary())]
-)
-SCHEMA = "shard int, segment int, n_docs bigint, n_ids bigint, before bigint, data binary"
+def put_file(folder: str, name: str, data: bytes, attempt: int) -> None:
+    """Write ``name`` whole or not at all: under the attempt's name first, hidden from readers, then renamed."""
+    fs, base = pafs.FileSystem.from_uri(folder)
+    beside = f"{base}/_attempt-{attempt}-{name}"
+    with fs.open_output_stream(beside) as out:
+        out.write(data)
+    try:
+        fs.move(beside, f"{base}/{name}")
+    except OSError:  # stores that don't rename over a file that an earlier attempt left
+        fs.delete_file(f"{base}/{name}")
+        fs.move(beside, f"{base}/{name}")
 
 
-def write_segments(docs: DataFrame, path: str, end_id: int = END_ID, bits: bool = False) -> DataFrame:
-    """The segment table of every document, written to the shared folder and reread."""
-    ship_package(docs.sparkSession)
+def write_segments(docs: DataFrame, path: str, end_id: int = END_ID, bits: bool = False, folder: str | None = None) -> DataFrame:
+    """Write the segment files of every document to ``folder``, a new shared one if none is given; a reader of them."""
+    spark = docs.sparkSession
+    ship_package(spark)
+    folder = folder or shared_path(spark, f"token-segments-{uuid.uuid4().hex}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = struct.pack("<I", end_id)
-        shard, segment, before = TaskContext.get().partitionId(), 0, 0
+        shard, attempt, number, before = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId(), 0, 0
         ids: list[bytes] = []
         doc_ids: list[int | None] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal segment, before, held
-            data = write_segment(doc_ids, [len(x) // 4 for x in ids], np.frombuffer(b"".join(ids), "<u4"), before, bits=bits)
-            out = pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((shard, segment, len(ids), held, before, data), OUT.types, strict=True)], schema=OUT)
-            segment, before, held = segment + 1, before + held, 0
+            nonlocal number, before, held
+            data = write_segment(doc_ids, [len(x) // 4 for x in ids], np.frombuffer(b"".join(ids), "<u4"), before, bits=bits, shard=shard, number=number)
+            name = f"shard-{shard:06d}-{number:06d}.nts"
+            put_file(folder, name, data, attempt)
+            number, before, held = number + 1, before + held, 0
             ids.clear()
             doc_ids.clear()
-            return out
+            return pa.RecordBatch.from_arrays([pa.array([name])], names=["file"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
@@ -242,7 +296,25 @@ def write_segments(docs: DataFrame, path: str, end_id: int = END_ID, bits: bool
             yield flush()
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return write_shared(ordered.mapInArrow(run, SCHEMA), "token-segments")
+    ordered.mapInArrow(run, "file string").write.format("noop").mode("overwrite").save()
+    return segment_files(spark, folder)
+
+
+def segment_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(file, data) of the segment files in ``folder``."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.nts").load(folder)
+    return files.select(F.col("path").alias("file"), F.col("content").alias("data"))
+
+
+def shard_totals(segments: DataFrame) -> DataFrame:
+    """(shard, n): the ids of every shard, from its segments' headers."""
+    out = pa.schema([("shard", pa.int32()), ("n", pa.int64())])
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        heads = [shard_and_ids(data) for data in batch.column(0)]
+        yield pa.RecordBatch.from_arrays([pa.array([h[k] for h in heads], out.field(k).type) for k in range(2)], schema=out)
+
+    return map_arrow(segments.select("data"), run, "shard int, n bigint").groupBy("shard").agg(F.sum("n").alias("n"))
 
 
 def read_segments(segments: DataFrame) -> DataFrame:
@@ -251,18 +323,17 @@ def read_segments(segments: DataFrame) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for row in range(batch.num_rows):
-            seg = Segment(batch.column(1)[row].as_py())
+            seg = Segment(batch.column(0)[row].as_py())
             counts = seg.counts.astype(np.int64)
             ends = np.cumsum(counts)
             raw = memoryview(seg.ids().tobytes())
             crcs = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
-            shard = np.full(seg.n_docs, batch.column(0)[row].as_py(), np.int32)
+            shard = np.full(seg.n_docs, seg.shard, np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(seg.doc_ids, pa.int64()), pa.array(shard), pa.array(seg.before + ends - counts), pa.array(counts), pa.array(crcs, pa.int64())], schema=out
             )
 
-    docs = map_arrow(segments.select("shard", "data"), run, "doc_id bigint, shard int, local bigint, n_tokens bigint, ids_crc32 bigint")
+    docs = map_arrow(segments.select("data"), run, "doc_id bigint, shard int, local bigint, n_tokens bigint, ids_crc32 bigint")
     # One row for each write task, so both the window and the broadcast are small.
-    totals = segments.groupBy("shard").agg(F.sum("n_ids").alias("n"))
-    base = totals.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("base"))
+    base = shard_totals(segments).select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("base"))
     return docs.join(F.broadcast(base), "shard").select("doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids_crc32")

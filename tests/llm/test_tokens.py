@@ -116,3 +116,37 @@ def test_counts_over_hard_rows(spark):
     got = sorted((r["doc_id"] or 0, r["n_tokens"]) for r in C.token_counts(with_clashing_columns(docs(spark)), PIECES).collect())
     assert got == sorted((r[0] or 0, model.count(r[1])[0]) for r in hard_rows())
     assert C.token_counts(docs(spark, []), PIECES).count() == 0
+
+
+def test_segments_are_files_whose_headers_give_the_totals(spark, library, tmp_path):
+    rows = [(i, prose(i, 30), "en", "s", 1) for i in range(60)]
+    folder = tmp_path / "segments"
+    folder.mkdir()
+    S.write_segments(docs(spark, rows), WORDS, folder=f"file://{folder}")
+    files = sorted(folder.glob("*.nts"))
+    assert files and not [f for f in folder.iterdir() if f.name.startswith("_attempt") and not f.name.endswith(".crc")]
+    segments = [S.Segment(f.read_bytes()) for f in files]
+    want = brute_store(rows, library)
+    assert sum(s.n_ids for s in segments) == sum(r[2] for r in want)
+    before = files[0].read_bytes()
+    S.write_segments(docs(spark, rows), WORDS, folder=f"file://{folder}")
+    assert sorted(folder.glob("*.nts")) == files and files[0].read_bytes() == before
+    again = S.read_segments(S.segment_files(spark, f"file://{folder}")).orderBy("start").collect()
+    assert [tuple(r) for r in again] == want
+
+
+def test_put_file_replaces_and_hides_attempts(tmp_path):
+    S.put_file(f"file://{tmp_path}", "a.nts", b"one", 1)
+    S.put_file(f"file://{tmp_path}", "a.nts", b"two", 2)
+    assert [f.name for f in tmp_path.iterdir()] == ["a.nts"] and (tmp_path / "a.nts").read_bytes() == b"two"
+
+
+def test_other_tokenizers_get_whole_texts():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    other, plain = S.WordEncoder(path), Tokenizer.from_file(path)
+    texts = [*ODD, "It's  two  spaces"]
+    assert not other.by_word and S.WordEncoder(WORDS).by_word
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in other.encode(texts)] == want and other.lengths(texts) == [len(x) for x in want]
