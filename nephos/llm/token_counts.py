@@ -8,17 +8,28 @@ with the earliest start stays; an unknown character competes only where no
 one-character piece starts, at the least score less 10, and falls back to its
 UTF-8 bytes, or without byte pieces joins the unknown characters before it.
 
-No piece crosses from another character into a space mark, so a text's best path
-is the best paths of its words joined; scores are whole numbers, whose sums are
-exact in a double, which keeps ties the same either way.  Both are checked when
-a vocabulary is loaded; without them, or without byte pieces, whole texts are run.
+No public file here is a unigram model, and tokenizers are never trained, so a
+piece's log-probability follows by rule from its place in the public piece file,
+which lists pieces by falling frequency: Zipf's law as Mandelbrot has it,
+p ~ 1 / (place + OFFSET), in steps of 1 / STEPS.  The unknown piece and the byte
+pieces stand for characters without a piece; they score RARE, less than any
+spelling of their names, so no plain text is one of them.
 
-Defined cases: a null text counts as empty, with 0 tokens and score 0; a null
-doc_id passes through; repeated rows give repeated results.
+No piece crosses from another character into a space mark, so a text's best path
+is the best paths of its words joined; scores are whole numbers of steps, whose
+sums are exact in a double, which keeps ties the same either way.  Both are
+checked when a vocabulary is loaded; without them, or without byte pieces, whole
+texts are run.
+
+Defined cases: a null text counts as empty, with 0 tokens and score 0; a very
+long text takes memory in proportion to its longest word, or to its length where
+whole texts are run; a null doc_id passes through; repeated rows give repeated
+results; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -30,15 +41,21 @@ from nephos.llm.common import map_arrow
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
+#: Mandelbrot's offset, the steps of a score, and the score of pieces that no text spells.
+OFFSET, STEPS, RARE = 2.7, 1024, -100.0
 CACHED_WORDS = 500_000
 
 
 def load_vocabulary(path: str) -> list[tuple[str, float]]:
-    """(piece, score) of a sentencepiece file, without its control pieces."""
+    """(piece, log-probability) of a sentencepiece file by the pieces' places, without its control pieces."""
     from sentencepiece import SentencePieceProcessor
 
     model = SentencePieceProcessor(model_file=path)
-    return [(model.id_to_piece(i), model.get_score(i)) for i in range(model.vocab_size()) if not model.is_control(i)]
+    kept = [i for i in range(model.vocab_size()) if not model.is_control(i)]
+    spelt = [i for i in kept if not (model.is_unknown(i) or model.is_byte(i))]
+    mass = sum(1 / (k + OFFSET) for k in range(len(spelt)))
+    score = {i: round(-math.log((k + OFFSET) * mass) * STEPS) / STEPS for k, i in enumerate(spelt)}
+    return [(model.id_to_piece(i), score.get(i, RARE)) for i in kept]
 
 
 class CountViterbi:
@@ -53,7 +70,7 @@ class CountViterbi:
             if piece:
                 self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
-        whole = all(float(s).is_integer() for s in self.scores.values())
+        whole = all(float(s * STEPS).is_integer() for s in self.scores.values())
         crossing = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.scores)
         breaks = any("\n" in p for p in self.scores)
         word = f"{SPACE}*[^{SPACE}]+|{SPACE}+" if breaks else f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n"

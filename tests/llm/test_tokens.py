@@ -150,3 +150,21 @@ def test_other_tokenizers_get_whole_texts():
     assert not other.by_word and S.WordEncoder(WORDS).by_word
     want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
     assert [np.frombuffer(x, "<u4").tolist() for x in other.encode(texts)] == want and other.lengths(texts) == [len(x) for x in want]
+
+
+def test_scores_are_log_probabilities_by_place():
+    import math
+
+    vocabulary = C.load_vocabulary(PIECES)
+    spelt = [(p, s) for p, s in vocabulary if s != C.RARE]
+    assert len(vocabulary) - len(spelt) == 257 and vocabulary[0] == ("<unk>", C.RARE)
+    assert sum(math.exp(s) for _, s in spelt) == pytest.approx(1, abs=1e-3)
+    assert all(a >= b for (_, a), (_, b) in zip(spelt, spelt[1:], strict=False)) and all((s * C.STEPS).is_integer() for _, s in spelt)
+    model = C.CountViterbi(vocabulary)
+    assert model.count("<0x41>")[0] > 1 and model.count("<unk>")[0] > 1 and model.count("the")[0] == 1
+
+
+def test_words_joined_equal_whole_texts():
+    model = C.CountViterbi(C.load_vocabulary(PIECES))
+    for text in [*ODD, prose(9, 80), "  two  spaces  \n\n x", "日本 a 😀😀 b"]:
+        assert model.count(text) == model.best(C.SPACE + text.replace(" ", C.SPACE))
