@@ -58,14 +58,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return path.toString()
 
 
-def write_shared(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and return a reader of it.
+def write_shared(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+    """Write ``df`` as a table in the shared folder, compressed by the session's codec or ``codec``, and return a reader of it.
 
     Cuts lineage: a lost executor makes Spark reread files, not recompute.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/nephos/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write if codec is None else df.write.option("compression", codec)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
