@@ -10,12 +10,19 @@ Header CRC-8, frame CRC-16 and the stream's MD5 are verified.  Frame starts come
 from the sync codes whose CRCs hold, so a stream needs no index to be read; the
 seek table that the encoder writes gives sample offsets of every SEEK_FRAMES.
 
-The encoder writes mono 8-bit streams of 192-sample frames with the best fixed
-predictor of orders 0 to 2 and the best Rice parameter of each frame.
-
-Defined cases: a null text counts as empty, one frame of spaces; a null doc_id
-passes through; equal texts have equal streams; a damaged stream raises
-``FlacError``.
+The encoder writes mono 8-bit streams of 192-sample frames.  Each frame takes the
+cheaper of the best fixed predictor of orders 0 to 2 and a linear predictor of
+order ORDER, by Levinson and Durbin's recursion on whole-number autocorrelations,
+and its best Rice parameter.
+
+Decoded streams are written as PCM blocks, rows that each know their sample
+offset, so that a reader may start anywhere; digests are computed from the blocks
+read back.
+
+Defined cases: a null text counts as empty, one frame of spaces; a very long text
+is one stream of many blocks; a null doc_id passes through; equal texts have equal
+streams, repeated rows stay apart by their row number; extra columns are ignored;
+an empty table gives no rows; a damaged stream raises ``FlacError``.
 """
 
 from __future__ import annotations
@@ -29,12 +36,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from nephos.llm.common import map_arrow, slices
+from nephos.session import ship_package, write_shared
 
 BLOCK, RATE, SEEK_FRAMES = 192, 8000, 64
 #: Frames that are encoded or decoded together, at most.
 LANES = 4096
+#: The encoder's linear predictors: order, bits of a coefficient, and a parabolic window in whole numbers.
+ORDER, PRECISION = 3, 6
+WINDOW = np.rint(256 * (1 - ((np.arange(BLOCK) - (BLOCK - 1) / 2) / ((BLOCK + 1) / 2)) ** 2)).astype(np.int64)
+#: Samples of a PCM block.
+PCM_BLOCK = 262_144
 #: Coefficients of the fixed predictors by order, newest sample first.
 FIXED = ((), (1,), (2, -1), (3, -3, 1), (4, -6, 4, -1))
 
@@ -91,27 +105,60 @@ def _coded_number(n: int) -> bytes:
     return bytes([(0xFF << (8 - size)) & 0xFF | n >> (6 * (size - 1)), *tail])
 
 
+def linear_predictors(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Quantised coefficients (ORDER, n), newest sample first, and shifts of the rows of ``x``."""
+    w = x * WINDOW
+    r = [np.einsum("ij,ij->i", w[:, k:], w[:, : BLOCK - k]).astype(np.float64) for k in range(ORDER + 1)]
+    a, error = [], np.maximum(r[0], 1.0)
+    for i in range(ORDER):
+        k = (r[i + 1] - sum((c * r[i - j] for j, c in enumerate(a)), np.zeros(len(x)))) / error
+        a = [c - k * a[i - 1 - j] for j, c in enumerate(a)] + [k]
+        error = np.maximum(error * (1 - k * k), 1.0)
+    c = np.stack(a)
+    top = (1 << (PRECISION - 1)) - 1
+    shift = np.clip(PRECISION - 1 - np.frexp(np.abs(c).max(axis=0))[1], 0, 15).astype(np.int64)
+    return np.clip(np.rint(np.ldexp(c, shift)), -top - 1, top).astype(np.int64), shift
+
+
+def _rice(u: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least bits of the folded residuals of each row, and the parameter that gives them."""
+    rest, costs = u.astype(np.uint16), []
+    for k in range(10):
+        costs.append(rest.sum(axis=1, dtype=np.int64) + (k + 1) * live)
+        rest >>= 1
+    cost = np.stack(costs)
+    return cost.min(axis=0), cost.argmin(axis=0)
+
+
 def encode_frames(samples: np.ndarray, numbers: np.ndarray) -> list[bytes]:
     """Frames of an (n, 192) array of signed 8-bit samples."""
     n = len(samples)
-    x = samples.astype(np.int64)
-    residual = [x, np.diff(x, axis=1, prepend=0), np.diff(x, 2, axis=1, prepend=0, append=0)[:, :BLOCK]]
-    residual[2] = np.zeros_like(x)
+    x = samples.astype(np.int32)
+    residual = [x, np.zeros_like(x), np.zeros_like(x), np.zeros_like(x)]
+    residual[1][:, 1:] = x[:, 1:] - x[:, :-1]
     residual[2][:, 2:] = x[:, 2:] - 2 * x[:, 1:-1] + x[:, :-2]
-    size = np.stack([np.abs(r[:, k:]).sum(axis=1) for k, r in enumerate(residual)])
+    size = np.stack([np.abs(r[:, k:]).sum(axis=1) for k, r in enumerate(residual[:3])])
     order = size.argmin(axis=0)
-    r = np.choose(order[:, None], residual)
-    live = np.arange(BLOCK) >= order[:, None]
-    u = np.where(live, (r << 1) ^ (r >> 63), 0)
-    cost = np.stack([((u >> k) * live).sum(axis=1) + (k + 1) * live.sum(axis=1) for k in range(10)])
-    k = cost.argmin(axis=0)[:, None]
+    weights, shift = linear_predictors(x)
+    guess = sum(weights[j].astype(np.int32)[:, None] * x[:, ORDER - 1 - j : BLOCK - 1 - j] for j in range(ORDER))
+    residual[3][:, ORDER:] = x[:, ORDER:] - (guess >> shift.astype(np.int32)[:, None])
+    fold = lambda r, live: np.where(live, (r << 1) ^ (r >> 31), 0)
+    place = np.arange(BLOCK)
+    plain = fold(np.choose(order[:, None], residual[:3]), place >= order[:, None])
+    straight = fold(residual[3], place >= ORDER)
+    (cost, k), (linear_cost, linear_k) = _rice(plain, BLOCK - order), _rice(straight, BLOCK - ORDER)
+    extra = 9 + PRECISION * ORDER
+    linear = linear_cost + 8 * ORDER + extra < cost + 8 * order
+    u = np.where(linear[:, None], straight, plain).astype(np.int64)
+    order, k = np.where(linear, ORDER, order), np.where(linear, linear_k, k)[:, None]
+    live = place >= order[:, None]
 
     heads = [b"\xff\xf8\x10\x02" + _coded_number(int(i)) for i in numbers]
     head_size = np.array([len(h) + 1 for h in heads])
     q = u >> k
     width = np.where(live, q + 1 + k, 0)
     ends = np.cumsum(width, axis=1)
-    first = 8 + 8 * order + 10
+    first = 8 + 8 * order + np.where(linear, extra, 0) + 10
     body = -(-(first + ends[:, -1]) // 8)
     frame_size = head_size + body + 2
     frame_at = np.cumsum(frame_size) - frame_size
@@ -122,11 +169,17 @@ def encode_frames(samples: np.ndarray, numbers: np.ndarray) -> list[bytes]:
         for b in range(count):
             bits[where + b] = (value >> (count - 1 - b)) & 1
 
-    put(at, (8 | order) << 1, 8)
-    for j in range(2):
+    put(at, np.where(linear, 31 + ORDER, 8 | order) << 1, 8)
+    for j in range(ORDER):
         rows = order > j
         put((at + 8 + 8 * j)[rows], x[rows, j], 8)
-    put(at + 8 + 8 * order, k[:, 0], 10)
+    rows = np.flatnonzero(linear)
+    after = at[rows] + 8 + 8 * ORDER
+    put(after, np.full(len(rows), PRECISION - 1), 4)
+    put(after + 4, shift[rows], 5)
+    for j in range(ORDER):
+        put(after + 9 + PRECISION * j, weights[j, rows], PRECISION)
+    put(at + first - 10, k[:, 0], 10)
     stop = ((at + first)[:, None] + ends - width + q)[live]
     bits[stop] = 1
     value, low = u[live], np.broadcast_to(k, u.shape)[live]
@@ -362,14 +415,15 @@ def _predicted(bits: Bits, pos: np.ndarray, block: int, depth: np.ndarray, order
     n, most = len(pos), int(order.max())
     if most > block:
         raise FlacError("a predictor is longer than its block")
-    x = np.zeros((n, block), np.int64)
+    # One row for each sample place, so that a step touches neighbouring memory.
+    x = np.zeros((block, n), np.int64)
     for j in range(most):
         rows = np.flatnonzero(order > j)
-        x[rows, j] = bits.signed(pos[rows], depth[rows])
+        x[j, rows] = bits.signed(pos[rows], depth[rows])
         pos[rows] += depth[rows]
-    weights, shift = np.zeros((n, most), np.int64), np.zeros(n, np.int64)
+    weights, shift = np.zeros((most, n), np.int64), np.zeros(n, np.int64)
     for k in range(1, min(most, 4) + 1):
-        weights[~linear & (order == k), :k] = FIXED[k]
+        weights[:k, ~linear & (order == k)] = np.array(FIXED[k])[:, None]
     rows = np.flatnonzero(linear)
     if len(rows):
         precision, shift[rows] = bits.unsigned(pos[rows], 4) + 1, bits.signed(pos[rows] + 4, 5)
@@ -378,7 +432,7 @@ def _predicted(bits: Bits, pos: np.ndarray, block: int, depth: np.ndarray, order
         pos[rows] += 9
         for j in range(most):
             more = order[rows] > j
-            weights[rows[more], j] = bits.signed(pos[rows[more]], precision[more])
+            weights[j, rows[more]] = bits.signed(pos[rows[more]], precision[more])
             pos[rows[more]] += precision[more]
     method, split = bits.unsigned(pos, 2), bits.unsigned(pos + 2, 4)
     pos += 6
@@ -408,19 +462,19 @@ def _predicted(bits: Bits, pos: np.ndarray, block: int, depth: np.ndarray, order
         at, low = pos[rows], k[rows]
         high = bits.zeros(at)
         u = high << low | bits.unsigned(at + high + 1, low)
-        x[rows, j] = (u >> 1) ^ -(u & 1)
+        x[j, rows] = (u >> 1) ^ -(u & 1)
         pos[rows] = at + high + 1 + low
         if not plain:
             raw = np.flatnonzero(active & escaped)
-            x[raw, j] = np.where(k[raw] > 0, bits.signed(pos[raw], k[raw]), 0)
+            x[j, raw] = np.where(k[raw] > 0, bits.signed(pos[raw], k[raw]), 0)
             pos[raw] += k[raw]
         left[active] -= 1
         if most:
             guess = np.zeros(n, np.int64)
             for i in range(min(most, j)):
-                guess += weights[:, i] * x[:, j - 1 - i]
-            x[:, j] += np.where(active, guess >> shift, 0)
-    return x, pos
+                guess += weights[i] * x[j - 1 - i]
+            x[j] += np.where(active, guess >> shift, 0)
+    return x.T, pos
 
 
 def decode_frames(data: np.ndarray, start: np.ndarray, length: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -525,46 +579,102 @@ def encode_texts(docs: DataFrame) -> DataFrame:
     return map_arrow(docs.select("doc_id", "text"), run, "doc_id bigint, n_bytes bigint, media binary")
 
 
-def pcm_blocks(media: DataFrame, block_samples: int = 65_536) -> DataFrame:
-    """doc_id, block, sample_offset, n_samples, channels, bits and pcm: seekable blocks of every stream."""
-    schema = "doc_id bigint, block int, sample_offset bigint, n_samples int, channels int, bits int, pcm binary"
-    names = ["doc_id", "block", "sample_offset", "n_samples", "channels", "bits", "pcm"]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+BLOCKS = "row bigint, doc_id bigint, n_bytes bigint, media_bytes bigint, media_sha256 string, n_blocks int, block int, sample_offset bigint, n_samples int, channels int, bits int, pcm binary"
+
+
+def _arrow(schema: str) -> pa.Schema:
+    types = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
+    return pa.schema([(p.split()[0], types[p.split()[1]]) for p in schema.split(", ")])
+
+
+def decoded_blocks(media: DataFrame, block_samples: int = PCM_BLOCK) -> DataFrame:
+    """Seekable blocks of every stream (doc_id, n_bytes, media): row number, the stream's size and digest, and the PCM."""
+    out = _arrow(BLOCKS)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, "media", 1 << 20):
-            rows = []
-            for doc_id, d in zip(part.column(0).to_pylist(), decode_streams(part.column(1).to_pylist()), strict=True):
+            streams, rows = part.column(3).to_pylist(), []
+            for row, doc_id, n_bytes, stream, d in zip(*(part.column(k).to_pylist() for k in range(3)), streams, decode_streams(streams), strict=True):
+                whole = (row, doc_id, n_bytes, len(stream), hashlib.sha256(stream).hexdigest(), -(-len(d.samples) // block_samples))
                 for k, at in enumerate(range(0, len(d.samples), block_samples)):
                     s = d.samples[at : at + block_samples]
-                    rows.append((doc_id, k, at, len(s), s.shape[1], d.bits, pcm_bytes(s, d.bits)))
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+                    rows.append((*whole, k, at, len(s), s.shape[1], d.bits, pcm_bytes(s, d.bits)))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
 
-    return map_arrow(media.select("doc_id", "media"), run, schema)
+    numbered = media.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.col("n_bytes") if "n_bytes" in media.columns else F.lit(None).cast("long").alias("n_bytes"), "media")
+    return map_arrow(numbered, run, BLOCKS)
+
+
+def pcm_blocks(media: DataFrame, block_samples: int = 65_536) -> DataFrame:
+    """doc_id, block, sample_offset, n_samples, channels, bits and pcm: seekable blocks of every stream."""
+    return decoded_blocks(media, block_samples).select("doc_id", "block", "sample_offset", "n_samples", "channels", "bits", "pcm")
+
+
+class Signal:
+    """Digests and whole-number features of mono 8-bit samples that come block by block."""
+
+    def __init__(self) -> None:
+        self.sha, self.n, self.tail, self.last = hashlib.sha256(), 0, b"", None
+        self.peak = self.energy = self.magnitude = self.sign_changes = self.variation = 0
+
+    def add(self, samples: np.ndarray) -> None:
+        """More signed samples."""
+        payload = (samples.astype(np.int8).view(np.uint8) ^ 0x80).tobytes()
+        self.sha.update(payload)
+        self.n, self.tail = self.n + len(payload), (self.tail + payload[-16:])[-16:]
+        x = samples.astype(np.int64)
+        joined = x if self.last is None else np.concatenate([[self.last], x])
+        size = np.abs(x)
+        self.peak = max(self.peak, int(size.max(initial=0)))
+        self.energy += int((x * x).sum())
+        self.magnitude += int(size.sum())
+        self.sign_changes += int((np.signbit(joined[1:]) != np.signbit(joined[:-1])).sum())
+        self.variation += int(np.abs(np.diff(joined)).sum())
+        self.last = int(x[-1]) if len(x) else self.last
+
+    def feature(self) -> str:
+        """Peak, energy, sum of magnitudes, sign changes and first differences."""
+        return f"peak={self.peak};energy={self.energy};magnitude={self.magnitude};sign_changes={self.sign_changes};variation={self.variation}"
 
 
 def signal_features(samples: np.ndarray) -> str:
-    """Peak, energy, sum of magnitudes, sign changes and first differences, all whole numbers."""
-    x = samples.astype(np.int64)
-    change = int((np.signbit(x[1:]) != np.signbit(x[:-1])).sum())
-    return f"peak={int(np.abs(x).max())};energy={int((x * x).sum())};magnitude={int(np.abs(x).sum())};sign_changes={change};variation={int(np.abs(np.diff(x)).sum())}"
+    """The features of all samples of a signal."""
+    signal = Signal()
+    signal.add(samples)
+    return signal.feature()
 
 
-def media_digests(media: DataFrame) -> DataFrame:
-    """Digests and features of every stream, from its decoded samples."""
-    schema = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
-    out = pa.schema([(p.split()[0], pa.string() if p.endswith("string") else pa.int64()) for p in schema.split(", ")])
+DIGESTS = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for part in slices(batch, "media", 1 << 20):
-            streams = part.column(2).to_pylist()
+
+def block_digests(blocks: DataFrame) -> DataFrame:
+    """Digests and features of every stream, from its PCM blocks (mono, 8 bits).
+
+    A stream of one block is digested where it lies; longer ones meet by row
+    number, in order, and are read block by block, one stream by one task, as a
+    digest goes through its bytes in order.
+    """
+    ship_package(blocks.sparkSession)
+    columns = ["row", "n_blocks", "block", "pcm", "doc_id", "n_bytes", "media_bytes", "media_sha256"]
+    out = _arrow(DIGESTS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signal = Signal()
+        for batch in batches:
             rows = []
-            for stream, d in zip(streams, decode_streams(streams), strict=True):
-                mono = d.samples[:, 0]
-                payload = (mono.astype(np.int8).view(np.uint8) ^ 0x80).tobytes()
-                sha = hashlib.sha256(payload).hexdigest()
-                rows.append((len(payload), sha, zlib.crc32(payload[-16:]), len(stream), hashlib.sha256(stream).hexdigest(), signal_features(mono)))
-            columns = [pa.array(list(c), out.field(i + 2).type) for i, c in enumerate(zip(*rows, strict=True))]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], schema=out)
-
-    return map_arrow(media.select("doc_id", "n_bytes", "media"), run, schema)
+            for _, n_blocks, block, pcm, doc_id, n_bytes, media_bytes, sha in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                signal = Signal() if block == 0 else signal
+                signal.add(np.frombuffer(pcm, np.int8))
+                if block == n_blocks - 1:
+                    rows.append((doc_id, n_bytes, signal.n, signal.sha.hexdigest(), zlib.crc32(signal.tail), media_bytes, sha, signal.feature()))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
+
+    single = blocks.where("n_blocks = 1").select(columns)
+    several = blocks.where("n_blocks > 1").select(columns).repartition("row").sortWithinPartitions("row", "block")
+    return single.mapInArrow(run, DIGESTS).union(several.mapInArrow(run, DIGESTS))
+
+
+def media_digests(media: DataFrame, block_samples: int = PCM_BLOCK) -> DataFrame:
+    """Digests and features of every stream, from its samples, written as PCM blocks and read back."""
+    return block_digests(write_shared(decoded_blocks(media, block_samples), "pcm-blocks", "zstd"))

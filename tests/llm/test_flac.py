@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from nephos.llm import flac as F
-from tests.llm.helpers import docs, hard_rows, with_clashing_columns
+from tests.llm.helpers import docs, hard_rows, prose, with_clashing_columns
 
 
 class Writer:
@@ -200,3 +200,41 @@ def test_pcm_blocks_are_seekable(spark):
 
 def test_empty_table(spark):
     assert F.media_digests(F.encode_texts(docs(spark, []))).count() == 0
+
+
+def test_encoder_writes_linear_predictors_where_they_win():
+    payload = F.payload_of(prose(3, 400))[1]
+    stream = F.encode_streams([payload])[0]
+    data, first = np.frombuffer(stream, np.uint8), F.read_head(stream).first
+    start, _ = F.find_frames(data, first)
+    kinds = (data[start + F._headers(data, start)["size"]] >> 1).tolist()
+    assert 31 + F.ORDER in kinds and {k for k in kinds if k < 32} <= {8, 9, 10}
+    x = (np.frombuffer(payload, np.uint8) ^ 0x80).view(np.int8).reshape(-1, 192).astype(np.int64)
+    weights, shift = F.linear_predictors(x)
+    assert np.abs(weights).max() <= 32 and shift.min() >= 0
+
+    def bits(r, order, extra):
+        u = [(v << 1) ^ (v >> 63) for v in r[order:].tolist()]
+        return 8 + 8 * order + extra + 10 + min(sum((v >> k) + 1 + k for v in u) for k in range(10))
+
+    for row in range(len(x)):
+        guess = [sum(int(weights[j, row]) * int(x[row, t - 1 - j]) for j in range(F.ORDER)) >> int(shift[row]) if t >= F.ORDER else 0 for t in range(192)]
+        linear = bits(x[row] - guess, F.ORDER, 9 + 6 * F.ORDER)
+        orders = [x[row], np.diff(x[row], prepend=0), np.concatenate([[0, 0], np.diff(x[row], 2)])]
+        fixed = min(range(3), key=lambda o: (np.abs(orders[o][o:]).sum(), o))
+        assert kinds[row] == (31 + F.ORDER if linear < bits(orders[fixed], fixed, 0) else 8 + fixed)
+
+
+def test_digests_come_from_stored_blocks_of_any_size(spark):
+    rows = hard_rows() + [(100 + i, prose(i, 300 * i), "en", "s", 1) for i in range(4)] + [(7, prose(2, 200), "en", "s", 1)] * 2
+    media = F.encode_texts(docs(spark, rows))
+    whole = sorted(map(tuple, F.media_digests(media).collect()), key=str)
+    assert whole == sorted(map(tuple, F.media_digests(media, 576).collect()), key=str) and len(whole) == len(rows)
+    blocks = F.decoded_blocks(media, 576)
+    assert blocks.where("n_blocks > 1").count() > 20
+    want = []
+    for _, text, *_ in rows:
+        x = (np.frombuffer(F.payload_of(text)[1], np.uint8) ^ 0x80).view(np.int8).astype(np.int64)
+        turns = sum((a < 0) != (b < 0) for a, b in zip(x.tolist(), x.tolist()[1:], strict=False))
+        want.append(f"peak={abs(x).max()};energy={(x * x).sum()};magnitude={abs(x).sum()};sign_changes={turns};variation={abs(x[1:] - x[:-1]).sum()}")
+    assert sorted(r[-1] for r in whole) == sorted(want)
