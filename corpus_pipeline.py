@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from nephos.llm import jaccard, mixing, packing, quality, secret_scan
 from nephos.llm.common import table
 from nephos.llm.queries import tokenizer_path
-from nephos.session import write_shared
+from nephos.session import drop_shared, write_shared
 
 #: Share of the tokens that the mixture keeps after near duplicates are gone.
 MIX_SHARE = 0.6
@@ -64,7 +64,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = before = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = write_shared(stage(spark, docs, sf_dir), name)
+        after = write_shared(stage(spark, docs, sf_dir), name)
+        if docs is not before:
+            drop_shared(docs)
+        docs = after
     return STAGES[-1][1](spark, docs, sf_dir)

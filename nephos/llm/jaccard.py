@@ -24,9 +24,11 @@ comparisons in matrix products.  ``n_links`` is the number of different texts in
 the class that reach the threshold with a document's text, plus its copies.
 
 Defined cases: a null text counts as empty; texts with no word link to nothing
-but their equals; under five words the whole text is one shingle; repeated rows
-and copies get the same class; rows with a null doc_id are kept, and a class of
-only such rows has a null id.
+but their equals; under five words the whole text is one shingle; very long texts
+are compared whole; repeated rows and copies get the same class; rows with a null
+doc_id are kept, and a class of only such rows has a null id; extra columns,
+whatever their names, are ignored by the join and kept by ``keep_one``; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -212,11 +214,28 @@ def block_degrees(left: list[dict], right: list[dict], threshold: float, size: i
     return near.sum(axis=1), near.sum(axis=0)
 
 
-def blocked(groups: DataFrame, texts: DataFrame) -> DataFrame:
+class Scratch:
+    """Tables of one run in the shared folder, dropped together once nothing reads them."""
+
+    def __init__(self) -> None:
+        self.tables: list[DataFrame] = []
+
+    def write(self, df: DataFrame, label: str) -> DataFrame:
+        self.tables.append(write_shared(df, label))
+        return self.tables[-1]
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Drop some tables, or all that are left."""
+        for df in tables or tuple(self.tables):
+            drop_shared(df)
+            self.tables = [t for t in self.tables if t is not df]
+
+
+def blocked(groups: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
     """(main, block, members) of the groups (main, node, label), in blocks of about BLOCK_BYTES of text."""
     sizes = groups.join(texts.select("node", F.octet_length("text").alias("size")), "node")
-    shares = write_shared(sizes.groupBy("main").agg(F.greatest(F.ceil(F.sum("size") / BLOCK_BYTES), F.lit(1)).alias("n_blocks")), "shares")
-    return write_shared(
+    shares = scratch.write(sizes.groupBy("main").agg(F.greatest(F.ceil(F.sum("size") / BLOCK_BYTES), F.lit(1)).alias("n_blocks")), "shares")
+    return scratch.write(
         groups.join(shares, "main")
         .select("main", "node", "label", F.pmod(F.xxhash64("node"), "n_blocks").alias("block"))
         .join(texts, "node")
@@ -226,13 +245,13 @@ def blocked(groups: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def link_degrees(classes: DataFrame, texts: DataFrame, threshold: float, size: int) -> DataFrame:
+def link_degrees(classes: DataFrame, texts: DataFrame, threshold: float, size: int, scratch: Scratch) -> DataFrame:
     """(node, degree) of the members of classes (node, label): how many texts of its class each is similar to.
 
     Every block of a class meets itself and each later one; a block pair yields
     one count for each of its members.
     """
-    blocks = blocked(classes.select(F.col("label").alias("main"), "node", "label"), texts)
+    blocks = blocked(classes.select(F.col("label").alias("main"), "node", "label"), texts, scratch)
     schema = pa.schema([("node", pa.binary()), ("n", pa.int64())])
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -253,7 +272,7 @@ def link_degrees(classes: DataFrame, texts: DataFrame, threshold: float, size: i
     return counted.groupBy("node").agg(F.sum("n").alias("degree"))
 
 
-def rest_links(groups: DataFrame, texts: DataFrame, threshold: float, size: int) -> DataFrame:
+def rest_links(groups: DataFrame, texts: DataFrame, threshold: float, size: int, scratch: Scratch) -> DataFrame:
     """Links between the components of each group (main, node, label).
 
     The rest, members outside the main component, is the query set; it meets the
@@ -261,7 +280,7 @@ def rest_links(groups: DataFrame, texts: DataFrame, threshold: float, size: int)
     hot group becomes many block pairs that any executor may take, and a block
     pair yields at most one link for each query and component.
     """
-    blocks = blocked(groups, texts)
+    blocks = blocked(groups, texts, scratch)
     rest = F.filter("members", lambda m: m["label"] != F.col("main"))
     queries = blocks.select("main", F.col("block").alias("query"), rest.alias("rest")).where("size(rest) > 0")
 
@@ -314,12 +333,13 @@ def similarity_classes(
 def _classes(docs: DataFrame, threshold: float, size: int, recall: float, count_links: bool = False) -> tuple[DataFrame, DataFrame]:
     """(doc_id, node) of every row, and the label, least doc_id, class and copies of every node; its links if asked."""
     bands, rows = band_plan(threshold, recall)
+    scratch = Scratch()
     signed = write_shared(signatures(docs, bands, rows, size), "signed")
-    nodes = write_shared(
+    nodes = scratch.write(
         signed.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n_copies"), F.first("keys").alias("keys")), "nodes"
     )
     keyed = nodes.select("node", F.explode("keys").alias("key"))
-    buckets = write_shared(
+    buckets = scratch.write(
         keyed.groupBy("key")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -331,9 +351,9 @@ def _classes(docs: DataFrame, threshold: float, size: int, recall: float, count_
         .select("key", F.array_distinct(F.array("low", "high", "middle")).alias("centres")),
         "buckets",
     )
-    members = write_shared(keyed.join(buckets, "key"), "members")
-    drop_shared(buckets)
-    tested = write_shared(
+    members = scratch.write(keyed.join(buckets, "key"), "members")
+    scratch.drop(buckets)
+    tested = scratch.write(
         members.select("node", F.explode("centres").alias("centre"))
         .where("node != centre")
         .select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b"))
@@ -341,19 +361,20 @@ def _classes(docs: DataFrame, threshold: float, size: int, recall: float, count_
         "tested",
     )
     wanted = members.select("node").distinct().join(nodes.select("node", "least_id"), "node")
-    texts = write_shared(
+    texts = scratch.write(
         docs.select("doc_id", "text", _node("text").alias("own"))
         .join(wanted, F.col("doc_id").eqNullSafe(F.col("least_id")) & (F.col("own") == F.col("node")))
         .select("node", "text")
         .dropDuplicates(["node"]),
         "texts",
     )
-    links = write_shared(verified(tested, texts, threshold, size), "links")
+    links = scratch.write(verified(tested, texts, threshold, size), "links")
     labels = components(links)
+    scratch.tables.append(labels)
 
     # What a bucket's first centre has not gathered, against the bucket's other components.
     label_of = lambda c: F.coalesce("label", c)
-    gathered = write_shared(
+    gathered = scratch.write(
         members.select("node", F.element_at("centres", 1).alias("centre"))
         .distinct()
         .join(labels, "node", "left")
@@ -363,26 +384,26 @@ def _classes(docs: DataFrame, threshold: float, size: int, recall: float, count_
         .distinct(),
         "gathered",
     )
-    unfinished = write_shared(gathered.where("label != main").select("main").distinct(), "unfinished")
-    groups = write_shared(gathered.join(unfinished, "main", "left_semi"), "groups")
-    late = write_shared(rest_links(groups, texts, threshold, size), "late")
+    unfinished = scratch.write(gathered.where("label != main").select("main").distinct(), "unfinished")
+    groups = scratch.write(gathered.join(unfinished, "main", "left_semi"), "groups")
+    late = scratch.write(rest_links(groups, texts, threshold, size, scratch), "late")
     found = links.union(late).distinct()
     labels = components(found)
-    for used in (members, tested, gathered, unfinished, groups):
-        drop_shared(used)
+    scratch.tables.append(labels)
+    scratch.drop(members, tested, gathered, unfinished, groups)
 
     classed = nodes.select("node", "least_id", "n_copies").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     # Written first, so that both sides of the join are dealt anew and a hot class can be split.
-    ids = write_shared(classed.groupBy("label").agg(F.min("least_id").alias("class_id")), "class-ids")
+    ids = scratch.write(classed.groupBy("label").agg(F.min("least_id").alias("class_id")), "class-ids")
     per_node = classed.join(ids, "label")
     if count_links:
         # The two members of a pair are linked; larger classes are counted.
-        sized = write_shared(labels.join(write_shared(labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "class-sizes"), "label"), "sized")
-        counted = link_degrees(sized.where("n > 2").select("node", "label"), texts, threshold, size)
-        degree = write_shared(counted.union(sized.where("n = 2").select("node", F.lit(1).cast("long"))), "degrees")
+        sized = scratch.write(labels.join(scratch.write(labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "class-sizes"), "label"), "sized")
+        counted = link_degrees(sized.where("n > 2").select("node", "label"), texts, threshold, size, scratch)
+        degree = scratch.write(counted.union(sized.where("n = 2").select("node", F.lit(1).cast("long"))), "degrees")
         per_node = per_node.join(degree, "node", "left").withColumn("n_links", F.coalesce("degree", F.lit(0)) + F.col("n_copies") - 1).drop("degree")
     per_node = write_shared(per_node, "classes")
-    drop_shared(texts)
+    scratch.drop()
     return signed.select("doc_id", "node"), per_node
 
 
@@ -398,6 +419,8 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE,
     equal = signed.groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("_n"))
     same = (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_id"))
     chosen = write_shared(equal.join(firsts, same).select("_id", "_node", "_n"), "chosen")
+    drop_shared(classes)
+    drop_shared(signed)
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_own"), _node("text").alias("_text_node"))
     kept = whole.join(chosen, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_text_node") == F.col("_node")))
     once, repeated = kept.where("_n = 1"), kept.where("_n > 1").dropDuplicates(["_own", "_text_node"])

@@ -1,3 +1,9 @@
+import os
+import re
+from collections import Counter
+
+import pytest
+
 from nephos.llm import jaccard
 from tests.llm.helpers import docs, edited, hard_rows, prose, with_clashing_columns
 
@@ -126,3 +132,55 @@ def test_n_links_matches_brute_force(spark, monkeypatch):
         df = docs(spark, rows)
         got = jaccard.similarity_classes(df).join(df.select("doc_id", "text"), "doc_id").where("doc_id IS NOT NULL").collect()
         assert {(r["text"] or "", r["n_links"]) for r in got} == {(r[1] or "", want[r[1] or ""]) for r in rows if r[0] is not None}
+
+
+def exact_links(rows):
+    """(links, copies) of every row by all pairs that share a shingle, on plain sets."""
+    texts = {}
+    for i, (_, text, *_) in enumerate(rows):
+        texts.setdefault(text or "", []).append(i)
+    shingles, index = [], {}
+    for k, t in enumerate(texts):
+        w = [x for x in re.split("[ \t\n\x0b\x0c\r]+", t) if x]
+        shingles.append({" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+        for s in shingles[k]:
+            index.setdefault(s, []).append(k)
+    near = {k: set() for k in range(len(shingles))}
+    for k, mine in enumerate(shingles):
+        shared = Counter(j for s in mine for j in index[s] if j != k)
+        near[k] = {j for j, n in shared.items() if n >= 0.8 * (len(mine) + len(shingles[j]) - n)}
+    where = list(texts.values())
+    return {i: (len(near[k]) + len(where[k]) - 1, len(where[k]), near[k], k) for k, rows_ in enumerate(where) for i in rows_}
+
+
+def test_links_of_the_queries_on_the_corpus(spark):
+    """Every row whose id is divisible by 20 against all rows: no link is lost, none is added."""
+    if not os.path.isdir("/root/testdata/sf0.01"):
+        pytest.skip("no test data here")
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [tuple(r) for r in df.select("doc_id", "text").collect()]
+    want = exact_links(rows)
+    got = {r["doc_id"]: r for r in jaccard.similarity_classes(df).collect()}
+    by_text = {}
+    for i, (doc_id, _) in enumerate(rows):
+        by_text.setdefault(want[i][3], []).append(doc_id)
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id % 20 == 0:
+            links, copies, near, k = want[i]
+            assert (got[doc_id]["n_links"], got[doc_id]["n_copies"]) == (links, copies)
+            assert {got[d]["class_id"] for j in {k, *near} for d in by_text[j]} == {got[doc_id]["class_id"]}
+
+
+def test_scratch_tables_are_dropped(spark):
+    from pathlib import Path
+
+    from nephos.session import shared_path
+
+    folder = Path(shared_path(spark, "").removeprefix("file:"))
+    rows = [(i, edited(prose(i % 40, 90), 60 + i), "en", "s", 1) for i in range(200)]
+    before = set(folder.iterdir())
+    jaccard.keep_one(docs(spark, rows)).count()
+    assert {p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before} == {"chosen"}
+    before = set(folder.iterdir())
+    jaccard.similarity_classes(docs(spark, rows)).count()
+    assert {p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before} == {"signed", "classes"}
