@@ -14,9 +14,13 @@ and ``[/INST]`` get one backslash behind their first character, one more where
 they have some already, which ``unescape`` takes away.  In roles backslashes are
 doubled and line feeds become ``\\n`` first.
 
-Defined cases: null texts and roles count as empty; a null conv_id is one
-conversation of its own; turns are ordered by (turn, role, text), nulls first, so
-ties and repeated rows have one order; an empty table gives no rows.
+Digests go through a conversation's turns in order, so one conversation is read
+by one task, turn by turn; its memory is a batch, however long the conversation.
+
+Defined cases: null texts and roles count as empty; a very long text is a segment
+of its own; a null conv_id is one conversation of its own; turns are ordered by
+(turn, role, text), nulls first, so ties and repeated rows have one order; extra
+columns, whatever their names, are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations

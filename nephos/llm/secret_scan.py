@@ -19,9 +19,15 @@ at ``FDR`` runs over all candidates of the corpus, each length stratum (doubling
 lengths) by itself, from a histogram of quantised p-values whose size is bounded
 by strata times levels.
 
-Defined cases: a null text counts as empty; a null doc_id passes through;
-repeated rows give repeated results; an empty table gives no thresholds and no
-rows.  Offsets are code points, ends exclusive.
+The three tests' own p-values are for "random", the very hypothesis that a
+discovery means, so they can't be what the control ranks; the ratio turns the same
+three statistics into evidence against "ordinary", which can.
+
+Defined cases: a null text counts as empty; a very long text or run is read whole,
+in time in proportion to its length; a null doc_id passes through; repeated rows
+give repeated results; extra columns are ignored by ``secret_spans`` and kept by
+``redact``, whatever their names; an empty table gives no thresholds and no rows.
+Offsets are code points, ends exclusive.
 """
 
 from __future__ import annotations
