@@ -2,6 +2,7 @@
 
 Every operator works within an ingest file, instrument and quantity.  Good rows
 (flag 0) are preferred; a bin without any uses all its rows and gets flag 1.
+Sizes, widths and strides may be columns, so one pass serves all pairs.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from nephos.functions.columns import floor_div, mean_time, micros, time_at
+from nephos.functions.columns import mean_time, micros, time_at
 
 KEYS = ("ingest_file", "instrument", "quantity")
 
@@ -45,8 +46,8 @@ def with_superob_metadata(metadata: Column, n: Column, repr_error: Column, instr
 
 def grid_superobs(
     df: DataFrame,
-    horizontal: dict[str, int],
-    vertical: dict[str, int],
+    horizontal: dict[str, int | Column],
+    vertical: dict[str, int | Column],
     reduce_instrument_error: bool = True,
     order: Sequence[str] = ("time", "obs_id"),
 ) -> DataFrame:
@@ -54,11 +55,13 @@ def grid_superobs(
 
     instrument error: root mean square of the uncertainties, over sqrt(n) if it
     averages out; representativeness: the values' standard deviation, or for one
-    row its uncertainty; the total adds both in squares.
+    row its uncertainty; the total adds both in squares.  A null size leaves its
+    dimension out.
     """
     sizes = horizontal | vertical
     names = {d: f"bin_{d}" for d in sizes}
-    binned = df.withColumns({names[d]: floor_div(F.col(d), n).cast("int") for d, n in sizes.items()})
+    size = lambda n: n if isinstance(n, Column) else F.lit(n)
+    binned = df.withColumns({names[d]: F.floor(F.col(d) / size(n).cast("double")).cast("int") for d, n in sizes.items()})
     keys = [*KEYS, *names.values()]
     n = F.count(F.lit(1))
     groups = prefer_good(binned, keys).groupBy(*keys).agg(
@@ -87,8 +90,8 @@ def grid_orig_coords(df: DataFrame, dimensions: Sequence[str]) -> Column:
 
 def time_superobs(
     df: DataFrame,
-    minutes: int,
-    offset_minutes: int = 0,
+    minutes: int | Column,
+    offset_minutes: int | Column = 0,
     reduce_instrument_error: bool = True,
     order: Sequence[str] = ("time", "obs_id"),
 ) -> DataFrame:
@@ -97,13 +100,13 @@ def time_superobs(
     Null uncertainties are left out of the root mean square and of its n; an error
     that is missing is left out of the total.
     """
-    width, offset = minutes * 60_000_000, offset_minutes * 60_000_000
     day = 86_400_000_000
-    timed = df.withColumn("_us", micros(F.col("time")))
-    origins = timed.groupBy(*KEYS).agg((F.floor(F.min("_us") / day) * day + offset).alias("_origin"))
+    length = lambda m: (m if isinstance(m, Column) else F.lit(m)).cast("bigint") * 60_000_000
+    timed = df.withColumns({"_us": micros(F.col("time")), "_width": length(minutes), "_offset": length(offset_minutes)})
+    origins = timed.groupBy(*KEYS).agg((F.floor(F.min("_us") / day) * day + F.max("_offset")).alias("_origin"))
     binned = (
         timed.join(origins, list(KEYS))
-        .withColumn("_bin", F.col("_origin") + F.floor((F.col("_us") - F.col("_origin")) / width) * width)
+        .withColumn("_bin", F.col("_origin") + F.floor((F.col("_us") - F.col("_origin")) / F.col("_width")) * F.col("_width"))
     )
     keys = [*KEYS, "_bin"]
     n, known = F.count(F.lit(1)), F.count("value_uncertainty")
@@ -117,21 +120,46 @@ def time_superobs(
         (F.when(known > 0, root / F.sqrt(known.cast("double"))) if reduce_instrument_error else root).alias("instrument_error"),
         F.when(n > 1, F.stddev_samp("value")).otherwise(_first("value_uncertainty", order)).alias("repr_error"),
         *_kept_firsts(order),
+        F.max("_width").alias("_width"),
+        F.max("_offset").alias("_offset"),
     )
     square = lambda c: F.col(c) * F.col(c)
     known_total = F.coalesce(square("instrument_error"), F.lit(0.0)) + F.coalesce(square("repr_error"), F.lit(0.0))
     total = F.when(F.col("instrument_error").isNotNull() | F.col("repr_error").isNotNull(), F.sqrt(known_total))
-    index = F.floor((F.col("_bin") - offset) / width).cast("int")
-    out = groups.withColumns({"value_uncertainty": total, "bin_time": index, "bin_start": time_at(F.col("_bin"))}).drop("_bin")
+    index = F.floor((F.col("_bin") - F.col("_offset")) / F.col("_width")).cast("int")
+    out = groups.withColumns({"value_uncertainty": total, "bin_time": index, "bin_start": time_at(F.col("_bin"))}).drop("_bin", "_width", "_offset")
     shape = out.groupBy(*KEYS).agg((F.max("bin_time") + 1).alias("shape_time"))
     return out.join(shape, list(KEYS))
 
 
-def stride_thin(df: DataFrame, n: int, order: Sequence[str] = ("time", "obs_id")) -> DataFrame:
-    """Every n-th good row by time keeps flag 0, the others become hold-outs (-1); bad rows stay."""
-    good = F.col("qc_flag") == 0
-    place = F.row_number().over(Window.partitionBy(*KEYS, good).orderBy(*order)) - 1
-    return df.withColumn("qc_flag", F.when(good & (place % n != 0), F.lit(-1)).otherwise(F.col("qc_flag")))
+#: Width of the time slices in which stride thinning counts.
+SLICE_US = 600_000_000
+
+
+def stride_thin(df: DataFrame, n: int | Column, order: Sequence[str] = ("time", "obs_id")) -> DataFrame:
+    """Every n-th good row by time keeps flag 0, the others become hold-outs (-1); bad rows, and those of a null n, stay.
+
+    ``order`` begins with a timestamp.  A row's place is the good rows of the
+    earlier time slices plus its place in its own, so no task sorts more than the
+    rows of a slice.
+    """
+    good = F.coalesce(F.col("qc_flag") == 0, F.lit(False))
+    stride = n if isinstance(n, Column) else F.lit(n)
+    marked = df.withColumns({"_good": good, "_slice": F.floor(micros(F.col(order[0])) / SLICE_US)})
+    counts = marked.groupBy(*KEYS, "_slice").agg(F.count_if("_good").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*KEYS).orderBy("_slice")) - F.col("_n")
+    placed = marked.join(counts.select(*KEYS, "_slice", before.alias("_before")), [*KEYS, "_slice"], "left")
+    within = F.row_number().over(Window.partitionBy(*KEYS, "_slice", "_good").orderBy(*order)) - 1
+    thinned = F.col("_good") & ((F.coalesce("_before", F.lit(0)) + F.col("_place")) % stride != 0)
+    out = placed.withColumn("_place", within).withColumn("qc_flag", F.when(thinned, F.lit(-1)).otherwise(F.col("qc_flag")))
+    return out.select(df.columns)
+
+
+def by_pair(options: dict[str, int]) -> Column:
+    """The option of a row's ``instrument.quantity`` pair; null where it has none."""
+    if not options:
+        return F.lit(None).cast("int")
+    return F.create_map(*[F.lit(x) for item in options.items() for x in item])[F.concat_ws(".", "instrument", "quantity")]
 
 
 def reduce_density(
@@ -142,17 +170,19 @@ def reduce_density(
 ) -> DataFrame:
     """Superobs, then time bins, then thinning, each for its ``instrument.quantity`` pairs.
 
-    A pair can't have both superobs and time bins.
+    A pair can't have both superobs and time bins.  Every step takes all its pairs
+    in one pass, with their options looked up by row.
     """
     if both := set(superobs) & set(time_bins):
         raise ValueError(f"pairs with both superobs and time bins: {sorted(both)}")
     pair = F.concat_ws(".", "instrument", "quantity")
-    parts = [df.where(~pair.isin(*superobs, *time_bins)) if superobs or time_bins else df]
-    parts += [grid_superobs(df.where(pair == p), h, v) for p, (h, v) in superobs.items()]
-    parts += [time_superobs(df.where(pair == p), m, o) for p, (m, o) in time_bins.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    for p, n in strides.items():
-        out = stride_thin(out.where(pair == p), n, ("time", "longitude", "latitude", "z")).unionByName(out.where(pair != p))
-    return out
+    out = df.where(~pair.isin(*superobs, *time_bins)) if superobs or time_bins else df
+    if superobs:
+        sizes = {p: h | v for p, (h, v) in superobs.items()}
+        dims = sorted({d for s in sizes.values() for d in s})
+        columns = {d: by_pair({p: s[d] for p, s in sizes.items() if d in s}) for d in dims}
+        out = out.unionByName(grid_superobs(df.where(pair.isin(*superobs)), columns, {}), allowMissingColumns=True)
+    if time_bins:
+        minutes, offsets = (by_pair({p: t[k] for p, t in time_bins.items()}) for k in range(2))
+        out = out.unionByName(time_superobs(df.where(pair.isin(*time_bins)), minutes, offsets), allowMissingColumns=True)
+    return stride_thin(out, by_pair(strides), ("time", "longitude", "latitude", "z")) if strides else out

@@ -13,13 +13,12 @@ PAIR = ("instrument", "quantity")
 
 
 def statistics_columns() -> list[Column]:
-    """The thirteen aggregates over ``departure``, spread and uncertainty."""
+    """Ten aggregates over ``departure``, spread and uncertainty; the quartiles are found apart."""
     d, spread, u = F.col("departure"), F.col("model_forecast_spread"), F.col("value_uncertainty")
     known = d.isNotNull() & spread.isNotNull() & u.isNotNull()
     total = spread * spread + u * u
     valid = known & (total > 0)
     norm = F.when(valid, d / F.sqrt(F.when(valid, total)))
-    q = lambda p: F.percentile("departure", F.lit(p))
     return [
         F.count("departure").alias("count"),
         F.avg("departure").alias("bias"),
@@ -27,9 +26,6 @@ def statistics_columns() -> list[Column]:
         F.sqrt(F.avg(d * d)).alias("rmse"),
         F.min("departure").alias("min"),
         F.max("departure").alias("max"),
-        q(0.25).alias("q25"),
-        q(0.5).alias("median"),
-        q(0.75).alias("q75"),
         F.avg(norm).alias("norm_bias"),
         F.stddev_samp(norm).alias("norm_std"),
         F.avg(F.when(valid, F.try_divide(spread, u))).alias("spread_to_obserr_ratio"),
@@ -42,8 +38,12 @@ def with_departure(df: DataFrame) -> DataFrame:
 
 
 def first_departures(df: DataFrame, by: Sequence[str] = PAIR) -> DataFrame:
-    """All pairs in one pass."""
-    return with_departure(df).groupBy(*by).agg(*statistics_columns())
+    """The thirteen statistics of all groups: one pass for the aggregates, and exact quartiles of groups of any size."""
+    rows = with_departure(df).select(*by, "departure", "model_forecast_spread", "value_uncertainty")
+    quartiles = wide_quantiles(rows, "departure", {"q25": 0.25, "median": 0.5, "q75": 0.75}, by)
+    out = rows.groupBy(*by).agg(*statistics_columns()).join(quartiles, list(by), "left")
+    names = ["count", "bias", "std", "rmse", "min", "max", "q25", "median", "q75", "norm_bias", "norm_std", "spread_to_obserr_ratio", "r_est"]
+    return out.select(*by, *names)
 
 
 def by_regime(df: DataFrame, edges: Sequence[float], labels: Sequence[str], by: Sequence[str] = PAIR) -> DataFrame:
@@ -79,20 +79,30 @@ def histogram(df: DataFrame, n: int = 50, by: Sequence[str] = PAIR) -> DataFrame
     )
 
 
-def density_curve(df: DataFrame, points: int = 200, by: Sequence[str] = PAIR) -> DataFrame:
-    """Gaussian kernel density at evenly spaced points, with Scott's bandwidth.
+def density_curve(df: DataFrame, points: int = 200, by: Sequence[str] = PAIR, per_bandwidth: int = 20, reach: float = 9.0) -> DataFrame:
+    """Gaussian kernel density at evenly spaced points, with Scott's bandwidth h.
 
-    Departures are first summed to 2048 fine bins, so the points meet a bounded
-    table, not the rows.
+    Departures are first summed to bins of h / ``per_bandwidth``, which keep count,
+    mean and square deviation; a bin enters a point's sum with its second-order
+    term, so the error is of third order in 1 / ``per_bandwidth``, whatever the
+    range.  Points and bins meet in cells of ``reach`` bandwidths and their
+    neighbours; what lies further off adds less than exp(-reach * reach / 2).
     """
-    rows = with_departure(df).where("departure IS NOT NULL")
+    rows = with_departure(df).where("departure IS NOT NULL").select(*by, "departure")
     whole = rows.groupBy(*by).agg(F.min("departure").alias("_low"), F.max("departure").alias("_high"), F.stddev_samp("departure").alias("_sd"), F.count(F.lit(1)).alias("_n"))
-    fine = rows.join(whole, list(by)).withColumn("_bin", histogram_bin(F.col("departure"), F.col("_low"), F.col("_high"), 2048))
-    sums = fine.groupBy(*by, "_bin").agg(F.count(F.lit(1)).alias("_c"), F.avg("departure").alias("_at"))
-    grid = whole.where("_sd > 0").select(*by, "_n", (F.col("_sd") * F.pow(F.col("_n"), F.lit(-0.2))).alias("_h"), F.explode(F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda k: F.col("_low") + (F.col("_high") - F.col("_low")) * k / (points - 1))).alias("x"))
-    z = (F.col("x") - F.col("_at")) / F.col("_h")
-    kernel = F.sum(F.col("_c") * F.exp(-0.5 * z * z))
-    return grid.join(sums, list(by)).groupBy(*by, "x", "_n", "_h").agg(kernel.alias("_k")).select(*by, "x", (F.col("_k") / (F.col("_n") * F.col("_h") * 2.5066282746310002)).alias("density"))
+    sized = whole.where("_sd > 0").withColumn("_h", F.col("_sd") * F.pow(F.col("_n"), F.lit(-0.2)))
+    z = (F.col("departure") - F.col("_low")) / F.col("_h")
+    fine = rows.join(sized, list(by)).withColumn("_bin", F.floor(z * per_bandwidth))
+    sums = fine.groupBy(*by, "_bin", "_low", "_h").agg(F.count(F.lit(1)).alias("_c"), F.avg("departure").alias("_at"), F.var_pop("departure").alias("_v"))
+    cell = lambda x: F.floor((x - F.col("_low")) / (F.col("_h") * reach))
+    near = sums.select(*by, "_c", "_at", "_v", F.explode(F.array(*[cell(F.col("_at")) + k for k in (-1, 0, 1)])).alias("_cell"))
+    at = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda k: F.col("_low") + (F.col("_high") - F.col("_low")) * k / (points - 1))
+    grid = sized.select(*by, "_n", "_h", "_low", F.explode(at).alias("x")).withColumn("_cell", cell(F.col("x"))).drop("_low")
+    u = (F.col("x") - F.col("_at")) / F.col("_h")
+    curved = 1 + F.col("_v") / (2 * F.col("_h") * F.col("_h")) * (u * u - 1)
+    kernel = F.sum(F.col("_c") * F.exp(-0.5 * u * u) * curved)
+    met = grid.join(near, [*by, "_cell"], "left").groupBy(*by, "x", "_n", "_h").agg(F.coalesce(kernel, F.lit(0.0)).alias("_k"))
+    return met.select(*by, "x", (F.col("_k") / (F.col("_n") * F.col("_h") * 2.5066282746310002)).alias("density"))
 
 
 def height_bins(df: DataFrame, n: int = 70, by: Sequence[str] = PAIR) -> DataFrame:
@@ -109,13 +119,10 @@ def value_ranges(df: DataFrame, value: str = "value", by: Sequence[str] = PAIR,
     """Colour ranges: two percentiles, the percentile of magnitudes, and limits widened by 5 %."""
     v = F.col(value)
     span = F.max(v) - F.min(v)
-    return df.groupBy(*by).agg(
-        F.percentile(value, F.lit(low)).alias("p_low"),
-        F.percentile(value, F.lit(high)).alias("p_high"),
-        F.percentile(F.abs(v), F.lit(high)).alias("abs_high"),
-        (F.min(v) - 0.05 * span).alias("limit_low"),
-        (F.max(v) + 0.05 * span).alias("limit_high"),
-    )
+    limits = df.groupBy(*by).agg((F.min(v) - 0.05 * span).alias("limit_low"), (F.max(v) + 0.05 * span).alias("limit_high"))
+    signed = wide_quantiles(df.select(*by, value), value, {"p_low": low, "p_high": high}, by)
+    sizes = wide_quantiles(df.select(*by, F.abs(v).alias(value)), value, {"abs_high": high}, by)
+    return limits.join(signed, list(by), "left").join(sizes, list(by), "left").select(*by, "p_low", "p_high", "abs_high", "limit_low", "limit_high")
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -147,3 +154,9 @@ def exact_quantiles(df: DataFrame, value: str, ps: Sequence[float], by: Sequence
     ordered = values.withColumn("_upto", upto)
     at = held.join(ordered, [*by, "_b"]).where("_rank - _before < _upto AND _rank - _before >= _upto - _m")
     return at.groupBy(*by, "p", "_part").agg(F.min("_v").alias("_a"), F.max("_v").alias("_z")).select(*by, "p", (F.col("_a") + F.col("_part") * (F.col("_z") - F.col("_a"))).alias("quantile"))
+
+
+def wide_quantiles(df: DataFrame, value: str, names: dict[str, float], by: Sequence[str]) -> DataFrame:
+    """``exact_quantiles`` with a column for each named share."""
+    found = exact_quantiles(df, value, sorted(set(names.values())), by)
+    return found.groupBy(*by).agg(*[F.max(F.when(F.col("p") == float(p), F.col("quantile"))).alias(n) for n, p in names.items()])

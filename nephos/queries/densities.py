@@ -62,13 +62,19 @@ def stride_thin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "reduce_density",
-    f"""WITH {OBS_SQL}, p AS (SELECT * FROM obs WHERE instrument || '.' || quantity <> 'click.AOD_550nm'),
-    n AS (SELECT *, row_number() OVER (PARTITION BY ingest_file, instrument, quantity, qc_flag = 0 ORDER BY "time", longitude, latitude, z) - 1 AS k FROM p),
-    t AS (SELECT instrument, quantity, CASE WHEN instrument = 'view' AND quantity = 'HLOS_WIND' AND qc_flag = 0 AND k % 3 <> 0 THEN -1 ELSE qc_flag END AS qc_flag FROM n),
-    b AS (SELECT *, CAST(floor(c_profile/5.0) AS INT) AS bp, CAST(floor(c_bin/4.0) AS INT) AS bb FROM obs WHERE instrument = 'click' AND quantity = 'AOD_550nm'),
-    s AS (SELECT instrument, quantity, 1 - max(CASE WHEN qc_flag = 0 THEN 1 ELSE 0 END) AS qc_flag FROM b GROUP BY ingest_file, instrument, quantity, bp, bb)
+    f"""WITH {OBS_SQL}, k AS (SELECT *, instrument || '.' || quantity AS pair, epoch_us("time") AS us FROM obs),
+    b AS (SELECT *, CASE pair WHEN 'click.AOD_550nm' THEN CAST(floor(c_profile/5.0) AS BIGINT) WHEN 'click.HLOS_WIND' THEN CAST(floor(c_profile/12.0) AS BIGINT) END AS bp,
+      CASE pair WHEN 'click.AOD_550nm' THEN CAST(floor(c_bin/4.0) AS BIGINT) END AS bb,
+      CAST(floor((us - CAST(1800000000 AS BIGINT)*CASE pair WHEN 'signup.AOD_550nm' THEN -1 ELSE 1 END)/(CAST(60000000 AS BIGINT)*CASE pair WHEN 'signup.AOD_550nm' THEN 60 ELSE 120 END)) AS BIGINT) AS bt FROM k),
+    s AS (SELECT instrument, quantity, 1 - max(CASE WHEN qc_flag = 0 THEN 1 ELSE 0 END) AS qc_flag FROM b WHERE instrument = 'click' GROUP BY ingest_file, instrument, quantity, bp, bb
+      UNION ALL SELECT instrument, quantity, 1 - max(CASE WHEN qc_flag = 0 THEN 1 ELSE 0 END) FROM b WHERE instrument = 'signup' GROUP BY ingest_file, instrument, quantity, bt),
+    n AS (SELECT *, row_number() OVER (PARTITION BY ingest_file, instrument, quantity, qc_flag = 0 ORDER BY "time", longitude, latitude, z) - 1 AS k FROM k WHERE instrument NOT IN ('click', 'signup')),
+    t AS (SELECT instrument, quantity, CASE WHEN qc_flag = 0 AND ((pair = 'view.HLOS_WIND' AND k % 3 <> 0) OR (pair = 'purchase.AOD_550nm' AND k % 7 <> 0)) THEN -1 ELSE qc_flag END AS qc_flag FROM n)
     SELECT instrument, quantity, qc_flag, count(*) AS n FROM (SELECT * FROM t UNION ALL SELECT * FROM s) GROUP BY ALL""",
 )
 def reduce_density(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = superobs.reduce_density(observations(spark, sf_dir), {"click.AOD_550nm": ({"c_profile": 5}, {"c_bin": 4})}, {}, {"view.HLOS_WIND": 3})
+    """Two pairs of superobs with sizes of their own, two of time bins, two of strides."""
+    grids = {"click.AOD_550nm": ({"c_profile": 5}, {"c_bin": 4}), "click.HLOS_WIND": ({"c_profile": 12}, {})}
+    bins = {"signup.AOD_550nm": (60, -30), "signup.HLOS_WIND": (120, 30)}
+    out = superobs.reduce_density(observations(spark, sf_dir), grids, bins, {"view.HLOS_WIND": 3, "purchase.AOD_550nm": 7})
     return out.groupBy("instrument", "quantity", "qc_flag").agg(F.count(F.lit(1)).alias("n"))
