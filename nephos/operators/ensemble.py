@@ -38,7 +38,8 @@ def normalise_members(grid: DataFrame, mean: float, sd: float, low: float | None
     v = (F.col("value") - F.col("_m")) / F.col("_s") * sd + mean
     v = v if low is None else F.greatest(v, F.lit(float(low)))
     v = v if high is None else F.least(v, F.lit(float(high)))
-    return grid.join(small(stats), "member").withColumn("value", v).drop("_m", "_s")
+    # One row a member.
+    return grid.join(F.broadcast(stats), "member").withColumn("value", v).drop("_m", "_s")
 
 
 def gaussian_weights(sigma: float, truncate: float = 4.0) -> list[float]:
@@ -124,8 +125,9 @@ def dilate(df: DataFrame, flag: str, outer: str, inner: str, outer_reach: int, i
 
 def drop_empty_slices(df: DataFrame, value: str, dims: Sequence[str]) -> DataFrame:
     """Without the slices of each dimension that hold no value."""
+    held = df.where(F.col(value).isNotNull())
     for d in dims:
-        df = df.withColumn("_n", F.count(value).over(Window.partitionBy(d))).where("_n > 0").drop("_n")
+        df = df.join(held.select(F.col(d).alias("_slice")).distinct(), F.col(d).eqNullSafe(F.col("_slice")), "left_semi")
     return df
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -118,50 +119,103 @@ def regular_axis(q: Column, first: float, step: float, n: int) -> tuple[Column,
     return i, F.least(F.greatest((q - first) / step - i, F.lit(0.0)), F.lit(1.0))
 
 
-def corner(i: Column, w: Column) -> Column:
-    return F.named_struct(F.lit("i"), i, F.lit("w"), w)
+def frame_order(grid: DataFrame) -> DataFrame:
+    """(t_idx, previous): each frame of a grid with the one before it."""
+    return grid.select("t_idx").distinct().withColumn("previous", F.lag("t_idx").over(Window.orderBy("t_idx")))
 
 
-def gather_corners(points: DataFrame, grid: DataFrame, x_axis: tuple[float, float, int], y_axis: tuple[float, float, int], field: str = "profile", key: str = "obs_id", by: Sequence[str] = ()) -> DataFrame:
-    """(key, by, field): the field, an array over levels, interpolated to every point in x, y and t.
+def grid_cells(grid: DataFrame, nx: int, ny: int, field: str, by: Sequence[str] = ()) -> DataFrame:
+    """(t_idx, ix, iy, by, corners): for each cell the fields at its corners, by number: 4 for the later frame, 2 for x, 1 for y.
 
-    ``points`` holds key, x, y, left_idx, right_idx and t_weight.  Each point asks
-    for up to eight corners, which meet the grid on (t_idx, ix, iy); corners of
-    weight 0 are asked for too, so a null corner gives a null level.  ``by`` names
-    columns of the grid, such as the member, that each give a result of their own.
+    A grid point goes to the up to eight cells that it is a corner of, so a cell is
+    put together once, however many points ask for it.
+    """
+    reach = [(dt, dx, dy) for dt in (0, 1) for dx in range(min(nx, 2)) for dy in range(min(ny, 2))]
+    own = lambda c, n, d: (F.col(c) - d).alias(c) if n > 1 else F.col(c).alias(c)
+    places = F.array(
+        *[F.struct(F.lit(4 * dt + 2 * dx + dy).alias("no"), (F.col("previous") if dt else F.col("t_idx")).alias("t_idx"), own("ix", nx, dx), own("iy", ny, dy)) for dt, dx, dy in reach]
+    )
+    inside = F.col("_p.t_idx").isNotNull() & F.col("_p.ix").between(0, max(nx - 2, 0)) & F.col("_p.iy").between(0, max(ny - 2, 0))
+    put = grid.join(frame_order(grid), "t_idx").select(F.explode(places).alias("_p"), *by, F.col(field).alias("_f")).where(inside)
+    dealt = put.select("_p.t_idx", "_p.ix", "_p.iy", "_p.no", *by, "_f").repartition("t_idx", "ix", "iy")
+    return dealt.groupBy("t_idx", "ix", "iy", *by).agg(F.map_from_entries(F.collect_list(F.struct("no", "_f"))).alias("corners"))
+
+
+def gather_corners(
+    points: DataFrame,
+    grid: DataFrame,
+    x_axis: tuple[float, float, int],
+    y_axis: tuple[float, float, int],
+    field: str = "profile",
+    key: str = "obs_id",
+    by: Sequence[str] = (),
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """(key, keep, by, field): the field, an array over levels, interpolated to every point in x, y and t.
+
+    ``points`` holds key, x, y, left_idx, right_idx and t_weight.  Each point meets
+    its cell once, by (t_idx, ix, iy), and leaves with its own levels only; corners of
+    weight 0 count too, so a null corner gives a null level, and a missing one a
+    null field.  ``by`` names columns of the grid, such as the member, that each give
+    a result of their own.
     """
     ix, wx = regular_axis(F.col("x"), *x_axis)
     iy, wy = regular_axis(F.col("y"), *y_axis)
-
-    def side(i: Column, w: Column, n: int) -> Column:
-        low = corner(i, 1 - w)
-        return F.array(low) if n == 1 else F.array(low, corner(i + 1, w))
-
-    times = F.array(corner(F.col("left_idx"), 1 - F.col("t_weight")), corner(F.col("right_idx"), F.col("t_weight")))
-    corners = (
-        points.select(key, F.explode(times).alias("_t"), side(ix, wx, x_axis[2]).alias("_x"), side(iy, wy, y_axis[2]).alias("_y"))
-        .select(key, "_t", F.explode("_x").alias("_x"), "_y")
-        .select(key, "_t", "_x", F.explode("_y").alias("_y"))
-        .select(key, F.col("_t.i").alias("t_idx"), F.col("_x.i").alias("ix"), F.col("_y.i").alias("iy"), (F.col("_t.w") * F.col("_x.w") * F.col("_y.w")).alias("_w"))
+    asked = points.select(
+        key, *[c for c in keep if c != key], F.col("left_idx").alias("t_idx"), ix.alias("ix"), iy.alias("iy"), wx.alias("_wx"), wy.alias("_wy"), "t_weight", (F.col("left_idx") == F.col("right_idx")).alias("_one")
     )
-    n_corners = 2 * min(x_axis[2], 2) * min(y_axis[2], 2)
-    number = F.col("t_idx") * 4 + F.col("ix") * 2 + F.col("iy")
-    weighted = corners.join(grid.select("t_idx", "ix", "iy", *by, F.col(field).alias("_f")), ["t_idx", "ix", "iy"])
-    # Eight arrays a point at most are gathered, in a fixed order, so sums do not depend on the shuffle.
-    found = weighted.groupBy(key, *by).agg(F.array_sort(F.collect_list(F.struct(number.alias("o"), F.col("_w").alias("w"), F.col("_f").alias("f")))).alias("_c"))
+    met = asked.join(grid_cells(grid, x_axis[2], y_axis[2], field, by), ["t_idx", "ix", "iy"], "left")
+    spots = [(2 * dx + dy, dx, dy) for dx in range(min(x_axis[2], 2)) for dy in range(min(y_axis[2], 2))]
+    corners = {f"_c{no + 4 * dt}": F.try_element_at("corners", F.lit(no + 4 * dt)) for no, *_ in spots for dt in (0, 1)}
+    met = met.withColumns(corners)
 
     def level(k: Column) -> Column:
-        return F.aggregate("_c", F.lit(0.0), lambda total, c: total + c["w"] * F.get(c["f"], k))
+        total = F.lit(0.0)
+        for no, dx, dy in spots:
+            early, late = F.get(F.col(f"_c{no}"), k), F.get(F.col(f"_c{no + 4}"), k)
+            at = F.when(F.col("_one"), early).otherwise(early * (1 - F.col("t_weight")) + late * F.col("t_weight"))
+            total = total + at * (F.col("_wx") if dx else 1 - F.col("_wx")) * (F.col("_wy") if dy else 1 - F.col("_wy"))
+        return total
+
+    whole = F.lit(True)
+    for no, *_ in spots:
+        whole = whole & F.col(f"_c{no}").isNotNull() & (F.col("_one") | F.col(f"_c{no + 4}").isNotNull())
+    levels = F.transform(F.sequence(F.lit(0), F.size(f"_c{spots[0][0]}") - 1), level)
+    return met.select(key, *[c for c in keep if c != key], *by, F.when(whole, levels).alias(field))
 
-    levels = F.transform(F.sequence(F.lit(0), F.size(F.col("_c")[0]["f"]) - 1), level)
-    return found.select(key, *by, F.when(F.size("_c") == n_corners, levels).alias(field))
+
+#: Cell sizes of the nearest-point search, in mean spacings of the grid.
+RINGS = (1, 8, 64, 512)
 
 
 def nearest_point(points: DataFrame, grid: DataFrame, key: str = "obs_id") -> DataFrame:
-    """The grid point of least squared distance in degrees, ties by (ix, iy); ``grid`` is a checked small table."""
+    """The grid point of least squared distance in degrees, ties by (ix, iy).
+
+    Points and grid meet in cells of the grid's mean spacing, a point with its own
+    cell and the eight around it: what it finds within one cell size is nearest.
+    Points that find nothing so near go on with larger cells; those beyond all of
+    them, far outside the grid, meet the whole grid.
+    """
+    span = lambda c: F.greatest(F.max(c) - F.min(c), F.lit(1e-6))
+    spacing = grid.agg(F.greatest(F.sqrt(span("glon") * span("glat") / F.count(F.lit(1))), F.lit(1e-6)).alias("_s"))
+    # One row, by construction.
+    waiting = points.select(key, "longitude", "latitude").join(F.broadcast(spacing))
+    spots = grid.select("ix", "iy", "glon", "glat").join(F.broadcast(spacing))
     d = (F.col("longitude") - F.col("glon")) * (F.col("longitude") - F.col("glon")) + (F.col("latitude") - F.col("glat")) * (F.col("latitude") - F.col("glat"))
-    best = F.min(F.struct(d.alias("d2"), "ix", "iy")).alias("_b")
-    return points.join(small(grid)).groupBy(key).agg(best).select(key, "_b.ix", "_b.iy", "_b.d2")
+    best = F.min(F.when(F.col("glon").isNotNull(), F.struct(d.alias("d2"), "ix", "iy"))).alias("_b")
+    around = F.explode(F.array(*[F.lit(k) for k in (-1, 0, 1)]))
+    found = []
+    for ring in RINGS:
+        size = F.col("_s") * ring
+        cell = lambda c: F.floor(F.col(c) / size)  # noqa: E731, B023
+        dealt = spots.select("ix", "iy", "glon", "glat", cell("glon").alias("_cx"), cell("glat").alias("_cy"))
+        asking = waiting.withColumn("_dx", around).withColumn("_dy", around).withColumns({"_cx": cell("longitude") + F.col("_dx"), "_cy": cell("latitude") + F.col("_dy")})
+        met = asking.join(dealt, ["_cx", "_cy"], "left").groupBy(key, "longitude", "latitude", "_s").agg(best)
+        near = F.coalesce(F.col("_b.d2") < 0.999 * size * size, F.lit(False))
+        found.append(met.where(near).select(key, "_b"))
+        waiting = met.where(~near).select(key, "longitude", "latitude", "_s")
+    found.append(waiting.join(spots.drop("_s")).groupBy(key).agg(best))
+    return reduce(DataFrame.union, found).select(key, "_b.ix", "_b.iy", "_b.d2")
 
 
 def latest_complete(cycles: DataFrame, n_files: int, before: int) -> DataFrame:
@@ -171,8 +225,14 @@ def latest_complete(cycles: DataFrame, n_files: int, before: int) -> DataFrame:
 
 
 def update_values(table: DataFrame, updates: DataFrame, column: str, clear: bool = False, key: str = "obs_id") -> DataFrame:
-    """``column`` from ``updates`` (key, value); other rows keep theirs, or with ``clear`` lose it."""
-    new = updates.select(key, F.col("value").alias("_new"), F.lit(True).alias("_hit"))
+    """``column`` from ``updates`` (key, value); other rows keep theirs, or with ``clear`` lose it.
+
+    A key that comes twice must bring one value; two different ones raise.
+    """
+    value = F.col("value")
+    several = (F.count_distinct(value) > 1) | ((F.count(value) > 0) & (F.count(value) < F.count(F.lit(1))))
+    one = F.when(several, F.raise_error(F.concat(F.lit("several values for key "), F.col(key).cast("string")))).otherwise(F.max(value))
+    new = updates.groupBy(key).agg(one.alias("_new")).withColumn("_hit", F.lit(True))
     joined = table.join(new, key, "left")
     keep = F.lit(None) if clear else F.col(column)
     return joined.withColumn(column, F.when(F.col("_hit"), F.col("_new")).otherwise(keep)).drop("_new", "_hit").select(table.columns)

@@ -24,9 +24,8 @@ def interpolate_model(obs: DataFrame, grid: DataFrame, x_axis: Axis, y_axis: Axi
     # One row a model time, read from the grid once; the bracket asks for them several times.
     frames = write_shared(grid.select("t_idx", "t").distinct(), "frames")
     placed = bracket(obs.select("obs_id", "time", "x", "y", "z"), frames, "time", tolerance_us)
-    both = grid.select("t_idx", "ix", "iy", *by, F.concat("profile", "levels").alias("_pair"), F.size("profile").alias("_n"))
-    at = gather_corners(placed, both, x_axis, y_axis, "_pair", by=by)
+    both = grid.select("t_idx", "ix", "iy", *by, F.concat("profile", "levels").alias("_pair"))
+    at = gather_corners(placed, both, x_axis, y_axis, "_pair", by=by, keep=("z", "valid"))
     half = F.floor(F.size("_pair") / 2).cast("int")
-    profiles = at.select("obs_id", *by, F.slice("_pair", 1, half).alias("_v"), F.slice("_pair", half + 1, half).alias("_l"))
-    out = placed.select("obs_id", "z", "valid").join(profiles, "obs_id", "left")
-    return out.select("obs_id", *by, F.when(F.col("valid"), interpolate(F.col("_l"), F.col("_v"), F.col("z"))).alias("model"))
+    profiles = at.select("obs_id", "z", "valid", *by, F.slice("_pair", 1, half).alias("_v"), F.slice("_pair", half + 1, half).alias("_l"))
+    return profiles.select("obs_id", *by, F.when(F.col("valid"), interpolate(F.col("_l"), F.col("_v"), F.col("z"))).alias("model"))
