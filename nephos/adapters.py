@@ -80,8 +80,8 @@ CALENDAR_SQL = """cycles AS (SELECT CAST(i AS INT) AS cycle_index,
 
 
 def ensemble_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``embeddings`` as a member grid: (var, t_idx, ix, iy, iz, member, value); 10 members, 16 levels."""
-    level = F.posexplode(F.slice("embedding", 1, 16)).alias("iz", "value")
+    """``embeddings`` as a member grid: (var, t_idx, ix, iy, iz, member, value); 10 members, 64 levels."""
+    level = F.posexplode("embedding").alias("iz", "value")
     return (
         table(spark, sf_dir, "embeddings")
         .select("vec_id", "label", level)
@@ -101,11 +101,11 @@ GRID_SQL = """grid AS (SELECT CASE WHEN label % 2 = 0 THEN 'T' ELSE 'QVAPOR' END
   CAST(vec_id % 2 AS INT) AS t_idx, CAST(CAST(floor(vec_id/20.0) AS BIGINT) % 5 AS INT) AS ix,
   CAST(floor(vec_id/100.0) AS INT) AS iy, CAST(k AS INT) AS iz,
   CAST(CAST(floor(vec_id/2.0) AS BIGINT) % 10 AS INT) AS member,
-  CAST(embedding[k+1] AS DOUBLE) AS value FROM embeddings, range(16) r(k))"""
+  CAST(embedding[k+1] AS DOUBLE) AS value FROM embeddings, range(64) r(k))"""
 
 
 def model_frames(spark: SparkSession) -> DataFrame:
-    """A model grid linear in t, x, y and level: 3-hourly frames, 0.1 degree-like spacing in metres.
+    """A model grid, rough in t, x, y and level: daily frames, 200 km spacing.
 
     (t_idx, t, ix, iy, x, y, profile of values, heights of the levels)
     """
@@ -123,7 +123,7 @@ def model_frames(spark: SparkSession) -> DataFrame:
             "iy",
             (F.col("ix") * 200_000.0).alias("x"),
             (F.col("iy") * 200_000.0).alias("y"),
-            F.transform(k, lambda l: F.col("t_idx") * 1.0 + F.col("ix") * 0.5 + F.col("iy") * 0.25 + l * 2.0).alias("profile"),
+            F.transform(k, lambda l: F.col("t_idx") * 1.0 + F.col("ix") * 0.5 + F.col("iy") * 0.25 + l * 2.0 + (F.col("t_idx") * 7 + F.col("ix") * 5 + F.col("iy") * 3 + l * 11) % 13 * 0.5).alias("profile"),
             F.transform(k, lambda l: l * 2000.0 + F.lit(0.0)).alias("levels"),
         )
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -110,6 +111,16 @@ def hlos_wind(u: Column, v: Column, azimuth: Column) -> Column:
     return -u * F.sin(a) - v * F.cos(a)
 
 
+# --- noise
+
+
+def standard_normal(key: Column, seed: int) -> Column:
+    """A standard normal number from a key and a seed, the same in every run: Box and Muller's on two parts of a digest."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
+    part = lambda at: F.conv(F.substring(digest, at, 8), 16, 10).cast("double")
+    return F.sqrt(-2 * F.log((part(1) + 1) / 2.0**32)) * F.cos(2 * math.pi * part(9) / 2.0**32)
+
+
 # --- strings and JSON
 
 

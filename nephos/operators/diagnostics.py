@@ -5,20 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nephos.functions.columns import standard_normal
+
 
 def rank(obs: Column, members: Column) -> Column:
     """How many members lie below the observation."""
     return F.size(F.filter(members, lambda m: m < obs))
 
 
-def dithered(obs: Column, variance: Column, seed: int | None) -> Column:
-    """The observation with noise of its own error; unchanged without a seed."""
-    return obs if seed is None else obs + F.randn(seed) * F.sqrt(variance)
+def dithered(obs: Column, variance: Column, seed: int | None, key: Column) -> Column:
+    """The observation with noise of its own error, drawn from its key; unchanged without a seed."""
+    return obs if seed is None else obs + standard_normal(key, seed) * F.sqrt(variance)
+
 
+def rank_histogram(df: DataFrame, members: str = "prior", seed: int | None = None, key: str | None = None) -> DataFrame:
+    """Counts of every rank from 0 to the number of members, the expected count and its 95 % band.
 
-def rank_histogram(df: DataFrame, members: str = "prior", seed: int | None = None) -> DataFrame:
-    """Counts of every rank from 0 to the number of members, the expected count and its 95 % band."""
-    ranked = df.select(rank(dithered(F.col("obs"), F.col("obs_variance"), seed), F.col(members)).alias("rank"), F.size(members).alias("_m"))
+    With a seed observations are dithered, by ``key`` or by their own numbers.
+    """
+    drawn_by = F.to_json(F.struct("obs", members)) if key is None else F.col(key)
+    ranked = df.select(rank(dithered(F.col("obs"), F.col("obs_variance"), seed, drawn_by), F.col(members)).alias("rank"), F.size(members).alias("_m"))
     counts = ranked.groupBy("rank").agg(F.count(F.lit(1)).alias("count"))
     whole = ranked.agg(F.count(F.lit(1)).alias("_n"), F.max("_m").alias("_m"))
     p = 1.0 / (F.col("_m") + 1)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from nephos.functions.columns import edge_taper
+from nephos.functions.columns import edge_taper, standard_normal
 from nephos.operators.joins import small
 
 CELL = ("var", "t_idx", "ix", "iy", "iz")
@@ -48,25 +48,26 @@ def gaussian_weights(sigma: float, truncate: float = 4.0) -> list[float]:
     return [x / sum(w) for x in w]
 
 
-def reflect(i: Column, n: int) -> Column:
+def reflect(i: Column, n: Column) -> Column:
     """Indices mirrored at the edges, the edge cell repeated: (d c b a | a b c d | d c b a)."""
-    r = F.pmod(i, F.lit(2 * n))
+    r = F.pmod(i, 2 * n)
     return F.when(r < n, r).otherwise(2 * n - 1 - r)
 
 
-def smooth_axis(grid: DataFrame, axis: str, n: int, sigma: float, keys: Sequence[str]) -> DataFrame:
-    """Gaussian smoothing along one axis: a row of cells becomes an array, each cell a weighted sum."""
+def smooth_axis(grid: DataFrame, axis: str, n: int | None, sigma: float, keys: Sequence[str]) -> DataFrame:
+    """Gaussian smoothing along one axis of ``n`` cells, or of as many as each line has: a row of cells becomes an array, each cell a weighted sum."""
     w = gaussian_weights(sigma)
     radius = len(w) // 2
     others = [k for k in keys if k != axis]
     line = grid.groupBy(*others).agg(F.transform(F.array_sort(F.collect_list(F.struct(axis, "value"))), lambda p: p["value"]).alias("_line"))
     weights = F.array(*[F.lit(x) for x in w])
+    length = F.size("_line") if n is None else F.lit(n)
 
     def cell(i: Column) -> Column:
-        parts = F.transform(weights, lambda x, k: x * F.get(F.col("_line"), reflect(i + k - radius, n).cast("int")))
+        parts = F.transform(weights, lambda x, k: x * F.get(F.col("_line"), reflect(i + k - radius, length).cast("int")))
         return F.aggregate(parts, F.lit(0.0), lambda a, x: a + x)
 
-    cells = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), cell)
+    cells = F.transform(F.sequence(F.lit(0), length - 1), cell)
     return line.select(*others, F.posexplode(cells).alias(axis, "value"))
 
 
@@ -86,12 +87,13 @@ def perturbation_fields(
     """Spatially correlated random fields (member, ix, iy, value) of a given mean and deviation.
 
     Noise of N(1, 10), 1 in the border, smoothed along both axes with mirrored
-    edges, normalised by member.
+    edges, normalised by member.  A cell's noise follows from seed and place alone,
+    whatever the partitions.
     """
     n = members * nx * ny
     i = F.col("id")
     noise = spark.range(0, n, 1, max(1, n // 1_000_000 + 1)).select(
-        F.floor(i / (nx * ny)).cast("int").alias("member"), F.floor(i / ny % nx).cast("int").alias("ix"), (i % ny).cast("int").alias("iy"), (1 + 10 * F.randn(seed)).alias("value")
+        F.floor(i / (nx * ny)).cast("int").alias("member"), F.floor(i / ny % nx).cast("int").alias("ix"), (i % ny).cast("int").alias("iy"), (1 + 10 * standard_normal(i, seed)).alias("value")
     )
     noise = set_boundary(noise, nx, ny, boundary, 1.0)
     keys = ("member", "ix", "iy")

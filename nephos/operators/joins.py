@@ -230,7 +230,7 @@ def update_values(table: DataFrame, updates: DataFrame, column: str, clear: bool
     A key that comes twice must bring one value; two different ones raise.
     """
     value = F.col("value")
-    several = (F.count_distinct(value) > 1) | ((F.count(value) > 0) & (F.count(value) < F.count(F.lit(1))))
+    several = (F.min(value) != F.max(value)) | ((F.count(value) > 0) & (F.count(value) < F.count(F.lit(1))))
     one = F.when(several, F.raise_error(F.concat(F.lit("several values for key "), F.col(key).cast("string")))).otherwise(F.max(value))
     new = updates.groupBy(key).agg(one.alias("_new")).withColumn("_hit", F.lit(True))
     joined = table.join(new, key, "left")

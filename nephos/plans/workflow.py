@@ -30,7 +30,7 @@ class Step(StrEnum):
     CYCLE_COMPLETE = "cycle_complete"
 
 
-#: (state, step) to the state after it.
+#: (state, step) to the state after it; the names of states and steps, and the seven rules, are fixed values.
 STEPS: dict[tuple[State, Step], State] = {
     (State.INITIALIZED, Step.START_ADVANCING): State.ADVANCING_MEMBERS,
     (State.ADVANCING_MEMBERS, Step.MEMBER_ADVANCED): State.ADVANCING_MEMBERS,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from nephos.adapters import GRID_SQL, OBS_SQL, ensemble_grid, observations, table
 from nephos.operators import ensemble, joins
-from nephos.queries.shape import r, rounded
+from nephos.queries.shape import normal_sql, r, rounded
 from nephos.registry import register
 
 
@@ -47,26 +47,41 @@ def member_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(ensemble.normalise_members(ensemble_grid(spark, sf_dir), 1.0, 0.5, 0.0, 2.0).select("var", "t_idx", "ix", "iy", "iz", "member", "value"))
 
 
-@register("perturbation_field")
+def smooth_sql(source: str, axis: str, keep: str, sigma: str, radius: int, n: str) -> str:
+    """One axis of ``source`` (keep, axis, value) smoothed with mirrored edges, as a SELECT."""
+    return f"""SELECT {keep}, i AS {axis}, sum(w*value) AS value FROM (
+      SELECT {", ".join("c." + k.strip() for k in keep.split(","))}, c.{axis} AS i, w.w, s.value FROM {source} c
+      JOIN (SELECT k, exp(-0.5*(k/{sigma})*(k/{sigma}))/(SELECT sum(exp(-0.5*(j/{sigma})*(j/{sigma}))) FROM range(-{radius}, {radius + 1}) r(j)) AS w FROM range(-{radius}, {radius + 1}) r(k)) w ON true
+      JOIN {source} s ON {" AND ".join(f"s.{k.strip()} = c.{k.strip()}" for k in keep.split(","))} AND s.{axis} = CASE WHEN ((c.{axis} + w.k) % (2*{n}) + 2*{n}) % (2*{n}) < {n}
+        THEN ((c.{axis} + w.k) % (2*{n}) + 2*{n}) % (2*{n}) ELSE 2*{n} - 1 - ((c.{axis} + w.k) % (2*{n}) + 2*{n}) % (2*{n}) END) GROUP BY ALL"""
+
+
+@register(
+    "perturbation_field",
+    f"""WITH raw AS (SELECT CAST(id // 1200 AS INT) AS member, CAST((id // 30) % 40 AS INT) AS ix, CAST(id % 30 AS INT) AS iy, 1 + 10*{normal_sql("id", 7)} AS value FROM range(4800) t(id)),
+    g AS (SELECT member, ix, iy, CASE WHEN ix < 3 OR ix >= 37 OR iy < 3 OR iy >= 27 THEN 1.0 ELSE value END AS value FROM raw),
+    sx AS ({smooth_sql("g", "ix", "member, iy", "CAST(2.5 AS DOUBLE)", 10, "40")}), sy AS ({smooth_sql("sx", "iy", "member, ix", "CAST(2.5 AS DOUBLE)", 10, "30")}),
+    m AS (SELECT member, avg(value) AS m, stddev_pop(value) AS s FROM sy GROUP BY member)
+    SELECT member, ix, iy, round(least(greatest((value - m)/s*CAST(0.1 AS DOUBLE) + 1, 0.5), 1.5), 6) AS value FROM sy JOIN m USING (member)""",
+)
 def perturbation_field(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ensemble.perturbation_fields(spark, 4, 40, 30, 1.0, 0.1, boundary=3, low=0.5, high=1.5, seed=7)
+    return rounded(ensemble.perturbation_fields(spark, 4, 40, 30, 1.0, 0.1, boundary=3, low=0.5, high=1.5, seed=7).select("member", "ix", "iy", "value"))
 
 
 @register(
     "gaussian_smooth",
-    """WITH g AS (SELECT CAST(c_custkey % 10 AS INT) AS line, CAST(row_number() OVER (PARTITION BY c_custkey % 10 ORDER BY c_custkey) - 1 AS INT) AS ix, c_acctbal AS value FROM customer),
-    n AS (SELECT line, count(*) AS n FROM g GROUP BY line), q AS (SELECT * FROM g WHERE ix < 10),
-    w AS (SELECT k, exp(-0.5*k*k)/(SELECT sum(exp(-0.5*j*j)) FROM range(-4, 5) r(j)) AS w FROM range(-4, 5) r(k)),
-    c AS (SELECT a.line, a.ix, w.w, ((a.ix + w.k) % 20 + 20) % 20 AS m FROM q a, w)
-    SELECT c.line, c.ix, round(sum(c.w*q.value), 4) AS value FROM c JOIN q ON q.line = c.line AND q.ix = CASE WHEN c.m < 10 THEN c.m ELSE 19 - c.m END GROUP BY ALL""",
+    f"""WITH g AS (SELECT CAST(c_custkey % 10 AS INT) AS line, CAST(row_number() OVER (PARTITION BY c_custkey % 10 ORDER BY c_custkey) - 1 AS INT) AS ix,
+      CAST(count(*) OVER (PARTITION BY c_custkey % 10) AS INT) AS n, c_acctbal AS value FROM customer)
+    SELECT line, ix, round(value, 4) AS value FROM ({smooth_sql("g", "ix", "line, n", "CAST(1 AS DOUBLE)", 4, "c.n")})""",
 )
 def gaussian_smooth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers in ten lines, as long as they are."""
     from pyspark.sql import Window
 
     line = (F.col("c_custkey") % 10).cast("int")
     place = (F.row_number().over(Window.partitionBy("line").orderBy("c_custkey")) - 1).cast("int")
-    grid = table(spark, sf_dir, "customer").select(line.alias("line"), "c_custkey", F.col("c_acctbal").alias("value")).withColumn("ix", place).where("ix < 10").select("line", "ix", "value")
-    return rounded(ensemble.smooth_axis(grid, "ix", 10, 1.0, ["line", "ix"]), 4)
+    grid = table(spark, sf_dir, "customer").select(line.alias("line"), "c_custkey", F.col("c_acctbal").alias("value")).withColumn("ix", place).select("line", "ix", "value")
+    return rounded(ensemble.smooth_axis(grid, "ix", None, 1.0, ["line", "ix"]), 4)
 
 
 @register(
@@ -118,13 +133,14 @@ def drop_empty_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "dense_reconstruct",
-    f"""WITH {OBS_SQL}, v AS (SELECT instrument, c_profile % 8 AS p, c_bin AS b, max(value) AS value FROM obs WHERE obs_id % 3 = 0 GROUP BY ALL),
-    s AS (SELECT i.instrument, CAST(p AS INT) AS p, CAST(b AS INT) AS b FROM (SELECT DISTINCT instrument FROM v) i, range(8) x(p), range(24) y(b))
+    f"""WITH {OBS_SQL}, v AS (SELECT instrument, c_profile % 500 AS p, c_bin AS b, max(value) AS value FROM obs GROUP BY ALL),
+    s AS (SELECT i.instrument, CAST(p AS INT) AS p, CAST(b AS INT) AS b FROM (SELECT DISTINCT instrument FROM v) i, range(500) x(p), range(24) y(b))
     SELECT s.instrument, s.p, s.b, round(coalesce(value, -1), 6) AS value FROM s LEFT JOIN v USING (instrument, p, b)""",
 )
 def dense_reconstruct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = observations(spark, sf_dir).where("obs_id % 3 = 0").groupBy("instrument", (F.col("c_profile") % 8).alias("p"), F.col("c_bin").alias("b")).agg(F.max("value").alias("value"))
-    return rounded(ensemble.dense(v, {"p": 8, "b": 24}, ["value"], -1.0, ["instrument"]))
+    """Each instrument has rows in some of the cells only."""
+    v = observations(spark, sf_dir).groupBy("instrument", (F.col("c_profile") % 500).alias("p"), F.col("c_bin").alias("b")).agg(F.max("value").alias("value"))
+    return rounded(ensemble.dense(v, {"p": 500, "b": 24}, ["value"], -1.0, ["instrument"]))
 
 
 @register("orig_coords_expand", f"WITH {OBS_SQL} SELECT obs_id, c_profile AS coord_profile, c_bin AS coord_bin, CAST(NULL AS INT) AS coord_other FROM obs")
@@ -151,12 +167,13 @@ def unpivot_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "union_files",
-    """WITH a AS (SELECT event_id, value, NULL AS props FROM events WHERE event_id % 2 = 0 UNION ALL SELECT event_id, NULL, props FROM events WHERE event_id % 3 = 0)
+    """WITH a AS (SELECT event_id, value, NULL AS props FROM events WHERE event_type IN ('click', 'view') UNION ALL SELECT event_id, NULL, props FROM events WHERE event_type NOT IN ('click', 'view'))
     SELECT count(*) AS n, count(value) AS n_value, count(props) AS n_props FROM a""",
 )
 def union_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    both = ensemble.union_all([e.where("event_id % 2 = 0").select("event_id", "value"), e.where("event_id % 3 = 0").select("event_id", "props")])
+    seen = F.col("event_type").isin("click", "view")
+    both = ensemble.union_all([e.where(seen).select("event_id", "value"), e.where(~seen).select("event_id", "props")])
     return both.agg(F.count(F.lit(1)).alias("n"), F.count("value").alias("n_value"), F.count("props").alias("n_props"))
 
 

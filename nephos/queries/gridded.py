@@ -48,13 +48,16 @@ X_AXIS, Y_AXIS = (0.0, 200_000.0, 19), (0.0, 200_000.0, 10)
 
 @register(
     "trilinear_interp",
-    f"""WITH {OBS_SQL}, {FRAMES_SQL}, b AS (SELECT clip.*, left_idx, right_idx, CASE WHEN ru = lu THEN 0 ELSE (cu - lu)/CAST(ru - lu AS DOUBLE) END AS w
-      FROM clip JOIN spans ON cu >= lu AND (cu < ru OR is_last))
-    SELECT obs_id, round(CASE WHEN us >= lo - 3600000000 AND us <= hi + 3600000000 THEN
-      left_idx + w*(right_idx - left_idx) + 0.5*least(x/200000, 18) + 0.25*least(y/200000, 9) + 2*least(z/2000, 10) END, 6) AS model FROM b""",
+    f"""WITH {OBS_SQL}, {FRAMES_SQL}, b AS (SELECT obs_id, us >= lo - 3600000000 AND us <= hi + 3600000000 AS valid, left_idx, right_idx, CASE WHEN ru = lu THEN 0 ELSE (cu - lu)/CAST(ru - lu AS DOUBLE) END AS w,
+      least(floor(x/200000), 17) AS i, least(x/200000 - least(floor(x/200000), 17), 1) AS wx, least(floor(y/200000), 8) AS j, least(y/200000 - least(floor(y/200000), 8), 1) AS wy,
+      least(floor(z/2000), 9) AS l, least(z/2000 - least(floor(z/2000), 9), 1) AS wl FROM clip JOIN spans ON cu >= lu AND (cu < ru OR is_last)),
+    c AS (SELECT obs_id, valid, CASE WHEN dt = 0 THEN left_idx ELSE right_idx END AS t, CAST(i + dx AS INT) AS ix, CAST(j + dy AS INT) AS iy, CAST(l + dl AS INT) AS il,
+      (CASE WHEN dt = 0 THEN 1 - w ELSE w END)*(CASE WHEN dx = 0 THEN 1 - wx ELSE wx END)*(CASE WHEN dy = 0 THEN 1 - wy ELSE wy END)*(CASE WHEN dl = 0 THEN 1 - wl ELSE wl END) AS weight
+      FROM b, range(2) p(dt), range(2) q(dx), range(2) u(dy), range(2) v(dl))
+    SELECT obs_id, round(CASE WHEN bool_and(valid) THEN sum(weight*(t + CAST(0.5 AS DOUBLE)*ix + CAST(0.25 AS DOUBLE)*iy + 2*il + CAST(0.5 AS DOUBLE)*((t*7 + ix*5 + iy*3 + il*11) % 13))) END, 6) AS model FROM c GROUP BY obs_id""",
 )
 def trilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The grid is linear in every direction, so its interpolation has a closed form."""
+    """The grid is rough, so every corner and weight counts; the levels are the same everywhere."""
     return rounded(interpolate_model(observations(spark, sf_dir), model_frames(spark), X_AXIS, Y_AXIS))
 
 
@@ -145,12 +148,12 @@ def nearest_grid_point(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "model_value_update",
-    f"""WITH {OBS_SQL}, u AS (SELECT obs_id, z*2 AS value FROM obs WHERE obs_id % 3 = 0)
+    f"""WITH {OBS_SQL}, u AS (SELECT obs_id, z*2 AS value FROM obs WHERE instrument IN ('click', 'view'))
     SELECT o.obs_id, round(CASE WHEN u.obs_id IS NOT NULL THEN u.value ELSE model_forecast END, 6) AS kept, round(u.value, 6) AS cleared FROM obs o LEFT JOIN u USING (obs_id)""",
 )
 def model_value_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs = observations(spark, sf_dir).select("obs_id", "model_forecast")
-    new = observations(spark, sf_dir).where("obs_id % 3 = 0").select("obs_id", (F.col("z") * 2).alias("value"))
+    new = observations(spark, sf_dir).where("instrument IN ('click', 'view')").select("obs_id", (F.col("z") * 2).alias("value"))
     kept = joins.update_values(obs, new, "model_forecast").withColumnRenamed("model_forecast", "kept")
     cleared = joins.update_values(obs, new, "model_forecast", clear=True).withColumnRenamed("model_forecast", "cleared")
     return rounded(kept.join(cleared, "obs_id"))
@@ -173,12 +176,12 @@ def member_long_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "state_overlay",
     """WITH b AS (SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'T' ELSE 'U' END AS var, p_retailprice AS value FROM part),
-    n AS (SELECT l_partkey AS p_partkey, max(l_extendedprice) AS value FROM lineitem WHERE l_partkey % 3 = 0 GROUP BY 1)
+    n AS (SELECT l_partkey AS p_partkey, max(l_extendedprice) AS value FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
     SELECT p_partkey, var, round(CASE WHEN var = 'T' THEN coalesce(n.value, b.value) ELSE b.value END, 6) AS value FROM b LEFT JOIN n USING (p_partkey)""",
 )
 def state_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_size") % 2 == 0, "T").otherwise("U").alias("var"), F.col("p_retailprice").alias("value"))
-    new = table(spark, sf_dir, "lineitem").where("l_partkey % 3 = 0").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.max("l_extendedprice").alias("value"))
+    new = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.max("l_extendedprice").alias("value"))
     return rounded(joins.overlay(base, new.withColumn("var", F.lit("T")), ["T"], ["p_partkey", "var"]).select("p_partkey", "var", "value"))
 
 

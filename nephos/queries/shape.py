@@ -22,3 +22,9 @@ def r(*expressions: str, digits: int = DIGITS) -> str:
     """``expr AS name`` items of oracle SQL, rounded alike."""
     parts = [e.rsplit(" AS ", 1) for e in expressions]
     return ", ".join(f"CASE WHEN round({e}, {digits}) = 0 THEN CAST(0 AS DOUBLE) ELSE round({e}, {digits}) END AS {n}" for e, n in parts)
+
+
+def normal_sql(key: str, seed: int) -> str:
+    """``columns.standard_normal`` in oracle SQL."""
+    part = lambda at: f"CAST(('0x' || substr(md5('{seed}:' || {key}), {at}, 8)) AS BIGINT)"
+    return f"(sqrt(-2*ln(({part(1)} + 1)/CAST(4294967296 AS DOUBLE)))*cos(2*pi()*{part(9)}/CAST(4294967296 AS DOUBLE)))"

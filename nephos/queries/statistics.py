@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from nephos.adapters import CALENDAR_SQL, OBS_SQL, cycle_calendar, observations, table
 from nephos.operators import cycles, diagnostics, validation
-from nephos.queries.shape import r, rounded
+from nephos.queries.shape import normal_sql, r, rounded
 from nephos.registry import register
 
 DEP_SQL = f"""{OBS_SQL}, dep AS (SELECT *, value - model_forecast AS departure,
@@ -179,9 +179,17 @@ def rank_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(diagnostics.rank_diagnostics(members(spark, sf_dir)))
 
 
-@register("rank_histogram_dithered")
+@register(
+    "rank_histogram_dithered",
+    f"""WITH {MEMBERS_SQL}, n AS (SELECT *, obs + {normal_sql("vec_id", 3)}*sqrt(0.25) AS noisy FROM d),
+    k AS (SELECT len(list_filter(prior, lambda x: x < noisy)) AS rank FROM n), c AS (SELECT rank, count(*) AS n FROM k GROUP BY rank), t AS (SELECT count(*) AS n FROM d)
+    SELECT CAST(s.rank AS INT) AS rank, coalesce(c.n, 0) AS count,
+    {r("t.n * (1/CAST(33 AS DOUBLE)) AS expected", "t.n*(1/CAST(33 AS DOUBLE)) - 1.96*sqrt(t.n*(1/CAST(33 AS DOUBLE))*(1-1/CAST(33 AS DOUBLE))) AS low",
+       "t.n*(1/CAST(33 AS DOUBLE)) + 1.96*sqrt(t.n*(1/CAST(33 AS DOUBLE))*(1-1/CAST(33 AS DOUBLE))) AS high")}
+    FROM range(33) s(rank) LEFT JOIN c ON s.rank = c.rank, t""",
+)
 def rank_histogram_dithered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(diagnostics.rank_histogram(members(spark, sf_dir), seed=3))
+    return rounded(diagnostics.rank_histogram(members(spark, sf_dir), seed=3, key="vec_id"))
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:

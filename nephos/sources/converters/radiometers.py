@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from nephos.functions.columns import clipped_error, date_fraction, land_ocean_error, null_if_missing, tai93
 from nephos.sources.converters.base import coords, observation, register
 
-#: Quantities of polarimeter bands, and of imager channels (fixed values).
+#: Quantities of polarimeter bands, and the names of a product's files (fixed values).
 HARP_BANDS = {"440.16": "440nm", "549.57": "550nm", "664.57": "665nm", "865.63": "870nm"}
 PRODUCT_NAME = r"PACE_SPEXONE.*AER_(?:LAND|OCEAN)_REMOTAP\.nc"
 

@@ -33,9 +33,10 @@ def filter_rows(df: DataFrame, *keep: str) -> DataFrame:
 
 
 def sequence_count(header: Column) -> Column:
-    """The number of observations that a sequence file's first 2 KB name; null without one."""
-    found = F.regexp_extract(F.substring(header, 1, 2048), r"[^_]num_obs:\s+(\d+)", 1)
-    return F.nullif(found, F.lit("")).cast("bigint")
+    """The number of observations that a sequence file's first 2 KB name: the word after ``num_obs:``; null without one."""
+    found = F.filter(F.split(F.substring(header, 1, 2048), r"\s+"), lambda w: w != "")
+    at = F.array_position(found, "num_obs:")
+    return F.when(at > 0, F.get(found, at.cast("int"))).try_cast("bigint")
 
 
 def diagnostics_rows(wide: DataFrame, n_members: int) -> DataFrame:
