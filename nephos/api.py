@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,13 +47,15 @@ def trim(df: DataFrame, domain: Domain, ignore: Sequence[str] = ()) -> DataFrame
 
 def add_observations(spark: SparkSession, store: ObservationStore, paths: Sequence[str], domain: Domain, ignore: Sequence[str] = (), reduction: Reduction | None = None) -> None:
     """Read files or folders, trim, reduce, and replace their rows in the store: one lineage, one write."""
-    rows = trim(obs_files.read_obs(spark, *paths), domain, ignore)
+    read = obs_files.read_obs(spark, *paths)
+    names = sorted(unquote(f.rsplit("/", 1)[-1]) for f in read.inputFiles())
+    rows = trim(read, domain, ignore)
     if reduction is not None:
         dims = sorted({d for h, v in reduction.superobs.values() for d in (*h, *v)})
         rows = ensemble.expand_coords(rows, dims).withColumnsRenamed({f"coord_{d}": d for d in dims})
         rows = rows.withColumn("obs_id", F.xxhash64("ingest_file", "instrument", "quantity", "time", "longitude", "latitude", "z", "orig_coords"))
         rows = superobs.reduce_density(rows, reduction.superobs, reduction.time_bins, reduction.strides).drop("obs_id")
-    store.add(rows)
+    store.add(rows, names)
 
 
 def prepare_cycles(calendar: DataFrame, obs: DataFrame, half_minutes: int, names: Sequence[str], factors: DataFrame, path: str) -> DataFrame:
@@ -119,6 +122,18 @@ def analyse_first_departures(
     return out
 
 
+def point_summary(obs: DataFrame, value: str = "value") -> DataFrame:
+    """Of each pair: distinct places, and the 1 and 99 % quantiles of its values."""
+    by = ["instrument", "quantity"]
+    places = obs.groupBy(*by).agg(F.count_distinct("longitude", "latitude").alias("places"))
+    return places.join(validation.wide_quantiles(obs.select(*by, value), value, {"p01": 0.01, "p99": 0.99}, by), by, "left")
+
+
+def without_first_frame(rows: DataFrame, start: dt.datetime, time: str = "t") -> DataFrame:
+    """Frames after the cycle's start."""
+    return rows.where(F.col(time) != F.lit(start))
+
+
 def postprocess(members: DataFrame, path: str, cycle: int, processors: Pipeline | None = None, last_only: bool = False) -> DataFrame:
     """Mean and deviation of a cycle's member fields after its processors, appended by cycle."""
     rows = processors.run(members, Context(cycle)) if processors is not None else members

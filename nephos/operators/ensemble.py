@@ -156,6 +156,28 @@ def dense(df: DataFrame, sizes: dict[str, int], values: Sequence[str], fill: flo
     return out if fill is None else out.withColumns({v: F.coalesce(v, F.lit(fill)) for v in values})
 
 
+def at_level(df: DataFrame, level: int, profile: str = "profile", value: str = "value") -> DataFrame:
+    """One level of a profile column, null beyond its end."""
+    return df.withColumn(value, F.get(profile, F.lit(level))).drop(profile)
+
+
+def with_member(df: DataFrame, member: int, static: Sequence[str] = ()) -> DataFrame:
+    """Rows of one member's variables; those of static variables belong to no member."""
+    return df.withColumn("member", F.when(F.col("var").isin(*static), F.lit(None)).otherwise(F.lit(member)).cast("int") if static else F.lit(member))
+
+
+def native_array(df: DataFrame, index: str, value: str, size: int, keys: Sequence[str]) -> DataFrame:
+    """Rows to one array a key, in the order of ``index``; missing places are null."""
+    held = F.map_from_entries(F.collect_list(F.struct(index, value)))
+    return df.groupBy(*keys).agg(held.alias("_m")).select(*keys, F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.try_element_at("_m", i)).alias(value))
+
+
+def member_cycles(members: DataFrame, cycles: DataFrame) -> DataFrame:
+    """Every member of every cycle: a list of commands to run."""
+    # A product by its nature: one row for each pair is what is wanted.
+    return members.crossJoin(cycles)
+
+
 def duplicates(df: DataFrame, coords: Sequence[str]) -> DataFrame:
     """Coordinates that occur more than once, with their counts."""
     return df.groupBy(*coords).agg(F.count(F.lit(1)).alias("n")).where("n > 1")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import fcntl
 import json
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from enum import StrEnum
 from pathlib import Path
 from typing import Any
@@ -53,50 +56,79 @@ def after(state: State, step: Step, advanced: int | None = None, members: int |
 
 
 class Ledger:
-    """The state of an experiment in one JSON file, replaced whole at every change."""
+    """The state of an experiment in one JSON file, replaced whole at every change.
+
+    A change locks the file's neighbour, reads what others have written, and writes,
+    so several writers on one host lose nothing.
+    """
 
     def __init__(self, path: str | Path, members: int):
         self.path, self.members = Path(path), members
-        empty = {"cycle": 0, "state": State.INITIALIZED, "advanced": [], "runs": [], "operations": []}
-        self.data: dict[str, Any] = json.loads(self.path.read_text()) if self.path.exists() else empty
+        self.data = self._read()
 
-    def _save(self) -> None:
-        replace_file(self.path, json.dumps(self.data))
+    def _read(self) -> dict[str, Any]:
+        empty = {"cycle": 0, "state": State.INITIALIZED, "advanced": [], "runs": [], "operations": []}
+        return json.loads(self.path.read_text()) if self.path.exists() else empty
+
+    @contextmanager
+    def _change(self) -> Iterator[dict[str, Any]]:
+        """The data as it is now, saved at the end unless something raises."""
+        with self.path.with_name(f".{self.path.name}.lock").open("a") as lock:
+            fcntl.flock(lock, fcntl.LOCK_EX)
+            data = self._read()
+            yield data
+            replace_file(self.path, json.dumps(data))
+            self.data = data
 
     @property
     def state(self) -> State:
         return State(self.data["state"])
 
     def step(self, step: Step) -> State:
-        self.data["state"] = after(self.state, step, len(self.data["advanced"]), self.members)
-        if step is Step.CYCLE_COMPLETE:
-            self.data |= {"cycle": self.data["cycle"] + 1, "state": State.INITIALIZED, "advanced": []}
-        self._save()
+        with self._change() as data:
+            data["state"] = after(State(data["state"]), step, len(data["advanced"]), self.members)
+            if step is Step.CYCLE_COMPLETE:
+                data |= {"cycle": data["cycle"] + 1, "state": State.INITIALIZED, "advanced": []}
         return self.state
 
     def advance(self, member: int, start: str, end: str, seconds: int) -> None:
         """Record a member's run; a member counts once."""
-        if not 0 <= member < self.members:
-            raise ValueError(f"no member {member}")
-        if self.state is State.INITIALIZED:
-            self.data["state"] = after(self.state, Step.START_ADVANCING)
-        self.data["state"] = after(self.state, Step.MEMBER_ADVANCED)
-        self.data["advanced"] = sorted({*self.data["advanced"], member})
-        kept = [r for r in self.data["runs"] if (r["cycle"], r["member"]) != (self.data["cycle"], member)]
-        self.data["runs"] = [*kept, {"cycle": self.data["cycle"], "member": member, "start_time": start, "end_time": end, "duration_s": seconds}]
-        self._save()
+        self.advance_all([(member, start, end, seconds)])
+
+    def advance_all(self, runs: Sequence[tuple[int, str, str, int]]) -> None:
+        """Record several members' runs (member, start, end, seconds) in one change, or none of them."""
+        if wrong := [m for m, *_ in runs if not 0 <= m < self.members]:
+            raise ValueError(f"no member {wrong[0]}")
+        with self._change() as data:
+            if data["state"] == State.INITIALIZED and runs:
+                data["state"] = after(State.INITIALIZED, Step.START_ADVANCING)
+            for member, start, end, seconds in runs:
+                data["state"] = after(State(data["state"]), Step.MEMBER_ADVANCED)
+                data["advanced"] = sorted({*data["advanced"], member})
+                kept = [r for r in data["runs"] if (r["cycle"], r["member"]) != (data["cycle"], member)]
+                data["runs"] = [*kept, {"cycle": data["cycle"], "member": member, "start_time": start, "end_time": end, "duration_s": seconds}]
 
     def reset(self) -> None:
         """Back to the start of the cycle."""
-        self.data |= {"state": State.INITIALIZED, "advanced": []}
-        self._save()
+        with self._change() as data:
+            data |= {"state": State.INITIALIZED, "advanced": []}
 
     def note(self, operation: str) -> None:
         """Record an optional operation of the cycle, once."""
-        entry = [self.data["cycle"], operation]
-        if entry not in self.data["operations"]:
-            self.data["operations"].append(entry)
-            self._save()
+        with self._change() as data:
+            if [data["cycle"], operation] not in data["operations"]:
+                data["operations"].append([data["cycle"], operation])
+
+    def forget(self, cycle: int) -> None:
+        """Drop the runs and operations of a cycle."""
+        with self._change() as data:
+            data["runs"] = [r for r in data["runs"] if r["cycle"] != cycle]
+            data["operations"] = [o for o in data["operations"] if o[0] != cycle]
+
+    def statuses(self, spark: SparkSession) -> DataFrame:
+        """(cycle, member, advanced) of the cycle's members, in order."""
+        rows = [(self.data["cycle"], m, m in self.data["advanced"]) for m in range(self.members)]
+        return spark.createDataFrame(rows, "cycle int, member int, advanced boolean")
 
     def runs(self, spark: SparkSession) -> DataFrame:
         """Run times as a frame for ``operators.cycles.runtime_stats``."""

@@ -1,12 +1,15 @@
 """The observation table on plain Parquet: partitioned by ingest file, replaced file by file.
 
 A file's rows are one partition, so adding it again replaces it and nothing else
-is rewritten; Spark's commit makes each replacement whole.
+is rewritten; Spark's commit makes each replacement whole.  A change of a column
+writes the next version of the table beside the old one: the latest version with
+Spark's mark of success is the table, so a crash leaves the old one.  One writer
+at a time.
 """
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,41 +28,75 @@ class ObservationStore:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), p
 
-    def exists(self) -> bool:
+    def _versions(self) -> list[int]:
+        """Whole versions, in order."""
         fs, p = self._fs(self.path)
-        return fs.exists(p)
+        names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        found = sorted(int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit())
+        return [n for n in found if fs.exists(self._fs(f"{self._folder(n)}/_SUCCESS")[1])]
+
+    def _folder(self, version: int) -> str:
+        return f"{self.path}/v{version:06d}"
+
+    def _current(self) -> str | None:
+        found = self._versions()
+        return self._folder(found[-1]) if found else None
+
+    def _partition(self, folder: str, ingest_file: str) -> str:
+        """A file's partition, its name escaped as Spark escapes it."""
+        return f"{folder}/ingest_file={self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(ingest_file)}"
+
+    def exists(self) -> bool:
+        return self._current() is not None
 
     def read(self) -> DataFrame:
-        if not self.exists():
+        here = self._current()
+        if here is None:
             return self.spark.createDataFrame([], OBS_TABLE_SCHEMA)
-        return self.spark.read.schema(OBS_TABLE_SCHEMA).parquet(self.path)
+        return self.spark.read.schema(OBS_TABLE_SCHEMA).parquet(here)
 
-    def add(self, df: DataFrame) -> None:
-        """Rows with an ``ingest_file``; the files they name are replaced, others stay."""
+    def add(self, df: DataFrame, replaces: Sequence[str] = ()) -> None:
+        """Rows with an ``ingest_file``; the files they name, and those in ``replaces`` even if no row is left of them, are replaced, others stay."""
         order = [f.name for f in OBS_TABLE_SCHEMA.fields]
         have = df.withColumns({c: F.lit(None).cast(OBS_TABLE_SCHEMA[c].dataType) for c in order if c not in df.columns})
         if "obs_id" not in df.columns:
             have = have.withColumn("obs_id", F.xxhash64("ingest_file", "instrument", "quantity", "time", "longitude", "latitude", "z", "orig_coords"))
-        have.select(order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ingest_file").parquet(self.path)
+        here = self._current()
+        if here is None:
+            here = self._folder(1)
+            fs, mark = self._fs(f"{here}/_SUCCESS")
+            fs.create(mark).close()
+        before = {name: self._written(here, name) for name in replaces}
+        have.select(order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ingest_file").parquet(here)
+        for name, files in before.items():
+            if files and self._written(here, name) == files:  # no row came, so Spark left the old ones
+                self._drop(here, name)
+
+    def _written(self, folder: str, ingest_file: str) -> set[str]:
+        fs, p = self._fs(self._partition(folder, ingest_file))
+        return {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
+
+    def _drop(self, folder: str, ingest_file: str) -> bool:
+        fs, p = self._fs(self._partition(folder, ingest_file))
+        return fs.delete(p, True) if fs.exists(p) else False
 
     def delete(self, ingest_file: str) -> bool:
         """Drop a file's partition; False if there is none."""
-        fs, p = self._fs(f"{self.path}/ingest_file={ingest_file}")
-        return fs.delete(p, True) if fs.exists(p) else False
+        here = self._current()
+        return here is not None and self._drop(here, ingest_file)
 
     def find(self, orig_filename: str) -> DataFrame | None:
         found = self.read().where(F.col("orig_filename") == orig_filename)
         return None if found.isEmpty() else found
 
     def update(self, updates: DataFrame, column: str, clear: bool = False) -> None:
-        """New values of a model column by obs_id: the table is written beside itself, then swapped."""
-        fs, here = self._fs(self.path)
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        beside, old = f"{self.path}.{uuid.uuid4().hex}", path(f"{self.path}.old.{uuid.uuid4().hex}")
-        update_values(self.read(), updates, column, clear).write.partitionBy("ingest_file").parquet(beside)
-        fs.rename(here, old)
-        fs.rename(path(beside), here)
-        fs.delete(old, True)
+        """New values of a model column by obs_id, as the next version; the one before it goes."""
+        found = self._versions()
+        after = self._folder(found[-1] + 1 if found else 1)
+        update_values(self.read(), updates, column, clear).write.mode("overwrite").partitionBy("ingest_file").parquet(after)
+        for n in found:
+            fs, p = self._fs(self._folder(n))
+            fs.delete(p, True)
 
 
 def write_members(df: DataFrame, path: str) -> None:
@@ -72,11 +109,27 @@ def with_observations(members: DataFrame, obs: DataFrame, how: str = "left") ->
     return members.join(obs.select("obs_id", F.col("value").alias("obs_value"), "value_uncertainty", "longitude", "latitude", "z", "qc_flag"), "obs_id", how)
 
 
-def write_grid(df: DataFrame, path: str, *by: str) -> None:
-    """A gridded field, float32 values, appended by (cycle, ...)."""
+def write_grid(df: DataFrame, path: str, *by: str, time: str | None = None) -> None:
+    """A gridded field, float32 values, appended by (cycle, ...).
+
+    With ``time`` a frame that is already there raises, as a time comes once.
+    """
+    if time is not None:
+        spark = df.sparkSession
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(p):
+            again = df.select(time).distinct().join(spark.read.parquet(path).select(time).distinct(), time, "left_semi").limit(1).collect()
+            if again:
+                raise ValueError(f"{path} already holds {time} {again[0][0]}")
     floats = {f.name: F.col(f.name).cast("float") for f in df.schema.fields if f.dataType.simpleString() == "double" and f.name not in by}
     df.withColumns(floats).write.mode("append").option("compression", "zstd").partitionBy(*by).parquet(path)
 
 
+def write_ensemble(df: DataFrame, path: str) -> None:
+    """Member fields (cycle, t, member, ...), float32, by cycle and member; a member's frame that is there already raises."""
+    marked = df.withColumn("frame", F.concat_ws("/", F.col("t").cast("string"), F.col("member").cast("string")))
+    write_grid(marked, path, "cycle", "member", time="frame")
+
+
 def write_csv(df: DataFrame, path: str, *order: str) -> None:
     (df.orderBy(*order) if order else df).write.mode("overwrite").option("header", True).csv(path)
