@@ -40,9 +40,10 @@ class LambertConformal:
         return self.radius * self.factor / math.tan(math.pi / 4 + math.radians(self.origin_lat) / 2) ** self.cone
 
     def forward(self, lon: Column, lat: Column) -> tuple[Column, Column]:
-        """x and y in metres."""
+        """x and y in metres; the pole that the cone opens to lies at infinity."""
         n = self.cone
-        rho = self.radius * self.factor / F.pow(F.tan(math.pi / 4 + F.radians(lat) / 2), F.lit(n))
+        slope = F.pow(F.tan(math.pi / 4 + F.radians(lat) / 2), F.lit(n))
+        rho = F.when(slope == 0, F.lit(float("inf"))).otherwise(F.try_divide(F.lit(self.radius * self.factor), slope))
         turn = n * F.radians(F.pmod(lon - self.central_lon + 180, F.lit(360.0)) - 180)
         return rho * F.sin(turn), self.origin_rho - rho * F.cos(turn)
 
