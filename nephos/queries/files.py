@@ -286,7 +286,7 @@ def gridded_file_interp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "diagnostics_file",
-    """SELECT CAST(i AS DOUBLE) AS obs, CASE WHEN i % 7 <> 0 THEN i + 100 END AS prior_mean, round(sqrt(CAST(i + 200 AS DOUBLE)), 6) AS obs_std, 3 AS n_prior, CAST(i + 700 AS DOUBLE) AS second_prior, CAST(i % 8 AS INT) AS dart_qc,
+    """SELECT CAST(i AS DOUBLE) AS obs, CAST(CASE WHEN i % 7 <> 0 THEN i + 100 END AS DOUBLE) AS prior_mean, round(sqrt(CAST(i + 200 AS DOUBLE)), 6) AS obs_std, 3 AS n_prior, CAST(i + 700 AS DOUBLE) AS second_prior, CAST(i % 8 AS INT) AS dart_qc,
     CASE i % 3 WHEN 0 THEN 'AIRSENSE AOD' WHEN 1 THEN 'HLOS_WIND' ELSE 'unknown_2' END AS obs_type, CAST(i*10 AS DOUBLE) AS longitude, (1704067200 + i*60)*1000000 AS t_us FROM range(40) t(i)""",
 )
 def diagnostics_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -494,7 +494,7 @@ def last_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("var", "ix", "iy", "iz", "n", F.round(F.col("mean").cast("double"), 4).alias("mean"))
 
 
-@register("first_least_index", "SELECT vec_id, list_position(embedding, list_min(embedding)) AS at FROM embeddings")
+@register("first_least_index", "SELECT vec_id, CAST(list_position(embedding, list_min(embedding)) AS BIGINT) AS at FROM embeddings")
 def first_least_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select("vec_id", F.array_position("embedding", F.array_min("embedding")).alias("at"))
 

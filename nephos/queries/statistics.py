@@ -137,7 +137,7 @@ CORRELATED = ("value", "model_forecast", "model_analysis", "value_uncertainty",
     "correlation_matrix",
     f"WITH {OBS_SQL} "
     + " UNION ALL ".join(
-        f"SELECT '{a}' AS a, '{b}' AS b, " + ("CAST(1.0 AS DOUBLE) AS r" if a == b else f"round(corr({a}, {b}), 6) AS r FROM obs") for a in CORRELATED for b in CORRELATED
+        f"SELECT '{a}' AS a, '{b}' AS b, " + ("CAST(1.0 AS DOUBLE) AS r" if a == b else f"{r(f'corr({a}, {b}) AS r')} FROM obs") for a in CORRELATED for b in CORRELATED
     ),
 )
 def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from nephos.operators import cycles, ensemble, filters, joins, superobs
+from nephos.operators import cycles, ensemble, filters, joins, superobs, validation
 
 T0 = dt.datetime(2024, 1, 1)
 OBS = "obs_id long, ingest_file string, instrument string, quantity string, time timestamp_ntz, longitude double, latitude double, x double, y double, z double, z_type string, value double, value_uncertainty double, qc_flag int, orig_filename string, metadata string, c int, d int"
@@ -132,3 +132,89 @@ def test_check_one_shape(spark):
     assert ensemble.check_one_shape(df) == ([2], ["row"])
     with pytest.raises(ValueError):
         ensemble.check_one_shape(df.limit(0))
+
+
+def scans(df):
+    """Scans of the source in the plan that was written, before any reuse."""
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_density_reduction_scans_do_not_grow_with_pairs(spark, sf_dir):
+    from nephos.adapters import observations
+
+    rows = observations(spark, sf_dir)
+    pairs = [f"{i}.{q}" for i in ("click", "view", "purchase", "signup", "error") for q in ("AOD_550nm", "HLOS_WIND")]
+
+    def plan(n):
+        grids = {p: ({"c_profile": 5 + k}, {"c_bin": 2 + k}) for k, p in enumerate(pairs[:n])}
+        bins = {p: (60 * (k + 1), 0) for k, p in enumerate(pairs[4 : 4 + n])}
+        return superobs.reduce_density(rows, grids, bins, {p: 3 + k for k, p in enumerate(pairs[-n:])})
+
+    assert scans(plan(1)) == scans(plan(2)) == scans(plan(4)) < 16
+
+
+def test_thinning_counts_over_time_slices(spark):
+    df = obs(spark, [(m, 1.0, 0.1, 0, 0) for m in range(100)]).withColumn("time", F.col("time") + F.expr("INTERVAL 7 MINUTES") * (F.col("obs_id") % 5))
+    order = [r["obs_id"] for r in df.orderBy("time", "obs_id").collect()]
+    kept = {r["obs_id"] for r in superobs.stride_thin(df, 7).where("qc_flag = 0").collect()}
+    assert kept == set(order[::7])
+    assert superobs.stride_thin(df, F.lit(None).cast("int")).where("qc_flag = 0").count() == 100
+
+
+def exact_density(values, points=200):
+    n = len(values)
+    mean = sum(values) / n
+    h = math.sqrt(sum((v - mean) ** 2 for v in values) / (n - 1)) * n**-0.2
+    low, high = min(values), max(values)
+    at = [low + (high - low) * k / (points - 1) for k in range(points)]
+    return [sum(math.exp(-0.5 * ((x - v) / h) ** 2) for v in values) / (n * h * math.sqrt(2 * math.pi)) for x in at]
+
+
+def test_density_curve_beside_an_outlier_is_the_exact_one(spark):
+    import random
+
+    rng = random.Random(1)
+    values = [rng.gauss(0, 1) for _ in range(3000)] + [3_000.0]
+    df = spark.createDataFrame([("i", "q", v) for v in values], "instrument string, quantity string, departure double")
+    got = [r["density"] for r in validation.density_curve(df).orderBy("x").collect()]
+    want = exact_density(values)
+    assert len(got) == 200 and max(abs(a - b) for a, b in zip(got, want, strict=True)) < 2e-4 * max(want)
+
+
+def test_quantiles_of_ties_and_small_groups(spark):
+    rows = [("a", float(v)) for v in [1, 1, 1, 5, 9]] + [("b", 2.0)] + [("c", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r["k"]: (r["lo"], r["mid"]) for r in validation.wide_quantiles(df, "v", {"lo": 0.25, "mid": 0.6}, ["k"]).collect()}
+    assert got == {"a": (1.0, pytest.approx(2.6)), "b": (2.0, 2.0)}
+
+
+def test_nearest_point_far_outside_and_in_ties(spark):
+    grid = spark.createDataFrame([(i, j, float(i), float(j)) for i in range(12) for j in range(12)], "ix int, iy int, glon double, glat double")
+    places = [(1, 0.5, 0.5), (2, -5_000.0, 3.2), (3, 11.4, 900.0), (4, 4.4, 7.6), (5, 4.4, 7.6)]
+    points = spark.createDataFrame(places, "obs_id int, longitude double, latitude double")
+    got = {r["obs_id"]: (r["ix"], r["iy"]) for r in joins.nearest_point(points, grid).collect()}
+    assert got == {1: (0, 0), 2: (0, 3), 3: (11, 11), 4: (4, 8), 5: (4, 8)}
+
+
+def test_updates_of_a_repeated_key(spark):
+    rows = spark.createDataFrame([(1, 0.0), (2, 0.0)], "obs_id int, m double")
+    same = spark.createDataFrame([(1, 5.0), (1, 5.0)], "obs_id int, value double")
+    assert sorted(map(tuple, joins.update_values(rows, same, "m").collect())) == [(1, 5.0), (2, 0.0)]
+    with pytest.raises(Exception, match="several values for key 1"):
+        joins.update_values(rows, same.unionAll(spark.createDataFrame([(1, 6.0)], same.schema)), "m").collect()
+
+
+def test_corners_of_missing_cells_and_members(spark):
+    grid = spark.createDataFrame([(0, x, y, m, [float(m), 2.0 * x]) for x in (0, 1, 2) for y in (0, 1) for m in (1, 2) if (x, y) != (2, 1)], "t_idx int, ix int, iy int, member int, profile array<double>")
+    points = spark.createDataFrame([(1, 0.5, 0.0, 0, 0, 0.0), (2, 1.5, 0.0, 0, 0, 0.0)], "obs_id int, x double, y double, left_idx int, right_idx int, t_weight double")
+    got = {(r["obs_id"], r["member"]): r["profile"] for r in joins.gather_corners(points, grid, (0.0, 1.0, 3), (0.0, 1.0, 2), by=["member"]).collect()}
+    assert got == {(1, 1): [1.0, 1.0], (1, 2): [2.0, 1.0], (2, 1): None, (2, 2): None}
+
+
+def test_noise_follows_from_key_and_seed(spark):
+    from nephos.functions.columns import standard_normal
+
+    draws = spark.range(20_000).select(standard_normal(F.col("id"), 4).alias("v"))
+    stats = draws.agg(F.avg("v").alias("m"), F.stddev("v").alias("s")).first()
+    assert abs(stats["m"]) < 0.03 and abs(stats["s"] - 1) < 0.03
+    assert draws.repartition(7).agg(F.sum("v")).first()[0] == pytest.approx(draws.agg(F.sum("v")).first()[0])

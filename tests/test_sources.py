@@ -210,3 +210,99 @@ def test_live_time_bins(spark, obs, tmp_path):
     live.append_to(bins, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).collect()
     assert len(got) >= 1 and all(r["n"] == 4 and r["value"] == 1.5 for r in got)
+
+
+def test_store_drops_files_that_lost_all_rows_and_escapes_names(spark, obs, tmp_path):
+    store = ObservationStore(spark, str(tmp_path / "store"))
+    for name in ("a:b%c.parquet", "other file"):
+        store.add(obs.withColumns({"ingest_file": F.lit(name), "x": F.lit(0.0), "y": F.lit(0.0)}))
+    n = obs.count()
+    store.add(obs.limit(0).withColumns({"ingest_file": F.lit("z"), "x": F.lit(0.0), "y": F.lit(0.0)}), ["other file", "never there"])
+    assert {r["ingest_file"] for r in store.read().collect()} == {"a:b%c.parquet"}
+    store.add(obs.limit(1).withColumns({"ingest_file": F.lit("a:b%c.parquet"), "x": F.lit(0.0), "y": F.lit(0.0)}), ["a:b%c.parquet"])
+    assert store.read().count() == 1 < n
+    assert store.delete("a:b%c.parquet") and store.read().count() == 0
+
+
+def test_a_half_written_version_is_not_the_table(spark, obs, tmp_path):
+    store = ObservationStore(spark, str(tmp_path / "store"))
+    store.add(obs.withColumns({"ingest_file": F.lit("a"), "x": F.lit(0.0), "y": F.lit(0.0)}))
+    (tmp_path / "store" / "v000002" / "ingest_file=a").mkdir(parents=True)
+    assert store.read().count() == obs.count()
+    store.update(store.read().select("obs_id", F.lit(2.0).alias("value")), "model_forecast")
+    assert store.read().where("model_forecast = 2.0").count() == obs.count()
+
+
+def test_classic_files_there_and_back():
+    import io
+
+    import numpy as np
+
+    from nephos.sources import classic
+
+    rng = np.random.default_rng(3)
+    arrays = {
+        "t": (("t",), np.arange(3.0), {"units": "hours since 2024-01-01 06:00:00"}),
+        "T": (("t", "z", "x"), rng.normal(size=(3, 2, 5)).astype(np.float32), {"_FillValue": np.float32(-9.0)}),
+        "odd": (("t", "x"), rng.integers(-100, 100, (3, 5)).astype(np.int8), {}),
+        "x": (("x",), np.arange(5, dtype=np.int16), {"scale_factor": 0.5, "add_offset": 10.0}),
+        "name": (("z", "text"), np.array([list("ab "), list("c  ")], "S1"), {}),
+    }
+    arrays["T"][1][1, 0, 2] = -9.0
+    sizes = {"t": None, "z": 2, "x": 5, "text": 3}
+    file = classic.parse(io.BytesIO(classic.encode(sizes, arrays, {"title": "a test", "n": np.array([1, 2], np.int32)})))
+    assert file.sizes == {"t": 3, "z": 2, "x": 5, "text": 3} and file.attributes["title"] == "a test" and file.attributes["n"].tolist() == [1, 2]
+    for name, (dims, values, _) in arrays.items():
+        assert file.variables[name].dims == dims and (file.read(name) == values).all() and file.read(name).dtype.itemsize == values.dtype.itemsize
+    assert (file.read("T", 2) == arrays["T"][1][2]).all() and np.isnan(file.floats("T")[1, 0, 2])
+    assert file.floats("x").tolist() == [10, 10.5, 11, 11.5, 12] and file.texts("name") == ["ab", "c"]
+    assert [t.hour for t in file.times("t")] == [6, 7, 8]
+    one = classic.parse(io.BytesIO(classic.encode({"t": None, "x": 3}, {"b": (("t", "x"), np.arange(6, dtype=np.int8).reshape(2, 3), {})})))
+    assert one.read("b").tolist() == [[0, 1, 2], [3, 4, 5]] and one.record_bytes == 3
+    for wrong in (b"CDF", b"CDF\3" + bytes(40), b"\x89HDF\r\n\x1a\n" + bytes(40)):
+        with pytest.raises((ValueError, Exception)):
+            classic.parse(io.BytesIO(wrong))
+
+
+def test_grid_files_need_their_members(spark, tmp_path):
+    import numpy as np
+
+    from nephos.sources import classic, netcdf
+
+    values = np.arange(12.0).reshape(2, 2, 3)
+    variables = {"t": (("t",), np.array([0.0, 60.0]), {"units": "minutes since 2024-01-01 00:00:00"}), "P": (("t", "y", "x"), values, {})}
+    (tmp_path / "p.nc").write_bytes(classic.encode({"t": None, "y": 2, "x": 3}, variables))
+    rows = netcdf.read_grid(spark, str(tmp_path / "p.nc"), ["P"]).collect()
+    assert len(rows) == 12 and all(r["member"] is None and r["profile"] == [values[r["t_idx"], r["iy"], r["ix"]]] and r["levels"] == [0.0] for r in rows)
+    with pytest.raises(Exception, match="no dimension member"):
+        netcdf.read_grid(spark, str(tmp_path / "p.nc"), ["P"], require_member=True).collect()
+    (tmp_path / "h.nc").write_bytes(b"\x89HDF\r\n\x1a\n" + bytes(100))
+    with pytest.raises(Exception, match="netCDF4"):
+        netcdf.read_grid(spark, str(tmp_path / "h.nc"), ["P"]).collect()
+
+
+def test_frames_come_once(spark, tmp_path):
+    from nephos.sources.store import write_grid
+
+    rows = spark.createDataFrame([(1, 0, 2.0)], "cycle int, t_idx int, mean double")
+    write_grid(rows, str(tmp_path / "g"), "cycle", time="t_idx")
+    with pytest.raises(ValueError, match="already holds"):
+        write_grid(rows, str(tmp_path / "g"), "cycle", time="t_idx")
+    write_grid(rows.withColumn("t_idx", F.lit(1)), str(tmp_path / "g"), "cycle", time="t_idx")
+    assert spark.read.parquet(str(tmp_path / "g")).count() == 2
+
+
+def test_two_writers_of_a_ledger_lose_nothing(tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(m):
+        workflow.Ledger(tmp_path / "s.json", 40).advance(m, "2024-01-01 00:00:00", "2024-01-01 00:10:00", 600)
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(one, range(40)))
+    ledger = workflow.Ledger(tmp_path / "s.json", 40)
+    assert ledger.data["advanced"] == list(range(40)) and len(ledger.data["runs"]) == 40
+    ledger.forget(0)
+    assert ledger.data["runs"] == []
+    with pytest.raises(ValueError, match="no member 40"):
+        ledger.advance_all([(1, "", "", 1), (40, "", "", 1)])
