@@ -28,7 +28,7 @@ from nephos.queries.shape import r, rounded
 from nephos.queries.statistics import DEP_SQL, EDGES, LABELS, STATS_SQL
 from nephos.registry import register
 from nephos.session import shared_path
-from nephos.sources import classic, netcdf, obs_files, settings, store
+from nephos.sources import classic, netcdf, obs_files, settings, store, swaths
 from nephos.sources.converters import aeronet
 from nephos.streaming import live
 
@@ -548,3 +548,74 @@ def point_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def member_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = ensemble.member_cycles(spark.range(20).select(F.col("id").cast("int").alias("member")), cycle_calendar(spark).select("cycle_index"))
     return pairs.withColumn("command", F.concat(F.lit("advance "), F.col("member").cast("string"), F.lit(" of "), F.col("cycle_index").cast("string")))
+
+
+def harp_file() -> bytes:
+    """A small polarimeter swath: 6 x 5 cells, two bands, a time with a further dimension, one value missing."""
+    y, x, b = np.meshgrid(np.arange(6), np.arange(5), np.arange(2), indexing="ij")
+    total = (y * 0.01 + x * 0.002 + b * 0.5).astype(np.float64)
+    total[2, 3, 1] = -9.0
+    cell = ("y", "x", "band")
+    variables = {
+        "aerosol_optical_depth_total": (cell, total, {"_FillValue": -9.0}),
+        "aerosol_fine_mode_optical_depth": (cell, total / 2, {}),
+        "aerosol_coarse_mode_optical_depth": (cell, total / 4, {}),
+        "latitude": (("y", "x"), (y[..., 0] * 1.5).astype(np.float64), {}),
+        "longitude": (("y", "x"), (x[..., 0] * 2.5).astype(np.float64), {}),
+        "measurement_time_unix": ((*cell, "instrument"), ((1_700_000_000 + y * 10)[..., None] + np.arange(2)).astype(np.float64), {}),
+        "band": (("band", "length"), np.array([list("440.16"), list("549.57")], "S1"), {}),
+    }
+    return classic.encode({"y": 6, "x": 5, "band": 2, "instrument": 2, "length": 6}, variables)
+
+
+@register(
+    "harp2_file",
+    """WITH c AS (SELECT y AS i0, x AS i1, y*1.5::DOUBLE AS latitude, x*2.5::DOUBLE AS longitude, y*0.01::DOUBLE + x*0.002::DOUBLE + b*0.5::DOUBLE AS total, (['440nm', '550nm'])[b + 1] AS q, y, unnest(['AOD_', 'AOD_Fine_', 'AOD_Coarse_']) AS prefix, unnest([1, 2, 4]) AS part, b, x
+      FROM range(6) s(y), range(5) t(x), range(2) u(b)), k AS (SELECT *, total/part AS v FROM c WHERE NOT (y = 2 AND x = 3 AND b = 1)) """
+    + seen_sql("k", "'GRASP_HARP2'", "prefix || q", "(1700000000 + y*10)*1000000", "0", "columnar", "v", "least(greatest(0.2853::DOUBLE*v + 0.0267::DOUBLE, 0.0267), 0.3)"),
+)
+def harp2_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A polarimeter's file to observation rows."""
+    folder = scratch(spark, "swaths")
+    put_bytes(spark, f"{folder}/h.nc", harp_file())
+    return seen(swaths.convert_files(spark, f"{folder}/h.nc", "grasp-harp2"))
+
+
+def plain_swath(names: dict[str, np.ndarray], units: str | None = None, product: str = "") -> bytes:
+    """A file of variables over (a, b), or over a alone, by their last names."""
+    n, m = max(v.shape for v in names.values())
+    variables = {k: (("a", "b")[: v.ndim], v.astype(np.float64), {"units": units} if k == "time" and units else {}) for k, v in names.items()}
+    return classic.encode({"a": n, "b": m}, variables, {"product_name": product})
+
+
+@register(
+    "swath_files",
+    """WITH c AS (SELECT CAST(i AS INT) AS i0, CAST(j AS INT) AS i1, i*0.1::DOUBLE + j*0.01::DOUBLE AS v, i + 0.5::DOUBLE AS latitude, j + 0.25::DOUBLE AS longitude FROM range(30) a(i), range(8) b(j)),
+    e AS (SELECT *, CASE WHEN i0 = 15 AND i1 = 4 THEN 1 ELSE 0 END AS seed, i0 BETWEEN 13 AND 17 AND i1 BETWEEN 1 AND 7 AS near, v/1000 AS x FROM c) """
+    + seen_sql("c", "'VIIRS'", "'AOD_550nm'", "round((1000000000 + i0 - 37)*1000000::DOUBLE) + 725846400000000", "0", "columnar", "v", "0.125")
+    + " UNION ALL "
+    + seen_sql("c", "'RemoTAP-spexone'", "'AOD_550nm'", "epoch_us(TIMESTAMP '2024-03-05 12:00:00')", "0", "columnar", "v", "0.125")
+    + " UNION ALL "
+    + seen_sql("e", "'EarthCARE_ATLID_EBD'", "'LIDAR_EXTINCTION_355nm'", "epoch_us(TIMESTAMP '2024-01-01 00:00:00') + i0*2000000", "i1*100", "height", "x", "6.8e-5::DOUBLE + 0.2::DOUBLE*x", "CASE WHEN near OR x > 0.002 THEN 1 ELSE 0 END"),
+)
+def swath_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of three products, their variables without groups, to observation rows."""
+    i, j = np.meshgrid(np.arange(30), np.arange(8), indexing="ij")
+    v, lat, lon, flat = i * 0.1 + j * 0.01, i + 0.5, j + 0.25, np.full(i.shape, 0.125)
+    best = "Aerosol_Optical_Thickness_550_"
+    files = {
+        "viirs": plain_swath({f"{best}Land_Ocean_Best_Estimate": v, f"{best}Expected_Uncertainty_Land": flat * 0 - 999, f"{best}Expected_Uncertainty_Ocean": flat, "Latitude": lat, "Longitude": lon, "Scan_Start_Time": 1e9 + i}),
+        "remotap-spexone": plain_swath({"aot550": v, "aot550_uncertainty": flat, "latitude": lat, "longitude": lon, "utc_date": flat * 0 + 20240305, "fracday": flat * 4}, product="PACE_SPEXONE.20240305.AER_LAND_REMOTAP.nc"),
+        "earthcare-ebd": plain_swath(
+            {
+                "particle_extinction_coefficient_355nm_low_resolution": v / 1000, "simple_classification": np.where((i == 15) & (j == 4), 1, 3), "height": j * 100.0, "latitude": lat, "longitude": lon,
+                "time": np.arange(30) * 2.0,
+            },
+            "seconds since 2024-01-01 00:00:00",
+        ),
+    }
+    folder, parts = scratch(spark, "swaths"), []
+    for product, data in files.items():
+        put_bytes(spark, f"{folder}/{product}.nc", data)
+        parts.append(seen(swaths.convert_files(spark, f"{folder}/{product}.nc", product)))
+    return ensemble.union_all(parts)

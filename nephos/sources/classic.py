@@ -47,6 +47,16 @@ class Classic:
     variables: dict[str, Variable] = field(default_factory=dict)
     record_bytes: int = 0
 
+    def name(self, path: str) -> str:
+        """A variable by its name, or by the last part of a grouped name."""
+        last = path.rsplit("/", 1)[-1]
+        if path not in self.variables and last not in self.variables:
+            raise ValueError(f"the file has no variable {path}")
+        return path if path in self.variables else last
+
+    def dims(self, name: str) -> tuple[str, ...]:
+        return self.variables[name].dims
+
     def shape(self, name: str) -> tuple[int, ...]:
         return tuple(self.sizes[d] for d in self.variables[name].dims)
 
@@ -77,13 +87,18 @@ class Classic:
         """The rows of a character array, without padding."""
         return [b"".join(row.tolist()).decode("latin-1").strip("\0 ") for row in self.read(name)]
 
-    def times(self, name: str) -> list[dt.datetime]:
-        """``units since reference`` numbers as times."""
+    def epoch(self, name: str, numbers: np.ndarray) -> np.ndarray:
+        """``units since reference`` numbers as seconds since 1970."""
         found = re.match(r"(\w+) since (\d+-\d+-\d+)(?:[ T](\d+:\d+(?::\d+)?))?", str(self.variables[name].attributes.get("units", "")))
         if not found or found[1] not in UNITS:
             raise ValueError(f"{name} has no time units")
-        start = dt.datetime.fromisoformat(f"{found[2]}T{found[3] or '00:00:00'}")
-        return [start + dt.timedelta(seconds=float(x) * UNITS[found[1]]) for x in self.read(name)]
+        start = dt.datetime.fromisoformat(f"{found[2]}T{found[3] or '00:00:00'}+00:00").timestamp()
+        return start + numbers.astype(np.float64) * UNITS[found[1]]
+
+    def times(self, name: str) -> list[dt.datetime]:
+        """A time variable's values."""
+        start = dt.datetime(1970, 1, 1)
+        return [start + dt.timedelta(seconds=x) for x in self.epoch(name, self.read(name)).tolist()]
 
 
 def open_path(path: str) -> Classic:

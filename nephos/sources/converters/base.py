@@ -21,11 +21,14 @@ def register(name: str) -> Callable[[Converter], Converter]:
     return add
 
 
-def coords(**dims: tuple[Column, int]) -> Column:
+Size = int | Column
+
+
+def coords(**dims: tuple[Column, Size]) -> Column:
     """An orig_coords struct: name = (index, size)."""
     return F.struct(
         F.array(*[i.cast("int") for i, _ in dims.values()]).alias("indices"),
-        F.array(*[F.lit(int(n)) for _, n in dims.values()]).alias("shape"),
+        F.array(*[(n if isinstance(n, Column) else F.lit(n)).cast("int") for _, n in dims.values()]).alias("shape"),
         F.array(*[F.lit(d) for d in dims]).alias("names"),
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from nephos.functions.columns import backscatter_error, relative_floor_error, seconds_since_2000, wrap_180
 from nephos.operators.ensemble import dilate
-from nephos.sources.converters.base import coords, observation, register
+from nephos.sources.converters.base import Size, coords, observation, register
 
 #: Limits and masks of the products (fixed values).
 DUST_CEILING = 2e-3
@@ -21,16 +21,17 @@ PER_MEGAMETRE = 1e-6
 
 
 @register("earthcare-ebd")
-def earthcare(cells: DataFrame, shape: tuple[int, int], filename: str) -> DataFrame:
+def earthcare(cells: DataFrame, shape: tuple[Size, Size], filename: str | Column, keys: tuple[str, ...] = ()) -> DataFrame:
     """Cells (profile, level, latitude, longitude, time, height, extinction, class).
 
     Cells that are missing, neither clear nor aerosol, over the ceiling, or within
-    two profiles and three levels of a cloudy or missing one get flag 1.
+    two profiles and three levels of a cloudy or missing one get flag 1.  ``keys``
+    tell swaths apart.
     """
     ext = F.col("extinction")
     missing = ext.isNull() | F.isnan(ext)
     cloudy = ~F.coalesce(F.col("class").isin(*CLEAR_OR_AEROSOL), F.lit(False)) | missing
-    marked = dilate(cells.withColumn("_cloudy", cloudy.cast("int")), "_cloudy", "profile", "level", CLOUD_PROFILES, CLOUD_HEIGHTS)
+    marked = dilate(cells.withColumn("_cloudy", cloudy.cast("int")), "_cloudy", "profile", "level", CLOUD_PROFILES, CLOUD_HEIGHTS, keys)
     bad = (F.col("dilated") == 1) | F.coalesce(ext > DUST_CEILING, F.lit(False))
     value = F.when(missing, F.lit(0.0)).otherwise(F.greatest(ext, F.lit(0.0)))
     return observation(

@@ -5,13 +5,14 @@ Inputs are decoded cells with their indices (along, across, or y, x) and sizes.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nephos.functions.columns import clipped_error, date_fraction, land_ocean_error, null_if_missing, tai93
-from nephos.sources.converters.base import coords, observation, register
+from nephos.sources.converters.base import Size, coords, observation, register
 
 #: Quantities of polarimeter bands, and the names of a product's files (fixed values).
 HARP_BANDS = {"440.16": "440nm", "549.57": "550nm", "664.57": "665nm", "865.63": "870nm"}
@@ -26,7 +27,7 @@ def _finite(*columns: str) -> Column:
 
 
 @register("modis")
-def modis(cells: DataFrame, shape: tuple[int, int], filename: str, scale: float = 0.001, fill: int = -9999, qa_fill: int = -128) -> DataFrame:
+def modis(cells: DataFrame, shape: tuple[Size, Size], filename: str | Column, scale: float = 0.001, fill: int = -9999, qa_fill: int = -128) -> DataFrame:
     """Cells (along, across, latitude, longitude, scan_time, aod, qa): good or very good quality only."""
     good = (F.col("aod") != fill) & (F.col("qa") != qa_fill) & (F.col("qa") >= 2)
     for c in ("latitude", "longitude", "scan_time"):
@@ -40,7 +41,7 @@ def modis(cells: DataFrame, shape: tuple[int, int], filename: str, scale: float
 
 
 @register("viirs")
-def viirs(cells: DataFrame, shape: tuple[int, int], filename: str, names: Sequence[str] = ("along_track", "across_track")) -> DataFrame:
+def viirs(cells: DataFrame, shape: tuple[Size, Size], filename: str | Column, names: Sequence[str] = ("along_track", "across_track")) -> DataFrame:
     """Cells (along, across, latitude, longitude, scan_time, aod, error_land, error_ocean): the land error if there is one."""
     error = F.coalesce(null_if_missing(F.col("error_land")), null_if_missing(F.col("error_ocean")))
     kept = cells.withColumns({"value": null_if_missing(F.col("aod")), "error": error}).where(F.col("value").isNotNull() & F.col("error").isNotNull() & _finite("latitude", "longitude"))
@@ -72,7 +73,7 @@ def seviri(pixels: DataFrame, grid: DataFrame, shape: tuple[int, int], origin: t
 
 
 @register("grasp-harp2")
-def harp2(cells: DataFrame, shape: tuple[int, int], filename: str, fine: bool = True, coarse: bool = True, disabled: Sequence[str] = (), mask: str | None = None) -> DataFrame:
+def harp2(cells: DataFrame, shape: tuple[Size, Size], filename: str | Column, fine: bool = True, coarse: bool = True, disabled: Sequence[str] = (), mask: str | None = None) -> DataFrame:
     """Cells (y, x, band, latitude, longitude, unix_time, total, fine, coarse[, mask]), one row a band.
 
     An unknown band raises.  ``mask`` names the land-sea percentage; a cell is over
@@ -85,7 +86,8 @@ def harp2(cells: DataFrame, shape: tuple[int, int], filename: str, fine: bool =
     rows = F.array(*[F.named_struct(F.lit("prefix"), F.lit(p), F.lit("value"), F.col(m).cast("double")) for m, p in modes.items()])
     over_land = F.named_struct(F.lit("is_over_land"), (F.col(mask) != 100).cast("int")) if mask else None
     metadata = F.lit(None).cast("string") if over_land is None else F.to_json(over_land)
-    flat = used.select("y", "x", "latitude", "longitude", "unix_time", band.alias("_band"), metadata.alias("metadata"), F.inline(rows))
+    whence = [c for c in used.columns if c in ("file", "n_y", "n_x")]
+    flat = used.select("y", "x", "latitude", "longitude", "unix_time", *whence, band.alias("_band"), metadata.alias("metadata"), F.inline(rows))
     kept = flat.where(_finite("value", "latitude", "longitude") & (F.col("value") >= 0))
     return observation(
         kept, instrument="GRASP_HARP2", quantity=F.concat("prefix", "_band"), time=F.timestamp_seconds("unix_time"), longitude=F.col("longitude"), latitude=F.col("latitude"),
@@ -95,19 +97,19 @@ def harp2(cells: DataFrame, shape: tuple[int, int], filename: str, fine: bool =
 
 
 @register("remotap-spexone")
-def spexone(cells: DataFrame, shape: tuple[int, int], product_name: str, filename: str, mask: str | None = None) -> DataFrame:
+def spexone(cells: DataFrame, shape: tuple[Size, Size], product_name: str | Column, filename: str | Column, mask: str | None = None) -> DataFrame:
     """Cells (along, across, latitude, longitude, utc_date, fraction, aod, error[, mask]).
 
     The product's name tells land from ocean retrievals; with a land-sea percentage
     (ocean above 60) cells of the other kind go.  Flag 0 is good.
     """
-    import re
-
-    if not re.match(PRODUCT_NAME, product_name):
+    if isinstance(product_name, str) and not re.match(PRODUCT_NAME, product_name):
         raise ValueError(f"not the expected product: {product_name}")
-    kept = cells.where(_finite("aod", "error") & (F.col("utc_date") != 29990101))
+    name = product_name if isinstance(product_name, Column) else F.lit(product_name)
+    known = F.when(name.rlike(f"^{PRODUCT_NAME}"), name).otherwise(F.raise_error(F.concat(F.lit("not the expected product: "), name)))
+    kept = cells.where(_finite("aod", "error") & (F.col("utc_date") != 29990101) & known.isNotNull())
     if mask is not None:
-        kept = kept.where((F.col(mask) > 60) == F.lit("OCEAN" in product_name))
+        kept = kept.where((F.col(mask) > 60) == known.contains("OCEAN"))
     return observation(
         kept, instrument="RemoTAP-spexone", quantity="AOD_550nm", time=date_fraction(F.col("utc_date"), F.col("fraction")), longitude=F.col("longitude"), latitude=F.col("latitude"),
         z=0.0, z_type="columnar", value=F.col("aod"), value_uncertainty=F.col("error"), qc_flag=0, orig_filename=filename,

@@ -37,16 +37,35 @@ def open_grid(path: str):
 
 
 class Hierarchical:
-    """A file of the HDF5-based format, through netCDF4."""
+    """A file of the HDF5-based format, through netCDF4; variables in groups by path."""
 
     def __init__(self, library, path: str):
         self.library, self.data = library, library.Dataset(re.sub("^file:/*", "/", path))
         self.variables = {k: type("V", (), {"dims": v.dimensions}) for k, v in self.data.variables.items()}
+        self.attributes = {k: self.data.getncattr(k) for k in self.data.ncattrs()}
+
+    def name(self, path: str) -> str:
+        return path
+
+    def dims(self, name: str) -> tuple[str, ...]:
+        return self.data[name].dimensions
+
+    def shape(self, name: str) -> tuple[int, ...]:
+        return self.data[name].shape
 
     def floats(self, name: str, first: int | None = None) -> np.ndarray:
         x = self.data[name][:] if first is None else self.data[name][first]
         return np.ma.filled(np.ma.asarray(x).astype(float), np.nan)
 
+    def texts(self, name: str) -> list[str]:
+        x = self.data[name][:]
+        return [str(t).strip() for t in (self.library.chartostring(x) if x.dtype.kind == "S" and x.ndim > 1 else x)]
+
+    def epoch(self, name: str, numbers: np.ndarray) -> np.ndarray:
+        start = self.library.num2date(0, self.data[name].units, only_use_cftime_datetimes=False)
+        one = self.library.num2date(1, self.data[name].units, only_use_cftime_datetimes=False)
+        return pd.Timestamp(start, tz="UTC").timestamp() + numbers * (one - start).total_seconds()
+
     def times(self, name: str) -> list:
         return list(self.library.num2date(self.data[name][:], self.data[name].units, only_use_cftime_datetimes=False))
 
