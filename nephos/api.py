@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from typing import Any
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,8 @@ from nephos.functions.projection import LambertConformal, project
 from nephos.operators import cycles, ensemble, filters, joins, superobs, validation
 from nephos.plans.interpolation import Axis, interpolate_model
 from nephos.plans.processors import Context, Pipeline
-from nephos.sources import exports, obs_files
+from nephos.plans.workflow import Ledger
+from nephos.sources import exports, obs_files, settings
 from nephos.sources.store import ObservationStore, write_csv, write_grid
 
 
@@ -122,6 +124,24 @@ def analyse_first_departures(
     return out
 
 
+def seed_from(forecasts: DataFrame, calendar: DataFrame, cycle: int, ledger: Ledger, own: Any = None, other: Any = None) -> DataFrame:
+    """The first state of an experiment: another one's forecasts (cycle, member, t, ...) at the end of ``cycle``.
+
+    Both experiments' configurations, where given, must agree, and every member must have a forecast;
+    then the ledger goes on from that cycle.
+    """
+    if own is not None and (names := settings.differences(own, other)):
+        raise ValueError(f"the experiments differ in {', '.join(names)}")
+    end = calendar.where(F.col("cycle_index") == cycle).select(F.col("end_time").alias("t"))
+    rows = forecasts.where(F.col("cycle") == cycle).join(end, "t", "left_semi")
+    # At most one number a member comes back.
+    have = {r[0] for r in rows.where(F.col("member").between(0, ledger.members - 1)).select("member").distinct().collect()}
+    if missing := sorted(set(range(ledger.members)) - have):
+        raise ValueError(f"no forecast of member {missing[0]} at the end of cycle {cycle}")
+    ledger.seed(cycle)
+    return rows
+
+
 def point_summary(obs: DataFrame, value: str = "value") -> DataFrame:
     """Of each pair: distinct places, and the 1 and 99 % quantiles of its values."""
     by = ["instrument", "quantity"]

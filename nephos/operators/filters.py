@@ -93,6 +93,25 @@ def bad_variance(df: DataFrame) -> DataFrame:
     return df.withColumns({"qc_flag": F.when(u.isNull() | (u <= 0), F.lit(99)).otherwise(F.col("qc_flag")), "value_uncertainty": F.when(u < 0, F.lit(0.0)).otherwise(u)})
 
 
+def away_from_edges(
+    df: DataFrame, x: tuple[float, float], y: tuple[float, float], step: float, width: float = 0.0, error_factor: float = 0.0, error_width: float = 0.0
+) -> DataFrame:
+    """Rows of the domain less ``width`` grid points on every side; errors grow linearly towards the edge that is left.
+
+    ``x`` and ``y`` are the domain's bounds and ``step`` a grid point.  The uncertainty is multiplied by 1 at
+    ``error_width`` points from the edge and further in, by ``error_factor`` at the edge; a factor of 0 leaves
+    all errors as they are.
+    """
+    rim = width * step
+    inside = F.col("x").between(x[0] + rim, x[1] - rim) & F.col("y").between(y[0] + rim, y[1] - rim)
+    kept = df.where(inside)
+    if error_factor <= 0 or error_width <= 0:
+        return kept
+    depth = F.least(F.col("x") - (x[0] + rim), (x[1] - rim) - F.col("x"), F.col("y") - (y[0] + rim), (y[1] - rim) - F.col("y")) / (error_width * step)
+    factor = 1 + (error_factor - 1) * (1 - F.least(depth, F.lit(1.0)))
+    return kept.withColumn("value_uncertainty", F.col("value_uncertainty") * factor)
+
+
 def trim_groups(df: DataFrame, inside: Column, indices: Column, shape: Column) -> DataFrame:
     """Keep whole groups that touch the domain.
 

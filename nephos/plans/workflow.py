@@ -119,6 +119,11 @@ class Ledger:
             if [data["cycle"], operation] not in data["operations"]:
                 data["operations"].append([data["cycle"], operation])
 
+    def seed(self, cycle: int) -> None:
+        """Go on from another experiment's forecasts of ``cycle``: all members count as advanced."""
+        with self._change() as data:
+            data |= {"cycle": cycle, "state": State.ADVANCING_MEMBERS, "advanced": list(range(self.members))}
+
     def forget(self, cycle: int) -> None:
         """Drop the runs and operations of a cycle."""
         with self._change() as data:

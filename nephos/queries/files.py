@@ -619,3 +619,17 @@ def swath_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         put_bytes(spark, f"{folder}/{product}.nc", data)
         parts.append(seen(swaths.convert_files(spark, f"{folder}/{product}.nc", product)))
     return ensemble.union_all(parts)
+
+
+@register("seeded_experiment", f"WITH {GRID_SQL} SELECT member, var, count(*) AS n, round(sum(value), 4) AS total, 1 AS cycle, 10 AS advanced FROM grid WHERE t_idx = 1 GROUP BY ALL")
+def seeded_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An experiment that begins with another's forecasts of cycle 1."""
+    calendar = cycle_calendar(spark)
+    grid = ensemble_grid(spark, sf_dir).withColumn("cycle", F.col("t_idx"))
+    timed = grid.join(calendar.select(F.col("cycle_index").alias("cycle"), F.col("end_time").alias("t")), "cycle")
+    with tempfile.TemporaryDirectory() as folder:
+        ledger = workflow.Ledger(Path(folder) / "s.json", 10)
+        rows = api.seed_from(timed, calendar, 1, ledger)
+        state = ledger.data
+    out = rows.groupBy("member", "var").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    return out.withColumns({"cycle": F.lit(state["cycle"]), "advanced": F.lit(len(state["advanced"]))})

@@ -149,6 +149,17 @@ def spatial_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out.select("obs_id", "value", "value_uncertainty"))
 
 
+@register(
+    "away_from_edges",
+    f"""WITH {OBS_SQL}, d AS (SELECT *, least(x - 100000, 3500000 - x, y - 100000, 1700000 - y)/1000000 AS depth FROM obs WHERE x BETWEEN 100000 AND 3500000 AND y BETWEEN 100000 AND 1700000)
+    SELECT obs_id, round(value_uncertainty*(1 + 2*(1 - least(depth, 1))), 6) AS value_uncertainty FROM d""",
+)
+def away_from_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One grid point of 100 km is cut from every side; errors grow to three times over the next ten."""
+    out = filters.away_from_edges(observations(spark, sf_dir), (0.0, 3_600_000.0), (0.0, 1_800_000.0), 100_000.0, 1, 3, 10)
+    return rounded(out.select("obs_id", "value_uncertainty"))
+
+
 @register(
     "filter_input_rows",
     f"""WITH {OBS_SQL} SELECT CASE WHEN quantity = 'AOD_550nm' THEN 'AIRSENSE_AOD' ELSE quantity END AS obs_type,
