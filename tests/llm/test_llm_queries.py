@@ -65,3 +65,25 @@ def test_whole_table_of_the_test_data(spark, name):
     out = queries.queries()[name](spark, path)
     ids = sorted(r["doc_id"] for r in out.select("doc_id").distinct().collect())
     assert ids == sorted(r["doc_id"] for r in spark.read.parquet(f"{path}/documents.parquet").select("doc_id").distinct().collect())
+
+
+@pytest.mark.parametrize("name", list(queries.oracle_sql()))
+def test_query_matches_oracle(spark, name):
+    from tests.oracle import assert_same, connect
+
+    path = "/root/testdata/sf0.001"
+    if not os.path.isdir(path):
+        pytest.skip("no test data here")
+    assert_same(queries.queries()[name](spark, path), connect(path), queries.oracle_sql()[name])
+
+
+def test_oracle_of_the_join_over_hard_rows(spark, hard_folder):
+    import duckdb
+
+    path, _ = hard_folder
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/documents.parquet/*.parquet'")
+    want = duck.execute(queries.oracle_sql()["op6_ngram_jaccard"]).fetchall()
+    got = queries.queries()["op6_ngram_jaccard"](spark, path).select("doc_id", "class_id", "n_links", "n_copies").collect()
+    key = lambda r: tuple(-1 if x is None else x for x in r)
+    assert sorted(map(key, got)) == sorted(map(key, want))
