@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 
 from nephos.functions.columns import micros
 
-#: Calendars, factor tables and frame tables above this many rows are joined by shuffle.
-BROADCAST_ROWS = 100_000
+#: Calendars, factor tables and frame tables above this many rows, or bytes as JSON, are joined by shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 64 << 20
 
 
-def small(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if its row count, checked first, is within the bound."""
-    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+def small(df: DataFrame, most_rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if its rows and bytes, checked first, are within the bounds."""
+    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    rows, held = df.limit(most_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if rows <= most_rows and held <= most_bytes else df
 
 
 def in_windows(points: DataFrame, windows: DataFrame, at: str, start: str, end: str, slice_us: int = 3_600_000_000) -> DataFrame:

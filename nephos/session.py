@@ -6,7 +6,9 @@ the one folder that driver and executors share.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -45,7 +47,9 @@ def shared_dir(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    base = f"file://{tempfile.mkdtemp(prefix='nephos-shared-')}"
+    folder = tempfile.mkdtemp(prefix="nephos-shared-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    base = f"file://{folder}"
     spark.conf.set("spark.checkpoint.dir", base)
     spark.sparkContext.setCheckpointDir(base)
     return base

@@ -218,3 +218,10 @@ def test_noise_follows_from_key_and_seed(spark):
     stats = draws.agg(F.avg("v").alias("m"), F.stddev("v").alias("s")).first()
     assert abs(stats["m"]) < 0.03 and abs(stats["s"] - 1) < 0.03
     assert draws.repartition(7).agg(F.sum("v")).first()[0] == pytest.approx(draws.agg(F.sum("v")).first()[0])
+
+
+def test_broadcast_hints_need_a_checked_size(spark):
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+    rows = spark.range(10).withColumn("s", F.repeat(F.lit("x"), 100))
+    assert hinted(joins.small(rows)) and not hinted(joins.small(rows, most_rows=9)) and not hinted(joins.small(rows, most_bytes=1000))
+    assert hinted(joins.small(rows.limit(0)))
