@@ -306,3 +306,60 @@ def test_two_writers_of_a_ledger_lose_nothing(tmp_path):
     assert ledger.data["runs"] == []
     with pytest.raises(ValueError, match="no member 40"):
         ledger.advance_all([(1, "", "", 1), (40, "", "", 1)])
+
+
+class StubVariable:
+    """As much of a netCDF4 variable as the reader uses."""
+
+    def __init__(self, dims, values, units=""):
+        self.dimensions, self.values, self.units, self.shape = dims, values, units, values.shape
+
+    def __getitem__(self, at):
+        return self.values[at]
+
+
+class StubLibrary:
+    """netCDF4 with one open file."""
+
+    def __init__(self, variables):
+        self.found = variables
+
+    def Dataset(self, path):
+        self.opened = path
+        return self
+
+    variables = {}
+
+    def ncattrs(self):
+        return ["product_name"]
+
+    def getncattr(self, name):
+        return "PACE"
+
+    def __getitem__(self, path):
+        return self.found[path]
+
+    def num2date(self, numbers, units, only_use_cftime_datetimes):
+        import numpy as np
+
+        start = dt.datetime.fromisoformat(units.split("since ")[1])
+        found = [start + dt.timedelta(hours=float(x)) for x in np.atleast_1d(numbers)]
+        return found[0] if np.ndim(numbers) == 0 else found
+
+    def chartostring(self, chars):
+        return ["".join(c.decode() for c in row) for row in chars]
+
+
+def test_grouped_files_through_a_library():
+    import numpy as np
+
+    from nephos.sources.netcdf import Hierarchical
+
+    masked = np.ma.masked_equal(np.array([[1.0, -9.0], [3.0, 4.0]]), -9.0)
+    library = StubLibrary({"geo/v": StubVariable(("a", "b"), masked), "geo/t": StubVariable(("a",), np.array([0.0, 2.0]), "hours since 2024-01-01T00:00:00"), "name": StubVariable(("a", "n"), np.array([list("ab"), list("c ")], "S1"))})
+    file = Hierarchical(library, "file:/data/x.nc")
+    assert library.opened == "/data/x.nc" and file.attributes == {"product_name": "PACE"}
+    assert file.dims("geo/v") == ("a", "b") and file.shape(file.name("geo/v")) == (2, 2)
+    assert np.isnan(file.floats("geo/v")[0, 1]) and file.floats("geo/v", 1).tolist() == [3.0, 4.0]
+    assert file.epoch("geo/t", np.array([0.0, 2.0])).tolist() == [1_704_067_200.0, 1_704_074_400.0]
+    assert file.times("geo/t")[1] == dt.datetime(2024, 1, 1, 2) and file.texts("name") == ["ab", "c"]
