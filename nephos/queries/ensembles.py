@@ -30,12 +30,14 @@ def field_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "forecast_align",
-    """WITH f AS (SELECT DISTINCT date_trunc('day', ts) AS t FROM events WHERE extract('day' FROM ts) % 2 = 1), a AS (SELECT DISTINCT date_trunc('day', ts) AS t FROM events)
-    SELECT a.t, coalesce(f.t, (SELECT max(t) FROM f)) AS frame_t FROM a LEFT JOIN f USING (t)""",
+    """WITH a AS (SELECT date_trunc('day', ts) AS t, count(*) FILTER (event_type = 'purchase') >= count(*) FILTER (event_type = 'view') AS busy FROM events GROUP BY 1),
+    f AS (SELECT t FROM a WHERE busy) SELECT a.t, coalesce(f.t, (SELECT max(t) FROM f)) AS frame_t FROM a LEFT JOIN f USING (t)""",
 )
 def forecast_align(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = table(spark, sf_dir, "events").select(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("t")).distinct()
-    return ensemble.align_or_last(days.where(F.dayofmonth("t") % 2 == 1), days)
+    """The analysis has a frame for each day, the forecast for the days with as many purchases as views."""
+    kind = lambda k: F.count_if(F.col("event_type") == k)
+    days = table(spark, sf_dir, "events").groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("t")).agg((kind("purchase") >= kind("view")).alias("busy"))
+    return ensemble.align_or_last(days.where("busy").select("t"), days.select("t"))
 
 
 @register(
