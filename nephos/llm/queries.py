@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nephos.llm import chat, flac, jaccard, mixing, packing, quality, secret_scan, token_counts, token_store, toxicity
+from nephos.llm import chat, flac, jaccard, mixing, packing, quality, secret_scan, token_counts, token_store, toxicity, whitening
 from nephos.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_turns(turns))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 #: The template's lengths and escapes, and digests over turns in order.
 CHAT_SQL = r"""WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce("text", '') AS body FROM conversations
@@ -106,6 +110,7 @@ def queries() -> dict[str, Query]:
         "op8_quality_rules": op8_quality_rules,
         "op9_toxicity": op9_toxicity,
         "op10_chat_format": op10_chat_format,
+        "op13_embedding_whitening": op13_embedding_whitening,
     }
 
 
