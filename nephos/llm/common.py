@@ -44,6 +44,21 @@ def word_count(text: Column) -> Column:
     ).cast("long")
 
 
+#: A key is hot that one row in so many holds; there are at most as many hot keys.
+SHARE = 1000
+
+
+def spread(rows: DataFrame, known: DataFrame, key: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` to ``known``, one row a key with ``n``, the rows that hold it.
+
+    Keys of at least one row in SHARE of ``total``, at most SHARE keys, are broadcast,
+    so no task gets a hot key's rows; the others shuffle.
+    """
+    hot = F.broadcast(known.where(F.col("n") * SHARE >= total))
+    cold = rows.join(F.broadcast(known.where(F.col("n") * SHARE >= total).select(key)), key, "left_anti")
+    return rows.join(hot, key).unionByName(cold.join(known.where(F.col("n") * SHARE < total), key))
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``fn`` over every Arrow batch; batches stay within Spark's batch limits."""
     ship_package(df.sparkSession)
