@@ -226,15 +226,20 @@ def latest_complete(cycles: DataFrame, n_files: int, before: int) -> DataFrame:
     return whole.where(F.col("cycle") < before).agg(F.max("cycle").alias("cycle"))
 
 
+def one_value(updates: DataFrame, key: str = "obs_id") -> DataFrame:
+    """(key, value): one row a key; a key that comes with two different values raises."""
+    value = F.col("value")
+    several = (F.min(value) != F.max(value)) | ((F.count(value) > 0) & (F.count(value) < F.count(F.lit(1))))
+    one = F.when(several, F.raise_error(F.concat(F.lit("several values for key "), F.col(key).cast("string")))).otherwise(F.max(value))
+    return updates.groupBy(key).agg(one.alias("value"))
+
+
 def update_values(table: DataFrame, updates: DataFrame, column: str, clear: bool = False, key: str = "obs_id") -> DataFrame:
     """``column`` from ``updates`` (key, value); other rows keep theirs, or with ``clear`` lose it.
 
     A key that comes twice must bring one value; two different ones raise.
     """
-    value = F.col("value")
-    several = (F.min(value) != F.max(value)) | ((F.count(value) > 0) & (F.count(value) < F.count(F.lit(1))))
-    one = F.when(several, F.raise_error(F.concat(F.lit("several values for key "), F.col(key).cast("string")))).otherwise(F.max(value))
-    new = updates.groupBy(key).agg(one.alias("_new")).withColumn("_hit", F.lit(True))
+    new = one_value(updates, key).select(key, F.col("value").alias("_new"), F.lit(True).alias("_hit"))
     joined = table.join(new, key, "left")
     keep = F.lit(None) if clear else F.col(column)
     return joined.withColumn(column, F.when(F.col("_hit"), F.col("_new")).otherwise(keep)).drop("_new", "_hit").select(table.columns)

@@ -139,6 +139,64 @@ def chunked_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_.read().groupBy("instrument").agg(F.count(F.lit(1)).alias("n"), F.count("model_forecast").alias("n_model"), F.round(F.sum("model_forecast"), 3).alias("total"))
 
 
+@register(
+    "store_commits",
+    f"""WITH {OBS_SQL}, m AS (SELECT *, CASE WHEN ingest_file = 'file2' THEN 5*z WHEN quantity = 'AOD_550nm' AND z < 9000 THEN 4*z WHEN quantity = 'AOD_550nm' THEN 2*z WHEN instrument = 'view' THEN 3*z END AS m FROM obs WHERE ingest_file <> 'file3')
+    SELECT instrument, count(*) AS n, count(m) AS n_model, round(sum(m), 3) AS total, 0 AS n_model_before, 1 AS conflict, 1 AS small_deltas, 1 AS same_compacted FROM m GROUP BY 1""",
+)
+def store_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three chunks of model values from two writers, one of them behind, a file that both replace, one deleted, a compaction, and a reader of the first version."""
+    rows = whole_rows(spark, sf_dir)
+    table_ = store.ObservationStore(spark, f"{scratch(spark, 'store')}/table")
+    first = table_.add(rows)
+    other = store.ObservationStore(spark, table_.path)
+    behind = other.snapshot()
+    aod = F.col("quantity") == "AOD_550nm"
+    table_.update(rows.where(aod).select("obs_id", (F.col("z") * 2).alias("value")), "model_forecast", clear=True)
+    other.update(rows.where(~aod & (F.col("instrument") == "view")).select("obs_id", (F.col("z") * 3).alias("value")), "model_forecast", base=behind)
+    table_.update(rows.where(aod & (F.col("z") < 9000)).select("obs_id", (F.col("z") * 4).alias("value")), "model_forecast")
+    small_deltas = table_.delta_bytes() < 25 * 3 * rows.count()
+    again = rows.where("ingest_file = 'file2'").withColumn("model_forecast", F.col("z") * 5)
+    table_.add(again)
+    try:
+        table_.add(again, base=behind)
+        conflict = 0
+    except store.Conflict:
+        conflict = 1
+    table_.delete("file3")
+    by = lambda df: df.groupBy("instrument").agg(F.count(F.lit(1)).alias("n"), F.count("model_forecast").alias("n_model"), F.round(F.sum("model_forecast"), 3).alias("total"))
+    uncompacted = by(table_.read())
+    table_.compact()
+    compacted = by(table_.read())
+    before = table_.read(first).groupBy("instrument").agg(F.count(F.when(F.lit(False), 1)).alias("n_model_before"), F.count("obs_id").alias("n_first"))
+    same = int(uncompacted.exceptAll(compacted).isEmpty() and not table_.snapshot().deltas)
+    out = compacted.join(before, "instrument").drop("n_first")
+    return out.withColumns({"conflict": F.lit(conflict), "small_deltas": F.lit(int(small_deltas)), "same_compacted": F.lit(same)})
+
+
+@register(
+    "store_skipping",
+    f"""WITH {OBS_SQL} SELECT 'box' AS what, instrument, count(*) AS n, round(sum(value), 3) AS total, 1 AS skipped FROM obs
+      WHERE "time" BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-07 12:00:00' AND latitude BETWEEN 10 AND 50 AND longitude BETWEEN -20 AND 60 GROUP BY 2
+    UNION ALL SELECT 'name', instrument, count(*), round(sum(value), 3), 1 FROM obs WHERE orig_filename = 'raw1' AND ingest_file IN ('file1', 'file3') GROUP BY 2""",
+)
+def store_skipping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a box and a time span, and of one source file, from the files that may hold them: at most half of all."""
+    rows = whole_rows(spark, sf_dir)
+    # In two of the ingest files each row comes from a file of its own name, but for raw1.
+    own = F.col("ingest_file").isin("file1", "file3")
+    named = rows.withColumn("orig_filename", F.when(own, F.col("orig_filename")).otherwise(F.concat(F.lit("x"), F.col("ingest_file"))))
+    table_ = store.ObservationStore(spark, f"{scratch(spark, 'store')}/table", rows_per_file=max(10, rows.count() // 100))
+    table_.add(named)
+    total = table_.files().count()
+    asked = {"box": {"start": dt.datetime(2024, 1, 5), "end": dt.datetime(2024, 1, 7, 12), "box": (10.0, -20.0, 50.0, 60.0)}, "name": {"orig_filename": "raw1"}}
+    found = []
+    for what, by in asked.items():
+        part = table_.select(**by).groupBy("instrument").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 3).alias("total"))
+        found.append(part.withColumns({"what": F.lit(what), "skipped": F.lit(int(2 * table_.files(**by).count() <= total + 1))}))
+    return found[0].unionByName(found[1])
+
+
 @register(
     "member_files",
     f"""WITH {OBS_SQL}, m AS (SELECT l_orderkey AS obs_id, CAST(l_linenumber AS INT) AS member, l_quantity AS value FROM lineitem)

@@ -57,6 +57,7 @@ def test_store_replaces_updates_and_deletes(spark, obs, tmp_path):
     ids = store.read().where("ingest_file = 'a'").select("obs_id").limit(1).withColumn("value", F.lit(9.0))
     store.update(ids, "model_forecast")
     assert store.read().where("model_forecast = 9.0").count() == 2  # both files hold the id
+    assert store.delta_bytes() < 5_000
     store.update(ids.limit(0), "model_forecast", clear=True)
     assert store.read().where("model_forecast IS NOT NULL").count() == 0
     assert store.delete("a") and not store.delete("a") and store.read().count() == 4
@@ -224,13 +225,109 @@ def test_store_drops_files_that_lost_all_rows_and_escapes_names(spark, obs, tmp_
     assert store.delete("a:b%c.parquet") and store.read().count() == 0
 
 
-def test_a_half_written_version_is_not_the_table(spark, obs, tmp_path):
+def placed(obs, name, **columns):
+    return obs.withColumns({"ingest_file": F.lit(name), "x": F.lit(0.0), "y": F.lit(0.0)} | columns)
+
+
+def test_what_no_commit_names_is_not_the_table(spark, obs, tmp_path):
     store = ObservationStore(spark, str(tmp_path / "store"))
-    store.add(obs.withColumns({"ingest_file": F.lit("a"), "x": F.lit(0.0), "y": F.lit(0.0)}))
-    (tmp_path / "store" / "v000002" / "ingest_file=a").mkdir(parents=True)
+    store.add(placed(obs, "a"))
+    obs.withColumn("_data", F.lit("lost")).write.parquet(str(tmp_path / "store" / "data" / "lost" / "_part=x"))
     assert store.read().count() == obs.count()
     store.update(store.read().select("obs_id", F.lit(2.0).alias("value")), "model_forecast")
     assert store.read().where("model_forecast = 2.0").count() == obs.count()
+    store.update(store.read().select("obs_id", F.lit(None).cast("double").alias("value")), "model_forecast")
+    assert store.read().where("model_forecast IS NOT NULL").count() == 0
+    with pytest.raises(Exception, match="several values"):
+        twice = store.read().select("obs_id").limit(1)
+        store.update(twice.withColumn("value", F.lit(1.0)).union(twice.withColumn("value", F.lit(2.0))), "model_forecast")
+
+
+def test_a_number_is_taken_once(spark, tmp_path):
+    from nephos.sources.commits import CommitLog
+
+    one, two = (CommitLog(spark, f"file://{tmp_path}/log") for _ in range(2))
+    assert one.versions() == [] and one.put(1, {"a": "é"}) and not two.put(1, {"a": "other"})
+    assert two.get(1) == {"a": "é"} and two.put(2, {}) and one.versions() == [1, 2]
+    assert {p.suffix for p in (tmp_path / "log").iterdir() if not p.name.startswith(".")} == {".json"}
+
+
+def test_writers_behind_others_retry_or_conflict(spark, obs, tmp_path):
+    from nephos.sources.store import Conflict
+
+    mine, other = (ObservationStore(spark, str(tmp_path / "store")) for _ in range(2))
+    mine.add(placed(obs, "a"))
+    behind = other.snapshot()
+    mine.update(mine.read().select("obs_id", F.lit(1.0).alias("value")), "model_forecast")
+    ids = mine.read().select("obs_id").limit(1)
+    assert other.update(ids.withColumn("value", F.lit(7.0)), "model_analysis", base=behind) == 3
+    assert other.add(placed(obs, "b"), base=behind) == 4
+    with pytest.raises(Conflict):
+        other.add(placed(obs, "b"), base=behind)
+    got = mine.read().collect()
+    assert len(got) == 2 * obs.count() and sum(r["model_analysis"] == 7.0 for r in got) == 1
+    assert sum(r["model_forecast"] == 1.0 for r in got) == obs.count()
+
+
+def test_old_snapshots_stay_until_the_vacuum(spark, obs, tmp_path):
+    store = ObservationStore(spark, str(tmp_path / "store"))
+    store.add(placed(obs, "a").unionByName(placed(obs, "b")))
+    old = store.read(1)
+    store.update(store.read().where("ingest_file = 'a'").select("obs_id", F.lit(3.0).alias("value")), "model_forecast")
+    late = store.snapshot()
+    assert store.compact() == 3 and store.compact() == 0
+    # A delta that came while rows were compacted still holds; so does one of the time before for who reads that time.
+    store.update(store.read().where("ingest_file = 'b'").select("obs_id", F.lit(4.0).alias("value")), "model_forecast", base=late)
+    assert old.where("model_forecast IS NOT NULL").count() == 0 and store.read(2).where("model_forecast = 3.0").count() == obs.count()
+    assert store.read().where("model_forecast = 3.0").count() == store.read().where("model_forecast = 4.0").count() == obs.count()
+    before = sorted(map(str, store.read().collect()))
+    assert store.vacuum(1) > 0 and sorted(map(str, store.read().collect())) == before
+
+
+def test_clearing_leaves_rows_that_come_later(spark, obs, tmp_path):
+    store = ObservationStore(spark, str(tmp_path / "store"))
+    store.add(placed(obs, "a", model_forecast=F.lit(1.0)))
+    store.update(store.read().select("obs_id", F.lit(2.0).alias("value")).limit(0), "model_forecast", clear=True)
+    store.add(placed(obs, "b", model_forecast=F.lit(5.0)))
+    for _ in range(2):
+        got = {(r["ingest_file"], r["model_forecast"]) for r in store.read().collect()}
+        assert got == {("a", None), ("b", 5.0)}
+        store.compact()
+    assert not store.snapshot().deltas
+
+
+def test_a_log_of_many_commits_is_read_from_its_last_state(spark, obs, tmp_path, monkeypatch):
+    from nephos.sources import store as module
+
+    monkeypatch.setattr(module, "STATE_EVERY", 3)
+    store = ObservationStore(spark, str(tmp_path / "store"))
+    for name in "abcd":
+        store.add(placed(obs.limit(1), name))
+    store.delete("b")
+    assert store.log.get(3)["state"]["live"].keys() == set("abc") and store.log.get(4).get("state") is None
+    assert sorted(r["ingest_file"] for r in store.read().collect()) == ["a", "c", "d"] and sorted(r["ingest_file"] for r in store.read(2).collect()) == ["a", "b"]
+
+
+def test_files_that_cannot_hold_rows_are_skipped(spark, tmp_path):
+    import random
+
+    rng = random.Random(5)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("I", "Q", t0 + dt.timedelta(minutes=rng.randrange(40_000)), rng.uniform(-180, 180), rng.uniform(-90, 90), 0.0, "height", float(i), 0.1, 0, None, f"raw{i // 500}", None, f"f{i // 2000}", 0.0, 0.0) for i in range(8000)]
+    columns = [*schema.OBS_SCHEMA.fieldNames(), "ingest_file", "x", "y"]
+    kinds = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in schema.OBS_SCHEMA.fields), "ingest_file string", "x double", "y double"])
+    df = spark.createDataFrame([dict(zip(columns, r, strict=True)) for r in rows], kinds)
+    store = ObservationStore(spark, str(tmp_path / "store"), rows_per_file=50)
+    store.add(df)
+    total = store.files().count()
+    assert total >= 160 and store.files().agg(F.sum("n_rows")).first()[0] == 8000
+    span = {"start": t0 + dt.timedelta(days=3), "end": t0 + dt.timedelta(days=6), "box": (0.0, 0.0, 60.0, 90.0)}
+    want = sorted(r[7] for r in rows if span["start"] <= r[2] <= span["end"] and 0 <= r[4] <= 60 and 0 <= r[3] <= 90)
+    assert sorted(r["value"] for r in store.select(**span).collect()) == want and want
+    assert store.files(**span).count() <= total / 5
+    assert sorted(r["value"] for r in store.find("raw7").collect()) == [float(i) for i in range(3500, 4000)]
+    assert store.files(orig_filename="raw7").count() <= total / 4 + 8 and store.files(orig_filename="nowhere").count() <= total / 10 and store.find("nowhere") is None
+    assert len(store.select(**span).inputFiles()) == store.files(**span).count()
 
 
 def test_classic_files_there_and_back():
