@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,6 +73,49 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBa
     return df.mapInArrow(run, schema)
 
 
+#: Tasks in which the states of all tasks meet before they meet in one.
+GROUPS = 16
+_STATES = "part int, key string, sums array<double>"
+
+
+def _states(part: int, held: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for key in sorted(held):
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([key]), pa.array([held[key].tolist()], pa.list_(pa.float64()))], names=["part", "key", "sums"])
+
+
+def gather_states(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, np.ndarray]]) -> DataFrame:
+    """(part, key, sums): for each task the sums by key of what ``fn`` makes of its batches."""
+    ship_package(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+        for batch in batches:
+            if batch.num_rows:
+                for key, sums in fn(batch).items():
+                    held[key] = held[key] + sums if key in held else np.asarray(sums, np.float64)
+        yield from _states(TaskContext.get().partitionId(), held)
+
+    return df.mapInArrow(run, _STATES)
+
+
+def summed_states(states: DataFrame) -> dict[str, np.ndarray]:
+    """The sums by key of all tasks, added in the order of the partitions; as many vectors as there are keys reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+        part = 0
+        for batch in batches:
+            part = batch.column(0)[0].as_py() if batch.num_rows and not held else part
+            for key, sums in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+                vector = sums.values.to_numpy()
+                held[key] = held[key] + vector if key in held else vector.copy()
+        yield from _states(part, held)
+
+    met = states.repartition(GROUPS, F.col("part") % GROUPS).sortWithinPartitions("part", "key").mapInArrow(run, _STATES)
+    last = met.repartition(1).sortWithinPartitions("part", "key").mapInArrow(run, _STATES)
+    return {r["key"]: np.array(r["sums"]) for r in last.collect()}
+
+
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """Row slices of ``batch`` whose ``column`` holds about ``most_bytes``, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()

@@ -2,25 +2,28 @@
 
 Token counts (ids of a tokenizer and the end id, or words where no tokenizer is
 given) are summed by (source, language, topic).  A margin's targets are named
-weights, or a power: then the MOST_NAMES largest categories of the corpus aim at
-their token shares raised to it, and no category at more than ROOM of what its
-tokens allow; powers that rates of at most 1 can't meet together are eased to 1
-step by step.  Categories without a name fall into OTHER, so there are at most
-(sources + 1) * (languages + 1) * (topics + 1) cells, whatever the input; only
-those sums reach the driver.  Raking scales the cells' keep rates, margin after
-margin, until each margin has its share of the tokens to keep; a rate never
-passes 1, and the shares reached are returned beside the targets.  Documents are
+weights, where categories without a name count as OTHER, or a power: then every
+category of the corpus aims at its token share raised to it.  Raking scales the
+cells' keep rates, margin after margin, until each margin has its share of the
+tokens to keep; a rate never passes 1.  Targets are never moved.  Where rates of at
+most 1 can't meet all margins together, the cells go from there to the margins
+nearest to those asked, by least squares, which are unique; what is asked and what
+is reached stand beside each row, and the largest gap between them.  Documents are
 then drawn independently with their cell's rate, by a hash of id and text, so a
 rerun draws the same rows and any document may be decided alone.
 
+Only the cells' sums reach the driver, MOST_CELLS at most: margins so fine that
+there are more raise, and need named weights.
+
 Topics are learnt from the texts (``topics``) where a tokenizer is given, else
 they are the texts' forms.
 
 Defined cases: null source or lang counts as OTHER; a null or very long text is
 like any other, a text without words has no tokens and is not drawn; a margin
 without tokens gets none and the others share its weight; a target over a
-category's tokens keeps all of it; equal rows are drawn alike; extra columns pass
-through whatever their names; an empty table gives no rows.
+category's tokens keeps all of it, and the gap says so; equal rows are drawn alike,
+a null id like any value; categories of equal size aim at equal shares; extra
+columns pass through whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,12 +35,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nephos.llm.common import map_arrow, slices, word_count
 from nephos.llm.token_store import SLICE_BYTES, encoder
-from nephos.llm.topics import OTHER, Topics, fit_topics
+from nephos.llm.topics import OTHER, count_lists, fit_topics, with_topics
 from nephos.session import drop_shared, write_shared
 
 DIMENSIONS = ("source", "lang", "topic")
@@ -46,10 +49,8 @@ Targets = dict[str, dict[str, float] | float]
 #: Production targets of the registered query: powers of the corpus's own token shares.
 TARGETS: Targets = {"source": 0.5, "lang": 0.7, "topic": 0.7}
 KEEP_SHARE = 0.4
-#: Categories of a margin that a power may name, and the part of a category's tokens that it may ask for.
-MOST_NAMES, ROOM = 64, 0.8
-#: Steps in which powers that can't be met together ease, and the gap that counts as met.
-EASE_STEPS, MOST_GAP = 8, 0.001
+#: Cells that the driver takes; steps of the search for the nearest margins.
+MOST_CELLS, MOST_STEPS = 1 << 20, 20_000
 
 
 def topic_of(text: Column) -> Column:
@@ -69,87 +70,63 @@ def has_words(text: Column) -> Column:
     return F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
 
 
-def keyed(docs: DataFrame, *keep: Column, topics: Topics | None = None, tokenizer: str | None = None) -> DataFrame:
-    """``keep``, _source, _lang, _topic, and _tokens: words, or ids and the end id of a text with words."""
+def keyed(docs: DataFrame, *keep: Column, tokenizer: str | None = None) -> DataFrame:
+    """``keep``, _source, _lang, _tokens, and _topic by form; with a tokenizer its ids and the end id count, and _at and _n hold the bucket counts instead of a topic."""
     text = F.col("text")
     names = [F.coalesce(F.col(c).cast("string"), F.lit(OTHER)).alias(f"_{c}") for c in ("source", "lang")]
-    if tokenizer is None or topics is None:
-        return docs.select(*keep, *names, topic_of(text).alias("_topic"), word_count(text).alias("_tokens"))
+    if tokenizer is None:
+        return docs.select(*keep, *names, word_count(text).alias("_tokens"), topic_of(text).alias("_topic"))
     rows = docs.select(*keep, *names, F.when(has_words(text), text).alias("_text"))
-    width = len(keep)
+    width = len(keep) + 2
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, "_text", SLICE_BYTES):
-            texts, langs = part.column(width + 2).to_pylist(), part.column(width + 1).to_pylist()
+            texts = part.column(width).to_pylist()
             ids = encoder(tokenizer).encode(texts)
-            named = pa.array([topics.name(x, lang) for x, lang in zip(ids, langs, strict=True)], pa.string())
             counts = pa.array([0 if t is None else len(x) // 4 + 1 for t, x in zip(texts, ids, strict=True)], pa.int64())
-            yield pa.RecordBatch.from_arrays([*part.columns[: width + 2], named, counts], names=[*part.schema.names[: width + 2], "_topic", "_tokens"])
+            yield pa.RecordBatch.from_arrays([*part.columns[:width], counts, *count_lists(ids)], names=[*part.schema.names[:width], "_tokens", "_at", "_n"])
 
-    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[: width + 2])
-    return map_arrow(rows, run, f"{kept}, _topic string, _tokens bigint")
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:width])
+    return map_arrow(rows, run, f"{kept}, _tokens bigint, _at array<smallint>, _n array<int>")
 
 
 def cell_tokens(docs: DataFrame, targets: Targets, tokenizer: str | None = None) -> dict[Cell, int]:
-    """Tokens of each cell; the targets bound the number of cells."""
-    topics = None if tokenizer is None else fit_topics(docs, tokenizer)
-    return summed(keyed(docs, topics=topics, tokenizer=tokenizer), targets)
-
-
-def category_names(rows: DataFrame, targets: Targets) -> dict[str, list[str]]:
-    """The named categories of each margin: those of the targets, or the largest ones."""
-    out = {}
-    for d in DIMENSIONS:
-        asked = targets[d]
-        if isinstance(asked, dict):
-            out[d] = sorted(asked)
-        else:
-            sizes = rows.groupBy(f"_{d}").agg(F.sum("_tokens").alias("n")).where("n > 0")
-            out[d] = sorted(r[0] for r in sizes.orderBy(F.desc("n"), f"_{d}").limit(MOST_NAMES).collect())
-    return out
+    """Tokens of each cell."""
+    if tokenizer is None:
+        return summed(keyed(docs), targets)
+    counted = write_shared(keyed(docs, tokenizer=tokenizer), "mix-counts")
+    tokens = summed(with_topics(counted, fit_topics(counted)), targets)
+    drop_shared(counted)
+    return tokens
 
 
-def among(d: str, names: list[str]) -> Column:
-    """The category of margin ``d``, OTHER if it has no name."""
-    return F.when(F.col(f"_{d}").isin(*names), F.col(f"_{d}")).otherwise(F.lit(OTHER)) if names else F.lit(OTHER)
+def among(d: str, targets: Targets) -> Column:
+    """The category of margin ``d``: OTHER if the margin has names and this is none of them."""
+    asked = targets[d]
+    if not isinstance(asked, dict):
+        return F.col(f"_{d}")
+    return F.when(F.col(f"_{d}").isin(*asked), F.col(f"_{d}")).otherwise(F.lit(OTHER)) if asked else F.lit(OTHER)
 
 
 def summed(rows: DataFrame, targets: Targets) -> dict[Cell, int]:
     """Tokens of each cell of keyed rows."""
-    names = category_names(rows, targets)
-    sums = rows.groupBy(*[among(d, names[d]).alias(d) for d in DIMENSIONS]).agg(F.sum("_tokens").alias("n"))
-    return {(r["source"], r["lang"], r["topic"]): r["n"] for r in sums.collect() if r["n"]}
+    sums = rows.groupBy(*[among(d, targets).alias(d) for d in DIMENSIONS]).agg(F.sum("_tokens").alias("n")).where("n > 0")
+    found = sums.limit(MOST_CELLS + 1).collect()
+    if len(found) > MOST_CELLS:
+        raise ValueError(f"over {MOST_CELLS} cells of {DIMENSIONS}: give a margin named weights")
+    return {(r["source"], r["lang"], r["topic"]): r["n"] for r in found}
 
 
 @dataclass(frozen=True)
 class Mix:
-    """Keep rates of the cells; (dimension, category, target, reached share) of each margin; the largest gap."""
+    """Keep rates of the cells; (dimension, category, asked share, reached share) of each margin; the largest gap between the two."""
 
     rates: dict[Cell, float]
     margins: list[tuple[str, str, float, float]]
     gap: float
 
-    def names(self, at: int) -> list[str]:
-        return sorted({cell[at] for cell in self.rates})
-
-
-def tempered(shares: dict[str, float], power: float, keep_share: float, room: float = ROOM) -> dict[str, float]:
-    """Shares raised to ``power``, none over ``room`` of its tokens at ``keep_share``; the others take the excess."""
-    most = {k: max(room / keep_share, 1.0) * s for k, s in shares.items()}
-    out: dict[str, float] = {}
-    free = {k: s**power for k, s in shares.items() if s > 0}
-    while free:
-        left, scale = 1 - sum(out.values()), sum(free.values())
-        over = [k for k, w in free.items() if left * w / scale > most[k]]
-        if not over:
-            return out | {k: left * w / scale for k, w in free.items()}
-        for k in over:
-            out[k] = most[k]
-            del free[k]
-    return out
-
 
-def wanted_shares(tokens: dict[Cell, int], targets: Targets, keep_share: float) -> list[dict[str, float]]:
+def wanted_shares(tokens: dict[Cell, int], targets: Targets) -> list[dict[str, float]]:
     """The share that each present category of each margin aims at."""
     total = sum(tokens.values())
     out: list[dict[str, float]] = []
@@ -162,61 +139,71 @@ def wanted_shares(tokens: dict[Cell, int], targets: Targets, keep_share: float)
             weights = {k: w for k, w in asked.items() if k in shares and w > 0}
             if OTHER in shares and OTHER not in weights:
                 weights[OTHER] = shares[OTHER]
-            out.append({k: w / sum(weights.values()) for k, w in weights.items()})
         else:
-            out.append(tempered(shares, asked, keep_share))
+            weights = {k: s**asked for k, s in shares.items()}
+        out.append({k: w / sum(weights.values()) for k, w in weights.items()})
     return out
 
 
-def eased(targets: Targets, step: float) -> Targets:
-    """Powers moved by ``step`` of their way to 1, where a margin aims at the corpus's own shares; named weights stay."""
-    return {d: t if isinstance(t, dict) else t + (1 - t) * step for d, t in targets.items()}
-
-
 def rake(tokens: dict[Cell, int], targets: Targets, keep_share: float = KEEP_SHARE, tolerance: float = 1e-9, most_rounds: int = 500) -> Mix:
-    """Rates for ``targets``, with powers eased in EASE_STEPS until the margins can be met together.
-
-    Each margin alone leaves room, but rates of at most 1 may not serve all margins
-    at once.  The corpus's own shares always can be, at one rate for all cells.
-    Where a margin has named weights nothing is eased: what is missed is returned and logged.
-    """
-    tokens = dict(sorted(tokens.items()))  # sums in one order, whatever order the cells came in
-    for k in range(EASE_STEPS + 1):
-        mix = _raked(tokens, eased(targets, k / EASE_STEPS), keep_share, tolerance, most_rounds)
-        if mix.gap <= MOST_GAP or any(isinstance(t, dict) for t in targets.values()):
+    """Rates for ``targets``; what can't be met is as near as rates of at most 1 come, logged, and told by the margins."""
+    if not tokens:
+        return Mix({}, [], 0.0)
+    cells = sorted(tokens)  # sums in one order, whatever order the cells came in
+    wanted = wanted_shares({c: tokens[c] for c in cells}, targets)
+    names = [sorted({c[at] for c in cells}) for at in range(len(DIMENSIONS))]
+    places = [{k: i for i, k in enumerate(n)} for n in names]
+    codes = [np.array([places[at][c[at]] for c in cells]) for at in range(len(DIMENSIONS))]
+    asked = [np.array([w.get(k, 0.0) for k in n]) for w, n in zip(wanted, names, strict=True)]
+    # Masses and their upper bounds in units of all tokens to keep, so that a margin sums to 1.
+    most = np.array([tokens[c] for c in cells]) / (keep_share * sum(tokens.values()))
+    mass = fitted(codes, asked, most, most * keep_share, tolerance, most_rounds)
+    if missed(codes, asked, mass) > tolerance * 10:
+        mass = nearest(codes, asked, most, mass)
+    reached = [np.bincount(c, mass, len(a)) / (mass.sum() or 1.0) for c, a in zip(codes, asked, strict=True)]
+    margins = [(d, k, float(a), float(r)) for d, ks, aa, rr in zip(DIMENSIONS, names, asked, reached, strict=True) for k, a, r in zip(ks, aa, rr, strict=True)]
+    gap = max(abs(a - r) for *_, a, r in margins)
+    if gap > 0.001:
+        logging.getLogger(__name__).warning("mixture misses a target by %.4f: %s", gap, max(margins, key=lambda m: abs(m[2] - m[3])))
+    return Mix(dict(zip(cells, np.minimum(mass / most, 1.0).tolist(), strict=True)), margins, gap)
+
+
+def missed(codes: list[np.ndarray], asked: list[np.ndarray], mass: np.ndarray) -> float:
+    return max(float(np.abs(np.bincount(c, mass, len(a)) - a).max()) for c, a in zip(codes, asked, strict=True))
+
+
+def fitted(codes: list[np.ndarray], asked: list[np.ndarray], most: np.ndarray, mass: np.ndarray, tolerance: float, most_rounds: int) -> np.ndarray:
+    """Iterative proportional fitting of masses, none over its bound."""
+    for _ in range(most_rounds):
+        before = mass
+        for code, want in zip(codes, asked, strict=True):
+            have = np.bincount(code, mass, len(want))
+            mass = np.minimum(most, mass * np.divide(want, have, out=np.zeros_like(want), where=have > 0)[code])
+        if np.abs((mass - before) / most).max() < tolerance:
             break
-    log = logging.getLogger(__name__)
-    if k:
-        log.info("powers eased by %d of %d steps", k, EASE_STEPS)
-    if mix.gap > MOST_GAP:
-        log.warning("mixture misses a target by %.4f: %s", mix.gap, max(mix.margins, key=lambda m: abs(m[2] - m[3])))
-    return mix
+    return mass
 
 
-def _raked(tokens: dict[Cell, int], targets: Targets, keep_share: float, tolerance: float, most_rounds: int) -> Mix:
-    """Iterative proportional fitting of keep rates, each at most 1."""
-    total = sum(tokens.values())
-    rates = dict.fromkeys(sorted(tokens), keep_share)
-    wanted = wanted_shares(tokens, targets, keep_share) if tokens else []
-    for _ in range(most_rounds):
-        moved = 0.0
-        for at, margin in enumerate(wanted):
-            kept: dict[str, float] = {}
-            for cell, rate in rates.items():
-                kept[cell[at]] = kept.get(cell[at], 0.0) + rate * tokens[cell]
-            for cell, rate in rates.items():
-                have, want = kept[cell[at]], margin.get(cell[at], 0.0) * keep_share * total
-                new = min(1.0, rate * want / have) if have and want else 0.0
-                moved, rates[cell] = max(moved, abs(new - rate)), new
-        if moved < tolerance:
+def nearest(codes: list[np.ndarray], asked: list[np.ndarray], most: np.ndarray, mass: np.ndarray) -> np.ndarray:
+    """Masses within their bounds whose margins are nearest to those asked, by least squares, from ``mass`` on.
+
+    Accelerated projected gradient steps, each cell's by the number of cells that
+    share a category with it, which bounds the curvature.
+    """
+    step = 1.0 / sum(np.bincount(c, minlength=len(a))[c] for c, a in zip(codes, asked, strict=True))
+    x = y = mass
+    t = 1.0
+    for _ in range(MOST_STEPS):
+        slope = sum((np.bincount(c, y, len(a)) - a)[c] for c, a in zip(codes, asked, strict=True))
+        new = np.clip(y - step * slope, 0.0, most)
+        moved = new - x
+        if ((y - new) * moved / step).sum() > 0:  # past the least point: start anew from here
+            t = 1.0
+        ahead = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        x, y, t = new, new + (t - 1) / ahead * moved, ahead
+        if np.abs(moved).max() < 1e-15:
             break
-    mass = sum(rates[c] * n for c, n in tokens.items()) or 1.0
-    margins = []
-    for at, (d, margin) in enumerate(zip(DIMENSIONS, wanted, strict=False)):
-        for k, want in sorted(margin.items()):
-            margins.append((d, k, want, sum(rates[c] * n for c, n in tokens.items() if c[at] == k) / mass))
-    gap = max((abs(want - got) for *_, want, got in margins), default=0.0)
-    return Mix(rates, margins, gap)
+    return x
 
 
 def draw(doc_id: Column, text: Column, seed: int) -> Column:
@@ -224,40 +211,44 @@ def draw(doc_id: Column, text: Column, seed: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), doc_id, text), 11).cast("double") / F.lit(float(2**53))
 
 
-def rate_column(mix: Mix) -> Column:
-    """The keep rate of a row's cell, as a literal map (its size is bounded by the targets)."""
-    if not mix.rates:
-        return F.lit(0.0)
-    pairs = [x for cell, rate in mix.rates.items() for x in (F.lit("\x1f".join(cell)), F.lit(float(rate)))]
-    cell = F.concat_ws("\x1f", *[among(d, mix.names(at)) for at, d in enumerate(DIMENSIONS)])
-    return F.coalesce(F.create_map(*pairs)[cell], F.lit(0.0))
-
-
 def mix_rows(docs: DataFrame, mix: Mix, targets: Targets, seed: int = 11) -> DataFrame:
     """Every document with its cell by form, words, keep rate and whether it is drawn.
 
     Documents without tokens have no cell to weigh and are not drawn.
     """
     drawn = draw(F.col("doc_id"), F.col("text"), seed).alias("_draw")
-    return rated(keyed(docs, F.col("doc_id"), drawn), mix)
+    return rated(keyed(docs, F.col("doc_id"), drawn), mix, targets)
 
 
 def mix_tokens(docs: DataFrame, targets: Targets, tokenizer: str, keep_share: float = KEEP_SHARE, seed: int = 11) -> DataFrame:
     """As mix_rows, by learnt topics and ids of the file ``tokenizer``; what is counted is written, so that each text is tokenized once."""
     drawn = draw(F.col("doc_id"), F.col("text"), seed).alias("_draw")
-    rows = write_shared(keyed(docs, F.col("doc_id"), drawn, topics=fit_topics(docs, tokenizer), tokenizer=tokenizer), "mix-rows")
-    return rated(rows, rake(summed(rows, targets), targets, keep_share))
+    counted = write_shared(keyed(docs, F.col("doc_id"), drawn, tokenizer=tokenizer), "mix-counts")
+    rows = write_shared(with_topics(counted, fit_topics(counted)), "mix-rows")
+    drop_shared(counted)
+    return rated(rows, rake(summed(rows, targets), targets, keep_share), targets)
+
+
+def cell_table(spark: SparkSession, mix: Mix) -> DataFrame:
+    """The cells with their rates and, for each margin, what is asked and what is reached: MOST_CELLS rows at most."""
+    shares = {(d, k): (a, r) for d, k, a, r in mix.margins}
+    rows = [(*cell, rate, *[x for d, k in zip(DIMENSIONS, cell, strict=True) for x in shares[d, k]]) for cell, rate in mix.rates.items()]
+    columns = ", ".join(f"{d} string" for d in DIMENSIONS) + ", _rate double, " + ", ".join(f"{d}_{x} double" for d in DIMENSIONS for x in ("asked", "reached"))
+    return spark.createDataFrame(rows, columns)
 
 
-def rated(keyed_rows: DataFrame, mix: Mix) -> DataFrame:
-    """doc_id, cell, tokens, keep rate, draw, and the mixture's largest gap, of keyed rows with doc_id and _draw."""
-    rows = keyed_rows.withColumn("rate", F.when(F.col("_tokens") > 0, rate_column(mix)).otherwise(F.lit(0.0)))
-    return rows.select(
+def rated(keyed_rows: DataFrame, mix: Mix, targets: Targets) -> DataFrame:
+    """doc_id, cell, tokens, keep rate, draw, what the cell's margins ask and reach, and the mixture's largest gap, of keyed rows with doc_id and _draw."""
+    known = F.broadcast(cell_table(keyed_rows.sparkSession, mix))
+    rows = keyed_rows.select("doc_id", *[among(d, targets).alias(d) for d in DIMENSIONS], "_tokens", "_draw").join(known, list(DIMENSIONS), "left")
+    rate = F.when(F.col("_tokens") > 0, F.coalesce("_rate", F.lit(0.0))).otherwise(F.lit(0.0))
+    return rows.withColumn("rate", rate).select(
         "doc_id",
-        *[among(d, mix.names(at)).alias(d) for at, d in enumerate(DIMENSIONS)],
+        *DIMENSIONS,
         F.col("_tokens").alias("n_tokens"),
         "rate",
         (F.col("_draw") < F.col("rate")).alias("drawn"),
+        *[f"{d}_{x}" for d in DIMENSIONS for x in ("asked", "reached")],
         F.lit(mix.gap).alias("largest_gap"),
     )
 
@@ -279,13 +270,14 @@ def mix_documents(
     if tokenizer is None:
         mix = rake(cell_tokens(docs, targets), targets, keep_share)
         row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-        rows = keyed(docs, row, drawn, has_words(F.col("text")).alias("_words"))
-        return rows.where(F.col("_words") & (F.col("_draw") < rate_column(mix))).select("_row.*")
-    topics = fit_topics(docs, tokenizer)
-    counted = write_shared(keyed(docs, topics=topics, tokenizer=tokenizer), "mix-rows")
-    mix = rake(summed(counted, targets), targets, keep_share)
+        rows = keyed(docs, row, drawn).select("_row", "_draw", "_tokens", *[among(d, targets).alias(d) for d in DIMENSIONS])
+        met = rows.join(F.broadcast(cell_table(docs.sparkSession, mix)), list(DIMENSIONS))
+        return met.where((F.col("_tokens") > 0) & (F.col("_draw") < F.col("_rate"))).select("_row.*")
+    counted = write_shared(keyed(docs, tokenizer=tokenizer), "mix-counts")
+    topics = fit_topics(counted)
+    mix = rake(summed(with_topics(counted, topics), targets), targets, keep_share)
     drop_shared(counted)
-    names, rates = [set(mix.names(at)) for at in range(len(DIMENSIONS))], mix.rates
+    rates, named = mix.rates, [set(targets[d]) if isinstance(targets[d], dict) else None for d in DIMENSIONS]
     at = {c: docs.columns.index(c) for c in ("text", "lang", "source")}
     width = len(docs.columns)
 
@@ -293,11 +285,10 @@ def mix_documents(
         for part in slices(batch, f"c{at['text']}", SLICE_BYTES):
             column = lambda c: pc.cast(part.column(at[c]), pa.string()).to_pylist()  # noqa: E731, B023
             ids = encoder(tokenizer).encode(column("text"))
-            kept = []
-            for raw, source, lang, words, u in zip(ids, column("source"), column("lang"), part.column(width).to_pylist(), part.column(width + 1).to_pylist(), strict=True):
-                source, lang = OTHER if source is None else source, OTHER if lang is None else lang
-                cell = (source, lang, topics.name(raw, lang) if words else OTHER)
-                kept.append(words and u < rates.get(tuple(k if k in n else OTHER for k, n in zip(cell, names, strict=True)), 0.0))
+            langs = [OTHER if x is None else x for x in column("lang")]
+            cells = zip([OTHER if x is None else x for x in column("source")], langs, topics.names(*count_lists(ids), langs), strict=True)
+            pooled = (tuple(k if n is None or k in n else OTHER for k, n in zip(cell, named, strict=True)) for cell in cells)
+            kept = [w and u < rates.get(cell, 0.0) for cell, w, u in zip(pooled, part.column(width).to_pylist(), part.column(width + 1).to_pylist(), strict=True)]
             found = part.filter(pa.array(np.array(kept, bool)))
             if found.num_rows:
                 yield pa.RecordBatch.from_arrays(found.columns[:width], names=docs_names)

@@ -2,37 +2,98 @@
 
 Token ids fall into BUCKETS buckets; a text is the vector of log counts times
 inverse document frequencies, scaled to length 1, less the mean of its language,
-so that clusters tell contents and not languages.  The clusters are fitted on a
-sample of at most MOST_ROWS documents, chosen by a hash of id and text, whose
-whole texts are counted on the executors: at most MOST_ROWS times BUCKETS counts
-reach the driver.  Every text is then assigned from its whole ids.
-
-Defined cases: texts without ids have the topic OTHER; a null or unknown language
-takes the mean of all; equal texts of one language share a topic; with fewer
-texts than topics there are fewer topics; an empty table gives none.
+so that clusters tell contents and not languages.  Every document counts in every
+figure: frequencies, languages' means, the start and each round are sums that tasks
+make from their rows and that meet in two steps (``summed_states``), in the order of
+the partitions.  At most SEEDS vectors of BUCKETS numbers reach the driver at once, or
+one a language; a language needs one document in SHARE, so there are at most SHARE.
+
+The start: documents are grouped by a hash of their heaviest bucket, and centres are
+the groups' means that lie far apart, the first that of the largest group.
+
+Defined cases: texts without ids have the topic OTHER; a null or rare language takes
+the mean of all; equal texts of one language share a topic, and equal scores go to
+the first topic; with fewer texts than topics there are fewer topics; an empty table
+gives none.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nephos.llm.common import map_arrow, slices
-from nephos.llm.token_store import SLICE_BYTES, encoder
+from nephos.llm.common import SHARE, gather_states, map_arrow, summed_states
 
 OTHER = "other"
-BUCKETS, TOPICS, MOST_ROWS, ROUNDS = 2048, 8, 4_000, 12
+BUCKETS, TOPICS, SEEDS, ROUNDS = 2048, 8, 128, 6
+STEP = 2.0**-20
 
 
-def bucket_counts(raw: bytes) -> np.ndarray:
-    """How many of the little-endian u32 ids fall into each bucket."""
+def bucket_counts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that the little-endian u32 ids fall into, and how many in each."""
     mixed = (np.frombuffer(raw, "<u4") * np.uint32(2_654_435_761)) >> np.uint32(21)
-    return np.bincount(mixed, minlength=BUCKETS)
+    counts = np.bincount(mixed, minlength=BUCKETS)
+    at = np.flatnonzero(counts)
+    return at, counts[at]
+
+
+def count_lists(raws: Sequence[bytes]) -> tuple[pa.Array, pa.Array]:
+    """The bucket counts of several texts as list columns."""
+    found = [bucket_counts(raw) for raw in raws]
+    offsets = pa.array(np.concatenate([[0], np.cumsum([len(at) for at, _ in found])]).astype(np.int32))
+    flat = lambda k, t: np.concatenate([f[k] for f in found]).astype(t) if found else np.empty(0, t)
+    return pa.ListArray.from_arrays(offsets, pa.array(flat(0, np.int16))), pa.ListArray.from_arrays(offsets, pa.array(flat(1, np.int32)))
+
+
+def stepped(x: np.ndarray) -> np.ndarray:
+    """Rounded to whole STEPs, whose sums are exact and so do not depend on the order."""
+    return np.rint(x / STEP) * STEP
+
+
+class Rows:
+    """Texts as sparse vectors, flat: row, bucket and weight of each entry, and each row's language."""
+
+    def __init__(self, at: pa.ListArray, n: pa.ListArray, langs: Sequence[str | None], idf: np.ndarray, means: dict[str, np.ndarray]):
+        sizes = np.diff(at.offsets.to_numpy())
+        self.m, self.row = len(sizes), np.repeat(np.arange(len(sizes)), sizes)
+        self.at = at.flatten().to_numpy().astype(np.int64)
+        w = np.log1p(n.flatten().to_numpy()) * idf[self.at]
+        norm = np.sqrt(np.bincount(self.row, w * w, self.m))
+        self.w = w / np.maximum(norm, 1e-12)[self.row]
+        names = list(means)
+        code = {name: k for k, name in enumerate(names)}
+        self.lang = np.array([code.get(x or OTHER, code[OTHER]) for x in langs], np.int64)
+        self.means = np.stack([means[k] for k in names])
+
+    def dot(self, vector: np.ndarray) -> np.ndarray:
+        """Of each row with a vector, or with a row of a matrix for its language."""
+        return np.bincount(self.row, self.w * (vector[self.at] if vector.ndim == 1 else vector[self.lang[self.row], self.at]), self.m)
+
+    def scores(self, centres: np.ndarray) -> np.ndarray:
+        """Of each centre with each row less its language's mean."""
+        return np.stack([self.dot(c) - (self.means @ c)[self.lang] for c in centres])
+
+    def summed(self, group: np.ndarray, groups: int) -> np.ndarray:
+        """Of each group: its rows, their scales to length 1 by language, and their scaled sum, all but the count in whole STEPs; ``centred`` takes the means off."""
+        square = np.bincount(self.row, self.w * self.w, self.m) - 2 * self.dot(self.means) + (self.means * self.means).sum(axis=1)[self.lang]
+        scale = 1 / np.maximum(np.sqrt(np.maximum(square, 0)), 1e-12)
+        scale[square < 1e-12] = 0.0
+        sums = np.bincount(group[self.row] * BUCKETS + self.at, stepped(self.w * scale[self.row]), groups * BUCKETS).reshape(groups, BUCKETS)
+        weight = np.bincount(group * len(self.means) + self.lang, stepped(scale), groups * len(self.means)).reshape(groups, -1)
+        return np.concatenate([np.bincount(group, minlength=groups)[:, None], weight, sums], axis=1)
+
+    def heaviest(self) -> np.ndarray:
+        """The bucket of each row's greatest weight, the first of equal ones."""
+        order = np.lexsort((self.at, -self.w, self.row))
+        _, first = np.unique(self.row[order], return_index=True)
+        out = np.zeros(self.m, np.int64)
+        out[self.row[order][first]] = self.at[order][first]
+        return out
 
 
 @dataclass(frozen=True)
@@ -43,73 +104,106 @@ class Topics:
     centres: np.ndarray
     means: dict[str, np.ndarray]
 
-    def place(self, counts: np.ndarray, lang: str | None) -> np.ndarray:
-        x = np.log1p(counts) * self.idf
-        return x / max(float(np.sqrt(x @ x)), 1e-12) - self.means.get(lang or OTHER, self.means[OTHER])
+    def names(self, at: pa.ListArray, n: pa.ListArray, langs: Sequence[str | None]) -> list[str]:
+        if not len(self.centres):
+            return [OTHER] * len(langs)
+        best = Rows(at, n, langs, self.idf, self.means).scores(self.centres).argmax(axis=0)
+        empty = np.diff(at.offsets.to_numpy()) == 0
+        return [OTHER if e else f"topic{k}" for k, e in zip(best.tolist(), empty.tolist(), strict=True)]
 
     def name(self, raw: bytes, lang: str | None) -> str:
-        if not raw or not len(self.centres):
-            return OTHER
-        return f"topic{int((self.centres @ self.place(bucket_counts(raw), lang)).argmax())}"
+        return self.names(*count_lists([raw]), [lang])[0]
 
 
-def row_hash(doc_id: Column, text: Column) -> Column:
-    return F.xxhash64(F.lit(29), doc_id, text)
-
-
-def sample_counts(docs: DataFrame, path: str, most_rows: int) -> list[tuple[str, np.ndarray]]:
-    """(language, bucket counts) of the sampled documents, in order of their hashes."""
-    n = docs.count()
-    chance = min(1.0, most_rows / max(n, 1))
-    h = row_hash(F.col("doc_id"), F.col("text"))
-    rows = docs.select(h.alias("h"), F.col("lang").cast("string").alias("lang"), "text").where("length(trim(text)) > 0")
-    if chance < 1:
-        rows = rows.where(F.col("h") < F.lit(int(-(2**63) + chance * 2**64)))
-    out = pa.schema([("h", pa.int64()), ("lang", pa.string()), ("at", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))])
+def with_topics(counted: DataFrame, topics: Topics) -> DataFrame:
+    """``counted`` with _topic in the place of _at and _n."""
+    names = [c for c in counted.columns if c not in ("_at", "_n")]
+    rows = counted.select(*names, "_at", "_n")
+    at = names.index("_lang")
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for part in slices(batch, "text", SLICE_BYTES):
-            counted = [bucket_counts(x) for x in encoder(path).encode(part.column(2).to_pylist())]
-            at = [np.flatnonzero(c) for c in counted]
-            columns = [part.column(0), part.column(1), pa.array([x.tolist() for x in at], out.field(2).type), pa.array([c[x].tolist() for c, x in zip(counted, at, strict=True)], out.field(3).type)]
-            yield pa.RecordBatch.from_arrays(columns, schema=out)
+        named = topics.names(batch.column(len(names)), batch.column(len(names) + 1), batch.column(at).to_pylist())
+        yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(named, pa.string())], names=[*names, "_topic"])
 
-    found = map_arrow(rows, run, "h bigint, lang string, at array<int>, n array<int>").orderBy("h", "lang", "at", "n").limit(most_rows)
-    sampled = []
-    for r in found.collect():
-        counts = np.zeros(BUCKETS, np.int64)
-        counts[r["at"]] = r["n"]
-        sampled.append((r["lang"] or OTHER, counts))
-    return sampled
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[: len(names)])
+    return map_arrow(rows, run, f"{kept}, _topic string")
 
 
-def fit_topics(docs: DataFrame, path: str, topics: int = TOPICS, most_rows: int = MOST_ROWS) -> Topics:
-    """The topics of ``docs`` by ids of the tokenizer file ``path``."""
-    return fit_counts(sample_counts(docs, path, most_rows), topics)
+def fit_topics(counted: DataFrame, topics: int = TOPICS) -> Topics:
+    """The topics of all rows of ``counted`` (_lang, _at, _n)."""
+    rows = counted.where("size(_at) > 0").select("_lang", "_at", "_n")
 
+    def frequencies(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        return {"": np.concatenate([[batch.num_rows], np.bincount(batch.column(1).flatten().to_numpy(), minlength=BUCKETS)])}
 
-def fit_counts(sampled: list[tuple[str, np.ndarray]], topics: int = TOPICS, seed: int = 31) -> Topics:
-    """Spherical k-means from far-apart seeds; the fullest topic comes first."""
-    if not sampled:
+    found = summed_states(gather_states(rows, frequencies))
+    if not found:
         return Topics(np.zeros(BUCKETS), np.zeros((0, BUCKETS)), {OTHER: np.zeros(BUCKETS)})
-    counts = np.stack([c for _, c in sampled]).astype(np.float32)
-    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32)
-    x = np.log1p(counts) * idf
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-    langs = np.array([lang for lang, _ in sampled])
-    means = {OTHER: x.mean(axis=0)} | {str(lang): x[langs == lang].mean(axis=0) for lang in sorted(set(langs)) if lang != OTHER}
-    x = x - np.stack([means[str(lang)] for lang in langs])
-    unit = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-    rng = np.random.default_rng(seed)
-    centres = unit[[int(rng.integers(len(unit)))]]
-    while len(centres) < min(topics, len(unit)):
-        far = np.maximum(1 - (unit @ centres.T).max(axis=1), 0).astype(np.float64)
-        if not far.sum() > 1e-6:
-            break
-        centres = np.concatenate([centres, unit[[int(rng.choice(len(unit), p=far / far.sum()))]]])
+    n = found[""][0]
+    idf = np.log((1 + n) / (1 + found[""][1:]))
+    often = rows.groupBy("_lang").count().where((F.col("count") * SHARE >= n) & (F.col("_lang") != OTHER))
+    langs = sorted(r[0] for r in often.collect())
+    zero = np.zeros(BUCKETS)
+
+    def batch_rows(batch: pa.RecordBatch, means: dict[str, np.ndarray]) -> Rows:
+        return Rows(batch.column(1), batch.column(2), batch.column(0).to_pylist(), idf, means)
+
+    def language_sums(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        r = batch_rows(batch, dict.fromkeys([OTHER, *langs], zero))
+        groups = len(langs) + 1
+        sums = np.bincount(r.lang[r.row] * BUCKETS + r.at, stepped(r.w), groups * BUCKETS).reshape(groups, BUCKETS)
+        counts = np.bincount(r.lang, minlength=groups)
+        return {k: np.concatenate([[counts[i]], sums[i]]) for i, k in enumerate([OTHER, *langs]) if counts[i]}
+
+    found = summed_states(gather_states(rows, language_sums))
+    every = sum(found.values())
+    means = {OTHER: every[1:] / every[0]} | {k: found[k][1:] / found[k][0] for k in langs}
+
+    table = np.stack(list(means.values()))
+
+    def centred(found: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        """Counts and sums less the means."""
+        return {k: np.concatenate([v[:1], v[1 + len(table) :] - v[1 : 1 + len(table)] @ table]) for k, v in found.items()}
+
+    def by_group(r: Rows, group: np.ndarray, groups: int) -> dict[str, np.ndarray]:
+        return {f"{k:04d}": v for k, v in enumerate(r.summed(group, groups)) if v[0]}
+
+    def start(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        r = batch_rows(batch, means)
+        return by_group(r, (r.heaviest() * 40_503 >> 3) % SEEDS, SEEDS)
+
+    centres = far_apart(centred(summed_states(gather_states(rows, start))), topics)
     for _ in range(ROUNDS):
-        best = (unit @ centres.T).argmax(axis=1)
-        sums = np.stack([unit[best == k].sum(axis=0) if (best == k).any() else centres[k] for k in range(len(centres))])
-        centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
-    full = np.bincount((unit @ centres.T).argmax(axis=1), minlength=len(centres))
-    return Topics(idf, centres[np.argsort(-full, kind="stable")], means)
+
+        def nearest(batch: pa.RecordBatch, centres: np.ndarray = centres) -> dict[str, np.ndarray]:
+            r = batch_rows(batch, means)
+            return by_group(r, r.scores(centres).argmax(axis=0), len(centres)) if len(centres) else {}
+
+        centres = unit_vectors(centred(summed_states(gather_states(rows, nearest))))
+    return Topics(idf, centres, means)
+
+
+def unit_vectors(found: dict[str, np.ndarray]) -> np.ndarray:
+    """The sums scaled to length 1, those of most rows first; empty ones go."""
+    order = sorted(found, key=lambda k: (-found[k][0], k))
+    sums = np.array([found[k][1:] for k in order]).reshape(-1, BUCKETS)
+    norms = np.linalg.norm(sums, axis=1)
+    return sums[norms > 1e-9] / norms[norms > 1e-9, None]
+
+
+def far_apart(found: dict[str, np.ndarray], most: int) -> np.ndarray:
+    """Up to ``most`` of the groups' means: each time that whose rows have most to gain from it."""
+    order = sorted(found, key=lambda k: (-found[k][0], k))
+    weight = np.array([found[k][0] for k in order])
+    sums = np.array([found[k][1:] for k in order]).reshape(-1, BUCKETS)
+    norms = np.linalg.norm(sums, axis=1)
+    sums, weight = sums[norms > 1e-9] / norms[norms > 1e-9, None], weight[norms > 1e-9]
+    if not len(sums):
+        return sums
+    chosen = [0]
+    while len(chosen) < min(most, len(sums)):
+        gain = weight * np.maximum(1 - (sums @ sums[chosen].T).max(axis=1), 0)
+        if not gain.max() > 1e-6:
+            break
+        chosen.append(int(gain.argmax()))
+    return sums[chosen]

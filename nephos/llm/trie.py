@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nephos.llm.common import map_arrow, spread, word_count
+from nephos.operators.joins import small
 from nephos.session import drop_shared, ship_package, write_shared
 
 DIGEST = 16
@@ -71,8 +72,10 @@ def own_turns(conversations: DataFrame) -> DataFrame:
     pairs = F.zip_with(F.slice("own", 1, F.size("own") - 1), F.slice("own", 2, F.size("own") - 1), same)
     marked = slim.withColumn("tied", F.exists(pairs, lambda p: p))
     tied = marked.where("tied").select("conv_id")
+    if tied.isEmpty():
+        return slim
     plain = slim.schema["own"].dataType
-    again = _gathered(rows.join(tied, "conv_id", "left_semi"), ["has", "turn", "role", "text", "digest", "words"])
+    again = _gathered(rows.join(small(tied), "conv_id", "left_semi"), ["has", "turn", "role", "text", "digest", "words"])
     trimmed = F.transform("own", lambda t: F.struct(*[t[f] for f in plain.elementType.names])).cast(plain)
     return marked.where(~F.col("tied")).select("conv_id", "own").unionByName(again.select("conv_id", trimmed.alias("own")))
 

@@ -133,28 +133,79 @@ def test_raking_with_caps_matches_brute_force(keep):
     tokens = {(s, lang, t): rng.randint(1, 2000) for s in "abcd" for lang in ("en", "de", "fr") for t in ("x", "y")}
     targets = {"source": {"a": 0.4, "b": 0.3, "c": 0.2, "d": 0.1}, "lang": 0.5, "topic": 0.7}
     mix = M.rake(tokens, targets, keep)
-    want = brute_rake(tokens, M.wanted_shares(tokens, targets, keep), keep)
-    assert max(abs(mix.rates[c] - want[c]) for c in tokens) < 1e-4
+    if mix.gap < 1e-6:
+        want = brute_rake(tokens, M.wanted_shares(tokens, targets), keep)
+        assert max(abs(mix.rates[c] - want[c]) for c in tokens) < 1e-4
+    else:
+        assert keep == 0.7 and mix.gap == pytest.approx(brute_gap(tokens, targets, keep), abs=1e-6)
     assert len(mix.margins) == 9 and mix.gap == max(abs(w - r) for *_, w, r in mix.margins)
 
 
-def test_tempered_targets_can_be_met():
-    shares = {"a": 0.9, "b": 0.09, "c": 0.01}
-    got = M.tempered(shares, 0.3, 0.5)
-    assert sum(got.values()) == pytest.approx(1) and all(v <= 0.8 / 0.5 * shares[k] + 1e-12 for k, v in got.items())
-    assert got["c"] == pytest.approx(0.016) and M.tempered(shares, 1.0, 0.5) == pytest.approx(shares)
-    assert sum(M.tempered(shares, 0.3, 0.9).values()) == pytest.approx(1)
+def brute_gap(tokens, targets, keep, rounds=20_000):
+    """The largest gap of the margins nearest to the targets: one cell after the other to its own best mass."""
+    wanted = M.wanted_shares(tokens, targets)
+    total = keep * sum(tokens.values())
+    mass = dict.fromkeys(tokens, 0.0)
+    have = [dict.fromkeys({c[d] for c in tokens}, 0.0) for d in range(3)]
+    for _ in range(rounds):
+        moved = 0.0
+        for c, n in tokens.items():
+            over = sum(have[d][c[d]] - wanted[d].get(c[d], 0.0) for d in range(3)) / 3
+            new = min(max(mass[c] - over, 0.0), n / total)
+            for d in range(3):
+                have[d][c[d]] += new - mass[c]
+            moved, mass[c] = max(moved, abs(new - mass[c])), new
+        if moved < 1e-14:
+            break
+    whole = sum(mass.values())
+    return max(abs(v / whole - wanted[d].get(k, 0.0)) for d in range(3) for k, v in have[d].items())
+
+
+def test_margins_that_conflict_are_told_and_mixed():
+    """Eight cells, each source with one language and one topic: no rates meet all three margins."""
+    import random
+
+    for keep in (0.4, 0.6):
+        for seed in range(3):
+            rng = random.Random(seed)
+            tokens = {(f"s{i}", "en" if i < 5 else "de", f"t{i % 3}"): rng.randint(100, 5000) for i in range(8)}
+            mix = M.rake(tokens, M.TARGETS, keep)
+            wanted = M.wanted_shares(tokens, M.TARGETS)
+            assert all(asked == pytest.approx(wanted[M.DIMENSIONS.index(d)][k]) for d, k, asked, _ in mix.margins)
+            assert mix.gap == pytest.approx(brute_gap(tokens, M.TARGETS, keep), abs=1e-6) and mix.gap > 0.001
+            assert max(mix.rates.values()) - min(mix.rates.values()) > 0.1 and all(0 <= r <= 1 for r in mix.rates.values())
+
+
+def test_powers_are_asked_as_they_are():
+    tokens = {("hot", "en", "x"): 7500, ("a", "en", "x"): 500, ("a", "de", "x"): 2000}
+    mix = M.rake(tokens, {"source": 1.0, "lang": 0.1, "topic": 1.0}, 0.6)
+    asked = {(d, k): a for d, k, a, _ in mix.margins}
+    assert asked["source", "hot"] == pytest.approx(0.75) and asked["lang", "de"] == pytest.approx(0.2**0.1 / (0.2**0.1 + 0.8**0.1))
+    assert mix.gap == pytest.approx(brute_gap(tokens, {"source": 1.0, "lang": 0.1, "topic": 1.0}, 0.6), abs=1e-6)
 
 
-def test_only_the_largest_categories_are_named(spark, monkeypatch):
-    monkeypatch.setattr(M, "MOST_NAMES", 3)
-    rows = [(i, prose(i, 20 + 10 * (i % 9)), "en", f"s{i % 9}", 1) for i in range(180)]
+def test_every_category_is_named_and_too_many_cells_raise(spark, monkeypatch):
+    rows = [(i, prose(i, 20 + 10 * (i % 9)), "en", f"s{i % 90}", 1) for i in range(180)]
     cells = M.cell_tokens(docs(spark, rows), M.TARGETS)
-    assert {c[0] for c in cells} == {"s6", "s7", "s8", M.OTHER} and sum(cells.values()) == sum(brute_words(r[1]) for r in rows)
+    assert {c[0] for c in cells} == {f"s{i}" for i in range(90)} and sum(cells.values()) == sum(brute_words(r[1]) for r in rows)
+    monkeypatch.setattr(M, "MOST_CELLS", 89)
+    with pytest.raises(ValueError):
+        M.cell_tokens(docs(spark, rows), M.TARGETS)
+    assert len(M.cell_tokens(docs(spark, rows), M.TARGETS | {"source": {"s1": 0.5, "s2": 0.5}})) == 3
+
+
+def test_margins_stand_beside_the_rows(spark):
+    rows = corpus(300)
+    df = docs(spark, rows)
+    mix = M.rake(M.cell_tokens(df, TARGETS), TARGETS, 0.3)
+    shares = {(d, k): (a, r) for d, k, a, r in mix.margins}
+    for r in M.mix_rows(df, mix, TARGETS).collect():
+        assert all((r[f"{d}_asked"], r[f"{d}_reached"]) == shares[d, r[d]] for d in M.DIMENSIONS) and r["largest_gap"] == mix.gap
 
 
 def test_topics_follow_contents_and_not_languages(spark):
     from nephos.llm import queries, topics
+    from nephos.llm.token_store import encoder
 
     path = queries.tokenizer_path("word_bpe_49k.json")
     themes = ["river mountain valley forest lake stone meadow cliff".split(), "engine piston wheel brake clutch gear motor valve".split()]
@@ -162,10 +213,11 @@ def test_topics_follow_contents_and_not_languages(spark):
 
     rng = random.Random(3)
     rows = [(i, " ".join(rng.choice(themes[i % 2]) for _ in range(60)) + (" the of and" if i % 4 < 2 else " der die das") * 9, ("en", "en", "de", "de")[i % 4], "s", 1) for i in range(200)]
-    model = topics.fit_topics(docs(spark, rows), path, topics=2)
-    named = [model.name(topics.encoder(path).encode([r[1]])[0], r[2]) for r in rows]
+    counted = lambda rows: M.keyed(docs(spark, rows), tokenizer=path)
+    model = topics.fit_topics(counted(rows), topics=2)
+    named = [model.name(encoder(path).encode([r[1]])[0], r[2]) for r in rows]
     assert len(set(named[::2])) == len(set(named[1::2])) == 1 and named[0] != named[1]
-    assert model.name(b"", "en") == topics.OTHER and topics.fit_topics(docs(spark, []), path).name(b"\1\0\0\0", None) == topics.OTHER
+    assert model.name(b"", "en") == topics.OTHER and topics.fit_topics(counted([])).name(b"\1\0\0\0", None) == topics.OTHER
 
 
 def test_production_targets_are_met_on_the_corpus(spark):
@@ -178,7 +230,8 @@ def test_production_targets_are_met_on_the_corpus(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = queries.op1_mix_sources(spark, "/root/testdata/sf0.01")
     rows = out.collect()
-    assert len(rows) == df.count() and rows[0]["largest_gap"] < 0.01
+    gaps = [abs(r[f"{d}_asked"] - r[f"{d}_reached"]) for r in rows if r["n_tokens"] for d in M.DIMENSIONS]
+    assert len(rows) == df.count() and max(gaps) == pytest.approx(rows[0]["largest_gap"]) and rows[0]["largest_gap"] < 0.05
     total = sum(r["rate"] * r["n_tokens"] for r in rows)
     assert total == pytest.approx(M.KEEP_SHARE * sum(r["n_tokens"] for r in rows), rel=0.01)
     assert len({r["topic"] for r in rows}) >= 4
@@ -188,16 +241,3 @@ def test_margins_are_reported(spark):
     mix = M.rake({("a", "en", "prose"): 800, ("b", "de", "prose"): 240}, TARGETS, 0.3)
     report = {(r["dimension"], r["category"]): r["reached"] for r in M.margin_report(spark, mix).collect()}
     assert set(report) == {("source", "a"), ("source", "b"), ("lang", "en"), ("lang", "de"), ("topic", "prose")} and report["topic", "prose"] == pytest.approx(1)
-
-
-def test_powers_ease_until_rates_of_at_most_one_meet_all_margins():
-    """A hot source in one language that keeps its share, while that language is to fall below it."""
-    tokens = {("hot", "en", "x"): 7500, ("a", "en", "x"): 500, ("a", "de", "x"): 2000}
-    targets = {"source": 1.0, "lang": 0.1, "topic": 1.0}
-    assert M._raked(tokens, targets, 0.6, 1e-9, 500).gap > 0.01
-    mix = M.rake(tokens, targets, 0.6)
-    assert mix.gap <= M.MOST_GAP and all(0 <= r <= 1 for r in mix.rates.values())
-    lang = {k: got for d, k, _, got in mix.margins if d == "lang"}
-    assert 0.2 < lang["de"] < 0.267
-    assert M.eased({"source": {"a": 1.0}, "lang": 0.5}, 1.0) == {"source": {"a": 1.0}, "lang": 1.0}
-    assert M._raked(tokens, M.eased(targets, 1.0), 0.6, 1e-9, 500).gap < 1e-9
