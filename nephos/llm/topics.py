@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from nephos.llm.common import SHARE, gather_states, map_arrow, summed_states
 
 OTHER = "other"
-BUCKETS, TOPICS, SEEDS, ROUNDS = 2048, 8, 128, 6
+BUCKETS, TOPICS, SEEDS, ROUNDS = 2048, 8, 128, 4
 STEP = 2.0**-20
 
 
@@ -56,44 +56,50 @@ def stepped(x: np.ndarray) -> np.ndarray:
 
 
 class Rows:
-    """Texts as sparse vectors, flat: row, bucket and weight of each entry, and each row's language."""
+    """Texts with ids as sparse vectors, flat: bucket and weight of each entry, where each row begins, and each row's language."""
 
     def __init__(self, at: pa.ListArray, n: pa.ListArray, langs: Sequence[str | None], idf: np.ndarray, means: dict[str, np.ndarray]):
-        sizes = np.diff(at.offsets.to_numpy())
-        self.m, self.row = len(sizes), np.repeat(np.arange(len(sizes)), sizes)
+        offsets = at.offsets.to_numpy()
+        sizes = np.diff(offsets)
+        self.m, self.start, self.row = len(sizes), (offsets[:-1] - offsets[0]).astype(np.int64), np.repeat(np.arange(len(sizes)), sizes)
         self.at = at.flatten().to_numpy().astype(np.int64)
         w = np.log1p(n.flatten().to_numpy()) * idf[self.at]
-        norm = np.sqrt(np.bincount(self.row, w * w, self.m))
+        norm = np.sqrt(np.add.reduceat(w * w, self.start)) if self.m else np.empty(0)
         self.w = w / np.maximum(norm, 1e-12)[self.row]
         names = list(means)
         code = {name: k for k, name in enumerate(names)}
         self.lang = np.array([code.get(x or OTHER, code[OTHER]) for x in langs], np.int64)
         self.means = np.stack([means[k] for k in names])
 
-    def dot(self, vector: np.ndarray) -> np.ndarray:
-        """Of each row with a vector, or with a row of a matrix for its language."""
-        return np.bincount(self.row, self.w * (vector[self.at] if vector.ndim == 1 else vector[self.lang[self.row], self.at]), self.m)
-
     def scores(self, centres: np.ndarray) -> np.ndarray:
-        """Of each centre with each row less its language's mean."""
-        return np.stack([self.dot(c) - (self.means @ c)[self.lang] for c in centres])
+        """Of each centre (columns) with each row less its language's mean."""
+        if not self.m:
+            return np.empty((0, len(centres)))
+        table, w = np.ascontiguousarray(centres.T, np.float32), self.w.astype(np.float32)[:, None]
+        out = np.empty((self.m, len(centres)), np.float32)
+        for first in range(0, self.m, 512):  # entries times centres in pieces that stay small
+            starts = self.start[first : first + 513]
+            end = starts[512] if len(starts) > 512 else len(self.at)
+            part = slice(starts[0], end)
+            out[first : first + 512] = np.add.reduceat(table[self.at[part]] * w[part], starts[:512] - starts[0], axis=0)
+        return out - (self.means @ centres.T)[self.lang]
 
     def summed(self, group: np.ndarray, groups: int) -> np.ndarray:
-        """Of each group: its rows, their scales to length 1 by language, and their scaled sum, all but the count in whole STEPs; ``centred`` takes the means off."""
-        square = np.bincount(self.row, self.w * self.w, self.m) - 2 * self.dot(self.means) + (self.means * self.means).sum(axis=1)[self.lang]
+        """Of each group: its rows, their scales to length 1 by language, and their scaled sum, all but the count in whole STEPs."""
+        flat = self.means.reshape(-1)
+        along = np.add.reduceat(self.w * flat[(self.lang * BUCKETS)[self.row] + self.at], self.start)
+        square = np.add.reduceat(self.w * self.w, self.start) - 2 * along + (self.means * self.means).sum(axis=1)[self.lang]
         scale = 1 / np.maximum(np.sqrt(np.maximum(square, 0)), 1e-12)
         scale[square < 1e-12] = 0.0
-        sums = np.bincount(group[self.row] * BUCKETS + self.at, stepped(self.w * scale[self.row]), groups * BUCKETS).reshape(groups, BUCKETS)
+        sums = np.bincount((group * BUCKETS)[self.row] + self.at, stepped(self.w * scale[self.row]), groups * BUCKETS).reshape(groups, BUCKETS)
         weight = np.bincount(group * len(self.means) + self.lang, stepped(scale), groups * len(self.means)).reshape(groups, -1)
         return np.concatenate([np.bincount(group, minlength=groups)[:, None], weight, sums], axis=1)
 
     def heaviest(self) -> np.ndarray:
         """The bucket of each row's greatest weight, the first of equal ones."""
-        order = np.lexsort((self.at, -self.w, self.row))
-        _, first = np.unique(self.row[order], return_index=True)
-        out = np.zeros(self.m, np.int64)
-        out[self.row[order][first]] = self.at[order][first]
-        return out
+        most = np.maximum.reduceat(self.w, self.start)
+        place = np.where(self.w == most[self.row], np.arange(len(self.w)), len(self.w))
+        return self.at[np.minimum.reduceat(place, self.start)]
 
 
 @dataclass(frozen=True)
@@ -107,9 +113,13 @@ class Topics:
     def names(self, at: pa.ListArray, n: pa.ListArray, langs: Sequence[str | None]) -> list[str]:
         if not len(self.centres):
             return [OTHER] * len(langs)
-        best = Rows(at, n, langs, self.idf, self.means).scores(self.centres).argmax(axis=0)
-        empty = np.diff(at.offsets.to_numpy()) == 0
-        return [OTHER if e else f"topic{k}" for k, e in zip(best.tolist(), empty.tolist(), strict=True)]
+        full = np.flatnonzero(np.diff(at.offsets.to_numpy()) > 0)
+        kept = pa.array(full)
+        best = Rows(at.take(kept), n.take(kept), [langs[k] for k in full.tolist()], self.idf, self.means).scores(self.centres).argmax(axis=1)
+        out = [OTHER] * len(langs)
+        for k, topic in zip(full.tolist(), best.tolist(), strict=True):
+            out[k] = f"topic{topic}"
+        return out
 
     def name(self, raw: bytes, lang: str | None) -> str:
         return self.names(*count_lists([raw]), [lang])[0]
@@ -177,7 +187,7 @@ def fit_topics(counted: DataFrame, topics: int = TOPICS) -> Topics:
 
         def nearest(batch: pa.RecordBatch, centres: np.ndarray = centres) -> dict[str, np.ndarray]:
             r = batch_rows(batch, means)
-            return by_group(r, r.scores(centres).argmax(axis=0), len(centres)) if len(centres) else {}
+            return by_group(r, r.scores(centres).argmax(axis=1), len(centres)) if len(centres) else {}
 
         centres = unit_vectors(centred(summed_states(gather_states(rows, nearest))))
     return Topics(idf, centres, means)
