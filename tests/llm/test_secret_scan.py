@@ -187,3 +187,64 @@ def test_planted_keys_are_found_at_the_stated_rate(spark):
     false = [d for d, _ in reported if d not in secrets]
     assert len(false) <= S.FDR * len(reported)
     assert sum(x.startswith("random") for spans in got.values() for x in spans.split(",")) > 200
+
+
+def real_looking(rng, n):
+    """Identifiers, paths, keyboard rows and encoded sentences from other words than the corpus has."""
+    import base64
+
+    nouns = "invoice payload socket renderer widget mutex gateway schema tenant pipeline fixture vector kernel lambda quota thread bucket shard replica cursor".split()
+    verbs = "get set fetch compute build resolve encode parse validate serialize dispatch aggregate".split()
+    rows = ["qwertyuiopasdfghjklzxcvbnm", "poiuytrewqlkjhgfdsamnbvcxz", "zxcvbnmasdfghjklqwertyuiop"]
+    out = []
+    for i in range(n):
+        words = [rng.choice(verbs), *(rng.choice(nouns) for _ in range(rng.randint(3, 7)))]
+        kind = i % 8
+        sentence = " ".join(words).encode()
+        body = [
+            lambda: words[0] + "".join(w.capitalize() for w in words[1:]),
+            lambda: "_".join(words).upper(),
+            lambda: "/".join(["src", *words]),
+            lambda: "-".join(words) + f"-{rng.randint(1, 99)}",
+            lambda: base64.b64encode(sentence).decode().rstrip("="),
+            lambda: rng.choice(rows)[rng.randint(0, 4) :] + rng.choice(["", "1", "xkcd"]),
+            lambda: "".join(words) + str(rng.randint(1900, 2030)),
+            lambda: "".join(w.capitalize() for w in words) + "V2",
+        ][kind]()
+        out.append(body)
+    return [x for x in out if len(x) >= 20]
+
+
+def test_ordinary_runs_are_rarely_reported(spark):
+    """2,400 real-looking runs among prose: the share that is reported beside planted keys stays under the stated rate."""
+    rng = random.Random(29)
+    ordinary = real_looking(rng, 2500)
+    assert len(ordinary) >= 2000
+    keys = [key(rng, S.ENCODINGS[name], n) for name in ("base32", "base36", "base62", "base64") for n in (24, 32, 40, 64) for _ in range(10)]
+    rows = [(i, f"{prose(i, 30)} {PLACES[i % len(PLACES)].format(x)}", "en", "s", 1) for i, x in enumerate(ordinary)]
+    rows += [(10_000 + i, f"{prose(i, 30)} {PLACES[i % len(PLACES)].format(x)}", "en", "s", 1) for i, x in enumerate(keys)]
+    got = S.secret_spans(docs(spark, rows), S.fit_thresholds(docs(spark, rows))).collect()
+    false = [ordinary[r["doc_id"]] for r in got if r["n_random"] and r["doc_id"] < 10_000]
+    hit = sum(1 for r in got if r["doc_id"] >= 10_000 and r["n_random"])
+    assert hit >= 0.9 * len(keys), hit
+    assert len(false) <= S.FDR * (len(false) + hit), false[:5]
+
+
+def test_structured_runs_score_low():
+    import base64
+
+    assert S.candidate_level("xkcdqwertyuiopasdfghjklzxcvbnm") < 20
+    for text in ("the quick brown fox jumps over the lazy dog", "naïve café, 12 o'clock; déjà vu"):
+        assert S.candidate_level(base64.b64encode(text.encode()).decode().rstrip("=")) < 20
+    assert S.candidate_level(base64.b32encode(b"please come to the meeting").decode().rstrip("=")) < 20
+
+
+def test_p_values_follow_ordinary_runs():
+    cell = S.cell_of(30, "base62")
+    ordinary = S.Ordinary([(cell, 0, 900), (cell, 50, 90), (cell, 120, 10)])
+    assert ordinary.p(cell, 0) == 1.0 and ordinary.p(cell, 50) == 101 / 1001 and ordinary.p(cell, 40) == 101 / 1001
+    assert ordinary.p(cell, 60) == 101 / 1001 * 10**-1.0 and ordinary.p(S.cell_of(30, "hex"), 50) == 101 / 1001
+    assert S.Ordinary([]).p(cell, 20) == 0.01
+    assert S.thresholds([(cell, 50, 1000), (cell, 60, 1)], 0.01, ordinary) == {} and S.thresholds([(cell, 50, 10), (cell, 130, 2)], 0.01, ordinary) == {cell: 130}
+    levels = [ordinary.p(cell, v) for v in range(0, 200, 5)]
+    assert levels == sorted(levels, reverse=True)
