@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nephos.functions.columns import micros
+from nephos.session import write_shared
 
 #: Calendars, factor tables and frame tables above this many rows, or bytes as JSON, are joined by shuffle.
 BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 64 << 20
@@ -121,103 +122,83 @@ def regular_axis(q: Column, first: float, step: float, n: int) -> tuple[Column,
     return i, F.least(F.greatest((q - first) / step - i, F.lit(0.0)), F.lit(1.0))
 
 
-def frame_order(grid: DataFrame) -> DataFrame:
-    """(t_idx, previous): each frame of a grid with the one before it."""
-    return grid.select("t_idx").distinct().withColumn("previous", F.lag("t_idx").over(Window.orderBy("t_idx")))
+def asked_corners(cells: DataFrame, nx: int, ny: int) -> DataFrame:
+    """The corners of cells (left_idx, right_idx, ix, iy), with the corner's place as _t, _x, _y and its number: 4 for the later frame, 2 for x, 1 for y."""
+    reach = [(dt, dx, dy) for dt in (0, 1) for dx in range(min(nx, 2)) for dy in range(min(ny, 2))]
+    places = [F.struct(F.lit(4 * dt + 2 * dx + dy).alias("no"), (F.col("right_idx") if dt else F.col("left_idx")).alias("_t"), (F.col("ix") + dx).alias("_x"), (F.col("iy") + dy).alias("_y")) for dt, dx, dy in reach]
+    return cells.select("left_idx", "right_idx", "ix", "iy", F.explode(F.array(*places)).alias("_p")).select("left_idx", "right_idx", "ix", "iy", "_p.*")
 
 
-def grid_cells(grid: DataFrame, nx: int, ny: int, field: str, by: Sequence[str] = ()) -> DataFrame:
-    """(t_idx, ix, iy, by, corners): for each cell the fields at its corners, by number: 4 for the later frame, 2 for x, 1 for y.
+def asked_cells(cells: DataFrame, grid: DataFrame, nx: int, ny: int, fields: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(left_idx, right_idx, ix, iy, by, fields): for each asked cell and level of a field its values at the corners, in their order.
 
-    A grid point goes to the up to eight cells that it is a corner of, so a cell is
-    put together once, however many points ask for it.
+    Only grid points that are a corner of an asked cell leave the scan: where the
+    corners are few enough to be broadcast, nothing else of the grid is shuffled.  A
+    cell without one of its corners has null fields.
     """
-    reach = [(dt, dx, dy) for dt in (0, 1) for dx in range(min(nx, 2)) for dy in range(min(ny, 2))]
-    own = lambda c, n, d: (F.col(c) - d).alias(c) if n > 1 else F.col(c).alias(c)
-    places = F.array(
-        *[F.struct(F.lit(4 * dt + 2 * dx + dy).alias("no"), (F.col("previous") if dt else F.col("t_idx")).alias("t_idx"), own("ix", nx, dx), own("iy", ny, dy)) for dt, dx, dy in reach]
-    )
-    inside = F.col("_p.t_idx").isNotNull() & F.col("_p.ix").between(0, max(nx - 2, 0)) & F.col("_p.iy").between(0, max(ny - 2, 0))
-    put = grid.join(frame_order(grid), "t_idx").select(F.explode(places).alias("_p"), *by, F.col(field).alias("_f")).where(inside)
-    dealt = put.select("_p.t_idx", "_p.ix", "_p.iy", "_p.no", *by, "_f").repartition("t_idx", "ix", "iy")
-    return dealt.groupBy("t_idx", "ix", "iy", *by).agg(F.map_from_entries(F.collect_list(F.struct("no", "_f"))).alias("corners"))
-
-
-def gather_corners(
+    flat = {f.name for f in grid.schema.fields if not f.dataType.simpleString().startswith("array")}
+    values = grid.select(F.col("t_idx").alias("_t"), F.col("ix").alias("_x"), F.col("iy").alias("_y"), *by, *[(F.array(f) if f in flat else F.col(f)).alias(f"_f{k}") for k, f in enumerate(fields)])
+    corners = small(asked_corners(cells, nx, ny))
+    keys = ["left_idx", "right_idx", "ix", "iy", *by]
+    n = 2 * min(nx, 2) * min(ny, 2)
+    met = values.join(corners, ["_t", "_x", "_y"]).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("no", *[f"_f{k}" for k in range(len(fields))]))).alias("_c"))
+    several = F.raise_error(F.concat(F.lit("a grid point comes twice beside cell "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])))
+    levels = lambda k: F.transform(F.sequence(F.lit(0), F.size(F.col("_c")[0][f"_f{k}"]) - 1), lambda at: F.transform("_c", lambda c: F.get(c[f"_f{k}"], at)))
+    some = lambda k: F.when(F.size("_c") > n, several).when((F.size("_c") == n) & (F.size(F.col("_c")[0][f"_f{k}"]) > 0), levels(k))
+    return met.select(*keys, *[some(k).alias(f) for k, f in enumerate(fields)])
+
+
+def gather_fields(
     points: DataFrame,
     grid: DataFrame,
     x_axis: tuple[float, float, int],
     y_axis: tuple[float, float, int],
-    field: str = "profile",
+    fields: Sequence[str],
     key: str = "obs_id",
     by: Sequence[str] = (),
     keep: Sequence[str] = (),
+    wanted: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """(key, keep, by, field): the field, an array over levels, interpolated to every point in x, y and t.
+    """(key, keep, by, fields): fields of the grid, arrays over levels or single numbers, interpolated to every point in x, y and t.
 
     ``points`` holds key, x, y, left_idx, right_idx and t_weight.  Each point meets
-    its cell once, by (t_idx, ix, iy), and leaves with its own levels only; corners of
-    weight 0 count too, so a null corner gives a null level, and a missing one a
-    null field.  ``by`` names columns of the grid, such as the member, that each give
-    a result of their own.
+    its cell once, by (left_idx, ix, iy), for all fields together.  Corners of weight 0
+    count too, so a null corner gives a null level, and a missing one a null field.
+    ``by`` names columns of the grid, such as the member, that each give a result of
+    their own; ``wanted`` says, by kept columns, which rows need a field.
     """
     ix, wx = regular_axis(F.col("x"), *x_axis)
     iy, wy = regular_axis(F.col("y"), *y_axis)
-    asked = points.select(
-        key, *[c for c in keep if c != key], F.col("left_idx").alias("t_idx"), ix.alias("ix"), iy.alias("iy"), wx.alias("_wx"), wy.alias("_wy"), "t_weight", (F.col("left_idx") == F.col("right_idx")).alias("_one")
-    )
-    met = asked.join(grid_cells(grid, x_axis[2], y_axis[2], field, by), ["t_idx", "ix", "iy"], "left")
-    spots = [(2 * dx + dy, dx, dy) for dx in range(min(x_axis[2], 2)) for dy in range(min(y_axis[2], 2))]
-    corners = {f"_c{no + 4 * dt}": F.try_element_at("corners", F.lit(no + 4 * dt)) for no, *_ in spots for dt in (0, 1)}
-    met = met.withColumns(corners)
-
-    def level(k: Column) -> Column:
-        total = F.lit(0.0)
-        for no, dx, dy in spots:
-            early, late = F.get(F.col(f"_c{no}"), k), F.get(F.col(f"_c{no + 4}"), k)
-            at = F.when(F.col("_one"), early).otherwise(early * (1 - F.col("t_weight")) + late * F.col("t_weight"))
-            total = total + at * (F.col("_wx") if dx else 1 - F.col("_wx")) * (F.col("_wy") if dy else 1 - F.col("_wy"))
-        return total
-
-    whole = F.lit(True)
-    for no, *_ in spots:
-        whole = whole & F.col(f"_c{no}").isNotNull() & (F.col("_one") | F.col(f"_c{no + 4}").isNotNull())
-    levels = F.transform(F.sequence(F.lit(0), F.size(f"_c{spots[0][0]}") - 1), level)
-    return met.select(key, *[c for c in keep if c != key], *by, F.when(whole, levels).alias(field))
-
+    others = [c for c in keep if c != key]
+    place = [F.col("left_idx"), F.col("right_idx"), ix.alias("ix"), iy.alias("iy")]
+    cells = write_shared(points.select(*place).where("ix IS NOT NULL AND iy IS NOT NULL").distinct(), "cells")
+    asked = points.select(key, *others, *place, wx.alias("_wx"), wy.alias("_wy"), "t_weight")
+    nx, ny = x_axis[2], y_axis[2]
+    share = lambda w, k: w if k else 1 - w
+    weights = [share(F.col("t_weight"), dt) * share(F.col("_wx"), dx) * share(F.col("_wy"), dy) for dt in (0, 1) for dx in range(min(nx, 2)) for dy in range(min(ny, 2))]
+    met = asked.withColumn("_w", F.array(*weights)).drop("_wx", "_wy", "t_weight").join(asked_cells(cells, grid, nx, ny, fields, by), ["left_idx", "right_idx", "ix", "iy"], "left")
+    at_level = lambda c: reduce(lambda a, b: a + b, [c[i] * F.col("_w")[i] for i in range(len(weights))])
+    flat = {f.name for f in grid.schema.fields if not f.dataType.simpleString().startswith("array")}
 
-#: Cell sizes of the nearest-point search, in mean spacings of the grid.
-RINGS = (1, 8, 64, 512)
+    def value(f: str) -> Column:
+        out = at_level(F.get(f, F.lit(0))) if f in flat else F.transform(f, at_level)
+        return (out if wanted is None or f not in wanted else F.when(wanted[f], out)).alias(f)
 
+    return met.select(key, *others, *by, *[value(f) for f in fields])
 
-def nearest_point(points: DataFrame, grid: DataFrame, key: str = "obs_id") -> DataFrame:
-    """The grid point of least squared distance in degrees, ties by (ix, iy).
 
-    Points and grid meet in cells of the grid's mean spacing, a point with its own
-    cell and the eight around it: what it finds within one cell size is nearest.
-    Points that find nothing so near go on with larger cells; those beyond all of
-    them, far outside the grid, meet the whole grid.
-    """
-    span = lambda c: F.greatest(F.max(c) - F.min(c), F.lit(1e-6))
-    spacing = grid.agg(F.greatest(F.sqrt(span("glon") * span("glat") / F.count(F.lit(1))), F.lit(1e-6)).alias("_s"))
-    # One row, by construction.
-    waiting = points.select(key, "longitude", "latitude").join(F.broadcast(spacing))
-    spots = grid.select("ix", "iy", "glon", "glat").join(F.broadcast(spacing))
-    d = (F.col("longitude") - F.col("glon")) * (F.col("longitude") - F.col("glon")) + (F.col("latitude") - F.col("glat")) * (F.col("latitude") - F.col("glat"))
-    best = F.min(F.when(F.col("glon").isNotNull(), F.struct(d.alias("d2"), "ix", "iy"))).alias("_b")
-    around = F.explode(F.array(*[F.lit(k) for k in (-1, 0, 1)]))
-    found = []
-    for ring in RINGS:
-        size = F.col("_s") * ring
-        cell = lambda c: F.floor(F.col(c) / size)  # noqa: E731, B023
-        dealt = spots.select("ix", "iy", "glon", "glat", cell("glon").alias("_cx"), cell("glat").alias("_cy"))
-        asking = waiting.withColumn("_dx", around).withColumn("_dy", around).withColumns({"_cx": cell("longitude") + F.col("_dx"), "_cy": cell("latitude") + F.col("_dy")})
-        met = asking.join(dealt, ["_cx", "_cy"], "left").groupBy(key, "longitude", "latitude", "_s").agg(best)
-        near = F.coalesce(F.col("_b.d2") < 0.999 * size * size, F.lit(False))
-        found.append(met.where(near).select(key, "_b"))
-        waiting = met.where(~near).select(key, "longitude", "latitude", "_s")
-    found.append(waiting.join(spots.drop("_s")).groupBy(key).agg(best))
-    return reduce(DataFrame.union, found).select(key, "_b.ix", "_b.iy", "_b.d2")
+def gather_corners(
+    points: DataFrame,
+    grid: DataFrame,
+    x_axis: tuple[float, float, int],
+    y_axis: tuple[float, float, int],
+    field: str = "profile",
+    key: str = "obs_id",
+    by: Sequence[str] = (),
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """``gather_fields`` of one field."""
+    return gather_fields(points, grid, x_axis, y_axis, [field], key, by, keep)
 
 
 def latest_complete(cycles: DataFrame, n_files: int, before: int) -> DataFrame:

@@ -7,34 +7,56 @@ Sizes, widths and strides may be columns, so one pass serves all pairs.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nephos.functions.columns import mean_time, micros, time_at
+from nephos.operators.joins import small
+from nephos.session import write_shared
 
 KEYS = ("ingest_file", "instrument", "quantity")
 
 
-def prefer_good(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of flag 0 where the bin has some, else all; adds _qc, the bin's flag."""
-    good = F.max((F.col("qc_flag") == 0).cast("int")).over(Window.partitionBy(*keys))
-    marked = df.withColumn("_good", F.coalesce(good, F.lit(0)))
-    return marked.where((F.col("qc_flag") == 0) | (F.col("_good") == 0)).withColumn("_qc", 1 - F.col("_good")).drop("_good")
+#: Whether a row has flag 0.
+GOOD = "coalesce(qc_flag = 0, false)"
 
 
-def _first(column: str, order: Sequence[str]) -> Column:
+def preferred(make: Callable[[Callable[[Column], Column]], Column]) -> Column:
+    """An aggregate over a bin's good rows, or over all of them where it has none.
+
+    ``make`` builds it from a function that hides the rows which don't count; both
+    forms are summed side by side, so a bin is read once and partly summed before
+    the shuffle.
+    """
+    good = F.expr(GOOD)
+    return F.when(F.max(good), make(lambda c: F.when(good, c))).otherwise(make(lambda c: c))
+
+
+def _first(column: str, order: Sequence[str], of: Callable[[Column], Column]) -> Column:
     """The value in the first row, nulls included."""
-    return F.min_by(F.struct(column), F.struct(*order))[column]
+    return F.min_by(F.struct(column), of(F.struct(*order)))[column]
 
 
-def _centroids() -> list[Column]:
-    return [F.avg(c).alias(c) for c in ("longitude", "latitude", "x", "y", "z")]
+def _bin_columns(order: Sequence[str], instrument_error: Callable[[Callable[[Column], Column]], Column]) -> list[Column]:
+    """A bin's aggregates over its preferred rows."""
+    col = lambda c, of: of(F.col(c))
+    n = lambda of: F.count(of(F.lit(1)))
+    return [
+        preferred(n).alias("n"),
+        F.when(F.max(F.expr(GOOD)), 0).otherwise(1).alias("qc_flag"),
+        preferred(lambda of: mean_time(col("time", of))).alias("time"),
+        *[preferred(lambda of, c=c: F.avg(col(c, of))).alias(c) for c in ("longitude", "latitude", "x", "y", "z", "value")],
+        preferred(instrument_error).alias("instrument_error"),
+        preferred(lambda of: F.when(n(of) > 1, F.stddev_samp(col("value", of))).otherwise(_first("value_uncertainty", order, of))).alias("repr_error"),
+        *[preferred(lambda of, c=c: _first(c, order, of)).alias(c) for c in ("z_type", "orig_filename", "metadata")],
+    ]
 
 
-def _kept_firsts(order: Sequence[str]) -> list[Column]:
-    return [_first(c, order).alias(c) for c in ("z_type", "orig_filename", "metadata")]
+def _whole_files(summed: DataFrame) -> DataFrame:
+    """One row for each file and pair, written once; with a hint if there are few."""
+    return small(write_shared(summed, "file-limits"))
 
 
 def with_superob_metadata(metadata: Column, n: Column, repr_error: Column, instrument_error: Column) -> Column:
@@ -63,19 +85,15 @@ def grid_superobs(
     size = lambda n: n if isinstance(n, Column) else F.lit(n)
     binned = df.withColumns({names[d]: F.floor(F.col(d) / size(n).cast("double")).cast("int") for d, n in sizes.items()})
     keys = [*KEYS, *names.values()]
-    n = F.count(F.lit(1))
-    groups = prefer_good(binned, keys).groupBy(*keys).agg(
-        n.alias("n"),
-        F.max("_qc").alias("qc_flag"),
-        mean_time(F.col("time")).alias("time"),
-        *_centroids(),
-        F.avg("value").alias("value"),
-        (F.sqrt(F.avg(F.col("value_uncertainty") * F.col("value_uncertainty"))) / (F.sqrt(n.cast("double")) if reduce_instrument_error else F.lit(1.0))).alias("instrument_error"),
-        F.when(n > 1, F.stddev_samp("value")).otherwise(_first("value_uncertainty", order)).alias("repr_error"),
-        *_kept_firsts(order),
-    )
+
+    def instrument_error(of: Callable[[Column], Column]) -> Column:
+        root = F.sqrt(F.avg(of(F.col("value_uncertainty") * F.col("value_uncertainty"))))
+        return root / F.sqrt(F.count(of(F.lit(1))).cast("double")) if reduce_instrument_error else root
+
+    groups = binned.groupBy(*keys).agg(*_bin_columns(order, instrument_error))
     total = F.sqrt(F.col("instrument_error") * F.col("instrument_error") + F.col("repr_error") * F.col("repr_error"))
-    shape = groups.groupBy(*KEYS).agg(*[(F.max(b) + 1).alias(f"shape_{d}") for d, b in names.items()])
+    # Every bin has a row, so its file's shape follows from the index columns alone.
+    shape = _whole_files(binned.groupBy(*KEYS).agg(*[(F.max(b) + 1).alias(f"shape_{d}") for d, b in names.items()]))
     return groups.withColumn("value_uncertainty", total).join(shape, list(KEYS))
 
 
@@ -103,33 +121,22 @@ def time_superobs(
     day = 86_400_000_000
     length = lambda m: (m if isinstance(m, Column) else F.lit(m)).cast("bigint") * 60_000_000
     timed = df.withColumns({"_us": micros(F.col("time")), "_width": length(minutes), "_offset": length(offset_minutes)})
-    origins = timed.groupBy(*KEYS).agg((F.floor(F.min("_us") / day) * day + F.max("_offset")).alias("_origin"))
-    binned = (
-        timed.join(origins, list(KEYS))
-        .withColumn("_bin", F.col("_origin") + F.floor((F.col("_us") - F.col("_origin")) / F.col("_width")) * F.col("_width"))
-    )
-    keys = [*KEYS, "_bin"]
-    n, known = F.count(F.lit(1)), F.count("value_uncertainty")
-    root = F.sqrt(F.avg(F.col("value_uncertainty") * F.col("value_uncertainty")))
-    groups = prefer_good(binned, keys).groupBy(*keys).agg(
-        n.alias("n"),
-        F.max("_qc").alias("qc_flag"),
-        mean_time(F.col("time")).alias("time"),
-        *_centroids(),
-        F.avg("value").alias("value"),
-        (F.when(known > 0, root / F.sqrt(known.cast("double"))) if reduce_instrument_error else root).alias("instrument_error"),
-        F.when(n > 1, F.stddev_samp("value")).otherwise(_first("value_uncertainty", order)).alias("repr_error"),
-        *_kept_firsts(order),
-        F.max("_width").alias("_width"),
-        F.max("_offset").alias("_offset"),
-    )
+    ends = timed.groupBy(*KEYS).agg((F.floor(F.min("_us") / day) * day + F.max("_offset")).alias("_origin"), F.max("_us").alias("_last"), F.max("_width").alias("_w"), F.max("_offset").alias("_o"))
+    start = lambda us, width: F.col("_origin") + F.floor((F.col(us) - F.col("_origin")) / F.col(width)) * F.col(width)
+    index = lambda bin, width, offset: F.floor((F.col(bin) - F.col(offset)) / F.col(width)).cast("int")
+    limits = ends.withColumn("_last_bin", start("_last", "_w")).select(*KEYS, "_origin", (index("_last_bin", "_w", "_o") + 1).alias("shape_time"))
+    binned = timed.join(_whole_files(limits), list(KEYS)).withColumn("_bin", start("_us", "_width"))
+
+    def instrument_error(of: Callable[[Column], Column]) -> Column:
+        u = of(F.col("value_uncertainty"))
+        root = F.sqrt(F.avg(u * u))
+        return F.when(F.count(u) > 0, root / F.sqrt(F.count(u).cast("double"))) if reduce_instrument_error else root
+
+    groups = binned.groupBy(*KEYS, "_bin").agg(*_bin_columns(order, instrument_error), *[F.max(c).alias(c) for c in ("_width", "_offset", "shape_time")])
     square = lambda c: F.col(c) * F.col(c)
     known_total = F.coalesce(square("instrument_error"), F.lit(0.0)) + F.coalesce(square("repr_error"), F.lit(0.0))
     total = F.when(F.col("instrument_error").isNotNull() | F.col("repr_error").isNotNull(), F.sqrt(known_total))
-    index = F.floor((F.col("_bin") - F.col("_offset")) / F.col("_width")).cast("int")
-    out = groups.withColumns({"value_uncertainty": total, "bin_time": index, "bin_start": time_at(F.col("_bin"))}).drop("_bin", "_width", "_offset")
-    shape = out.groupBy(*KEYS).agg((F.max("bin_time") + 1).alias("shape_time"))
-    return out.join(shape, list(KEYS))
+    return groups.withColumns({"value_uncertainty": total, "bin_time": index("_bin", "_width", "_offset"), "bin_start": time_at(F.col("_bin"))}).drop("_bin", "_width", "_offset")
 
 
 #: Width of the time slices in which stride thinning counts.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from nephos.adapters import GRID_SQL, OBS_SQL, ensemble_grid, observations, tabl
 from nephos.operators import ensemble, joins
 from nephos.queries.shape import normal_sql, r, rounded
 from nephos.registry import register
+from nephos.session import shared_dir
+from nephos.sources.moments import MomentStore
 
 
 @register("ensemble_mean_sd", f"WITH {GRID_SQL} SELECT var, t_idx, ix, iy, iz, count(value) AS n, {r('avg(value) AS mean', 'stddev_samp(value) AS sd')} FROM grid GROUP BY ALL")
@@ -16,6 +20,22 @@ def ensemble_mean_sd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(ensemble.mean_spread(ensemble_grid(spark, sf_dir)))
 
 
+@register(
+    "member_arrivals",
+    f"""WITH {GRID_SQL} SELECT var, t_idx, ix, iy, iz, count(value) AS n, {r('avg(value) AS mean', 'stddev_samp(value) AS sd')}, '8' AS missing, 2 AS parts FROM grid WHERE member <> 8 GROUP BY ALL""",
+)
+def member_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members in three arrivals, one of them twice and one never; two of the parts are put together in between."""
+    grid = ensemble_grid(spark, sf_dir)
+    store = MomentStore(spark, f"{shared_dir(spark)}/nephos/moments-{uuid.uuid4().hex}")
+    for k, came in enumerate(([0, 1, 2, 3], [4, 5, 3], [6, 7, 9, 0])):
+        store.merge(grid.where(F.col("member").isin(came)))
+        if k == 1:
+            store.compact()
+    missing = ",".join(map(str, store.missing(range(10))))
+    return rounded(store.read()).withColumns({"missing": F.lit(missing), "parts": F.lit(len(store._state()["parts"]))})
+
+
 @register(
     "field_difference",
     f"""WITH {GRID_SQL}, a AS (SELECT var, ix, iy, iz, member, avg(value) AS value FROM grid WHERE t_idx = 1 GROUP BY ALL),

@@ -297,6 +297,34 @@ def live_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(f"{folder}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 3).alias("total"))
 
 
+@register(
+    "live_late_bins",
+    f"""WITH {OBS_SQL}, k AS (SELECT *, CAST(floor(epoch_us("time")/3600000000.0) AS BIGINT) AS h FROM obs WHERE NOT (obs_id % 10 = 1 AND "time" < TIMESTAMP '2024-01-11 00:00:00')),
+    g AS (SELECT *, max(CASE WHEN qc_flag = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY instrument, quantity, h) AS has_good FROM k)
+    SELECT instrument, quantity, make_timestamp(h*3600000000) AS bin_start, count(*) AS n, 1 - max(has_good) AS qc_flag, {r("avg(value) AS value", "stddev_samp(value) AS repr_error")} FROM g
+    WHERE (qc_flag = 0 OR has_good = 0) AND (h + 1)*3600000000 <= (SELECT max(epoch_us("time")) FROM obs) - 86400000000 GROUP BY instrument, quantity, h""",
+)
+def live_late_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly bins of rows that arrive as three files, out of order: what is less than a day behind counts, what is later does not.
+
+    The stream stops after two files and goes on from its checkpoint; its last bins stay open until the watermark passes them.
+    """
+    folder = scratch(spark, "late")
+    e, t = F.col("obs_id"), F.col("time")
+    rows = observations(spark, sf_dir).select("obs_id", "instrument", "quantity", t.cast("timestamp").alias("time"), "qc_flag", "value")
+    at = lambda day, hour=0: F.lit(dt.datetime(2024, 1, day, hour))
+    behind = (e % 10 == 2) & (t >= at(10, 12)) & (t < at(11))
+    late = (e % 10 == 1) & (t < at(11))
+    batches = ((t < at(11)) & ~behind & ~late, ((t >= at(11)) & (t < at(21))) | behind, (t >= at(21)) | late)
+    for run in ((0, 1), (2,)):
+        for k in run:
+            rows.where(batches[k]).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        bins = live.time_bins(live.read_arriving(spark, f"{folder}/in", rows.schema, 1), 60, late="1 day")
+        live.append_to(bins, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    found = spark.read.schema(bins.schema).parquet(f"{folder}/out")
+    return rounded(found.withColumn("bin_start", F.col("bin_start").cast("timestamp_ntz")))
+
+
 def model_cells(spark: SparkSession) -> DataFrame:
     """Rows of two model files: 2 members, 6 hourly frames, 4 levels, 8 x 10 points; level heights rise by 1000."""
     i = F.col("id")

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from nephos.adapters import OBS_SQL, cycle_calendar, model_frames, observations, table
 from nephos.functions.columns import hlos_wind
 from nephos.functions.profiles import at_pressure, interpolate
-from nephos.operators import joins
-from nephos.plans.interpolation import interpolate_model
+from nephos.operators import joins, nearest
+from nephos.plans.interpolation import interpolate_model, with_equivalents
 from nephos.plans.observation_operators import model_equivalent
 from nephos.queries.shape import r, rounded
 from nephos.registry import register
@@ -61,6 +61,40 @@ def trilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(interpolate_model(observations(spark, sf_dir), model_frames(spark), X_AXIS, Y_AXIS))
 
 
+def wind_frames(spark: SparkSession) -> DataFrame:
+    """The rough grid's values as one flat field with its spread, and two winds on levels in height and in pressure."""
+    k, pressure = F.sequence(F.lit(0), F.lit(10)), lambda l: F.lit(100_000.0) - l * 9000.0
+    rough = F.transform("profile", lambda v, i: v * 0.5 + i * F.col("ix") % 3)
+    return model_frames(spark).select(
+        "t_idx", "t", "ix", "iy", F.col("profile")[3].alias("AOD_550"), (F.col("ix") * 0.25 + F.col("t_idx") % 4).alias("AOD_550_sd"),
+        F.col("profile").alias("wind_east"), rough.alias("wind_north"), F.col("levels").alias("geopotential_height"), F.transform(k, pressure).alias("air_pressure"),
+    )
+
+
+@register(
+    "operator_departures",
+    f"""WITH {OBS_SQL}, {FRAMES_SQL}, b AS (SELECT obs_id, quantity, z_type, value, us >= lo - 3600000000 AND us <= hi + 3600000000 AS valid, left_idx, right_idx, CASE WHEN ru = lu THEN 0 ELSE (cu - lu)/CAST(ru - lu AS DOUBLE) END AS w,
+      least(floor(x/200000), 17) AS i, least(x/200000 - least(floor(x/200000), 17), 1) AS wx, least(floor(y/200000), 8) AS j, least(y/200000 - least(floor(y/200000), 8), 1) AS wy,
+      least(floor(p), 9) AS l, least(p - least(floor(p), 9), 1) AS wl FROM (SELECT *, CASE WHEN z_type = 'height' THEN z/2000 ELSE least(greatest((100000 - z)/9000, 0), 10) END AS p FROM clip) JOIN spans ON cu >= lu AND (cu < ru OR is_last)),
+    c AS (SELECT obs_id, quantity, z_type, value, valid, CASE WHEN dt = 0 THEN left_idx ELSE right_idx END AS t, CAST(i + dx AS INT) AS ix, CAST(j + dy AS INT) AS iy, CAST(greatest(l, 0) + dl AS INT) AS il,
+      (CASE WHEN dt = 0 THEN 1 - w ELSE w END)*(CASE WHEN dx = 0 THEN 1 - wx ELSE wx END)*(CASE WHEN dy = 0 THEN 1 - wy ELSE wy END) AS flat, greatest(CASE WHEN dl = 0 THEN 1 - wl ELSE wl END, 0) AS up
+      FROM b, range(2) p(dt), range(2) q(dx), range(2) u(dy), range(2) v(dl)),
+    v AS (SELECT *, t + CAST(0.5 AS DOUBLE)*ix + CAST(0.25 AS DOUBLE)*iy + 2*il + CAST(0.5 AS DOUBLE)*((t*7 + ix*5 + iy*3 + il*11) % 13) AS east, t + CAST(0.5 AS DOUBLE)*ix + CAST(0.25 AS DOUBLE)*iy + 6 + CAST(0.5 AS DOUBLE)*((t*7 + ix*5 + iy*3 + 33) % 13) AS aod FROM c),
+    g AS (SELECT obs_id, any_value(quantity) AS quantity, any_value(z_type) AS z_type, any_value(value) AS value, bool_and(valid) AS valid, sum(flat*aod)/2 AS aod, sum(flat*(CAST(0.25 AS DOUBLE)*ix + t % 4))/2 AS aod_sd,
+      sum(flat*up*east) AS east, sum(flat*up*(CAST(0.5 AS DOUBLE)*east + (il*ix) % 3)) AS north FROM v GROUP BY obs_id),
+    m AS (SELECT obs_id, value, CASE WHEN quantity = 'AOD_550nm' AND valid THEN aod WHEN valid AND z_type IN ('height', 'pressure') AND obs_id % 11 <> 0 THEN -east*sin(radians(CAST(obs_id % 360 AS DOUBLE))) - north*cos(radians(CAST(obs_id % 360 AS DOUBLE))) END AS model,
+      CASE WHEN quantity = 'AOD_550nm' AND valid THEN aod_sd END AS spread FROM (SELECT g.* REPLACE (CASE WHEN z_type = 'columnar' AND obs_id % 5 = 0 THEN 'pressure' ELSE z_type END AS z_type) FROM g))
+    SELECT obs_id, {r("model AS model_forecast", "spread AS model_forecast_spread", "value - model AS departure")} FROM m""",
+)
+def operator_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Departures of a flat quantity, with its spread, and of winds along a line of sight, from two fields in height or pressure; some rows lack the angle or a vertical coordinate."""
+    e = F.col("obs_id")
+    angle = F.to_json(F.struct(F.when(e % 11 != 0, (e % 360).cast("double")).alias("azimuth")))
+    obs = observations(spark, sf_dir).withColumns({"metadata": angle, "z_type": F.when((F.col("z_type") == "columnar") & (e % 5 == 0), "pressure").otherwise(F.col("z_type"))})
+    out = with_equivalents(obs, wind_frames(spark), X_AXIS, Y_AXIS)
+    return rounded(out.select("obs_id", "model_forecast", "model_forecast_spread", "departure"))
+
+
 @register(
     "vertical_interp",
     """WITH p AS (SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS v, CAST(vec_id % 70 AS DOUBLE) + CAST(0.25 AS DOUBLE) AS z FROM embeddings)
@@ -143,7 +177,43 @@ def lead_time_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nearest_grid_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     i, j = F.floor(F.col("id") / 9), F.col("id") % 9
     grid = spark.range(162).select(i.cast("int").alias("ix"), j.cast("int").alias("iy"), (-180 + 20 * i).cast("double").alias("glon"), (-90 + 20 * j).cast("double").alias("glat"))
-    return rounded(joins.nearest_point(observations(spark, sf_dir), grid))
+    return rounded(nearest.nearest_point(observations(spark, sf_dir), grid))
+
+
+PART_GRID_SQL = "g AS (SELECT CAST(i AS INT) AS ix, CAST(j AS INT) AS iy, CAST(100 + 1.5*i + (j % 3)/10.0 AS DOUBLE) AS glon, CAST(-20 + 0.75*j + (i % 4)/20.0 AS DOUBLE) AS glat FROM range(40) a(i), range(50) b(j))"
+
+
+def part_grid(spark: SparkSession) -> DataFrame:
+    """A bent grid over a part of the globe, beside the date line."""
+    i, j = F.floor(F.col("id") / 50), F.col("id") % 50
+    return spark.range(2000).select(i.cast("int").alias("ix"), j.cast("int").alias("iy"), (100 + 1.5 * i + (j % 3) / 10.0).cast("double").alias("glon"), (-20 + 0.75 * j + (i % 4) / 20.0).cast("double").alias("glat"))
+
+
+@register(
+    "nearest_across_date_line",
+    f"""WITH {OBS_SQL}, {PART_GRID_SQL}, p AS (SELECT DISTINCT longitude, latitude FROM obs),
+    d AS (SELECT longitude, latitude, ix, iy, least((longitude-glon)*(longitude-glon), (longitude-360-glon)*(longitude-360-glon), (longitude+360-glon)*(longitude+360-glon)) + (latitude-glat)*(latitude-glat) AS d2 FROM p, g),
+    k AS (SELECT longitude, latitude, min(struct_pack(d2 := d2, ix := ix, iy := iy)) AS b FROM d GROUP BY ALL)
+    SELECT obs_id, b.ix AS ix, b.iy AS iy, round(b.d2, 6) AS d2 FROM obs JOIN k USING (longitude, latitude)""",
+)
+def nearest_across_date_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points all over the globe and a grid over a part of it: most are far outside, some nearer the other way round."""
+    return rounded(nearest.nearest_point(observations(spark, sf_dir), part_grid(spark), wrap=True))
+
+
+@register(
+    "grid_windows",
+    f"""WITH {OBS_SQL}, {PART_GRID_SQL}, c AS (SELECT obs_id, longitude, latitude FROM obs WHERE longitude BETWEEN 100 AND 155 AND latitude BETWEEN -20 AND 15),
+    d AS (SELECT obs_id, ix, iy, (longitude-glon)*(longitude-glon) + (latitude-glat)*(latitude-glat) AS d2 FROM c, g),
+    k AS (SELECT obs_id, min(struct_pack(d2 := d2, ix := ix, iy := iy)) AS b FROM d GROUP BY obs_id)
+    SELECT obs_id, count(*) AS points, min(g.ix) AS first_ix, max(g.iy) AS last_iy, {r("sum(glon) AS total")} FROM k JOIN g ON g.ix BETWEEN b.ix - 5 AND b.ix + 5 AND g.iy BETWEEN b.iy - 5 AND b.iy + 5 GROUP BY obs_id""",
+)
+def grid_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of up to 11 x 11 grid points, by index, around the grid point nearest to each observation over the grid."""
+    obs = observations(spark, sf_dir).where(F.col("longitude").between(100, 155) & F.col("latitude").between(-20, 15))
+    grid = part_grid(spark)
+    window = nearest.index_window(nearest.nearest_point(obs, grid), grid, 5)
+    return rounded(window.groupBy("obs_id").agg(F.count(F.lit(1)).alias("points"), F.min("ix").alias("first_ix"), F.max("iy").alias("last_iy"), F.sum("glon").alias("total")))
 
 
 @register(

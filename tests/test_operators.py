@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from nephos.operators import cycles, ensemble, filters, joins, superobs, validation
+from nephos.operators import cycles, ensemble, filters, joins, nearest, superobs, validation
 
 T0 = dt.datetime(2024, 1, 1)
 OBS = "obs_id long, ingest_file string, instrument string, quantity string, time timestamp_ntz, longitude double, latitude double, x double, y double, z double, z_type string, value double, value_uncertainty double, qc_flag int, orig_filename string, metadata string, c int, d int"
@@ -192,10 +192,42 @@ def test_nearest_point_far_outside_and_in_ties(spark):
     grid = spark.createDataFrame([(i, j, float(i), float(j)) for i in range(12) for j in range(12)], "ix int, iy int, glon double, glat double")
     places = [(1, 0.5, 0.5), (2, -5_000.0, 3.2), (3, 11.4, 900.0), (4, 4.4, 7.6), (5, 4.4, 7.6)]
     points = spark.createDataFrame(places, "obs_id int, longitude double, latitude double")
-    got = {r["obs_id"]: (r["ix"], r["iy"]) for r in joins.nearest_point(points, grid).collect()}
+    got = {r["obs_id"]: (r["ix"], r["iy"]) for r in nearest.nearest_point(points, grid).collect()}
     assert got == {1: (0, 0), 2: (0, 3), 3: (11, 11), 4: (4, 8), 5: (4, 8)}
 
 
+def test_quad_tree_splits_and_finds_what_a_scan_finds(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(nearest, "LEAF", 4)
+    rng = random.Random(6)
+    spots = [(i, 0, rng.gauss(0, 3), rng.gauss(0, 1)) for i in range(150)] + [(200 + i, 1, 50.0, 10.0) for i in range(30)] + [(300, 2, 179.5, 0.0)]
+    places = [(i, rng.uniform(-180, 180), rng.uniform(-90, 90)) for i in range(60)] + [(100 + i, rng.gauss(0, 3), rng.gauss(0, 1)) for i in range(60)] + [(500, None, 1.0), (501, float("nan"), 0.0)]
+    grid = spark.createDataFrame(spots, "ix int, iy int, glon double, glat double")
+    points = spark.createDataFrame(places, "obs_id int, longitude double, latitude double")
+    assert len(nearest.QuadTree(grid).levels) >= 3
+
+    def scan(p, turns):
+        return min(((p[1] + t - s[2]) * (p[1] + t - s[2]) + (p[2] - s[3]) * (p[2] - s[3]), s[0], s[1]) for s in spots for t in turns)
+
+    for wrap, turns in ((False, (0,)), (True, (0.0, -360.0, 360.0))):
+        got = {r["obs_id"]: (r["d2"], r["ix"], r["iy"]) for r in nearest.nearest_point(points, grid, wrap=wrap).collect()}
+        assert got == {p[0]: scan(p, turns) if p[0] < 500 else (None, None, None) for p in places}
+    plan = nearest.nearest_point(points, grid)._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    assert {tuple(r)[1:] for r in nearest.nearest_point(points, grid.limit(0)).collect()} == {(None, None, None)}
+
+
+def test_windows_around_an_index(spark):
+    grid = spark.createDataFrame([(i, j, float(i), float(j)) for i in range(8) for j in range(6)], "ix int, iy int, glon double, glat double")
+    centres = spark.createDataFrame([(1, 0, 0), (2, 4, 3)], "obs_id int, ix int, iy int")
+    window = nearest.index_window(centres, grid, 2)
+    got = {r["obs_id"]: r["n"] for r in window.groupBy("obs_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == {1: 9, 2: 25}
+    obs = spark.createDataFrame([(1, 3.0, 3.0), (2, 6.15, 3.0), (3, 6.3, 3.0)], "obs_id int, longitude double, latitude double")
+    assert {r["obs_id"] for r in nearest.seen_in_window(obs, window.where("obs_id = 2")).collect()} == {1, 2}
+
+
 def test_updates_of_a_repeated_key(spark):
     rows = spark.createDataFrame([(1, 0.0), (2, 0.0)], "obs_id int, m double")
     same = spark.createDataFrame([(1, 5.0), (1, 5.0)], "obs_id int, value double")

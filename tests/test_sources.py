@@ -460,3 +460,47 @@ def test_grouped_files_through_a_library():
     assert np.isnan(file.floats("geo/v")[0, 1]) and file.floats("geo/v", 1).tolist() == [3.0, 4.0]
     assert file.epoch("geo/t", np.array([0.0, 2.0])).tolist() == [1_704_067_200.0, 1_704_074_400.0]
     assert file.times("geo/t")[1] == dt.datetime(2024, 1, 1, 2) and file.texts("name") == ["ab", "c"]
+
+
+def test_moments_grow_by_arrivals(spark, tmp_path):
+    import random
+    import statistics
+
+    from nephos.sources.moments import MomentStore
+
+    rng = random.Random(8)
+    values = {(x, m): 1e6 + rng.gauss(0, 1) for x in range(3) for m in range(6)}
+    frame = lambda members: spark.createDataFrame([("T", 0, x, 0, 0, m, v) for (x, m), v in values.items() if m in members] + [("T", 0, 9, 0, 0, m, None) for m in members], "var string, t_idx int, ix int, iy int, iz int, member int, value double")
+    one, two = (MomentStore(spark, str(tmp_path / "m")) for _ in range(2))
+    assert one.read().count() == 0 and not one.compact()
+    assert one.merge(frame([0])) == [0]
+    (first,) = [r for r in one.read().collect() if r["ix"] == 0]
+    assert (first["n"], first["mean"], first["sd"]) == (1, values[0, 0], None)
+    assert two.merge(frame([0, 1, 2])) == [1, 2] and one.merge(frame([2])) == []
+    assert one.compact() and two.merge(frame([4])) == [4] and one.members() == [0, 1, 2, 4] and one.missing(range(6)) == [3, 5]
+    for r in one.read().collect():
+        want = [values[r["ix"], m] for m in (0, 1, 2, 4)] if r["ix"] < 3 else []
+        assert r["n"] == len(want)
+        if want:
+            assert r["mean"] == pytest.approx(statistics.fmean(want)) and r["sd"] == pytest.approx(statistics.stdev(want), rel=1e-6)
+        else:
+            assert r["mean"] is None and r["sd"] is None
+
+
+def test_an_arrival_that_lost_the_race_takes_the_next_number(spark, tmp_path, monkeypatch):
+    from nephos.sources.moments import MomentStore
+
+    frame = lambda *members: spark.createDataFrame([("T", 0, 0, 0, 0, m, float(m)) for m in members], "var string, t_idx int, ix int, iy int, iz int, member int, value double")
+    mine, other = (MomentStore(spark, str(tmp_path / "m")) for _ in range(2))
+    put = mine.log.put
+    raced = []
+
+    def late(version, commit):
+        if not raced:
+            raced.append(other.merge(frame(1, 2)))
+        return put(version, commit)
+
+    monkeypatch.setattr(mine.log, "put", late)
+    assert mine.merge(frame(2, 3)) == [3] and raced == [[1, 2]]
+    (row,) = mine.read().collect()
+    assert (row["n"], row["mean"]) == (3, 2.0) and mine.members() == [1, 2, 3]
