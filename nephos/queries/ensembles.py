@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from nephos.adapters import GRID_SQL, OBS_SQL, ensemble_grid, observations, table
 from nephos.operators import ensemble, joins
 from nephos.queries.shape import normal_sql, r, rounded
-from nephos.registry import register
+from nephos.registry import fixed, register
 from nephos.session import shared_dir
 from nephos.sources.moments import MomentStore
 
@@ -78,7 +78,7 @@ def smooth_sql(source: str, axis: str, keep: str, sigma: str, radius: int, n: st
         THEN ((c.{axis} + w.k) % (2*{n}) + 2*{n}) % (2*{n}) ELSE 2*{n} - 1 - ((c.{axis} + w.k) % (2*{n}) + 2*{n}) % (2*{n}) END) GROUP BY ALL"""
 
 
-@register(
+@fixed(
     "perturbation_field",
     f"""WITH raw AS (SELECT CAST(id // 1200 AS INT) AS member, CAST((id // 30) % 40 AS INT) AS ix, CAST(id % 30 AS INT) AS iy, 1 + 10*{normal_sql("id", 7)} AS value FROM range(4800) t(id)),
     g AS (SELECT member, ix, iy, CASE WHEN ix < 3 OR ix >= 37 OR iy < 3 OR iy >= 27 THEN 1.0 ELSE value END AS value FROM raw),
@@ -211,11 +211,14 @@ def completeness_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "boundary_fill",
-    """SELECT ix, iy, CAST(CASE WHEN ix < 3 OR ix >= 17 OR iy < 3 OR iy >= 12 THEN 1 ELSE ix*10 + iy END AS DOUBLE) AS value FROM (SELECT CAST(i AS INT) AS ix, CAST(j AS INT) AS iy FROM range(20) a(i), range(15) b(j))""",
+    """WITH c AS (SELECT CAST((event_id*37) % 20 AS INT) AS ix, CAST((event_id*91) % 15 AS INT) AS iy, round(avg(value), 6) AS value FROM events GROUP BY ALL)
+    SELECT ix, iy, CASE WHEN ix < 3 OR ix >= 17 OR iy < 3 OR iy >= 12 THEN 1.0::DOUBLE ELSE value END AS value FROM c""",
 )
 def boundary_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    i, j = F.floor(F.col("id") / 15).cast("int"), (F.col("id") % 15).cast("int")
-    return ensemble.set_boundary(spark.range(300).select(i.alias("ix"), j.alias("iy"), (i * 10 + j).cast("double").alias("value")), 20, 15, 3, 1.0)
+    """Mean values of events in the cells of a grid, with a constant border."""
+    e = F.col("event_id")
+    cells = table(spark, sf_dir, "events").groupBy(((e * 37) % 20).cast("int").alias("ix"), ((e * 91) % 15).cast("int").alias("iy")).agg(F.round(F.avg("value"), 6).alias("value"))
+    return ensemble.set_boundary(cells, 20, 15, 3, 1.0)
 
 
 @register(

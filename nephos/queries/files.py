@@ -26,7 +26,7 @@ from nephos.plans.observation_operators import QUANTITIES
 from nephos.queries.products import CELL_SQL, seen, seen_sql
 from nephos.queries.shape import r, rounded
 from nephos.queries.statistics import DEP_SQL, EDGES, LABELS, STATS_SQL
-from nephos.registry import register
+from nephos.registry import fixed, register
 from nephos.session import shared_path
 from nephos.sources import classic, netcdf, obs_files, settings, store, swaths
 from nephos.sources.converters import aeronet
@@ -110,7 +110,7 @@ def store_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "what string, n bigint")
 
 
-@register(
+@fixed(
     "typed_table",
     """SELECT * FROM (VALUES ('obs_id', 'bigint'), ('instrument', 'string'), ('quantity', 'string'), ('time', 'timestamp'), ('longitude', 'double'), ('latitude', 'double'), ('z', 'double'), ('z_type', 'string'),
     ('value', 'double'), ('value_uncertainty', 'double'), ('qc_flag', 'int'), ('orig_coords', 'struct<indices:array<int>,shape:array<int>,names:array<string>>'), ('orig_filename', 'string'), ('metadata', 'string'),
@@ -347,7 +347,7 @@ def model_files(spark: SparkSession) -> str:
     return f"{folder}/*.nc"
 
 
-@register("gridded_files", f"WITH {MODEL_SQL} SELECT file, 'AIR' AS var, t_idx, member, ix, iy, iz, value, CAST(height AS DOUBLE) AS height FROM m")
+@fixed("gridded_files", f"WITH {MODEL_SQL} SELECT file, 'AIR' AS var, t_idx, member, ix, iy, iz, value, CAST(height AS DOUBLE) AS height FROM m")
 def gridded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two classic files written and read back, a frame a task; frames are numbered over both."""
     grid = netcdf.read_grid(spark, model_files(spark), ["AIR", "absent"], levels="height", require_member=True)
@@ -370,7 +370,7 @@ def gridded_file_interp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(interpolate_model(obs, grid, (0.0, 1.0, 10), (0.0, 1.0, 8), by=["member"]))
 
 
-@register(
+@fixed(
     "diagnostics_file",
     """SELECT CAST(i AS DOUBLE) AS obs, CAST(CASE WHEN i % 7 <> 0 THEN i + 100 END AS DOUBLE) AS prior_mean, round(sqrt(CAST(i + 200 AS DOUBLE)), 6) AS obs_std, 3 AS n_prior, CAST(i + 700 AS DOUBLE) AS second_prior, CAST(i % 8 AS INT) AS dart_qc,
     CASE i % 3 WHEN 0 THEN 'AIRSENSE AOD' WHEN 1 THEN 'HLOS_WIND' ELSE 'unknown_2' END AS obs_type, CAST(i*10 AS DOUBLE) AS longitude, (1704067200 + i*60)*1000000 AS t_us FROM range(40) t(i)""",
@@ -400,17 +400,24 @@ def diagnostics_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "convert_aeronet",
-    """WITH c AS (SELECT i, 'AOD_' || w AS q, CASE w WHEN '340' THEN 0.25::DOUBLE*i ELSE 0.5::DOUBLE*i END AS v, 45.5 AS latitude, -3.25 AS longitude FROM range(200) a(i), (VALUES ('340'), ('500')) b(w)
-      WHERE NOT (w = '340' AND i % 5 = 0)) """
-    + seen_sql("c", "'AERONET'", "q", "epoch_us(TIMESTAMP '2024-01-15 00:00:00') + i*60000000", "0", "surface", "v", "NULL", i0="i", i1="NULL"),
+    """WITH r AS (SELECT event_id, user_id % 20 AS site, row_number() OVER (PARTITION BY user_id % 20 ORDER BY event_id) - 1 AS i, epoch_us(date_trunc('second', ts)) AS us, value,
+      (event_id*91 % 1800)/10.0::DOUBLE - 90 AS latitude, (event_id*37 % 3600)/10.0::DOUBLE - 180 AS longitude FROM events),
+    c AS (SELECT *, unnest(['AOD_340', 'AOD_500']) AS q, unnest([CASE WHEN event_id % 5 <> 0 THEN value END, value*2]) AS v FROM r), k AS (SELECT * FROM c WHERE v IS NOT NULL AND v <> -999) """
+    + seen_sql("k", "'AERONET'", "q", "us", "0", "surface", "v", "NULL", i0="i", i1="NULL"),
 )
 def convert_aeronet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A sun photometer's table with its preamble, in Latin-1."""
-    lines = ["AERONET Version 3", "Orléans", "x", "x", "x", "x", "Date(dd:mm:yyyy),Time(hh:mm:ss),AOD_340,AOD_500,Site_Latitude(Degrees),Site_Longitude(Degrees)"]
-    lines += [f"15:01:2024,{i // 60:02d}:{i % 60:02d}:00,{-999 if i % 5 == 0 else 0.25 * i},{0.5 * i},45.5,-3.25" for i in range(200)]
-    folder = scratch(spark, "aeronet")
-    put_bytes(spark, f"{folder}/site.lev20", "\n".join(lines).encode("latin-1"))
-    return seen(aeronet.convert(spark, f"{folder}/site.lev20"))
+    """Sun photometers' tables, one a site, made of all events: a preamble in Latin-1, then a line for each."""
+    preamble = ["AERONET Version 3", "Orleans", "x", "x", "x", "x", "Date(dd:mm:yyyy),Time(hh:mm:ss),AOD_340,AOD_500,Site_Latitude(Degrees),Site_Longitude(Degrees)"]
+    e, text = F.col("event_id"), lambda c: c.cast("string")
+    site = (F.col("user_id") % 20).alias("site")
+    place = [((e * 91) % 1800).cast("double") / 10 - 90, ((e * 37) % 3600).cast("double") / 10 - 180]
+    values = [F.when(e % 5 == 0, F.lit(-999.0)).otherwise(F.col("value")), F.col("value") * 2]
+    rows = table(spark, sf_dir, "events")
+    lines = rows.select(site, e.cast("bigint").alias("no"), F.concat_ws(",", F.date_format("ts", "dd:MM:yyyy"), F.date_format("ts", "HH:mm:ss"), *[text(v) for v in (*values, *place)]).alias("line"))
+    heads = lines.select("site").distinct().select("site", F.posexplode(F.array(*[F.lit(x) for x in preamble])).alias("no", "line")).withColumn("no", F.col("no").cast("bigint") - 100)
+    folder = f"{scratch(spark, 'aeronet')}/sites"
+    lines.unionByName(heads).repartition("site").sortWithinPartitions("site", "no").select("site", "line").write.partitionBy("site").option("encoding", "ISO-8859-1").text(folder)
+    return seen(aeronet.convert(spark, f"{folder}/site=*"))
 
 
 SETTINGS = """[time]
@@ -422,7 +429,7 @@ c.d = 4
 """
 
 
-@register(
+@fixed(
     "settings_files",
     """SELECT * FROM (VALUES ('overlay', 'cycles', '7'), ('overlay', 'start', '2024-01-01T00:00:00'), ('pairs', 'a.b', '3'), ('pairs', 'c.d', '4'), ('namelist', 'time_control.run_hours', '[6, 12]'), ('namelist', 'time_control.restart', 'True'),
     ('namelist', 'time_control.name', 'a!b'), ('again', 'time_control', 'True'), ('group', 'aod', 'a.seq'), ('differs', 'start', 'cycle 0')) t(kind, name, value)""",
@@ -449,7 +456,7 @@ def settings_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "kind string, name string, value string")
 
 
-@register(
+@fixed(
     "workflow_steps",
     """SELECT * FROM (VALUES (1, 'filter_complete', 'initialized', 0, true), (2, 'advance 0', 'advancing_members', 1, false), (3, 'all_members_advanced', 'advancing_members', 1, true), (4, 'advance 1, 2', 'advancing_members', 3, false),
     (5, 'all_members_advanced', 'members_advanced', 3, false), (6, 'reset', 'initialized', 0, false), (7, 'advance 0, 1, 2', 'advancing_members', 3, false), (8, 'all_members_advanced', 'members_advanced', 3, false),
@@ -495,7 +502,7 @@ def workflow_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "no int, step string, state string, n int, refused boolean")
 
 
-@register("replaced_file", "SELECT 'second' AS text, 1 AS files")
+@fixed("replaced_file", "SELECT 'second' AS text, 1 AS files")
 def replaced_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     with tempfile.TemporaryDirectory() as folder:
         for text in ("first", "second"):
@@ -630,10 +637,16 @@ def point_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(api.point_summary(observations(spark, sf_dir)))
 
 
-@register("member_commands", f"WITH {CALENDAR_SQL} SELECT cycle_index, CAST(m AS INT) AS member, 'advance ' || m || ' of ' || cycle_index AS command FROM cycles, range(20) t(m)")
+@register(
+    "member_commands",
+    f"""WITH {GRID_SQL}, m AS (SELECT DISTINCT member FROM grid), c AS (SELECT DISTINCT CAST(day(ts) AS INT) AS cycle_index FROM events)
+    SELECT cycle_index, member, 'advance ' || member || ' of ' || cycle_index AS command FROM c, m""",
+)
 def member_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = ensemble.member_cycles(spark.range(20).select(F.col("id").cast("int").alias("member")), cycle_calendar(spark).select("cycle_index"))
-    return pairs.withColumn("command", F.concat(F.lit("advance "), F.col("member").cast("string"), F.lit(" of "), F.col("cycle_index").cast("string")))
+    """A command for each member there is and each day with observations."""
+    members, days = ensemble_grid(spark, sf_dir).select("member").distinct(), table(spark, sf_dir, "events").select(F.dayofmonth("ts").alias("cycle_index")).distinct()
+    pairs = ensemble.member_cycles(members, days)
+    return pairs.select("cycle_index", "member", F.concat(F.lit("advance "), F.col("member").cast("string"), F.lit(" of "), F.col("cycle_index").cast("string")).alias("command"))
 
 
 def harp_file() -> bytes:
@@ -654,7 +667,7 @@ def harp_file() -> bytes:
     return classic.encode({"y": 6, "x": 5, "band": 2, "instrument": 2, "length": 6}, variables)
 
 
-@register(
+@fixed(
     "harp2_file",
     """WITH c AS (SELECT y AS i0, x AS i1, y*1.5::DOUBLE AS latitude, x*2.5::DOUBLE AS longitude, y*0.01::DOUBLE + x*0.002::DOUBLE + b*0.5::DOUBLE AS total, (['440nm', '550nm'])[b + 1] AS q, y, unnest(['AOD_', 'AOD_Fine_', 'AOD_Coarse_']) AS prefix, unnest([1, 2, 4]) AS part, b, x
       FROM range(6) s(y), range(5) t(x), range(2) u(b)), k AS (SELECT *, total/part AS v FROM c WHERE NOT (y = 2 AND x = 3 AND b = 1)) """
@@ -674,7 +687,7 @@ def plain_swath(names: dict[str, np.ndarray], units: str | None = None, product:
     return classic.encode({"a": n, "b": m}, variables, {"product_name": product})
 
 
-@register(
+@fixed(
     "swath_files",
     """WITH c AS (SELECT CAST(i AS INT) AS i0, CAST(j AS INT) AS i1, i*0.1::DOUBLE + j*0.01::DOUBLE AS v, i + 0.5::DOUBLE AS latitude, j + 0.25::DOUBLE AS longitude FROM range(30) a(i), range(8) b(j)),
     e AS (SELECT *, CASE WHEN i0 = 15 AND i1 = 4 THEN 1 ELSE 0 END AS seed, i0 BETWEEN 13 AND 17 AND i1 BETWEEN 1 AND 7 AS near, v/1000 AS x FROM c) """

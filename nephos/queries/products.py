@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from nephos.adapters import table
 from nephos.queries.shape import rounded
-from nephos.registry import register
+from nephos.registry import fixed, register
 from nephos.sources.converters import lidar, radiometers
 
 #: The cells in DuckDB: a number, a place, a value and two indices.
@@ -229,7 +229,7 @@ def bin_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(lidar.bin_centres(edges).drop("longitude"))
 
 
-@register(
+@fixed(
     "registered_converters",
     "SELECT unnest(['aeolus-l2a-aelpro', 'aeolus-l2a-mle', 'aeolus-l2a-sca', 'aeolus-l2b', 'aeronet', 'earthcare-ebd', 'grasp-harp2', 'modis', 'msg-seviri', 'remotap-spexone', 'viirs', 'x-plugin']) AS name",
 )

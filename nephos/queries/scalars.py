@@ -102,10 +102,13 @@ def pretty_and_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "significant_digits",
-    """SELECT l_orderkey, l_linenumber, round(l_extendedprice, CAST(2 - floor(log10(l_extendedprice)) AS INT)) AS price, count(*) AS n FROM lineitem WHERE l_extendedprice > 0 GROUP BY ALL""",
+    """WITH v AS (SELECT *, l_discount - 0.05::DOUBLE AS d FROM lineitem)
+    SELECT l_orderkey, l_linenumber, round(l_extendedprice, CAST(2 - floor(log10(l_extendedprice)) AS INT)) AS price, CASE WHEN d = 0 THEN 0.0::DOUBLE ELSE round(d, CAST(2 - floor(log10(abs(d))) AS INT)) END AS off, count(*) AS n FROM v GROUP BY ALL""",
 )
 def significant_digits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").where("l_extendedprice > 0").groupBy("l_orderkey", "l_linenumber", C.significant(F.col("l_extendedprice"), 3).alias("price")).agg(F.count(F.lit(1)).alias("n"))
+    """All rows: prices, and discounts less 5 %, which are below, at and above zero."""
+    by = [C.significant(F.col("l_extendedprice"), 3).alias("price"), C.significant(F.col("l_discount") - 0.05, 3).alias("off")]
+    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber", *by).agg(F.count(F.lit(1)).alias("n"))
 
 
 @register(

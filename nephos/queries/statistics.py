@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from nephos.adapters import CALENDAR_SQL, OBS_SQL, cycle_calendar, observations, table
 from nephos.operators import cycles, diagnostics, validation
+from nephos.operators.joins import in_windows
 from nephos.queries.shape import normal_sql, r, rounded
 from nephos.registry import register
 
@@ -231,12 +232,22 @@ def cycle_delta_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cycles.runtime_change(longest)
 
 
-@register("cycle_calendar", f"WITH {CALENDAR_SQL} SELECT * FROM cycles")
+@register(
+    "cycle_calendar",
+    """WITH e AS (SELECT min(date_trunc('day', ts)) AS first, max(ts) AS last FROM events),
+    s AS (SELECT i, CASE WHEN i = 3 THEN 720 ELSE 360 END AS minutes, first, last FROM range(400) t(i), e),
+    w AS (SELECT i, first + to_minutes(CAST(sum(minutes) OVER (ORDER BY i) - minutes AS BIGINT)) AS start_time, minutes, last FROM s),
+    c AS (SELECT CAST(i AS INT) AS cycle_index, start_time, least(start_time + to_minutes(minutes), last) AS end_time FROM w WHERE start_time < last)
+    SELECT cycle_index, start_time, end_time, (SELECT count(*) FROM events WHERE ts >= start_time AND ts < end_time) + CASE WHEN end_time = (SELECT max(ts) FROM events) THEN (SELECT count(*) FROM events WHERE ts = end_time) ELSE 0 END AS n FROM c""",
+)
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import datetime as dt
-
-    plan = cycles.Calendar(dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 31), 360)
-    return plan.frame(spark)
+    """Six-hour cycles over the span of all events, one of twelve hours, the last cut off at the end, and the events in each."""
+    events = table(spark, sf_dir, "events")
+    first, last = events.agg(F.date_trunc("day", F.min("ts")), F.max("ts")).first()
+    plan = cycles.Calendar(first.replace(tzinfo=None), last.replace(tzinfo=None), 360, options={3: cycles.CycleOptions(duration=720)}).frame(spark)
+    held = in_windows(events.select("ts"), plan, "ts", "start_time", "end_time").where((F.col("ts") < F.col("end_time")) | (F.col("end_time") == F.lit(last)))
+    counts = held.groupBy("cycle_index").agg(F.count(F.lit(1)).alias("n"))
+    return plan.join(counts, "cycle_index", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 WINDOW_SQL = f"{OBS_SQL}, {CALENDAR_SQL}, win AS (SELECT *, end_time - INTERVAL 90 MINUTE AS window_start, end_time + INTERVAL 90 MINUTE AS window_end FROM cycles)"

@@ -25,6 +25,25 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+_FIXED: dict[str, tuple[Query, str]] = {}
+
+
+def fixed(name: str, sql: str) -> Callable[[Query], Query]:
+    """Keep a check on a fixed small input, with its oracle SQL: tests run it, but it is no query."""
+
+    def add(fn: Query) -> Query:
+        _FIXED[name] = fn, sql
+        return fn
+
+    return add
+
+
+def fixed_checks() -> dict[str, tuple[Query, str]]:
+    import nephos.queries  # noqa: F401  its modules register themselves
+
+    return dict(_FIXED)
+
+
 def queries() -> dict[str, Query]:
     import nephos.queries  # noqa: F401  its modules register themselves
 

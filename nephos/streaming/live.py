@@ -21,7 +21,7 @@ def time_bins(stream: DataFrame, minutes: int, offset_minutes: int = 0, late: st
     """
     offset = f"{offset_minutes % minutes} minutes"
     good = F.col("qc_flag") == 0
-    pick = lambda f, c: F.coalesce(f(F.when(good, F.col(c))), f(c))
+    pick = lambda f, c: F.when(F.count_if(good) > 0, f(F.when(good, F.col(c)))).otherwise(f(c))
     return (
         stream.withWatermark("time", late)
         .groupBy("instrument", "quantity", F.window("time", f"{minutes} minutes", f"{minutes} minutes", offset))

@@ -19,6 +19,22 @@ def test_query_without_oracle_gives_rows(spark, sf_dir, name):
     assert registry.queries()[name](spark, sf_dir).count() > 0
 
 
+@pytest.mark.parametrize("name", sorted(registry.fixed_checks()))
+def test_fixed_input_matches_oracle(spark, sf_dir, duck, name):
+    made, sql = registry.fixed_checks()[name]
+    assert_same(made(spark, sf_dir), duck, sql)
+
+
+def test_every_query_reads_a_table(spark, sf_dir):
+    """Queries read the given tables: their SQL names one, too."""
+    import re
+
+    from tests.oracle import TABLES
+
+    for name, sql in registry.oracle_sql().items():
+        assert re.search(rf"\b({'|'.join(TABLES)})\b", sql), name
+
+
 def test_entry(spark):
     import __spark_entry__
 
