@@ -260,6 +260,10 @@ def put_file(folder: str, name: str, data: bytes, attempt: int) -> None:
         fs.move(beside, f"{base}/{name}")
 
 
+#: Characters of a text that tell ranges of equal ids apart.
+RANGE_CHARS = 100
+
+
 def write_segments(docs: DataFrame, path: str, end_id: int = END_ID, bits: bool = False, folder: str | None = None) -> DataFrame:
     """Write the segment files of every document to ``folder``, a new shared one if none is given; a reader of them."""
     spark = docs.sparkSession
@@ -295,7 +299,9 @@ def write_segments(docs: DataFrame, path: str, end_id: int = END_ID, bits: bool
         if ids:
             yield flush()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # The text's beginning goes with its order and keeps null or repeated ids from being one partition.
+    dealt = docs.select("doc_id", "text").repartitionByRange("doc_id", F.substring("text", 1, RANGE_CHARS))
+    ordered = dealt.sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(run, "file string").write.format("noop").mode("overwrite").save()
     return segment_files(spark, folder)
 
