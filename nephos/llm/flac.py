@@ -579,7 +579,7 @@ def encode_texts(docs: DataFrame) -> DataFrame:
     return map_arrow(docs.select("doc_id", "text"), run, "doc_id bigint, n_bytes bigint, media binary")
 
 
-BLOCKS = "row bigint, doc_id bigint, n_bytes bigint, media_bytes bigint, media_sha256 string, n_blocks int, block int, sample_offset bigint, n_samples int, channels int, bits int, pcm binary"
+BLOCKS = "row bigint, doc_id bigint, n_bytes bigint, flac_bytes bigint, flac_sha256 string, n_blocks int, block int, sample_offset bigint, n_samples int, channels int, bits int, pcm binary"
 
 
 def _arrow(schema: str) -> pa.Schema:
@@ -614,13 +614,15 @@ class Signal:
     """Digests and whole-number features of mono 8-bit samples that come block by block."""
 
     def __init__(self) -> None:
-        self.sha, self.n, self.tail, self.last = hashlib.sha256(), 0, b"", None
+        self.sha, self.stored, self.n, self.tail, self.last = hashlib.sha256(), hashlib.sha256(), 0, b"", None
         self.peak = self.energy = self.magnitude = self.sign_changes = self.variation = 0
 
     def add(self, samples: np.ndarray) -> None:
         """More signed samples."""
-        payload = (samples.astype(np.int8).view(np.uint8) ^ 0x80).tobytes()
+        stored = samples.astype(np.int8)
+        payload = (stored.view(np.uint8) ^ 0x80).tobytes()
         self.sha.update(payload)
+        self.stored.update(stored.tobytes())
         self.n, self.tail = self.n + len(payload), (self.tail + payload[-16:])[-16:]
         x = samples.astype(np.int64)
         joined = x if self.last is None else np.concatenate([[self.last], x])
@@ -644,29 +646,29 @@ def signal_features(samples: np.ndarray) -> str:
     return signal.feature()
 
 
-DIGESTS = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
+DIGESTS = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, flac_bytes bigint, flac_sha256 string, feature string"
 
 
 def block_digests(blocks: DataFrame) -> DataFrame:
-    """Digests and features of every stream, from its PCM blocks (mono, 8 bits).
+    """Digests and features of every stream, from its PCM blocks (mono, 8 bits): media_* are those of the stored samples, flac_* those of the stream they were decoded from.
 
     A stream of one block is digested where it lies; longer ones meet by row
     number, in order, and are read block by block, one stream by one task, as a
     digest goes through its bytes in order.
     """
     ship_package(blocks.sparkSession)
-    columns = ["row", "n_blocks", "block", "pcm", "doc_id", "n_bytes", "media_bytes", "media_sha256"]
+    columns = ["row", "n_blocks", "block", "pcm", "doc_id", "n_bytes", "flac_bytes", "flac_sha256"]
     out = _arrow(DIGESTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signal = Signal()
         for batch in batches:
             rows = []
-            for _, n_blocks, block, pcm, doc_id, n_bytes, media_bytes, sha in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for _, n_blocks, block, pcm, doc_id, n_bytes, flac_bytes, flac_sha in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 signal = Signal() if block == 0 else signal
                 signal.add(np.frombuffer(pcm, np.int8))
                 if block == n_blocks - 1:
-                    rows.append((doc_id, n_bytes, signal.n, signal.sha.hexdigest(), zlib.crc32(signal.tail), media_bytes, sha, signal.feature()))
+                    rows.append((doc_id, n_bytes, signal.n, signal.sha.hexdigest(), zlib.crc32(signal.tail), signal.n, signal.stored.hexdigest(), flac_bytes, flac_sha, signal.feature()))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
 
