@@ -83,16 +83,19 @@ def _states(part: int, held: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([key]), pa.array([held[key].tolist()], pa.list_(pa.float64()))], names=["part", "key", "sums"])
 
 
-def gather_states(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, np.ndarray]]) -> DataFrame:
-    """(part, key, sums): for each task the sums by key of what ``fn`` makes of its batches."""
+def gather_states(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, np.ndarray]], rows: int = 512) -> DataFrame:
+    """(part, key, sums): for each task the sums by key of what ``fn`` makes of its batches, so many rows at a time."""
     ship_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
         for batch in batches:
-            if batch.num_rows:
-                for key, sums in fn(batch).items():
-                    held[key] = held[key] + sums if key in held else np.asarray(sums, np.float64)
+            for first in range(0, batch.num_rows, rows):
+                for key, sums in fn(batch.slice(first, rows)).items():
+                    if key in held:
+                        held[key] += sums
+                    else:
+                        held[key] = np.array(sums, np.float64)
         yield from _states(TaskContext.get().partitionId(), held)
 
     return df.mapInArrow(run, _STATES)
@@ -108,7 +111,10 @@ def summed_states(states: DataFrame) -> dict[str, np.ndarray]:
             part = batch.column(0)[0].as_py() if batch.num_rows and not held else part
             for key, sums in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
                 vector = sums.values.to_numpy()
-                held[key] = held[key] + vector if key in held else vector.copy()
+                if key in held:
+                    held[key] += vector
+                else:
+                    held[key] = vector.copy()
         yield from _states(part, held)
 
     met = states.repartition(GROUPS, F.col("part") % GROUPS).sortWithinPartitions("part", "key").mapInArrow(run, _STATES)

@@ -232,6 +232,12 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
+def forget_words() -> None:
+    """Give back the word memories of this process, before a stage that needs the room."""
+    for known in _ENCODERS.values():
+        known.known.clear()
+
+
 def with_lengths(rows: DataFrame, path: str, text: str, name: str) -> DataFrame:
     """``rows`` with column ``name``, the number of ids of ``text``, in that column's place."""
     at, names = rows.columns.index(text), rows.columns

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nephos.llm.common import SHARE, gather_states, map_arrow, summed_states
+from nephos.llm.token_store import forget_words
 
 OTHER = "other"
 BUCKETS, TOPICS, SEEDS, ROUNDS = 2048, 8, 128, 4
@@ -62,7 +63,7 @@ class Rows:
         offsets = at.offsets.to_numpy()
         sizes = np.diff(offsets)
         self.m, self.start, self.row = len(sizes), (offsets[:-1] - offsets[0]).astype(np.int64), np.repeat(np.arange(len(sizes)), sizes)
-        self.at = at.flatten().to_numpy().astype(np.int64)
+        self.at = at.flatten().to_numpy().astype(np.int64)  # flatten() keeps to a slice's own rows
         w = np.log1p(n.flatten().to_numpy()) * idf[self.at]
         norm = np.sqrt(np.add.reduceat(w * w, self.start)) if self.m else np.empty(0)
         self.w = w / np.maximum(norm, 1e-12)[self.row]
@@ -132,8 +133,10 @@ def with_topics(counted: DataFrame, topics: Topics) -> DataFrame:
     at = names.index("_lang")
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        named = topics.names(batch.column(len(names)), batch.column(len(names) + 1), batch.column(at).to_pylist())
-        yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(named, pa.string())], names=[*names, "_topic"])
+        for first in range(0, batch.num_rows, 512):
+            part = batch.slice(first, 512)
+            named = topics.names(part.column(len(names)), part.column(len(names) + 1), part.column(at).to_pylist())
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], pa.array(named, pa.string())], names=[*names, "_topic"])
 
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[: len(names)])
     return map_arrow(rows, run, f"{kept}, _topic string")
@@ -144,6 +147,7 @@ def fit_topics(counted: DataFrame, topics: int = TOPICS) -> Topics:
     rows = counted.where("size(_at) > 0").select("_lang", "_at", "_n")
 
     def frequencies(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        forget_words()
         return {"": np.concatenate([[batch.num_rows], np.bincount(batch.column(1).flatten().to_numpy(), minlength=BUCKETS)])}
 
     found = summed_states(gather_states(rows, frequencies))
