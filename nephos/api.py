@@ -92,6 +92,28 @@ def interpolate_members(obs: DataFrame, grid: DataFrame, x_axis: Axis, y_axis: A
     return found.join(obs.select("obs_id", "instrument", "quantity", "time"), "obs_id").select("obs_id", "instrument", "quantity", "time", "member", F.col("model").alias("value"))
 
 
+def requested_pairs(obs: DataFrame, pairs: Sequence[str]) -> list[str]:
+    """The asked pairs that have rows, in the asked order, each once; ValueError names the others."""
+    key = F.concat_ws(".", "instrument", "quantity")
+    asked = list(dict.fromkeys(pairs))
+    have = {r[0] for r in obs.where(key.isin(*asked)).select(key).distinct().collect()}
+    if missing := [p for p in asked if p not in have]:
+        raise ValueError(f"no rows of {', '.join(missing)}")
+    return asked
+
+
+def in_asked_order(df: DataFrame, pairs: Sequence[str]) -> DataFrame:
+    """Rows of pairs in the order in which they were asked for."""
+    place = F.array_position(F.array(*[F.lit(p) for p in pairs]), F.concat_ws(".", "instrument", "quantity"))
+    return df.orderBy(place, *[c for c in df.columns if c in ("regime", "hour", "lat_bin", "lon_bin", "bin")])
+
+
+def model_bounds(grid: DataFrame) -> DataFrame:
+    """Domain and time of a model data set (t, x, y), in one row: least and greatest of each, and its frames and points."""
+    ends = [f(c).alias(f"{n}_{c}") for c in ("t", "x", "y") for n, f in (("min", F.min), ("max", F.max))]
+    return grid.agg(*ends, F.count_distinct("t").alias("frames"), F.count_distinct("x", "y").alias("points"))
+
+
 def analyse_first_departures(
     obs: DataFrame,
     path: str | None = None,
@@ -101,12 +123,10 @@ def analyse_first_departures(
     regimes: tuple[Sequence[float], Sequence[str]] | None = None,
     resolution: float = 1.0,
 ) -> dict[str, DataFrame]:
-    """Statistics, hourly means, maps, histograms and regimes of all pairs, or of some that must exist."""
+    """Statistics, hourly means, maps, histograms and regimes of all pairs, or of some that must exist, then in the asked order."""
     key = F.concat_ws(".", "instrument", "quantity")
     if pairs:
-        have = {r[0] for r in obs_files.available_pairs(obs).select(key).collect()}
-        if missing := [p for p in pairs if p not in have]:
-            raise ValueError(f"no rows of {', '.join(missing)}")
+        pairs = requested_pairs(obs, pairs)
         obs = obs.where(key.isin(*pairs))
     rows = filters.boxes(filters.quality(obs, (0, -1)).where("model_forecast IS NOT NULL"), include, exclude)
     out = {
@@ -117,6 +137,8 @@ def analyse_first_departures(
     }
     if regimes is not None:
         out["regimes"] = validation.by_regime(rows, *regimes)
+    if pairs:
+        out = {name: in_asked_order(df, pairs) for name, df in out.items()}
     if path is not None:
         for name in ("statistics", "regimes"):
             if name in out:

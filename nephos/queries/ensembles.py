@@ -36,6 +36,19 @@ def member_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(store.read()).withColumns({"missing": F.lit(missing), "parts": F.lit(len(store._state()["parts"]))})
 
 
+@register(
+    "quantised_grid",
+    f"""WITH {GRID_SQL}, b AS (SELECT *, CASE var WHEN 'T' THEN 10 ELSE 7 END AS bits, floor(log2(abs(value)))::INT AS e FROM grid),
+    s AS (SELECT *, pow(2::DOUBLE, bits - e) AS scale FROM b), q AS (SELECT *, CASE WHEN value = 0 THEN 0 ELSE round_even(value*scale, 0)/scale END AS kept FROM s)
+    SELECT var, t_idx, ix, iy, iz, member, kept AS value FROM q""",
+)
+def quantised_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members' fields with three significant digits of one variable and two of the other."""
+    from nephos.sources.quantise import quantised
+
+    return quantised(ensemble_grid(spark, sf_dir), {"T": 3, "Q.*": 2}).withColumn("value", F.col("value").cast("double"))
+
+
 @register(
     "field_difference",
     f"""WITH {GRID_SQL}, a AS (SELECT var, ix, iy, iz, member, avg(value) AS value FROM grid WHERE t_idx = 1 GROUP BY ALL),

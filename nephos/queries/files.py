@@ -15,14 +15,15 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nephos import api
-from nephos.adapters import CALENDAR_SQL, GRID_SQL, OBS_SQL, cycle_calendar, ensemble_grid, observations, table
+from nephos import api, sql
+from nephos.adapters import CALENDAR_SQL, GRID_SQL, OBS_SQL, cycle_calendar, ensemble_grid, model_frames, observations, table
 from nephos.functions.columns import metadata_values
 from nephos.functions.projection import LambertConformal
 from nephos.operators import ensemble, filters, superobs
 from nephos.plans import processors, workflow
 from nephos.plans.interpolation import interpolate_model
 from nephos.plans.observation_operators import QUANTITIES
+from nephos.queries.gridded import FRAMES_SQL
 from nephos.queries.products import CELL_SQL, seen, seen_sql
 from nephos.queries.shape import r, rounded
 from nephos.queries.statistics import DEP_SQL, EDGES, LABELS, STATS_SQL
@@ -197,6 +198,30 @@ def store_skipping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found[0].unionByName(found[1])
 
 
+@register(
+    "sql_functions",
+    f"""WITH {OBS_SQL}, {FRAMES_SQL}, b AS (SELECT *, CAST(floor(c_profile/5.0) AS INT) AS p, CAST(floor(c_bin/4.0) AS INT) AS q FROM obs),
+    g AS (SELECT *, max(CASE WHEN qc_flag = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY ingest_file, instrument, quantity, p, q) AS has_good FROM b),
+    a AS (SELECT instrument, count(*) AS n, avg(value) AS value, sqrt(avg(value_uncertainty*value_uncertainty))/sqrt(CAST(count(*) AS DOUBLE)) AS ie, CASE WHEN count(*) > 1 THEN stddev_samp(value) ELSE max(value_uncertainty) END AS re
+      FROM g WHERE qc_flag = 0 OR has_good = 0 GROUP BY ingest_file, instrument, quantity, p, q),
+    w AS (SELECT instrument, CASE WHEN ru = lu THEN 0 ELSE (cu - lu)/CAST(ru - lu AS DOUBLE) END AS weight FROM clip JOIN spans ON cu >= lu AND (cu < ru OR is_last) WHERE us >= lo - 3600000000 AND us <= hi + 3600000000)
+    SELECT 'departures' AS what, instrument, count(value - model_forecast) AS n, {r("sum(value - model_forecast) AS total", digits=3)} FROM obs GROUP BY 2
+    UNION ALL SELECT 'superobs', instrument, sum(n), {r("sum(value + sqrt(ie*ie + re*re)) AS total", digits=3)} FROM a GROUP BY 2
+    UNION ALL SELECT 'brackets', instrument, count(*), {r("sum(weight) AS total", digits=3)} FROM w GROUP BY 2""",
+)
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Departures, superobs and brackets called in one SQL text over the view."""
+    frames = model_frames(spark).select("t_idx", "t").distinct()
+    sql.register_views(whole_rows(spark, sf_dir), frames)
+    sql.register_functions(spark)
+    rounded_sum = lambda x: f"CASE WHEN round(sum({x}), 3) = 0 THEN 0D ELSE round(sum({x}), 3) END AS total"
+    return spark.sql(
+        f"""SELECT 'departures' AS what, instrument, count(departure(value, model_forecast)) AS n, {rounded_sum("departure(value, model_forecast)")} FROM observations GROUP BY instrument
+        UNION ALL SELECT 'superobs', instrument, sum(n), {rounded_sum("value + value_uncertainty")} FROM superobs(5, 4) GROUP BY instrument
+        UNION ALL SELECT 'brackets', instrument, count(*), {rounded_sum("t_weight")} FROM brackets(3600) JOIN observations USING (obs_id) WHERE valid GROUP BY instrument"""
+    )
+
+
 @register(
     "member_files",
     f"""WITH {OBS_SQL}, m AS (SELECT l_orderkey AS obs_id, CAST(l_linenumber AS INT) AS member, l_quantity AS value FROM lineitem)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nephos import api
 from nephos.adapters import OBS_SQL, cycle_calendar, model_frames, observations, table
 from nephos.functions.columns import hlos_wind
 from nephos.functions.profiles import at_pressure, interpolate
@@ -131,6 +132,19 @@ def hlos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(df.select("event_id", hlos_wind(F.col("wind_east"), F.col("wind_north"), F.col("angle")).alias("hlos"), model_equivalent(df, "HLOS_WIND").alias("by_spec")))
 
 
+@register(
+    "model_bounds",
+    """WITH g AS (SELECT make_timestamp(1704067200000000 + (event_id % 72)*3600000000) AS t, CAST((event_id*37) % 3600 AS DOUBLE)*1000 AS x, CAST((event_id*91) % 1800 AS DOUBLE)*1000 AS y FROM events)
+    SELECT min(t) AS min_t, max(t) AS max_t, min(x) AS min_x, max(x) AS max_x, min(y) AS min_y, max(y) AS max_y, count(DISTINCT t) AS frames, (SELECT count(*) FROM (SELECT DISTINCT x, y FROM g)) AS points FROM g""",
+)
+def model_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds of a model data set with a point and a frame for each event."""
+    e = F.col("event_id")
+    t = F.timestamp_micros(F.lit(1_704_067_200_000_000) + (e % 72) * 3_600_000_000).cast("timestamp_ntz")
+    grid = table(spark, sf_dir, "events").select(t.alias("t"), (((e * 37) % 3600).cast("double") * 1000).alias("x"), (((e * 91) % 1800).cast("double") * 1000).alias("y"))
+    return api.model_bounds(grid)
+
+
 @register(
     "interval_overlap_join",
     """WITH cycles AS (SELECT CAST(i AS INT) AS cycle_index, TIMESTAMP '2024-01-01 00:00:00' + INTERVAL (6*i) HOUR AS start_time, TIMESTAMP '2024-01-01 00:00:00' + INTERVAL (6*(i+1)) HOUR AS end_time FROM range(120) t(i)),

@@ -98,3 +98,14 @@ def test_gridded_files_need_a_reader(spark, tmp_path):
     (tmp_path / "x.nc").write_bytes(b"CDF")
     with pytest.raises(Exception):
         netcdf.read_grid(spark, str(tmp_path / "x.nc"), ["T"]).collect()
+
+
+def test_pairs_keep_the_asked_order(spark, sf_dir):
+    obs = observations(spark, sf_dir)
+    asked = ["view.HLOS_WIND", "click.AOD_550nm", "view.HLOS_WIND", "error.AOD_550nm"]
+    assert api.requested_pairs(obs, asked) == ["view.HLOS_WIND", "click.AOD_550nm", "error.AOD_550nm"]
+    rows = api.analyse_first_departures(obs, pairs=asked)["statistics"].collect()
+    assert [f"{r['instrument']}.{r['quantity']}" for r in rows] == ["view.HLOS_WIND", "click.AOD_550nm", "error.AOD_550nm"]
+    with pytest.raises(ValueError, match="no rows of x.y"):
+        api.requested_pairs(obs, ["click.AOD_550nm", "x.y"])
+

@@ -82,3 +82,30 @@ def test_projection_there_and_back(spark, lon, lat):
     df = project(spark.createDataFrame([(lon, lat)], "longitude double, latitude double"), crs)
     back = df.select(*[c.alias(n) for c, n in zip(crs.inverse(F.col("x"), F.col("y")), "ab", strict=True)]).first()
     assert math.isclose(back["a"], lon, abs_tol=1e-6) and math.isclose(back["b"], lat, abs_tol=1e-6)
+
+
+def test_mantissa_bits_bound_the_error_and_shrink_files(spark, tmp_path):
+    import numpy as np
+
+    from nephos.sources import quantise
+
+    rng = np.random.default_rng(2)
+    x = (rng.normal(size=20_000) * 10.0 ** rng.integers(-20, 20, 20_000)).astype(np.float32)
+    for digits in (1, 2, 3, 5):
+        bits = quantise.bits_for(digits)
+        kept = quantise.keep_bits(x, bits)
+        assert (np.abs(kept.astype(np.float64) - x) <= 0.5 * 10.0 ** (1 - digits) * np.abs(x.astype(np.float64)) / 10).all()
+        assert not (kept.view(np.uint32) & np.uint32((1 << (23 - bits)) - 1)).any()
+    odd = np.array([0.0, -0.0, np.nan, np.inf, -np.inf, np.float32(3.4e38), 1.0], np.float32)
+    got = quantise.keep_bits(odd, 5)
+    assert np.array_equal(got[[0, 1, 3, 4, 6]], odd[[0, 1, 3, 4, 6]]) and np.isnan(got[2]) and np.isfinite(got[5])
+    assert quantise.rule_for("QVAPOR", {"T": 3, "Q.*": 2}) == 2 and quantise.rule_for("TT", {"T": 3}) is None
+    rows = spark.createDataFrame([("T", float(v)) for v in rng.normal(280, 20, 30_000)] + [("P", 1.5), (None, 2.5), ("T", None)], "var string, value double").coalesce(1)
+    sizes = []
+    for name, rules in (("plain", {}), ("few", {"T": 3})):
+        quantise.write_quantised(rows.withColumn("cycle", F.lit(1)), str(tmp_path / name), rules, "cycle")
+        sizes.append(sum(p.stat().st_size for p in (tmp_path / name).rglob("*.parquet")))
+    assert sizes[1] < 0.6 * sizes[0]
+    back = spark.read.parquet(str(tmp_path / "few"))
+    assert back.count() == 30_003 and back.where("var = 'P'").first()["value"] == 1.5 and back.where("value IS NULL").count() == 1
+
