@@ -53,7 +53,7 @@ INDEX = np.dtype([("offset", "<u8"), ("length", "<u4")])
 BLOCK_IDS, SEGMENT_IDS = 32_768, 262_144
 END_ID = 2
 #: Distinct words that a Python worker remembers before it starts anew.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 250_000
 #: Text whose words are counted at once, about.
 SLICE_BYTES = 1_048_576
 
