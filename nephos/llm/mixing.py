@@ -185,17 +185,18 @@ def fitted(codes: list[np.ndarray], asked: list[np.ndarray], most: np.ndarray, m
 
 
 def nearest(codes: list[np.ndarray], asked: list[np.ndarray], most: np.ndarray, mass: np.ndarray) -> np.ndarray:
-    """Masses within their bounds whose margins are nearest to those asked, by least squares, from ``mass`` on.
+    """Masses within their bounds, one in all, whose margins are nearest to those asked, by least squares, from ``mass`` on.
 
     Accelerated projected gradient steps, each cell's by the number of cells that
     share a category with it, which bounds the curvature.
     """
     step = 1.0 / sum(np.bincount(c, minlength=len(a))[c] for c, a in zip(codes, asked, strict=True))
-    x = y = mass
+    shift = 0.0
+    x = y = _projected(mass, step, most, 0.0)[0]
     t = 1.0
     for _ in range(MOST_STEPS):
         slope = sum((np.bincount(c, y, len(a)) - a)[c] for c, a in zip(codes, asked, strict=True))
-        new = np.clip(y - step * slope, 0.0, most)
+        new, shift = _projected(y - step * slope, step, most, shift)
         moved = new - x
         if ((y - new) * moved / step).sum() > 0:  # past the least point: start anew from here
             t = 1.0
@@ -206,6 +207,22 @@ def nearest(codes: list[np.ndarray], asked: list[np.ndarray], most: np.ndarray,
     return x
 
 
+def _projected(x: np.ndarray, step: np.ndarray, most: np.ndarray, shift: float) -> tuple[np.ndarray, float]:
+    """The masses within their bounds, one in all, nearest to ``x`` in the steps' metric; and the shift that makes them so, begun at ``shift``."""
+    low, high = float((-x / step).min()), float(((most - x) / step).max())  # none, or all at their bounds
+    for _ in range(100):
+        out = np.clip(x + step * shift, 0.0, most)
+        over = out.sum() - 1.0
+        if abs(over) < 1e-15:
+            break
+        low, high = (low, shift) if over > 0 else (shift, high)
+        free = step[(out > 0) & (out < most)].sum()
+        shift = shift - over / free if free else (low + high) / 2
+        if not low < shift < high:
+            shift = (low + high) / 2
+    return np.clip(x + step * shift, 0.0, most), shift
+
+
 def draw(doc_id: Column, text: Column, seed: int) -> Column:
     """A uniform number in [0, 1) from the row's own content."""
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), doc_id, text), 11).cast("double") / F.lit(float(2**53))
