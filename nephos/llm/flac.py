@@ -21,7 +21,7 @@ read back.
 
 Defined cases: a null text counts as empty, one frame of spaces; a very long text
 is one stream of many blocks; a null doc_id passes through; equal texts have equal
-streams, repeated rows stay apart by their row number; extra columns are ignored;
+streams, repeated rows stay apart by their row number, and no ties arise; extra columns are ignored;
 an empty table gives no rows; a damaged stream raises ``FlacError``.
 """
 

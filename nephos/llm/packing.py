@@ -15,8 +15,9 @@ end mark.
 
 Defined cases: a document longer than the longest length is cut into full pieces
 and a tail; null or empty texts are one token (the end mark); repeated rows are
-packed each by itself; extra columns, whatever their names, are ignored; an empty
-table gives no rows.
+packed each by itself; pieces of one length go in the order of their ids, a null
+doc_id first; extra columns, whatever their names, are ignored; an empty table gives
+no rows.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@ comes back as one ``CASE``-like Column, so scoring has no Python in it.
 Defined cases: a null text counts as empty (no words, base_failed); a very long
 text is measured whole; a null doc_id passes through; repeated rows give repeated
 results; of several texts of a labelled id the least one is learnt from, and of
-several labels the least; extra columns, whatever their names, are ignored by
+several labels the least; of tests with equal gains the first stays; extra columns, whatever their names, are ignored by
 ``quality_scores`` and kept by ``keep_good``; an empty table gives no rows;
 without labelled rows the list is empty and only the base rule decides.
 """

@@ -19,7 +19,9 @@ texts.
 
 Defined cases: a null text counts as empty and gets the score of no words; a very
 long text takes memory in proportion to its words; repeated rows and copies get
-equal scores; of several texts of a labelled id the least is learnt from; rows
+equal scores; of several texts of a labelled id the least is learnt from, and of
+several labels the greatest; where two places of a text answer a filter alike, the
+first is taken; rows
 with a null doc_id are scored and not held out; extra columns, whatever their
 names, are ignored; an empty table gives no rows; without labels of both kinds
 every score is the share of label 1.
