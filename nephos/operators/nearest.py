@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -63,40 +64,44 @@ class QuadTree:
         held = reduce(DataFrame.union, leaves).groupBy("leaf").agg(F.collect_list(F.struct("glon", "glat", "at")).alias("spots"))
         self.leaves = write_shared(held, "tree-leaves")
 
-    def nearest(self, points: DataFrame, key: str) -> DataFrame:
-        """(key, best): the least (squared distance, ix, iy) of each point of (key, lon, lat), keys different and places not null.
+    def nearest(self, places: DataFrame, turns: Sequence[float] = (0.0,)) -> DataFrame:
+        """(lon, lat, best): the least (squared distance, ix, iy) of each of the different places (lon, lat), none null, in any of ``turns`` added to lon.
 
-        A point carries the cells that may hold its nearest grid point: those no
-        further than the least greatest distance to any cell.  Level by level they
-        are exchanged for their children, at last for the grid points in them.
+        A place carries the cells, by turn, that may hold its nearest grid point: those
+        no further than the least greatest distance to any cell in any turn.  Level by
+        level they are exchanged for their children, at last for the grid points in them.
         """
-        x, y = F.col("lon"), F.col("lat")
+        at, y = ["lon", "lat"], F.col("lat")
         square = lambda dx, dy: dx * dx + dy * dy
-        least = lambda c: square(_near(x, c["x0"], c["x1"]), _near(y, c["y0"], c["y1"]))
-        most = lambda c: square(_far(x, c["x0"], c["x1"]), _far(y, c["y0"], c["y1"]))
-        front = points.withColumns({"open": F.array(F.lit(ROOT).cast("bigint")), "done": F.array().cast("array<struct<node:bigint,least:double>>"), "bound": F.lit(math.inf)})
+        x = lambda c: F.col("lon") + c["turn"]
+        least = lambda c: square(_near(x(c), c["x0"], c["x1"]), _near(y, c["y0"], c["y1"]))
+        most = lambda c: square(_far(x(c), c["x0"], c["x1"]), _far(y, c["y0"], c["y1"]))
+        bounded = lambda c: F.least(F.col("bound"), F.coalesce(F.array_min(F.transform(c, most)), F.lit(math.inf)))
+        hopeful = lambda c: F.filter(c, lambda k: least(k) <= F.col("bound"))
+        nodes = lambda c, kind: F.transform(c, lambda k: F.struct(k["turn"].alias("turn"), k["node"].alias("node"), *kind(k)))
+        roots = F.array(*[F.struct(F.lit(t).alias("turn"), F.lit(ROOT).cast("bigint").alias("node")) for t in turns])
+        # All levels keep to this one exchange, which isn't made smaller: few bytes are much work.
+        spread = places.repartition(int(places.sparkSession.conf.get("spark.sql.shuffle.partitions")), *at)
+        front = spread.withColumns({"open": roots, "done": F.array().cast("array<struct<turn:double,node:bigint,least:double>>"), "bound": F.lit(math.inf)})
         for level in self.levels:
-            # Rows of one key lie together from the first exchange on.
-            asked = front.select(key, "lon", "lat", "done", "bound", F.explode_outer("open").alias("_parent"))
-            met = asked.join(small(level), "_parent", "left").groupBy(key).agg(
-                *[F.first(c).alias(c) for c in ("lon", "lat", "done", "bound")], F.flatten(F.collect_list(F.coalesce("children", F.array().cast(level.schema["children"].dataType)))).alias("_c")
-            )
-            bound = F.least(F.col("bound"), F.coalesce(F.array_min(F.transform("_c", most)), F.lit(math.inf)))
-            met = met.withColumn("bound", bound)
-            near = F.filter("_c", lambda c: least(c) <= F.col("bound"))
-            kept = met.withColumn("_c", near)
-            done = F.concat("done", F.transform(F.filter("_c", lambda c: c["leaf"]), lambda c: F.struct(c["node"].alias("node"), least(c).alias("least"))))
-            front = kept.select(key, "lon", "lat", "bound", done.alias("done"), F.transform(F.filter("_c", lambda c: ~c["leaf"]), lambda c: c["node"]).alias("open"))
-        hopeful = front.select(key, "lon", "lat", F.explode(F.transform(F.filter("done", lambda d: d["least"] <= F.col("bound")), lambda d: d["node"])).alias("leaf"))
-        best = F.array_min(F.transform("spots", lambda s: F.struct(square(x - s["glon"], y - s["glat"]).alias("d2"), s["at"]["ix"].alias("ix"), s["at"]["iy"].alias("iy"))))
-        return hopeful.join(small(self.leaves), "leaf").select(key, best.alias("_b")).groupBy(key).agg(F.min("_b").alias("best"))
+            asked = front.select(*at, "done", "bound", F.explode_outer("open").alias("_o")).select(*at, "done", "bound", F.col("_o.turn").alias("_turn"), F.col("_o.node").alias("_parent"))
+            child = lambda c: F.struct(F.col("_turn").alias("turn"), *[c[n].alias(n) for n in ("node", "leaf", "x0", "x1", "y0", "y1")])
+            met = asked.join(small(level), "_parent", "left").withColumn("_c", F.transform(F.coalesce("children", F.array().cast(level.schema["children"].dataType)), child))
+            own = met.withColumn("bound", bounded("_c")).withColumn("_c", hopeful("_c"))
+            met = own.groupBy(*at).agg(F.first("done").alias("done"), F.min("bound").alias("bound"), F.flatten(F.collect_list("_c")).alias("_c")).withColumn("_c", hopeful("_c"))
+            done = F.concat("done", nodes(F.filter("_c", lambda c: c["leaf"]), lambda k: [least(k).alias("least")]))
+            front = met.select(*at, "bound", done.alias("done"), nodes(F.filter("_c", lambda c: ~c["leaf"]), lambda k: []).alias("open"))
+        asked = front.select(*at, F.explode(F.filter("done", lambda d: d["least"] <= F.col("bound"))).alias("_d")).select(*at, F.col("_d.turn").alias("turn"), F.col("_d.node").alias("leaf"))
+        best = F.array_min(F.transform("spots", lambda s: F.struct(square(F.col("lon") + F.col("turn") - s["glon"], y - s["glat"]).alias("d2"), s["at"]["ix"].alias("ix"), s["at"]["iy"].alias("iy"))))
+        return asked.join(small(self.leaves), "leaf").select(*at, best.alias("_b")).groupBy(*at).agg(F.min("_b").alias("best"))
 
 
 def nearest_point(points: DataFrame, grid: DataFrame, key: str = "obs_id", wrap: bool = False) -> DataFrame:
     """(key, ix, iy, d2): the grid point of least squared distance in degrees, ties by (ix, iy).
 
     With ``wrap`` the shorter way round the globe counts.  Points without a place, or
-    an empty grid, give nulls.
+    an empty grid, give nulls.  Each different place goes through the tree once,
+    whatever the number of points there, and is met by its points in one join.
     """
     tree = QuadTree(grid)
     placed = F.col("longitude").isNotNull() & F.col("latitude").isNotNull() & ~F.isnan("longitude") & ~F.isnan("latitude")
@@ -104,14 +109,10 @@ def nearest_point(points: DataFrame, grid: DataFrame, key: str = "obs_id", wrap:
     nulls = [*[F.lit(None).cast(kinds[c]).alias(c) for c in ("ix", "iy")], F.lit(None).cast("double").alias("d2")]
     if not tree.n:
         return points.select(key, *nulls)
-    rows = points.where(placed).select(key, F.col("longitude").alias("lon"), F.col("latitude").alias("lat"))
-    if not wrap:
-        found = tree.nearest(rows, key)
-    else:
-        turned = rows.select(F.col(key).alias("_key"), F.explode(F.array(F.lit(0.0), F.lit(-360.0), F.lit(360.0))).alias("_turn"), "lon", "lat")
-        ways = tree.nearest(turned.select(F.struct("_key", "_turn").alias("_way"), (F.col("lon") + F.col("_turn")).alias("lon"), "lat"), "_way")
-        found = ways.groupBy(F.col("_way._key").alias(key)).agg(F.min("best").alias("best"))
-    return found.select(key, "best.ix", "best.iy", "best.d2").unionByName(points.where(~F.coalesce(placed, F.lit(False))).select(key, *nulls))
+    rows = points.where(placed).select(F.col(key).alias("_key"), F.col("longitude").cast("double").alias("lon"), F.col("latitude").cast("double").alias("lat"))
+    best = tree.nearest(rows.select("lon", "lat").distinct(), (0.0, -360.0, 360.0) if wrap else (0.0,))
+    found = rows.join(small(write_shared(best, "nearest-places")), ["lon", "lat"]).select(F.col("_key").alias(key), "best.ix", "best.iy", "best.d2")
+    return found.unionByName(points.where(~F.coalesce(placed, F.lit(False))).select(key, *nulls))
 
 
 def index_window(centres: DataFrame, grid: DataFrame, size: int = 15, key: str = "obs_id") -> DataFrame:

@@ -218,6 +218,22 @@ def test_quad_tree_splits_and_finds_what_a_scan_finds(spark, monkeypatch):
     assert {tuple(r)[1:] for r in nearest.nearest_point(points, grid.limit(0)).collect()} == {(None, None, None)}
 
 
+def test_each_place_goes_through_the_tree_once(spark, monkeypatch):
+    grid = spark.createDataFrame([(i, j, 170.0 + i, float(j)) for i in range(12) for j in range(12)], "ix int, iy int, glon double, glat double")
+    points = spark.range(400).selectExpr("id AS obs_id", "CAST(id % 4 * 90 - 179 AS DOUBLE) AS longitude", "IF(id % 8 < 4, 0.0D, -0.0D) AS latitude")
+    asked, walk = [], nearest.QuadTree.nearest
+
+    def spy(tree, places, *how):
+        asked.append(places.count())
+        return walk(tree, places, *how)
+
+    monkeypatch.setattr(nearest.QuadTree, "nearest", spy)
+    for wrap, want in ((False, [(0, 349.0**2), (0, 259.0**2), (0, 169.0**2), (0, 79.0**2)]), (True, [(11, 0.0), (11, 90.0**2), (0, 169.0**2), (0, 79.0**2)])):
+        got = {r["obs_id"]: (r["ix"], r["iy"], r["d2"]) for r in nearest.nearest_point(points, grid, wrap=wrap).collect()}
+        assert got == {i: (want[i % 4][0], 0, want[i % 4][1]) for i in range(400)}
+    assert asked == [4, 4]
+
+
 def test_windows_around_an_index(spark):
     grid = spark.createDataFrame([(i, j, float(i), float(j)) for i in range(8) for j in range(6)], "ix int, iy int, glon double, glat double")
     centres = spark.createDataFrame([(1, 0, 0), (2, 4, 3)], "obs_id int, ix int, iy int")
