@@ -8,7 +8,7 @@ from nephos import schema
 from nephos.plans import observation_operators as ops
 from nephos.plans import processors, workflow
 from nephos.sources import exports, obs_files, settings
-from nephos.sources.converters import CONVERTERS
+from nephos.sources.converters import CONVERTERS, aeronet
 from nephos.sources.store import ObservationStore
 from nephos.streaming import live
 
@@ -139,6 +139,31 @@ def test_sun_photometer_table(spark, tmp_path):
     assert out[0]["time"] == dt.datetime(2024, 3, 2, 4, 5, 6) and out[0]["orig_filename"] == "a.lev15"
 
 
+def test_sun_photometer_table_in_stretches(spark, tmp_path):
+    head = "Site,AOD_500,Date(dd:mm:yyyy),Time(hh:mm:ss),AOD_340,Site_Latitude(Degrees),Site_Longitude(Degrees)"
+    line = lambda i: f'"Orl\u00e9ans, {i}",{i}.5,02:03:2024,04:05:06,-999.,10.5,-20.25'
+    rows = [line(i) if i % 10 else "" for i in range(1, 400)]
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "b 50%20.lev15").write_bytes("\r\n".join(["pr\u00e9"] * 6 + [head, *rows]).encode("latin-1"))
+    (tmp_path / "a" / "short.lev15").write_bytes("\n".join(["p"] * 6 + [head, line(7)]).encode("latin-1"))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        wide = aeronet.read_table(spark, str(tmp_path / "a"), ["AOD_500"])
+        assert wide.rdd.getNumPartitions() > 8  # no task takes the whole file
+        got = sorted((r["file"], r["row"], r["AOD_500"]) for r in wide.collect())
+        out = CONVERTERS["aeronet"](spark, str(tmp_path / "a")).collect()
+        for name, content in (("headless", "p\n" * 6), ("other", "p\n" * 6 + "x,y\n1,2\n")):
+            (tmp_path / name).mkdir()
+            (tmp_path / name / "c.lev15").write_text(content)
+            with pytest.raises(Exception, match="c.lev15 has no column .*AOD_500"):
+                aeronet.read_table(spark, str(tmp_path / name), ["AOD_500"]).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert got == [("b 50%20.lev15", i - 1, i + 0.5) for i in range(1, 400) if i % 10] + [("short.lev15", 0, 7.5)]
+    assert {(r["orig_filename"], r["orig_coords"]["shape"][0]) for r in out} == {("b 50%20.lev15", 360), ("short.lev15", 1)}
+
+
 def test_imager_masks_and_scales(spark):
     cells = spark.createDataFrame([(0, 0, 1.0, 2.0, 37.0, 500, 3), (0, 1, 1.0, 2.0, 37.0, -9999, 3), (0, 2, 1.0, 2.0, 37.0, 500, 1), (0, 3, -999.0, 2.0, 37.0, 500, 3)], "along int, across int, latitude double, longitude double, scan_time double, aod int, qa int")
     out = CONVERTERS["modis"](cells, (1, 4), "f").collect()
