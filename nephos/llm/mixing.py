@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from nephos.llm.common import map_arrow, slices, word_count
 from nephos.llm.token_store import SLICE_BYTES, encoder
-from nephos.llm.topics import OTHER, count_lists, fit_topics, with_topics
+from nephos.llm.topics import OTHER, count_lists, fit_topics, packed, with_topics
 from nephos.session import drop_shared, write_shared
 
 DIMENSIONS = ("source", "lang", "topic")
@@ -71,7 +71,7 @@ def has_words(text: Column) -> Column:
 
 
 def keyed(docs: DataFrame, *keep: Column, tokenizer: str | None = None) -> DataFrame:
-    """``keep``, _source, _lang, _tokens, and _topic by form; with a tokenizer its ids and the end id count, and _at and _n hold the bucket counts instead of a topic."""
+    """``keep``, _source, _lang, _tokens, and _topic by form; with a tokenizer its ids and the end id count, and _at and _n hold the bucket counts, packed, instead of a topic."""
     text = F.col("text")
     names = [F.coalesce(F.col(c).cast("string"), F.lit(OTHER)).alias(f"_{c}") for c in ("source", "lang")]
     if tokenizer is None:
@@ -82,12 +82,12 @@ def keyed(docs: DataFrame, *keep: Column, tokenizer: str | None = None) -> DataF
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, "_text", SLICE_BYTES):
             texts = part.column(width).to_pylist()
-            ids = encoder(tokenizer).encode(texts)
-            counts = pa.array([0 if t is None else len(x) // 4 + 1 for t, x in zip(texts, ids, strict=True)], pa.int64())
-            yield pa.RecordBatch.from_arrays([*part.columns[:width], counts, *count_lists(ids)], names=[*part.schema.names[:width], "_tokens", "_at", "_n"])
+            ids, sizes = encoder(tokenizer).flat_ids(texts)
+            counts = pa.array(np.where([t is None for t in texts], 0, sizes + 1), pa.int64())
+            yield pa.RecordBatch.from_arrays([*part.columns[:width], counts, *map(packed, count_lists(ids, sizes))], names=[*part.schema.names[:width], "_tokens", "_at", "_n"])
 
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:width])
-    return map_arrow(rows, run, f"{kept}, _tokens bigint, _at array<smallint>, _n array<int>")
+    return map_arrow(rows, run, f"{kept}, _tokens bigint, _at binary, _n binary")
 
 
 def cell_tokens(docs: DataFrame, targets: Targets, tokenizer: str | None = None) -> dict[Cell, int]:
@@ -301,9 +301,9 @@ def mix_documents(
     def keep(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, f"c{at['text']}", SLICE_BYTES):
             column = lambda c: pc.cast(part.column(at[c]), pa.string()).to_pylist()  # noqa: E731, B023
-            ids = encoder(tokenizer).encode(column("text"))
+            found = encoder(tokenizer).flat_ids(column("text"))
             langs = [OTHER if x is None else x for x in column("lang")]
-            cells = zip([OTHER if x is None else x for x in column("source")], langs, topics.names(*count_lists(ids), langs), strict=True)
+            cells = zip([OTHER if x is None else x for x in column("source")], langs, topics.names(*count_lists(*found), langs), strict=True)
             pooled = (tuple(k if n is None or k in n else OTHER for k, n in zip(cell, named, strict=True)) for cell in cells)
             kept = [w and u < rates.get(cell, 0.0) for cell, w, u in zip(pooled, part.column(width).to_pylist(), part.column(width + 1).to_pylist(), strict=True)]
             found = part.filter(pa.array(np.array(kept, bool)))

@@ -36,6 +36,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -137,6 +138,9 @@ _LETTERS = "a-zªµºÀ-ÖØ-öø-ʯⱥⱦ"
 _CUT = re.compile(f"[{_LETTERS}]+|[0-9²³¹¼½¾]|'(?:s|t|re|ve|m|ll|d)|[^\\s0-9²³¹¼½¾{_LETTERS}]+")
 
 
+#: How byte-level models spell the bytes that are no visible Latin-1 characters: by the characters from 256 on.
+_SPELT = {b: 256 + k for k, b in enumerate([*range(33), *range(127, 161), 173])}
+
 #: The normalizer and word pattern (fixed values of the public file) that _PLAIN and _CUT stand for.
 _NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
@@ -155,6 +159,18 @@ def encodes_words(spec: dict) -> bool:
     )
 
 
+class Codes(dict):
+    """Words by number, in the order in which they were first asked for; ``new`` holds those since it was last emptied."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        code = self[word] = len(self)
+        self.new.append(word)
+        return code
+
+
 class WordEncoder:
     """Exact ids of a tokenizers file.
 
@@ -163,6 +179,9 @@ class WordEncoder:
     memory and the library sees new words only.  Plain texts are cut into the
     tokenizer's own words; any other text is cut at white space, and the library
     does the rest.  Any other file's texts go to the library whole.
+
+    A word is looked up once where it stands and is a number from then on; the ids
+    of a batch of texts are one gather from the ids of the words known so far.
     """
 
     def __init__(self, path: str):
@@ -171,56 +190,74 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.by_word = encodes_words(json.loads(self.tokenizer.to_str()))
-        self.known: dict[str, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = Codes()
+        #: Ids of the known words, one after the other, and where each word's end.
+        self.flat, self.stops = np.empty(0, "<u4"), np.zeros(1, np.int64)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[str], whole: bool) -> None:
-        """Add new words; ``whole`` ones are single words of the tokenizer and go together."""
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
-            if whole:
-                ids = self._ids([" ".join(part)])[0]
-                ends = [0, *(4 * np.flatnonzero(self.ends[ids]) + 4).tolist()]
-                if len(ends) == len(part) + 1:
-                    raw = ids.tobytes()
-                    self.known.update(zip(part, [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)], strict=True))
-                    continue
-            self.known.update(zip(part, [x.tobytes() for x in self._ids(part)], strict=True))
-
-    def _cut(self, texts: list[str | None]) -> list[list[str]]:
-        """The words of each text, all of them known from now on."""
-        known = self.known
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        split: list[list[str]] = []
-        single: set[str] = set()
-        other: set[str] = set()
-        for text in texts:
-            text = text or ""
-            plain = "<|" not in text and _PLAIN.fullmatch(text) is not None
-            ws = _CUT.findall(text.lower()) if plain else re.split("[ \n\t\r]+", text)
-            (single if plain else other).update(ws)
-            split.append(ws)
-        self._learn([w for w in single if w not in known], True)
-        self._learn([w for w in other if w not in known], False)
-        return split
+    def _word_ids(self, words: list[str]) -> list[list[int]]:
+        """The ids of single words of the tokenizer, by the library's model alone: its normalizer and cutter have nothing left to do."""
+        model = self.tokenizer.model.tokenize
+        spelt = (w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(_SPELT) for w in words)
+        return [[t.id for t in model(w)] for w in spelt]
+
+    def _learn(self, whole: bool) -> None:
+        """The ids of the new words; ``whole`` ones are single words of the tokenizer."""
+        words, self.known.new = self.known.new, []
+        if words:
+            found = self._word_ids(words) if whole else self._ids(words)
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), "<u4", int(sizes.sum()))])
+            self.stops = np.concatenate([self.stops, self.stops[-1] + np.cumsum(sizes)])
+
+    def _codes(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The words of each text by number, all of them known from now on."""
+        if len(self.known) > CACHED_WORDS:
+            self.forget()
+        found: list[np.ndarray] = [np.empty(0, np.int32)] * len(texts)
+        plain = [not t or ("<|" not in t and _PLAIN.fullmatch(t) is not None) for t in texts]
+        number = self.known.__getitem__
+        try:
+            for single in (True, False):
+                for k, text in enumerate(texts):
+                    if text and plain[k] is single:
+                        words = _CUT.findall(text.lower()) if single else re.split("[ \n\t\r]+", text)
+                        found[k] = np.fromiter(map(number, words), np.int32, len(words))
+                self._learn(single)
+        except BaseException:
+            self.forget()
+            raise
+        return found
+
+    def flat_ids(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each text has."""
+        if not self.by_word:
+            found = self._ids([t or "" for t in texts])
+            return np.concatenate([np.empty(0, "<u4"), *found]), np.array([len(x) for x in found], np.int64)
+        codes = self._codes(texts)
+        every = np.concatenate([np.empty(0, np.int32), *codes])
+        first = self.stops[every]
+        sizes = self.stops[every + 1] - first
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.flat[np.repeat(first - ends[:-1], sizes) + np.arange(ends[-1])]
+        return ids, np.diff(ends[np.concatenate([[0], np.cumsum([len(c) for c in codes], dtype=np.int64)])])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian u32."""
-        if not self.by_word:
-            return [x.tobytes() for x in self._ids([t or "" for t in texts])]
-        return [b"".join(map(self.known.__getitem__, ws)) for ws in self._cut(texts)]
+        ids, sizes = self.flat_ids(texts)
+        raw, ends = ids.tobytes(), (4 * np.cumsum(sizes)).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def lengths(self, texts: list[str | None]) -> list[int]:
         """The number of ids of each text, without an end id."""
         if not self.by_word:
             return [len(x) for x in self._ids([t or "" for t in texts])]
-        return [sum(map(len, map(self.known.__getitem__, ws))) // 4 for ws in self._cut(texts)]
+        return [int((self.stops[c + 1] - self.stops[c]).sum()) for c in self._codes(texts)]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -234,8 +271,8 @@ def encoder(path: str) -> WordEncoder:
 
 def forget_words() -> None:
     """Give back the word memories of this process, before a stage that needs the room."""
-    for known in _ENCODERS.values():
-        known.known.clear()
+    for held in _ENCODERS.values():
+        held.forget()
 
 
 def with_lengths(rows: DataFrame, path: str, text: str, name: str) -> DataFrame:

@@ -35,20 +35,36 @@ BUCKETS, TOPICS, SEEDS, ROUNDS = 2048, 8, 128, 4
 STEP = 2.0**-20
 
 
-def bucket_counts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """The buckets that the little-endian u32 ids fall into, and how many in each."""
-    mixed = (np.frombuffer(raw, "<u4") * np.uint32(2_654_435_761)) >> np.uint32(21)
-    counts = np.bincount(mixed, minlength=BUCKETS)
-    at = np.flatnonzero(counts)
-    return at, counts[at]
-
-
-def count_lists(raws: Sequence[bytes]) -> tuple[pa.Array, pa.Array]:
-    """The bucket counts of several texts as list columns."""
-    found = [bucket_counts(raw) for raw in raws]
-    offsets = pa.array(np.concatenate([[0], np.cumsum([len(at) for at, _ in found])]).astype(np.int32))
-    flat = lambda k, t: np.concatenate([f[k] for f in found]).astype(t) if found else np.empty(0, t)
-    return pa.ListArray.from_arrays(offsets, pa.array(flat(0, np.int16))), pa.ListArray.from_arrays(offsets, pa.array(flat(1, np.int32)))
+def count_lists(ids: np.ndarray, sizes: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """The buckets that the ids of each text fall into, and how many in each, as list columns; ``sizes`` of the texts' ids lie one after the other."""
+    mixed = ((ids * np.uint32(2_654_435_761)) >> np.uint32(21)).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    at, n, filled = [np.empty(0, np.int16)], [np.empty(0, np.int32)], [np.zeros(1, np.int32)]
+    for first in range(0, len(sizes), 64):  # texts whose counts stay small
+        part = sizes[first : first + 64]
+        row = np.repeat(np.arange(len(part)) * BUCKETS, part)
+        counts = np.bincount(row + mixed[ends[first] : ends[first + len(part)]], minlength=len(part) * BUCKETS)
+        found = np.flatnonzero(counts)
+        at.append((found % BUCKETS).astype(np.int16))
+        n.append(counts[found].astype(np.int32))
+        filled.append(np.bincount(found // BUCKETS, minlength=len(part)).astype(np.int32))
+    offsets = pa.array(np.cumsum(np.concatenate(filled), dtype=np.int32))
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(at))), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(n)))
+
+
+def packed(lists: pa.ListArray) -> pa.Array:
+    """Lists of numbers as the bytes of each, which Spark carries without looking at every number."""
+    numbers = lists.flatten().to_numpy()
+    offsets = (lists.offsets.to_numpy() - lists.offsets[0].as_py()) * numbers.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(numbers.tobytes())])
+
+
+def unpacked(column: pa.Array, kind: type) -> pa.ListArray:
+    """The lists of ``packed``."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    numbers = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]].tobytes()
+    return pa.ListArray.from_arrays(pa.array(((offsets - offsets[0]) // np.dtype(kind).itemsize).astype(np.int32)), pa.array(np.frombuffer(numbers, kind)))
 
 
 def stepped(x: np.ndarray) -> np.ndarray:
@@ -123,7 +139,7 @@ class Topics:
         return out
 
     def name(self, raw: bytes, lang: str | None) -> str:
-        return self.names(*count_lists([raw]), [lang])[0]
+        return self.names(*count_lists(np.frombuffer(raw, "<u4"), np.array([len(raw) // 4])), [lang])[0]
 
 
 def with_topics(counted: DataFrame, topics: Topics) -> DataFrame:
@@ -135,7 +151,7 @@ def with_topics(counted: DataFrame, topics: Topics) -> DataFrame:
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for first in range(0, batch.num_rows, 512):
             part = batch.slice(first, 512)
-            named = topics.names(part.column(len(names)), part.column(len(names) + 1), part.column(at).to_pylist())
+            named = topics.names(unpacked(part.column(len(names)), np.int16), unpacked(part.column(len(names) + 1), np.int32), part.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], pa.array(named, pa.string())], names=[*names, "_topic"])
 
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[: len(names)])
@@ -143,12 +159,12 @@ def with_topics(counted: DataFrame, topics: Topics) -> DataFrame:
 
 
 def fit_topics(counted: DataFrame, topics: int = TOPICS) -> Topics:
-    """The topics of all rows of ``counted`` (_lang, _at, _n)."""
-    rows = counted.where("size(_at) > 0").select("_lang", "_at", "_n")
+    """The topics of all rows of ``counted`` (_lang, and _at and _n packed)."""
+    rows = counted.where("length(_at) > 0").select("_lang", "_at", "_n")
 
     def frequencies(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
         forget_words()
-        return {"": np.concatenate([[batch.num_rows], np.bincount(batch.column(1).flatten().to_numpy(), minlength=BUCKETS)])}
+        return {"": np.concatenate([[batch.num_rows], np.bincount(unpacked(batch.column(1), np.int16).flatten().to_numpy(), minlength=BUCKETS)])}
 
     found = summed_states(gather_states(rows, frequencies))
     if not found:
@@ -160,7 +176,7 @@ def fit_topics(counted: DataFrame, topics: int = TOPICS) -> Topics:
     zero = np.zeros(BUCKETS)
 
     def batch_rows(batch: pa.RecordBatch, means: dict[str, np.ndarray]) -> Rows:
-        return Rows(batch.column(1), batch.column(2), batch.column(0).to_pylist(), idf, means)
+        return Rows(unpacked(batch.column(1), np.int16), unpacked(batch.column(2), np.int32), batch.column(0).to_pylist(), idf, means)
 
     def language_sums(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
         r = batch_rows(batch, dict.fromkeys([OTHER, *langs], zero))

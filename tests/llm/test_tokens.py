@@ -168,3 +168,31 @@ def test_words_joined_equal_whole_texts():
     model = C.CountViterbi(C.load_vocabulary(PIECES))
     for text in [*ODD, prose(9, 80), "  two  spaces  \n\n x", "日本 a 😀😀 b"]:
         assert model.count(text) == model.best(C.SPACE + text.replace(" ", C.SPACE))
+
+
+def test_words_are_numbers_and_counts_travel_packed(spark, monkeypatch):
+    """A known word is not learnt again, ids are the library's over a small memory, and what is written for the topics is bytes."""
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from nephos.llm import mixing, token_store, topics
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, texts = Tokenizer.from_file(path), ["Straße, naïve 'tis 1²\x01\x85x", None, "", "日本 Foo, İx <|pad|>", "the naïve the", "á " * 40]
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    held = token_store.WordEncoder(path)
+    for limit in (250_000, 2):
+        monkeypatch.setattr(token_store, "CACHED_WORDS", limit)
+        ids, sizes = held.flat_ids(texts)
+        assert ids.tolist() == [i for w in want for i in w] and sizes.tolist() == held.lengths(texts) == [len(w) for w in want]
+        monkeypatch.setattr(token_store, "CACHED_WORDS", 250_000)
+        known = len(held.known)
+        assert held.encode(texts) == [np.array(w, "<u4").tobytes() for w in want] and len(held.known) == known
+    lists = topics.count_lists(ids, sizes)
+    assert [sum(n) for n in lists[1].to_pylist()] == sizes.tolist()
+    for found, kind in zip(lists, (np.int16, np.int32), strict=True):
+        assert topics.unpacked(topics.packed(found), kind).equals(found)
+        assert topics.unpacked(topics.packed(found).slice(3, 3), kind).to_pylist() == found.to_pylist()[3:]
+    docs = spark.createDataFrame([(1, "the cat", "en", "a")], "doc_id int, text string, lang string, source string")
+    assert {f.name: f.dataType.simpleString() for f in mixing.keyed(docs, tokenizer=path).schema.fields if f.name in ("_at", "_n")} == {"_at": "binary", "_n": "binary"}
