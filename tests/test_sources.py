@@ -529,3 +529,18 @@ def test_an_arrival_that_lost_the_race_takes_the_next_number(spark, tmp_path, mo
     assert mine.merge(frame(2, 3)) == [3] and raced == [[1, 2]]
     (row,) = mine.read().collect()
     assert (row["n"], row["mean"]) == (3, 2.0) and mine.members() == [1, 2, 3]
+
+
+def test_many_new_values_are_not_counted_first(spark, tmp_path, monkeypatch):
+    from nephos.sources import store
+
+    asked, whole = [], store.small
+    monkeypatch.setattr(store, "BROADCAST_ROWS", 2, raising=False)
+    monkeypatch.setattr(store, "small", lambda df: asked.append("_new" in df.columns) or whole(df))
+    table = ObservationStore(spark, f"file://{tmp_path}/t")
+    table.add(spark.range(6).selectExpr("id AS obs_id", "'f' AS ingest_file", "'i' AS instrument"))
+    for n, want in ((2, [True]), (6, [])):
+        table.update(spark.range(n).selectExpr("id AS obs_id", "id * 2.0D AS value"), "model_forecast", clear=True)
+        asked.clear()
+        got = {r["obs_id"]: r["model_forecast"] for r in table.read().collect()}
+        assert got == {i: i * 2.0 if i < n else None for i in range(6)} and [a for a in asked if a] == want
